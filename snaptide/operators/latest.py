@@ -28,30 +28,16 @@ def latest(
         raise ValueError(f"ties must be 'keep' or 'break', not {ties!r}")
     if not tiebreak:
         raise ValueError("ties='break' needs tiebreak columns")
-    return _break_ties(df, keys, [*order, *tiebreak])
+    # Few rows are left to sort once the newest value of each key is known.
+    return first_rows(_keep_ties(df, keys, order), keys, [*order, *tiebreak])
 
 
-def _keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    # A maximum per key is combined map-side, and the join back hashes on key
-    # and value together. So the rows of a hot key spread over their values,
-    # and what still ties in one partition adaptive execution can split: the
-    # left side of a semi join. A rank window would pull every tied row of a
-    # key into one task.
-    single = len(order) == 1
-    measure = F.col(order[0]) if single else F.struct(*order)
-    newest = df.groupBy(*keys).agg(F.max(measure).alias("__newest"))
-    if not single:
-        newest = newest.select(
-            *keys, *[F.col("__newest").getField(c).alias(c) for c in order]
-        )
-    else:
-        newest = newest.withColumnRenamed("__newest", order[0])
-    return join_on_keys(df, newest, [*keys, *order], "left_semi")
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key that is greatest by ``order``, in one pass.
 
-
-def _break_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    # row_number() = 1 is limited per key before the shuffle as well as after
-    # it, so a hot key sends one row per map task.
+    ``row_number() = 1`` is limited per key before the shuffle as well as after
+    it, so a hot key sends one row per map task.
+    """
     newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return (
         df.withColumn("__position", F.row_number().over(newest_first))
@@ -60,6 +46,22 @@ def _break_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     )
 
 
+def _keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    # A maximum per key is a narrow scan, combined map-side, and the join back
+    # hashes on key and value together. So the rows of a hot key spread over
+    # their values, and what still ties in one partition adaptive execution
+    # can split: the left side of a semi join. A rank window would sort every
+    # row and pull every tied row of a key into one task.
+    single = len(order) == 1
+    measure = F.col(order[0]) if single else F.struct(*order)
+    newest = df.groupBy(*keys).agg(F.max(measure).alias("__newest"))
+    if single:
+        newest = newest.withColumnRenamed("__newest", order[0])
+    else:
+        newest = newest.select(*keys, *[F.col("__newest").getField(c).alias(c) for c in order])
+    return join_on_keys(df, newest, [*keys, *order], "left_semi")
+
+
 def as_of(
     df: DataFrame,
     moment: Column,

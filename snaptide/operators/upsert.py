@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .latest import latest
+from .latest import first_rows
 
 FLAG = "update_flag"
 UPDATED = "U"
@@ -37,14 +37,20 @@ def reduce_batch(
 ) -> DataFrame:
     """One row per key: the newest by ``sequence_by``.
 
-    Without ``sequence_by`` nothing says which duplicate is right, so a key
+    Rows level on ``sequence_by`` are decided by ``tiebreak``, by default all
+    other columns, so the result does not depend on the order of delivery.
+    Without ``sequence_by`` nothing says which duplicate is right, and a key
     that occurs twice fails the job.
     """
     keyed = batch.where(has_key(keys))
     rest = [c for c in batch.columns if c not in keys]
     if sequence_by is not None:
-        others = [c for c in rest if c != sequence_by]
-        return latest(keyed, keys, [sequence_by], tiebreak=list(tiebreak) or others or list(keys))
+        others = [
+            f.name
+            for f in batch.schema
+            if f.name in rest and f.name != sequence_by and "map<" not in f.dataType.simpleString()
+        ]
+        return first_rows(keyed, keys, [sequence_by, *(tiebreak or others)])
     message = F.concat(F.lit("duplicate key in batch: "), F.to_json(F.struct(*keys)))
     return (
         keyed.groupBy(*keys)
@@ -105,7 +111,7 @@ def upsert(
     update_leg = target.join(incoming, same_key, "left").select(
         *[updated(c) for c in columns], F.when(wins, F.lit(UPDATED)).alias(flag)
     )
-    known = target.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys])
+    known = target.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
     types = {field.name: field.dataType for field in target.schema}
     insert_leg = batch.join(known, same_key, "left_anti").select(
         *[

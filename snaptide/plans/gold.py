@@ -25,7 +25,7 @@ def latest_table(
     ``ties="break"`` prefers the later snapshot and gives one row per team.
     """
     if ties == "keep":
-        return latest(silver.select(*columns).distinct(), keys, ["matches_played"], ties="keep")
+        return latest(silver.select(*columns), keys, ["matches_played"], ties="keep").distinct()
     return latest(
         silver.select(*dict.fromkeys([*columns, *SILVER_COLUMNS])),
         keys,

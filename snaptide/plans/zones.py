@@ -18,7 +18,7 @@ from ..schemas import (
 )
 from ..session import stateful_session
 from ..sinks.publish import overwrite_files
-from ..sources.files import read_table, stream_snapshots, stream_table
+from ..sources.files import read_table, source_split, stream_snapshots, stream_table
 from ..streaming.ingest import append_stream, dedupe_stream
 from ..streaming.upsert import read_state, upsert_stream
 from .gold import leaderboard, premier_table
@@ -60,9 +60,9 @@ def bronze_columns(raw: DataFrame, suffix: str = KEY_SUFFIX) -> DataFrame:
     return renamed.withColumn("entity_id", entity_key("team", suffix))
 
 
-def silver_columns(bronze: DataFrame) -> DataFrame:
-    """Home and away added up, in the columns of the conformed table."""
-    return bronze.transform(add_totals, STANDINGS_TOTALS).transform(select_columns, SILVER_COLUMNS)
+def silver_columns(bronze: DataFrame, *more: str) -> DataFrame:
+    """Home and away added up, in the columns of the conformed table (and ``more``)."""
+    return bronze.transform(add_totals, STANDINGS_TOTALS).transform(select_columns, [*SILVER_COLUMNS, *more])
 
 
 def to_bronze(spark: SparkSession, zones: Zones):
@@ -73,22 +73,22 @@ def to_bronze(spark: SparkSession, zones: Zones):
     )
 
 
-def _silver_stream(spark: SparkSession, zones: Zones) -> DataFrame:
-    bronze = stream_table(spark, zones.bronze, read_table(spark, zones.bronze).schema)
-    return bronze.transform(silver_columns)
+def _bronze_stream(spark: SparkSession, zones: Zones) -> DataFrame:
+    return stream_table(spark, zones.bronze, read_table(spark, zones.bronze).schema, zones.max_files)
 
 
 def to_silver(spark: SparkSession, zones: Zones):
     """New bronze rows, conformed and deduplicated, appended to silver."""
     session = stateful_session(spark, zones.state_partitions)
-    rows = dedupe_stream(_silver_stream(session, zones), SILVER_COLUMNS)
+    bronze = _bronze_stream(session, zones).withColumn("__split", source_split())
+    rows = dedupe_stream(silver_columns(bronze, "__split"), SILVER_COLUMNS, split=F.col("__split"))
     return append_stream(rows, zones.silver, zones.checkpoint("silver"), "silver_dedupe")
 
 
 def to_current(spark: SparkSession, zones: Zones):
     """New bronze rows upserted into the current state of each team."""
     return upsert_stream(
-        _silver_stream(spark, zones),
+        silver_columns(_bronze_stream(spark, zones)),
         zones.current,
         zones.checkpoint("current"),
         "silver_upsert",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_int = T.IntegerType()
+# All whole numbers are 64 bits wide: a counter or key of a large table must not overflow.
+_int = T.LongType()
 _str = T.StringType()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 REJECTED = "_rejected"
 
@@ -76,6 +76,11 @@ def stream_table(
     return reader.parquet(path)
 
 
+def source_split() -> Column:
+    """Number that differs between the file splits the rows of a file source come from."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+
+
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     """Keep the file each row came from."""
     return df.withColumn(name, F.col("_metadata.file_name"))

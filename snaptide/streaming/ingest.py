@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -56,13 +56,23 @@ def dedupe_stream(
     df: DataFrame,
     columns: Sequence[str],
     watermark: tuple[str, str] | None = None,
+    split: Column | None = None,
+    ways: int = 64,
 ) -> DataFrame:
     """First row of each value of ``columns``.
 
     Without a watermark every value is remembered for ever, as an exact result
     over an unbounded stream needs. With ``(time column, delay)`` the state is
     bounded: copies that arrive within the delay of each other are dropped.
+
+    A stream shuffles every copy before it drops any. Where one row may have
+    very many copies, ``split`` tells the copies apart (``source_split()``):
+    they are dropped in up to ``ways`` groups first, and one row per group goes
+    on to the final step.
     """
-    if watermark is None:
+    if watermark is not None:
+        return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(columns))
+    if split is None:
         return df.dropDuplicates(list(columns))
-    return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(columns))
+    grouped = df.select(*columns, F.pmod(split, F.lit(ways)).alias("__way"))
+    return grouped.dropDuplicates().drop("__way").dropDuplicates()

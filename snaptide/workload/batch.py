@@ -12,7 +12,9 @@ from ..sources import html
 from .registry import query, table
 
 
-@query("SELECT c_custkey, lower(regexp_replace(c_name, '\\s+', '', 'g')) || '_123' AS entity_id FROM customer")
+@query(
+    "SELECT c_custkey, lower(regexp_replace(c_name, '\\s+', '', 'g')) || '_123' AS entity_id FROM customer", "entity_key"
+)
 def entity_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", entity_key("c_name").alias("entity_id"))
 

@@ -40,8 +40,8 @@ totals AS (
   SELECT *, 'Team ' || user_id AS team, wh + wa AS wins, dh + da AS draws, lh + la AS losses,
     gfh + gfa AS goals_for, gah + gaa AS goals_against FROM counted),
 standings AS (
-  SELECT CAST(rank() OVER (PARTITION BY snapshot_date
-           ORDER BY 3 * wins + draws DESC, goals_for - goals_against DESC, goals_for DESC) AS INTEGER) AS ranking,
+  SELECT rank() OVER (PARTITION BY snapshot_date
+           ORDER BY 3 * wins + draws DESC, goals_for - goals_against DESC, goals_for DESC) AS ranking,
     team, wins + draws + losses AS matches_played, wins, draws, losses, goals_for, goals_against,
     goals_for - goals_against AS goal_difference, 3 * wins + draws AS points,
     lower(replace(team, ' ', '')) || '_123' AS entity_id, snapshot_date,
@@ -71,7 +71,7 @@ def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         for suffix, side in (("", _at_home()), (".1", ~_at_home())):
             for name, outcome in OUTCOMES.items():
                 hit = inside & side & (F.col("event_type") == outcome)
-                counters.append(F.count(F.when(hit, 1)).cast("int").alias(f"{name}{suffix}_{last_day}"))
+                counters.append(F.count(F.when(hit, 1)).alias(f"{name}{suffix}_{last_day}"))
     wide = events.groupBy("user_id").agg(*counters)
 
     names = [f"{name}{suffix}" for suffix in ("", ".1") for name in OUTCOMES]
@@ -117,7 +117,7 @@ def team_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         for side, here in (("home", _at_home()), ("away", ~_at_home())):
             for name, outcome in results.items():
                 hit = (_day() <= last_day) & here & (F.col("event_type") == outcome)
-                counters.append(F.count(F.when(hit, 1)).cast("int").alias(f"{name}_{side}_{last_day}"))
+                counters.append(F.count(F.when(hit, 1)).alias(f"{name}_{side}_{last_day}"))
     wide = events.groupBy("user_id").agg(*counters)
 
     def value(counter: str, side: str, last_day: int) -> Column:
@@ -145,8 +145,8 @@ def player_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders")
     counted = orders.groupBy("o_custkey").agg(
-        F.count(F.when(F.col("o_orderstatus") == "F", 1)).cast("int").alias("goals"),
-        F.count(F.when(F.col("o_orderstatus") == "O", 1)).cast("int").alias("assists"),
+        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("goals"),
+        F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("assists"),
     )
     players = table(spark, sf_dir, "customer").join(counted, F.col("c_custkey") == F.col("o_custkey"), "left")
     given = {

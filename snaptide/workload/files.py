@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.quality import column_exists, table_exists
+from ..operators.quality import column_exists, row_count, run_suite, table_exists
 from ..plans.audit import append_audit
 from ..plans.cleaning import clean_snapshots
 from ..schemas import RAW_FILE_COLUMNS, STANDINGS_DATE_FORMAT, STANDINGS_RAW
@@ -45,16 +45,16 @@ def ctas_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'table_exists' AS check_name, 1::BIGINT AS observed, (SELECT count(*) FROM supplier) AS table_rows
-UNION ALL SELECT 'column_exists', 1, (SELECT count(*) FROM supplier)"""
+    """SELECT 'table_exists' AS check_name, 1::BIGINT AS observed UNION ALL SELECT 'column_exists', 1
+UNION ALL SELECT 'row_count', count(*) FROM supplier"""
 )
 def existence_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a saved table and a column of it are there, beside its row count."""
+    """Whether a saved table and a column of it are there, and its row count."""
     db = _database(spark)
     catalog.save_table(table(spark, sf_dir, "supplier"), f"{db}.suppliers")
     saved = spark.table(f"{db}.suppliers")
     checks = table_exists(spark, f"{db}.suppliers").unionAll(column_exists(saved, "s_name"))
-    return checks.select("check_name", "observed").crossJoin(saved.agg(F.count("*").alias("table_rows")))
+    return checks.unionAll(run_suite(saved, [row_count()])).select("check_name", "observed")
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -115,9 +115,9 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_RAW_SQL = f"""{STANDINGS_SQL} SELECT ranking AS "Pos", team AS "Team", matches_played::INT AS "P", wh::INT AS "W",
-  dh::INT AS "D", lh::INT AS "L", gfh::INT AS "GF", gah::INT AS "GA", wa::INT AS "W.1", da::INT AS "D.1",
-  la::INT AS "L.1", gfa::INT AS "GF.1", gaa::INT AS "GA.1", goal_difference::INT AS "GD", points::INT AS "Pts",
+_RAW_SQL = f"""{STANDINGS_SQL} SELECT ranking AS "Pos", team AS "Team", matches_played AS "P", wh AS "W",
+  dh AS "D", lh AS "L", gfh AS "GF", gah AS "GA", wa AS "W.1", da AS "D.1",
+  la AS "L.1", gfa AS "GF.1", gaa AS "GA.1", goal_difference AS "GD", points AS "Pts",
   snapshot_date AS match_date FROM standings"""
 
 

@@ -12,9 +12,9 @@ from ..sources.nested import explode_payload, normalise_payload, read_nested_jso
 from .derived import player_documents, player_payloads, team_summaries
 from .registry import query
 
-_FACTS_SQL = """WITH counted AS (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F')::INT AS goals,
-    count(*) FILTER (o_orderstatus = 'O')::INT AS assists FROM orders GROUP BY o_custkey),
-  facts AS (SELECT c_custkey::INT AS id, c_name AS name, c_nationkey + 17 AS age, c_mktsegment AS team,
+_FACTS_SQL = """WITH counted AS (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS goals,
+    count(*) FILTER (o_orderstatus = 'O') AS assists FROM orders GROUP BY o_custkey),
+  facts AS (SELECT c_custkey AS id, c_name AS name, (c_nationkey + 17)::BIGINT AS age, c_mktsegment AS team,
     lower(c_mktsegment) AS position, goals, assists FROM customer LEFT JOIN counted ON o_custkey = c_custkey)
 """
 
@@ -36,7 +36,7 @@ def payload_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""{_FACTS_SQL} SELECT id, name, birth_country, team AS "0_team_name", goals AS "0_goals_total" FROM (
-  SELECT facts.*, (age - 17)::VARCHAR AS birth_country FROM facts)"""
+  SELECT facts.*, (age - 17)::INT::VARCHAR AS birth_country FROM facts)"""
 )
 def flatten_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nested field as a flat column; some of them shown."""
@@ -63,9 +63,9 @@ def top_assists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, DATE '2024-01-31' AS match_date, count(*)::INT AS played_total,
-  count(*) FILTER (event_type = 'signup')::INT AS wins_total, count(*) FILTER (event_type = 'click')::INT AS draws_total,
-  count(*) FILTER (event_type = 'error')::INT AS loses_total FROM events
+    """SELECT user_id, DATE '2024-01-31' AS match_date, count(*) AS played_total,
+  count(*) FILTER (event_type = 'signup') AS wins_total, count(*) FILTER (event_type = 'click') AS draws_total,
+  count(*) FILTER (event_type = 'error') AS loses_total FROM events
   WHERE event_type IN ('signup', 'click', 'error') GROUP BY user_id"""
 )
 def payload_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ _FLAG_SQL = """CASE WHEN b.o_custkey IS NOT NULL AND a.o_custkey IS NOT NULL THE
 )
 def latest_keep_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
-    return latest(orders.distinct(), ["o_custkey"], ["o_orderdate"], ties="keep")
+    return latest(orders, ["o_custkey"], ["o_orderdate"], ties="keep").distinct()
 
 
 @query(
@@ -188,22 +188,22 @@ def leaderboard_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct projection of the table by points, then goal difference."""
     view = gold.latest_table(_silver(spark, sf_dir), ties="break").select("team", "points", "goal_difference")
-    return view.distinct().orderBy(F.desc("points"), F.desc("goal_difference"))
+    return view.distinct().orderBy(F.desc("points"), F.desc("goal_difference"), "team")
 
 
 _SUMMARY_SQL = """WITH r AS (SELECT user_id, day(ts) % 2 = 0 AS home, event_type FROM events
   WHERE event_type IN ('signup', 'click', 'error'))
 SELECT user_id, DATE '2024-01-31' AS match_date,
-  count(*) FILTER (home)::INT AS played_home, count(*) FILTER (NOT home)::INT AS played_away, count(*)::INT AS played_total,
-  count(*) FILTER (home AND event_type = 'signup')::INT AS wins_home,
-  count(*) FILTER (NOT home AND event_type = 'signup')::INT AS wins_away,
-  count(*) FILTER (event_type = 'signup')::INT AS wins_total,
-  count(*) FILTER (home AND event_type = 'click')::INT AS draws_home,
-  count(*) FILTER (NOT home AND event_type = 'click')::INT AS draws_away,
-  count(*) FILTER (event_type = 'click')::INT AS draws_total,
-  count(*) FILTER (home AND event_type = 'error')::INT AS loses_home,
-  count(*) FILTER (NOT home AND event_type = 'error')::INT AS loses_away,
-  count(*) FILTER (event_type = 'error')::INT AS loses_total, {extra} FROM r GROUP BY user_id"""
+  count(*) FILTER (home) AS played_home, count(*) FILTER (NOT home) AS played_away, count(*) AS played_total,
+  count(*) FILTER (home AND event_type = 'signup') AS wins_home,
+  count(*) FILTER (NOT home AND event_type = 'signup') AS wins_away,
+  count(*) FILTER (event_type = 'signup') AS wins_total,
+  count(*) FILTER (home AND event_type = 'click') AS draws_home,
+  count(*) FILTER (NOT home AND event_type = 'click') AS draws_away,
+  count(*) FILTER (event_type = 'click') AS draws_total,
+  count(*) FILTER (home AND event_type = 'error') AS loses_home,
+  count(*) FILTER (NOT home AND event_type = 'error') AS loses_away,
+  count(*) FILTER (event_type = 'error') AS loses_total, {extra} FROM r GROUP BY user_id"""
 
 
 @query(_SUMMARY_SQL.format(extra="true AS is_consistent"))

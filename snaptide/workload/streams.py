@@ -9,9 +9,9 @@ from ..operators.reshape import undot_columns
 from ..plans import zones as refinement
 from ..plans.gold import player_facts
 from ..schemas import PLAYERS, TABLE_COLUMNS, TEAM_SUMMARY
-from ..scratch import work_area
+from ..scratch import materialize, work_area
 from ..session import stateful_session
-from ..sources.files import read_table, stream_snapshots, stream_table
+from ..sources.files import read_table, source_split, stream_snapshots, stream_table
 from ..sources.nested import stream_nested_json
 from ..streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
 from ..streaming.progress import progress_table
@@ -28,6 +28,20 @@ def _table_files(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parque[t]"
 
 
+def _deliver(df: DataFrame, path: str, kind: str, deliveries: int = 3) -> int:
+    """Write the scan ``df`` as files, and return how many a micro-batch takes so that ``deliveries`` of them do.
+
+    The files follow the splits of the input; only an input of few splits is
+    spread.
+    """
+    files = df.rdd.getNumPartitions()
+    if files < deliveries:
+        df, files = df.repartition(deliveries), deliveries
+    writer = df.write.option("header", True) if kind == "csv" else df.write
+    writer.format(kind).save(path)
+    return -(-files // deliveries)
+
+
 def _stream(spark: SparkSession, sf_dir: str, name: str, reader: SparkSession | None = None) -> DataFrame:
     return stream_table(reader or spark, _table_files(sf_dir, name), table(spark, sf_dir, name).schema)
 
@@ -55,12 +69,12 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = work_area(spark, "dedup")
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
-    rows = _stream(spark, sf_dir, "orders", stateful_session(spark)).select(*columns)
-    append_stream(dedupe_stream(rows, columns), f"{area}/orders", f"{area}/checkpoint", "dedup_orders")
+    rows = dedupe_stream(_stream(spark, sf_dir, "orders", stateful_session(spark)), columns, split=source_split())
+    append_stream(rows, f"{area}/orders", f"{area}/checkpoint", "dedup_orders")
     return read_table(spark, f"{area}/orders")
 
 
-@query(f"{STANDINGS_SQL} SELECT ranking, team, wins::INT AS wins, points::INT AS points, entity_id, snapshot_date FROM standings")
+@query(f"{STANDINGS_SQL} SELECT ranking, team, wins, points, entity_id, snapshot_date FROM standings")
 def stream_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated CSV snapshots into bronze: renamed, keyed, typed."""
     area = work_area(spark, "ingest")
@@ -79,11 +93,12 @@ FROM (SELECT user_id, ts FROM events WHERE event_type IN ('signup', 'click', 'er
 GROUP BY s.match_date"""
 )
 def stream_rate_limited_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Team summaries from CSV, two files per micro-batch, summed per date."""
+    """Team summaries from CSV, a limited number of files per micro-batch, summed per date."""
     area = work_area(spark, "limited")
     columns = [f"`{f.name}`" for f in TEAM_SUMMARY]
-    team_summaries(spark, sf_dir).select(*columns).repartition(4).write.option("header", True).csv(f"{area}/landing")
-    raw = stream_snapshots(spark, f"{area}/landing", TEAM_SUMMARY, "yyyy-MM-dd", max_files=2)
+    summaries = materialize(team_summaries(spark, sf_dir).select(*columns), "summaries")
+    max_files = _deliver(summaries, f"{area}/landing", "csv")
+    raw = stream_snapshots(spark, f"{area}/landing", TEAM_SUMMARY, "yyyy-MM-dd", max_files=max_files)
     append_stream(undot_columns(raw), f"{area}/bronze", f"{area}/checkpoint", "team_ingest")
     bronze = read_table(spark, f"{area}/bronze")
     return bronze.groupBy("match_date").agg(
@@ -93,10 +108,10 @@ def stream_rate_limited_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_FACTS_SQL} SELECT * FROM facts")
 def stream_nested_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested player JSON as a stream, two files per micro-batch."""
+    """Nested player JSON as a stream, a limited number of files per micro-batch."""
     area = work_area(spark, "players")
-    player_documents(spark, sf_dir).write.json(f"{area}/landing")
-    players = stream_nested_json(spark, f"{area}/landing", PLAYERS, multi_line=False)
+    max_files = _deliver(materialize(player_documents(spark, sf_dir), "players"), f"{area}/landing", "json")
+    players = stream_nested_json(spark, f"{area}/landing", PLAYERS, multi_line=False, max_files=max_files)
     append_stream(players, f"{area}/bronze", f"{area}/checkpoint", "player_ingest")
     return player_facts(read_table(spark, f"{area}/bronze"))
 
@@ -106,21 +121,21 @@ def stream_nested_players(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT *, row_number() OVER {_NEWEST_ORDER} AS n FROM orders) WHERE n = 1"""
 )
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders delivered in three files, upserted per micro-batch into the latest order per customer."""
+    """Orders delivered in three parts, upserted per micro-batch into the latest order per customer."""
     area = work_area(spark, "upsert")
     # Dates tie, so the sequence is the date followed by the key.
     sequence = F.struct("o_orderdate", "o_orderkey").alias("sequence")
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", sequence
     )
-    orders.repartition(3).write.parquet(f"{area}/landing")
-    stream = stream_table(spark, f"{area}/landing", orders.schema, max_files=1)
+    max_files = _deliver(orders, f"{area}/landing", "parquet")
+    stream = stream_table(spark, f"{area}/landing", orders.schema, max_files)
     upsert_stream(stream, f"{area}/changes", f"{area}/checkpoint", "upsert_orders", ["o_custkey"], "sequence")
     state = read_state(spark, f"{area}/changes", ["o_custkey"], "sequence")
     return state.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
 
 
-@query("SELECT 'progress_events' AS query_name, count(*) AS input_rows, true AS has_source FROM events")
+@query("SELECT 'progress_events' AS query_name, count(*) AS input_rows, true AS has_source FROM events", "progress_table")
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress of a stream as a table, summed over its micro-batches."""
     area = work_area(spark, "progress")
