@@ -2,6 +2,7 @@
 
 from .keys import constant_key, entity_key
 from .measures import home_away_totals, league_points, total_contributions
+from .names import named
 from .text import blank_to_null, collapse_separators, strip_tags
 
 __all__ = [
@@ -11,6 +12,7 @@ __all__ = [
     "entity_key",
     "home_away_totals",
     "league_points",
+    "named",
     "strip_tags",
     "total_contributions",
 ]

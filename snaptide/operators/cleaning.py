@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.names import named
 from ..functions.text import blank_to_null, collapse_separators
 
 
@@ -13,7 +14,7 @@ def blank_columns(df: DataFrame) -> list[str]:
     """Columns without any value. One pass; the driver gets one row of booleans."""
     seen = df.agg(
         *[
-            F.coalesce(F.bool_or(blank_to_null(F.col(f"`{c}`").cast("string")).isNotNull()), F.lit(False)).alias(str(i))
+            F.coalesce(F.bool_or(blank_to_null(named(c).cast("string")).isNotNull()), F.lit(False)).alias(str(i))
             for i, c in enumerate(df.columns)
         ]
     ).first()
@@ -26,7 +27,7 @@ def drop_blank_columns(df: DataFrame) -> DataFrame:
     Columns go, values do not shift: a missing value inside a row stays missing.
     """
     blank = set(blank_columns(df))
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in blank])
+    return df.select(*[named(c) for c in df.columns if c not in blank])
 
 
 def compact_row(df: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -34,8 +35,8 @@ def compact_row(df: DataFrame, columns: Sequence[str], names: Sequence[str]) ->
 
     Opt-in: a value missing mid-row moves all values after it.
     """
-    values = F.filter(F.array(*[F.col(f"`{c}`").cast("string") for c in columns]), lambda v: v.isNotNull())
-    others = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    values = F.filter(F.array(*[named(c).cast("string") for c in columns]), lambda v: v.isNotNull())
+    others = [named(c) for c in df.columns if c not in columns]
     return df.select(*others, *[F.get(values, F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.names import named
+
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values of ``columns`` (all by default); copies are dropped before the shuffle too."""
@@ -21,7 +23,7 @@ def duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     """Values that occur more than once, with their number of ``copies``."""
     names = list(columns or df.columns)
     return (
-        df.groupBy(*[F.col(f"`{c}`") for c in names])
+        df.groupBy(*[named(c) for c in names])
         .agg(F.count("*").alias("copies"))
         .where(F.col("copies") > 1)
     )

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.names import named
 from .matching import join_on_keys
 
 
@@ -38,7 +39,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     ``row_number() = 1`` is limited per key before the shuffle as well as after
     it, so a hot key sends one row per map task.
     """
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    newest_first = Window.partitionBy(*map(named, keys)).orderBy(*[named(c).desc() for c in order])
     return (
         df.withColumn("__position", F.row_number().over(newest_first))
         .where(F.col("__position") == 1)
@@ -53,12 +54,12 @@ def _keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     # can split: the left side of a semi join. A rank window would sort every
     # row and pull every tied row of a key into one task.
     single = len(order) == 1
-    measure = F.col(order[0]) if single else F.struct(*order)
-    newest = df.groupBy(*keys).agg(F.max(measure).alias("__newest"))
+    measure = named(order[0]) if single else F.struct(*map(named, order))
+    newest = df.groupBy(*map(named, keys)).agg(F.max(measure).alias("__newest"))
     if single:
         newest = newest.withColumnRenamed("__newest", order[0])
     else:
-        newest = newest.select(*keys, *[F.col("__newest").getField(c).alias(c) for c in order])
+        newest = newest.select(*map(named, keys), *[F.col("__newest").getField(c).alias(c) for c in order])
     return join_on_keys(df, newest, [*keys, *order], "left_semi")
 
 
@@ -70,4 +71,4 @@ def as_of(
     **rule,
 ) -> DataFrame:
     """Latest state per key among the rows whose first order column is not after ``moment``."""
-    return latest(df.where(F.col(order[0]) <= moment), keys, order, **rule)
+    return latest(df.where(named(order[0]) <= moment), keys, order, **rule)

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.names import named
+
 REPORT = T.StructType(
     [
         T.StructField("check_name", T.StringType()),
@@ -39,10 +41,6 @@ def _violations(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def _c(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def row_count(expected: int | None = None) -> Rule:
     return Rule("row_count", None, expected, F.count(F.lit(1)))
 
@@ -58,26 +56,26 @@ def no_duplicates(columns: Sequence[str]) -> Rule:
 
 
 def not_null(*columns: str) -> list[Rule]:
-    return [Rule("null", c, 0, _violations(_c(c).isNull())) for c in columns]
+    return [Rule("null", c, 0, _violations(named(c).isNull())) for c in columns]
 
 
 def not_negative(*columns: str) -> list[Rule]:
-    return [Rule("negative", c, 0, _violations(_c(c) < 0)) for c in columns]
+    return [Rule("negative", c, 0, _violations(named(c) < 0)) for c in columns]
 
 
 def in_range(column: str, low, high) -> Rule:
-    return Rule("range", column, 0, _violations((_c(column) < low) | (_c(column) > high)))
+    return Rule("range", column, 0, _violations((named(column) < low) | (named(column) > high)))
 
 
 def formula(column: str, expression: Column, null_safe: bool = False) -> Rule:
     """``column`` equals ``expression``. With ``null_safe`` a NULL on one side is a violation."""
-    wrong = ~_c(column).eqNullSafe(expression) if null_safe else _c(column) != expression
+    wrong = ~named(column).eqNullSafe(expression) if null_safe else named(column) != expression
     return Rule("formula", column, 0, _violations(wrong))
 
 
 def leader_has_rank(measure: str, ranking: str = "ranking", expected: int = 1) -> Rule:
     """The row with most ``measure`` has the first rank; among equals the best rank counts."""
-    leader = F.max_by(_c(ranking), F.struct(_c(measure), -_c(ranking)))
+    leader = F.max_by(named(ranking), F.struct(named(measure), -named(ranking)))
     return Rule("leader", ranking, expected, leader.cast("bigint"))
 
 
@@ -111,7 +109,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for rule in rules:
         if not rule.distinct:
             continue
-        groups = df.groupBy(*[_c(c) for c in rule.distinct]).agg(F.count("*").alias("__rows"))
+        groups = df.groupBy(*[named(c) for c in rule.distinct]).agg(F.count("*").alias("__rows"))
         if rule.copies:
             observed = F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).cast("bigint")
         else:

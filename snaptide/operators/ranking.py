@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.names import named
 from ..scratch import materialize
 from .matching import join_on_keys
 
@@ -14,7 +15,7 @@ TASK_ROWS = 1_000_000
 
 
 def _sort_columns(order: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.col(name).desc() if way == "desc" else F.col(name).asc() for name, way in order]
+    return [named(name).desc() if way == "desc" else named(name).asc() for name, way in order]
 
 
 def rank_rows(
@@ -33,10 +34,10 @@ def rank_rows(
     ranks are then joined back on the sort values. ``df`` is read twice, so
     hand in a table or a materialised result.
     """
-    group = list(partition_by)
-    values = [*group, *[column for column, _ in order]]
+    group = [named(c) for c in partition_by]
+    values = [*partition_by, *[column for column, _ in order]]
     sorting = _sort_columns(order)
-    counted = materialize(df.groupBy(*values).agg(F.count("*").alias("__rows")), "rank")
+    counted = materialize(df.groupBy(*map(named, values)).agg(F.count("*").alias("__rows")), "rank")
 
     total = counted.count()
     if total <= task_rows:
@@ -46,7 +47,7 @@ def rank_rows(
         ranges = -(-total // task_rows)
         # Which value lands in which range must not change between reads.
         ranged = materialize(
-            counted.repartitionByRange(ranges, *[F.col(c).asc() for c in group], *sorting).withColumn(
+            counted.repartitionByRange(ranges, *group, *sorting).withColumn(
                 "__range", F.spark_partition_id()
             ),
             "ranges",
@@ -64,7 +65,7 @@ def rank_rows(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         ranks = (
-            join_on_keys(ranged, shift, [*group, "__range"], "inner")
+            join_on_keys(ranged, shift, [*partition_by, "__range"], "inner")
             .withColumn(name, F.col("__shift") + _rows_before(inside) + 1)
             .drop("__shift", "__range")
         )

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.names import named
 from ..functions.measures import home_away_totals
 
 
@@ -27,7 +28,7 @@ def add_totals(df: DataFrame, totals: Mapping[str, tuple[str, str]]) -> DataFram
 
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{name}`") for name in names])
+    return df.select(*[named(name) for name in names])
 
 
 def with_constant(df: DataFrame, name: str, value) -> DataFrame:
@@ -69,7 +70,7 @@ def pivot_sum(
 
 def explode_map(df: DataFrame, column: str, key: str = "key", value: str = "value") -> DataFrame:
     """One row per map entry; rows with an empty map go."""
-    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    others = [named(c) for c in df.columns if c != column]
     return df.select(*others, F.explode(column).alias(key, value))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import named
 from .latest import first_rows
 
 FLAG = "update_flag"
@@ -21,7 +22,7 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def has_key(keys: Sequence[str]) -> Column:
-    return _all([F.col(f"`{k}`").isNotNull() for k in keys])
+    return _all([named(k).isNotNull() for k in keys])
 
 
 def rejected_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,12 +52,12 @@ def reduce_batch(
             if f.name in rest and f.name != sequence_by and "map<" not in f.dataType.simpleString()
         ]
         return first_rows(keyed, keys, [sequence_by, *(tiebreak or others)])
-    message = F.concat(F.lit("duplicate key in batch: "), F.to_json(F.struct(*keys)))
+    message = F.concat(F.lit("duplicate key in batch: "), F.to_json(F.struct(*map(named, keys))))
     return (
-        keyed.groupBy(*keys)
-        .agg(F.any_value(F.struct(*rest)).alias("__row"), F.count("*").alias("__copies"))
+        keyed.groupBy(*map(named, keys))
+        .agg(F.any_value(F.struct(*map(named, rest))).alias("__row"), F.count("*").alias("__copies"))
         .where(F.when(F.col("__copies") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-        .select(*[c if c in keys else F.col("__row").getField(c).alias(c) for c in batch.columns])
+        .select(*[named(c) if c in keys else F.col("__row").getField(c).alias(c) for c in batch.columns])
     )
 
 
@@ -90,32 +91,32 @@ def upsert(
     batch = reduce_batch(source, keys, sequence_by, tiebreak)
 
     incoming = batch.select(
-        *[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys],
-        F.struct(*[F.col(f"`{c}`") for c in batch.columns]).alias("__new"),
+        *[named(k).alias(f"__key_{k}") for k in keys],
+        F.struct(*[named(c) for c in batch.columns]).alias("__new"),
     )
-    same_key = _all([F.col(f"`{k}`") == F.col(f"`__key_{k}`") for k in keys])
+    same_key = _all([named(k) == named(f"__key_{k}") for k in keys])
     wins = F.col("__new").isNotNull()
     if sequence_by is not None:
-        held = F.col(f"`{sequence_by}`")
+        held = named(sequence_by)
         wins = wins & (held.isNull() | (F.col("__new").getField(sequence_by) >= held))
     # NULL >= x is unknown, which must count as "does not win".
     wins = F.coalesce(wins, F.lit(False))
 
     def updated(column: str) -> Column:
         if column not in updates:
-            return F.col(f"`{column}`")
+            return named(column)
         new = F.col("__new").getField(column)
-        return F.when(wins, new).otherwise(F.col(f"`{column}`")).alias(column)
+        return F.when(wins, new).otherwise(named(column)).alias(column)
 
     columns = [c for c in target.columns if c != flag]
     update_leg = target.join(incoming, same_key, "left").select(
         *[updated(c) for c in columns], F.when(wins, F.lit(UPDATED)).alias(flag)
     )
-    known = target.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys]).distinct()
+    known = target.select(*[named(k).alias(f"__key_{k}") for k in keys]).distinct()
     types = {field.name: field.dataType for field in target.schema}
     insert_leg = batch.join(known, same_key, "left_anti").select(
         *[
-            F.col(f"`{c}`") if c in batch.columns else F.lit(None).cast(types[c]).alias(c)
+            named(c) if c in batch.columns else F.lit(None).cast(types[c]).alias(c)
             for c in columns
         ],
         F.lit(INSERTED).alias(flag),
@@ -142,11 +143,11 @@ def current_state(
     seen = changes if run is None else changes.where(F.col(run_column) <= run)
     order = [run_column] if sequence_by is None else [sequence_by, run_column]
     payload = [c for c in changes.columns if c not in keys]
-    state = seen.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(*order)).alias("__row"),
+    state = seen.groupBy(*map(named, keys)).agg(
+        F.max_by(F.struct(*map(named, payload)), F.struct(*map(named, order))).alias("__row"),
         F.min(run_column).alias("__first_run"),
     )
-    columns = [c if c in keys else F.col("__row").getField(c).alias(c) for c in changes.columns]
+    columns = [named(c) if c in keys else F.col("__row").getField(c).alias(c) for c in changes.columns]
     if run is None:
         return state.select(*columns)
     last = F.col("__row").getField(run_column) == run

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.names import named
 from ..operators.cleaning import assign_names, drop_blank_columns
 from ..sources.files import read_raw
 
@@ -27,12 +28,12 @@ def clean_snapshots(
     names = [*schema.names, *drop]
     if len(kept.columns) != len(names):
         raise ValueError(f"{len(kept.columns)} columns hold values, {len(names)} are declared")
-    named = assign_names(kept, names, drop)
+    table = assign_names(kept, names, drop)
 
     def typed(field: T.StructField):
-        column = F.col(f"`{field.name}`")
+        column = named(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.try_to_timestamp(column, F.lit(date_format)).cast("date").alias(field.name)
         return column.try_cast(field.dataType).alias(field.name)
 
-    return named.select(*[typed(field) for field in schema])
+    return table.select(*[typed(field) for field in schema])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.names import named
+
 
 def read_nested_json(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
@@ -36,7 +38,7 @@ def explode_payload(payloads: DataFrame, column: str, schema: T.StructType) -> D
     One row per element of ``response``. Profile and statistics are taken from
     the same element, so nothing is matched by position.
     """
-    others = [F.col(f"`{c}`") for c in payloads.columns if c != column]
+    others = [named(c) for c in payloads.columns if c != column]
     items = payloads.select(
         *others, F.explode(F.from_json(F.col(column), schema)["response"]).alias("__item")
     )
@@ -49,6 +51,6 @@ def normalise_payload(
     payloads: DataFrame, column: str, schema: T.StructType, path: str
 ) -> DataFrame:
     """Struct at ``path`` of a JSON payload, kept beside the other columns for ``flatten``."""
-    others = [F.col(f"`{c}`") for c in payloads.columns if c != column]
+    others = [named(c) for c in payloads.columns if c != column]
     parsed = payloads.select(*others, F.from_json(F.col(column), schema).alias("__payload"))
-    return parsed.select(*[F.col(f"`{c}`") for c in payloads.columns if c != column], F.col(f"__payload.{path}.*"))
+    return parsed.select(*[named(c) for c in payloads.columns if c != column], F.col(f"__payload.{path}.*"))

@@ -68,7 +68,7 @@ def dedupe_stream(
     A stream shuffles every copy before it drops any. Where one row may have
     very many copies, ``split`` tells the copies apart (``source_split()``):
     they are dropped in up to ``ways`` groups first, and one row per group goes
-    on to the final step.
+    on to the final step. Only ``columns`` are kept then.
     """
     if watermark is not None:
         return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(columns))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.measures import league_points
+from ..functions.names import named
 from ..operators.ranking import rank_rows
 from ..schemas import PLAYERS, PLAYER_PROFILE, STANDINGS_RAW, TEAM_COUNTERS, TEAM_SIDES
 from ..scratch import materialize
@@ -84,7 +85,7 @@ def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         for last_day, date in SNAPSHOT_DAYS.items()
     ]
     def both(name: str) -> Column:
-        return F.col(f"`{name}`") + F.col(f"`{name}.1`")
+        return named(name) + named(f"{name}.1")
 
     rows = (
         wide.select("user_id", F.inline(F.array(*per_day)))
@@ -92,7 +93,7 @@ def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.concat(F.lit("Team "), F.col("user_id")).alias("Team"),
             (both("W") + both("D") + both("L")).alias("P"),
-            *[F.col(f"`{name}`") for name in names],
+            *[named(name) for name in names],
             (both("GF") - both("GA")).alias("GD"),
             league_points(both("W"), both("D")).alias("Pts"),
             both("GF").alias("__for"),
@@ -105,7 +106,7 @@ def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition_by=["match_date"],
         name="Pos",
     )
-    return ranked.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in STANDINGS_RAW])
+    return ranked.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in STANDINGS_RAW])
 
 
 def team_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.names import named
 from ..operators.quality import column_exists, row_count, run_suite, table_exists
 from ..plans.audit import append_audit
 from ..plans.cleaning import clean_snapshots
@@ -130,7 +131,7 @@ def write_raw_snapshots(spark: SparkSession, sf_dir: str, path: str, gaps: bool
     for name in rows.columns:
         if gaps and name in ("W", "W.1", "GD"):
             columns.append(F.lit(" ").alias(f"gap before {name}"))
-        columns.append(F.col(f"`{name}`"))
+        columns.append(named(name))
     rows.select(*columns).write.option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).mode("overwrite").option("header", True).csv(path)
