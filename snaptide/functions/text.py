@@ -13,8 +13,8 @@ def collapse_separators(line: Column, separator: str = ",") -> Column:
 
     A run of separators becomes one; then a field that is a single space goes.
     """
-    runs = F.regexp_replace(line, f"[{separator}]+", separator)
-    return F.regexp_replace(runs, f"{separator} {separator}", separator)
+    runs = F.regexp_replace(line, f"[{separator}]{{2,}}", separator)
+    return F.replace(runs, F.lit(f"{separator} {separator}"), F.lit(separator))
 
 
 def strip_tags(fragment: Column) -> Column:

@@ -79,16 +79,21 @@ def leader_has_rank(measure: str, ranking: str = "ranking", expected: int = 1) -
     return Rule("leader", ranking, expected, leader.cast("bigint"))
 
 
-def _report(rule: Rule, observed: Column) -> Column:
-    expected = F.lit(rule.expected).cast("bigint")
-    passed = F.lit(True) if rule.expected is None else observed.eqNullSafe(expected)
-    return F.struct(
-        F.lit(rule.check_name).alias("check_name"),
-        F.lit(rule.column_name).cast("string").alias("column_name"),
-        expected.alias("expected"),
-        observed.alias("observed"),
-        passed.alias("passed"),
-    )
+def _report(totals: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Report rows of one row with the observed numbers ``r0``, ``r1``, …"""
+
+    def text(value: str | None) -> str:
+        return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def row(i: int, rule: Rule) -> str:
+        expected = "NULL" if rule.expected is None else str(rule.expected)
+        passed = "true" if rule.expected is None else f"r{i} <=> {expected}"
+        return (
+            f"struct({text(rule.check_name)} AS check_name, CAST({text(rule.column_name)} AS STRING) AS column_name,"
+            f" CAST({expected} AS BIGINT) AS expected, r{i} AS observed, {passed} AS passed)"
+        )
+
+    return totals.selectExpr(f"inline(array({', '.join(row(i, rule) for i, rule in enumerate(rules))}))")
 
 
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -103,9 +108,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     reports: list[DataFrame] = []
     if plain:
         totals = df.agg(*[r.observed.cast("bigint").alias(f"r{i}") for i, r in enumerate(plain)])
-        reports.append(
-            totals.select(F.inline(F.array(*[_report(r, F.col(f"r{i}")) for i, r in enumerate(plain)])))
-        )
+        reports.append(_report(totals, plain))
     for rule in rules:
         if not rule.distinct:
             continue
@@ -114,8 +117,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             observed = F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).cast("bigint")
         else:
             observed = F.count("*")
-        one = groups.agg(observed.alias("r"))
-        reports.append(one.select(F.inline(F.array(_report(rule, F.col("r"))))))
+        reports.append(_report(groups.agg(observed.alias("r0")), [rule]))
     result = reports[0]
     for report in reports[1:]:
         result = result.unionAll(report)

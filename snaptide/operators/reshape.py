@@ -46,9 +46,9 @@ def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
             else:
                 yield here
 
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(".".join(f"`{part}`" for part in path)).alias(separator.join(path))
+            ".".join(f"`{part}`" for part in path) + f" AS `{separator.join(path)}`"
             for path in leaves(df.schema, ())
         ]
     )

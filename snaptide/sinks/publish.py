@@ -8,7 +8,7 @@ again replaces it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import HISTORY
 
@@ -17,10 +17,14 @@ def run_path(path: str, run_id: int) -> str:
     return f"{path}/data/run_id={run_id}"
 
 
-def written_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Files, rows and bytes under ``path``, from Parquet footers only."""
+def written_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files, rows and bytes under ``path``, from Parquet footers only.
+
+    They are read back and not observed during the write: a task that runs
+    again after a lost executor would be observed twice.
+    """
     files = (
-        spark.read.parquet(path)
+        spark.read.schema(schema).parquet(path)
         .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
         .agg(F.count("*").alias("rows"))
     )
@@ -44,7 +48,7 @@ def publish(
     """Write ``df`` as run ``run_id``, then log it."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(run_path(path, run_id))
-    written_metrics(spark, run_path(path, run_id)).select(
+    written_metrics(spark, run_path(path, run_id), df.schema).select(
         F.lit(run_id).cast("bigint").alias("version"),
         F.current_timestamp().alias("timestamp"),
         F.lit(user_id).cast("string").alias("userId"),

@@ -8,11 +8,10 @@ month.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.measures import league_points
-from ..functions.names import named
 from ..operators.ranking import rank_rows
+from ..operators.reshape import select_columns
 from ..schemas import PLAYERS, PLAYER_PROFILE, STANDINGS_RAW, TEAM_COUNTERS, TEAM_SIDES
 from ..scratch import materialize
 from .registry import table
@@ -50,53 +49,57 @@ standings AS (
 """
 
 
-def _day() -> Column:
-    return F.dayofmonth("ts")
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of events per team, first snapshot that holds them, side and kind.
+
+    The events are counted by these few groups first, so the many counters of
+    a snapshot are then taken from some rows per team and not from its events.
+    """
+    day = F.dayofmonth("ts")
+    first_snapshot = F.least(*[F.when(day <= last_day, last_day) for last_day in SNAPSHOT_DAYS])
+    return (
+        table(spark, sf_dir, "events")
+        .groupBy("user_id", first_snapshot.alias("since"), (day % 2 == 0).alias("at_home"), "event_type")
+        .agg(F.count("*").alias("n"))
+    )
 
 
-def _at_home() -> Column:
-    return _day() % 2 == 0
+def _counter(name: str, last_day: int, at_home: bool, kind: str) -> Column:
+    side = "at_home" if at_home else "NOT at_home"
+    hit = f"since <= {last_day} AND {side} AND event_type = '{kind}'"
+    return F.expr(f"coalesce(sum(n) FILTER (WHERE {hit}), 0) AS `{name}_{last_day}`")
 
 
 def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three cumulative standings snapshots in the columns of the raw files.
 
-    One aggregation of the events counts every snapshot at once; the three rows
-    of a team come from its counters, not from copies of its events.
+    The three rows of a team come from its counters, not from copies of its
+    events.
     """
-    events = table(spark, sf_dir, "events")
+    names = [f"{name}{suffix}" for suffix in ("", ".1") for name in OUTCOMES]
     counters = []
     for last_day in SNAPSHOT_DAYS:
-        inside = _day() <= last_day
-        counters.append(F.count(F.when(inside, 1)).alias(f"n_{last_day}"))
-        for suffix, side in (("", _at_home()), (".1", ~_at_home())):
-            for name, outcome in OUTCOMES.items():
-                hit = inside & side & (F.col("event_type") == outcome)
-                counters.append(F.count(F.when(hit, 1)).alias(f"{name}{suffix}_{last_day}"))
-    wide = events.groupBy("user_id").agg(*counters)
+        counters.append(F.expr(f"count(*) FILTER (WHERE since <= {last_day}) AS n_{last_day}"))
+        for name in names:
+            counters.append(_counter(name, last_day, not name.endswith(".1"), OUTCOMES[name.removesuffix(".1")]))
+    wide = _results(spark, sf_dir).groupBy("user_id").agg(*counters)
 
-    names = [f"{name}{suffix}" for suffix in ("", ".1") for name in OUTCOMES]
     per_day = [
-        F.struct(
-            F.lit(date).cast("date").alias("match_date"),
-            F.col(f"n_{last_day}").alias("n"),
-            *[F.col(f"`{name}_{last_day}`").alias(name) for name in names],
-        )
+        f"struct(DATE '{date}' AS match_date, n_{last_day} AS n, "
+        + ", ".join(f"`{name}_{last_day}` AS `{name}`" for name in names)
+        + ")"
         for last_day, date in SNAPSHOT_DAYS.items()
     ]
-    def both(name: str) -> Column:
-        return named(name) + named(f"{name}.1")
-
     rows = (
-        wide.select("user_id", F.inline(F.array(*per_day)))
-        .where(F.col("n") > 0)
-        .select(
-            F.concat(F.lit("Team "), F.col("user_id")).alias("Team"),
-            (both("W") + both("D") + both("L")).alias("P"),
-            *[named(name) for name in names],
-            (both("GF") - both("GA")).alias("GD"),
-            league_points(both("W"), both("D")).alias("Pts"),
-            both("GF").alias("__for"),
+        wide.selectExpr("user_id", f"inline(array({', '.join(per_day)}))")
+        .where("n > 0")
+        .selectExpr(
+            "concat('Team ', user_id) AS Team",
+            "W + `W.1` + D + `D.1` + L + `L.1` AS P",
+            *[f"`{name}`" for name in names],
+            "GF + `GF.1` - GA - `GA.1` AS GD",
+            "3 * (W + `W.1`) + D + `D.1` AS Pts",
+            "GF + `GF.1` AS __for",
             "match_date",
         )
     )
@@ -106,36 +109,46 @@ def standings_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition_by=["match_date"],
         name="Pos",
     )
-    return ranked.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in STANDINGS_RAW])
+    return select_columns(ranked, STANDINGS_RAW.names)
 
 
 def team_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season summary of each user on each snapshot day: results at home, away and in total."""
     results = {"wins": "signup", "draws": "click", "loses": "error"}
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin(*results.values()))
-    counters = []
-    for last_day in SNAPSHOT_DAYS:
-        for side, here in (("home", _at_home()), ("away", ~_at_home())):
-            for name, outcome in results.items():
-                hit = (_day() <= last_day) & here & (F.col("event_type") == outcome)
-                counters.append(F.count(F.when(hit, 1)).alias(f"{name}_{side}_{last_day}"))
-    wide = events.groupBy("user_id").agg(*counters)
-
-    def value(counter: str, side: str, last_day: int) -> Column:
-        if side == "total":
-            return value(counter, "home", last_day) + value(counter, "away", last_day)
-        if counter == "played":
-            return sum((F.col(f"{name}_{side}_{last_day}") for name in results), F.lit(0))
-        return F.col(f"{counter}_{side}_{last_day}")
+    counters = [
+        _counter(f"{name}_{side}", last_day, side == "home", outcome)
+        for last_day in SNAPSHOT_DAYS
+        for side in ("home", "away")
+        for name, outcome in results.items()
+    ]
+    counted = _results(spark, sf_dir).where(F.col("event_type").isin(*results.values()))
+    wide = counted.groupBy("user_id").agg(*counters)
+
+    def value(counter: str, side: str, last_day: int) -> str:
+        sides = ("home", "away") if side == "total" else (side,)
+        counted = results if counter == "played" else (counter,)
+        return " + ".join(f"{name}_{s}_{last_day}" for name in counted for s in sides)
 
     per_day = [
-        F.struct(
-            *[value(c, s, last_day).alias(f"{c}.{s}") for c in TEAM_COUNTERS for s in TEAM_SIDES],
-            F.lit(date).cast("date").alias("match_date"),
-        )
+        "struct("
+        + ", ".join(f"{value(c, s, last_day)} AS `{c}.{s}`" for c in TEAM_COUNTERS for s in TEAM_SIDES)
+        + f", DATE '{date}' AS match_date)"
         for last_day, date in SNAPSHOT_DAYS.items()
     ]
-    return wide.select("user_id", F.inline(F.array(*per_day)))
+    return wide.selectExpr("user_id", f"inline(array({', '.join(per_day)}))")
+
+
+# --- fixed values: which columns stand for which field of a player ------------
+PLAYER_FIELDS = {
+    "id": "c_custkey",
+    "name": "c_name",
+    "age": "c_nationkey + 17",
+    "birth.country": "c_nationkey",
+    "0.team.name": "c_mktsegment",
+    "0.games.position": "lower(c_mktsegment)",
+    "0.goals.total": "goals",
+    "0.goals.assists": "assists",
+}
 
 
 def player_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,35 +157,23 @@ def player_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Finished orders are goals, open ones assists; the nation key stands for
     the age.
     """
-    orders = table(spark, sf_dir, "orders")
-    counted = orders.groupBy("o_custkey").agg(
-        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("goals"),
-        F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("assists"),
+    counted = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(
+            F.expr("count(*) FILTER (WHERE o_orderstatus = 'F') AS goals"),
+            F.expr("count(*) FILTER (WHERE o_orderstatus = 'O') AS assists"),
+        )
     )
     players = table(spark, sf_dir, "customer").join(counted, F.col("c_custkey") == F.col("o_custkey"), "left")
-    given = {
-        "id": F.col("c_custkey"),
-        "name": F.col("c_name"),
-        "age": F.col("c_nationkey") + 17,
-        "birth.country": F.col("c_nationkey").cast("string"),
-        "0.team.name": F.col("c_mktsegment"),
-        "0.games.position": F.lower("c_mktsegment"),
-        "0.goals.total": F.col("goals"),
-        "0.goals.assists": F.col("assists"),
-    }
-
-    def build(schema, path: str) -> list[Column]:
-        columns = []
-        for field in schema:
-            here = f"{path}{field.name}"
-            if hasattr(field.dataType, "fields"):
-                column = F.struct(*build(field.dataType, f"{here}."))
-            else:
-                column = given.get(here, F.lit(None)).cast(field.dataType)
-            columns.append(column.alias(field.name))
-        return columns
-
-    return players.select(*build(PLAYERS, ""))
+
+    def value(field: T.StructField, path: str) -> str:
+        here = f"{path}{field.name}"
+        if isinstance(field.dataType, T.StructType):
+            return f"named_struct({', '.join(f"'{f.name}', {value(f, here + '.')}" for f in field.dataType)})"
+        return f"CAST({PLAYER_FIELDS.get(here, 'NULL')} AS {field.dataType.simpleString()})"
+
+    return players.selectExpr(*[f"{value(field, '')} AS `{field.name}`" for field in PLAYERS])
 
 
 def player_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
