@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.names import named
 from ..functions.text import blank_to_null, collapse_separators
@@ -12,11 +12,13 @@ from ..functions.text import blank_to_null, collapse_separators
 
 def blank_columns(df: DataFrame) -> list[str]:
     """Columns without any value. One pass; the driver gets one row of booleans."""
+
+    def value(field: T.StructField):
+        column = named(field.name)
+        return blank_to_null(column) if isinstance(field.dataType, T.StringType) else column
+
     seen = df.agg(
-        *[
-            F.coalesce(F.bool_or(blank_to_null(named(c).cast("string")).isNotNull()), F.lit(False)).alias(str(i))
-            for i, c in enumerate(df.columns)
-        ]
+        *[F.bool_or(value(field).isNotNull()).alias(str(i)) for i, field in enumerate(df.schema)]
     ).first()
     return [c for i, c in enumerate(df.columns) if not seen[i]]
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -25,6 +28,20 @@ def work_area(spark: SparkSession, label: str = "work") -> str:
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """Cache ``df`` while several outputs are made from it.
+
+    For results that are cheap to make again; a cached block is lost with its
+    executor. ``materialize`` is for the others.
+    """
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -8,6 +8,8 @@ again replaces it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import HISTORY
@@ -87,8 +89,8 @@ def append_files(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_files(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def overwrite_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:

@@ -47,8 +47,16 @@ def table_records(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def unreadable_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
-    """Pages whose opened and closed table tags differ in number, or that nest tables."""
-    opened = F.size(F.regexp_extract_all(F.col(html), F.lit(r"(?i)(<table[\s>])"), 1))
-    closed = F.size(F.regexp_extract_all(F.col(html), F.lit(r"(?i)(</table\s*>)"), 1))
-    nested = F.col(html).rlike(r"(?is)<table[\s>](?:(?!</table).)*<table[\s>]")
-    return pages.where((opened != closed) | nested).select(*keys, opened.alias("opened"), closed.alias("closed"))
+    """Pages in which table tags do not alternate: unclosed, unopened or nested tables.
+
+    ``tags`` shows the tags in their order, ``o`` for opened and ``c`` for closed.
+    """
+    slashes = F.regexp_extract_all(F.col(html), F.lit(r"(?i)<(/?)table(?=[\s>])"), 1)
+    tags = F.array_join(F.transform(slashes, lambda slash: F.when(slash == "", "o").otherwise("c")), "")
+    wrong = (
+        F.contains("tags", F.lit("oo"))
+        | F.contains("tags", F.lit("cc"))
+        | F.startswith("tags", F.lit("c"))
+        | F.endswith("tags", F.lit("o"))
+    )
+    return pages.select(*keys, tags.alias("tags")).where(wrong)

@@ -24,15 +24,25 @@ def _wait(query: StreamingQuery, timeout: int | None) -> StreamingQuery:
 
 
 def append_stream(
-    df: DataFrame, path: str, checkpoint: str, name: str, timeout: int | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str,
+    timeout: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append a stream to Parquet files."""
+    """Append a stream to Parquet files.
+
+    ``partition_by`` a snapshot date lets readers as of a date skip the later
+    folders; it suits files that each hold one date.
+    """
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .queryName(name)
         .option("checkpointLocation", checkpoint)
         .option("path", path)
+        .partitionBy(*partition_by)
     )
     return run_to_end(writer, timeout)
 

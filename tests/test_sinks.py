@@ -6,10 +6,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F, types as T
 
+from snaptide.operators.latest import as_of
 from snaptide.operators.upsert import current_state
 from snaptide.plans.audit import append_audit, audit_rows
 from snaptide.schemas import HISTORY
-from snaptide.scratch import CHECKPOINT_DIR, materialize, work_area
+from snaptide.scratch import CHECKPOINT_DIR, materialize, persisted, work_area
 from snaptide.sinks import catalog, publish as sink
 
 
@@ -44,6 +45,22 @@ def test_materialize_keeps_rows_and_schema(spark):
     assert "FileScan parquet" in again._jdf.queryExecution().executedPlan().toString()
 
 
+def test_persisted_is_released(spark):
+    with persisted(spark.range(5)) as df:
+        assert df.storageLevel.useMemory and df.count() == 5
+        assert "InMemoryTableScan" in df.where("id > 1")._jdf.queryExecution().executedPlan().toString()
+    assert not df.storageLevel.useMemory
+
+
+def test_dates_before_the_moment_are_pruned(spark, area):
+    df = spark.createDataFrame([("a", "2023-03-12"), ("a", "2023-03-16")], "k string, d string")
+    sink.overwrite_files(df.withColumn("d", F.col("d").cast("date")), f"{area}/t", ["d"])
+    early = as_of(spark.read.parquet(f"{area}/t"), F.lit("2023-03-14").cast("date"), ["k"], ["d"], ties="keep")
+    assert [str(r.d) for r in early.collect()] == ["2023-03-12"]
+    plan = early._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan
+
+
 def test_publish_again_replaces_the_run(spark, area):
     path = f"{area}/t"
     sink.publish(spark.range(5), path, 1)

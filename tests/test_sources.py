@@ -136,4 +136,16 @@ def test_tables_that_cannot_be_read_are_counted(spark):
         [(1, PAGE), (2, "<table><tr><td>"), (3, "<table><tr><td><table></table></td></tr></table>")],
         "page_id int, html string",
     )
-    assert rows(unreadable_tables(pages, ["page_id"])) == [(2, 1, 0), (3, 2, 2)]
+    assert rows(unreadable_tables(pages, ["page_id"])) == [(2, "o"), (3, "oocc")]
+
+
+def test_a_page_of_megabytes_is_read_whole(spark):
+    lines = 60_000
+    body = "".join(f"<tr><td>{i}</td><td> a &amp; b </td></tr>\n" for i in range(lines))
+    page = f'<table class="leaguetable"><tr><td>Pos</td></tr>{body}</table>'
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    records = table_records(html_table_rows(pages, ["page_id"]), ["pos", "team"])
+    assert records.count() == lines
+    assert records.agg(F.max(F.col("pos").cast("int"))).first()[0] == lines - 1
+    assert unreadable_tables(pages, ["page_id"]).count() == 0
+    assert html_cells(pages, ["page_id"]).count() == 2 * lines + 1
