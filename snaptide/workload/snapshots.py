@@ -28,6 +28,11 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut)
 
 
+def _state(delivery: DataFrame) -> DataFrame:
+    """Newest order per customer as a stored table, which is what an upsert merges into."""
+    return materialize(latest(delivery, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"]), "state")
+
+
 _NEWEST_ORDER = "(PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)"
 _TWO_DELIVERIES_SQL = f"""
 WITH before AS (SELECT * FROM (SELECT *, row_number() OVER {_NEWEST_ORDER} AS n FROM orders
@@ -78,8 +83,7 @@ FROM before b FULL JOIN after a ON a.o_custkey = b.o_custkey"""
 def upsert_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later delivery merged into the state after the earlier one."""
     before, after = _deliveries(spark, sf_dir)
-    target = latest(before, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
-    return upsert(target, after, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
+    return upsert(_state(before), after, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
 
 
 @query(
@@ -92,9 +96,7 @@ FROM before b FULL JOIN after a ON a.o_custkey = b.o_custkey"""
 def upsert_some_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A matched row takes the listed columns only; an inserted row takes all."""
     before, after = _deliveries(spark, sf_dir)
-    target = latest(before, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
-    source = latest(after, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
-    return upsert(target, source, ["o_custkey"], update_columns=["o_totalprice", "o_orderstatus"])
+    return upsert(_state(before), _state(after), ["o_custkey"], update_columns=["o_totalprice", "o_orderstatus"])
 
 
 @query(
@@ -104,8 +106,7 @@ def upsert_some_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_older_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries in the wrong order give the same state: older rows do not overwrite newer ones."""
     before, after = _deliveries(spark, sf_dir)
-    target = latest(after, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
-    merged = upsert(target, before, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
+    merged = upsert(_state(after), before, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
     return merged.drop("update_flag")
 
 
