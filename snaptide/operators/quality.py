@@ -45,8 +45,13 @@ def row_count(expected: int | None = None) -> Rule:
     return Rule("row_count", None, expected, F.count(F.lit(1)))
 
 
-def distinct_count(column: str, expected: int | None = None) -> Rule:
-    """Number of different values; NULL counts as a value."""
+def distinct_count(column: str, expected: int | None = None, approximate: bool = False) -> Rule:
+    """Number of different values; NULL counts as a value.
+
+    The approximate form needs no shuffle of the values and leaves NULL out.
+    """
+    if approximate:
+        return Rule("distinct_approx", column, expected, F.approx_count_distinct(named(column)))
     return Rule("distinct", column, expected, distinct=(column,))
 
 
@@ -67,6 +72,11 @@ def in_range(column: str, low, high) -> Rule:
     return Rule("range", column, 0, _violations((named(column) < low) | (named(column) > high)))
 
 
+def no_rejects(column: str) -> Rule:
+    """No line that its reader could not parse (see ``read_snapshots(keep_rejects=True)``)."""
+    return Rule("rejected", column, 0, _violations(named(column).isNotNull()))
+
+
 def formula(column: str, expression: Column, null_safe: bool = False) -> Rule:
     """``column`` equals ``expression``. With ``null_safe`` a NULL on one side is a violation."""
     wrong = ~named(column).eqNullSafe(expression) if null_safe else named(column) != expression

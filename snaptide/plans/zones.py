@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import KEY_SUFFIX, entity_key
-from ..operators.quality import Rule, run_suite
+from ..operators.quality import Rule, no_rejects, run_suite
 from ..operators.reshape import add_totals, rename_columns, select_columns
 from ..schemas import (
     SILVER_COLUMNS,
@@ -18,7 +18,7 @@ from ..schemas import (
 )
 from ..session import stateful_session
 from ..sinks.publish import overwrite_files
-from ..sources.files import read_table, source_split, stream_snapshots, stream_table
+from ..sources.files import REJECTED, read_table, source_split, stream_snapshots, stream_table
 from ..streaming.ingest import append_stream, dedupe_stream
 from ..streaming.upsert import read_state, upsert_stream
 from .gold import leaderboard, premier_table
@@ -67,7 +67,9 @@ def silver_columns(bronze: DataFrame, *more: str) -> DataFrame:
 
 def to_bronze(spark: SparkSession, zones: Zones):
     """New snapshot files, typed and keyed, appended to bronze."""
-    raw = stream_snapshots(spark, zones.landing, STANDINGS_RAW, zones.date_format, zones.max_files)
+    raw = stream_snapshots(
+        spark, zones.landing, STANDINGS_RAW, zones.date_format, zones.max_files, keep_rejects=True
+    )
     return append_stream(
         bronze_columns(raw, zones.key_suffix), zones.bronze, zones.checkpoint("bronze"), "bronze_ingest"
     )
@@ -115,12 +117,17 @@ def to_gold(spark: SparkSession, zones: Zones, ties: str = "break") -> dict[str,
 def refine(
     spark: SparkSession, zones: Zones, rules: list[Rule], ties: str = "break"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One run through all zones: reports and quality report. Any failure stops the run."""
+    """One run through all zones: reports and quality report. Any failure stops the run.
+
+    The quality report holds the rules on the league table and the number of
+    bronze lines that could not be parsed.
+    """
     to_bronze(spark, zones)
     to_silver(spark, zones)
     to_current(spark, zones)
     reports = to_gold(spark, zones, ties)
-    return reports, run_suite(reports["league_table"], rules)
+    unread = run_suite(read_table(spark, zones.bronze), [no_rejects(REJECTED)])
+    return reports, run_suite(reports["league_table"], rules).unionAll(unread)
 
 
 def failed_checks(report: DataFrame) -> DataFrame:

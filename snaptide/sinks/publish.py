@@ -8,7 +8,7 @@ again replaces it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -46,9 +46,11 @@ def publish(
     operation: str = "WRITE",
     user_id: str | None = None,
     user_name: str | None = None,
+    metrics: Mapping[str, int] | None = None,
 ) -> None:
-    """Write ``df`` as run ``run_id``, then log it."""
+    """Write ``df`` as run ``run_id``, then log it with its metrics and more given ones."""
     spark = df.sparkSession
+    more = [F.lit(part) for name, value in (metrics or {}).items() for part in (name, str(value))]
     df.write.mode("overwrite").parquet(run_path(path, run_id))
     written_metrics(spark, run_path(path, run_id), df.schema).select(
         F.lit(run_id).cast("bigint").alias("version"),
@@ -56,7 +58,9 @@ def publish(
         F.lit(user_id).cast("string").alias("userId"),
         F.lit(user_name).cast("string").alias("userName"),
         F.lit(operation).alias("operation"),
-        "operationMetrics",
+        (F.map_concat("operationMetrics", F.create_map(*more)) if more else F.col("operationMetrics")).alias(
+            "operationMetrics"
+        ),
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/history/run_id={run_id}")
 
 

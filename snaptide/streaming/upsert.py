@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import FLAG, current_state, reduce_batch
+from ..operators.upsert import FLAG, current_state, reduce_batch, rejected_rows
 from ..sinks.publish import last_run, publish, read_runs
 from .ingest import run_to_end
 
@@ -26,11 +26,14 @@ def upsert_stream(
 
     The cost of a batch follows the batch, not the table. A batch that is
     delivered again after a failure replaces its own run. ``read_state`` merges
-    the runs.
+    the runs. Rows without a key are left out and counted in the history as
+    ``numRejectedRows``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish(reduce_batch(batch, keys, sequence_by, tiebreak), path, batch_id, operation="MERGE")
+        rejected = rejected_rows(batch, keys).count()
+        changes = reduce_batch(batch, keys, sequence_by, tiebreak)
+        publish(changes, path, batch_id, operation="MERGE", metrics={"numRejectedRows": rejected})
 
     return run_to_end(
         df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write),

@@ -65,6 +65,13 @@ def test_distinct_counts_null_as_a_value(spark):
     assert quality.run_suite(df, [quality.distinct_count("t")]).first().observed == 2
 
 
+def test_approximate_distinct_stays_in_the_one_scan(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", None)], "t string, v int")
+    suite = quality.run_suite(df, [quality.distinct_count("t", approximate=True), *quality.not_null("v")])
+    assert suite._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
+    assert {(r.check_name, r.observed) for r in suite.collect()} == {("distinct_approx", 2), ("null", 1)}
+
+
 def test_plain_rules_share_one_scan(spark):
     df = spark.createDataFrame(GOOD, TABLE)
     rules = [*quality.not_null("wins", "draws"), *quality.not_negative("wins"), quality.in_range("ranking", 1, 3)]

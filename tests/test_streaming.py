@@ -8,7 +8,7 @@ from snaptide.operators.upsert import upsert
 from snaptide.plans import zones as refinement
 from snaptide.schemas import STANDINGS_DATE_FORMAT, STANDINGS_RAW
 from snaptide.session import stateful_session
-from snaptide.sinks.publish import last_run, publish, read_runs
+from snaptide.sinks.publish import last_run, publish, read_history, read_runs
 from snaptide.sources.files import source_split, stream_snapshots, stream_table
 from snaptide.streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
 from snaptide.streaming.progress import had_changes, progress_table
@@ -117,6 +117,8 @@ def test_stream_upsert_equals_batch_upserts(spark, area):
         merged = read_state(spark, f"{area}/log", ["k"], "day")
         assert rows(merged.drop("run_id")) == rows(state)
         assert last_run(spark, f"{area}/log") == run
+    rejects = read_history(spark, f"{area}/log").selectExpr("version", "operationMetrics['numRejectedRows']")
+    assert rows(rejects) == [(0, "1"), (1, "0"), (2, "0")]
     assert rows(read_state(spark, f"{area}/log", ["k"], "day", run=0).select("k", "v")) == [("a", 10), ("b", 21)]
 
 
@@ -179,3 +181,11 @@ def test_ties_kept_show_both_snapshots_of_an_idle_team(spark, area):
     assert table.count() == 5
     failed = {(r.check_name, r.observed) for r in refinement.failed_checks(quality).collect()}
     assert failed == {("row_count", 5)}
+
+
+def test_unreadable_lines_reach_the_quality_report(spark, area):
+    zones = refinement.Zones(f"{area}/landing", area, state_partitions=2)
+    snapshots.write(zones.landing, "1.csv", [*snapshots.FIRST, ["oops"], [*snapshots.FIRST[0][:-1], "2023/03/12"]])
+    _, quality = refinement.refine(spark, zones, standings_rules(3))
+    failed = {(r.check_name, r.column_name): r.observed for r in refinement.failed_checks(quality).collect()}
+    assert failed[("rejected", "_rejected")] == 2
