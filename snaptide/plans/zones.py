@@ -18,7 +18,7 @@ from ..schemas import (
 )
 from ..session import stateful_session
 from ..sinks.publish import overwrite_files
-from ..sources.files import REJECTED, read_table, source_split, stream_snapshots, stream_table
+from ..sources.files import REJECTED, read_table, stream_snapshots, stream_table
 from ..streaming.ingest import append_stream, dedupe_stream
 from ..streaming.upsert import read_state, upsert_stream
 from .gold import leaderboard, premier_table
@@ -60,9 +60,9 @@ def bronze_columns(raw: DataFrame, suffix: str = KEY_SUFFIX) -> DataFrame:
     return renamed.withColumn("entity_id", entity_key("team", suffix))
 
 
-def silver_columns(bronze: DataFrame, *more: str) -> DataFrame:
-    """Home and away added up, in the columns of the conformed table (and ``more``)."""
-    return bronze.transform(add_totals, STANDINGS_TOTALS).transform(select_columns, [*SILVER_COLUMNS, *more])
+def silver_columns(bronze: DataFrame) -> DataFrame:
+    """Home and away added up, in the columns of the conformed table."""
+    return bronze.transform(add_totals, STANDINGS_TOTALS).transform(select_columns, SILVER_COLUMNS)
 
 
 def to_bronze(spark: SparkSession, zones: Zones):
@@ -82,8 +82,7 @@ def _bronze_stream(spark: SparkSession, zones: Zones) -> DataFrame:
 def to_silver(spark: SparkSession, zones: Zones):
     """New bronze rows, conformed and deduplicated, appended to silver."""
     session = stateful_session(spark, zones.state_partitions)
-    bronze = _bronze_stream(session, zones).withColumn("__split", source_split())
-    rows = dedupe_stream(silver_columns(bronze, "__split"), SILVER_COLUMNS, split=F.col("__split"))
+    rows = dedupe_stream(silver_columns(_bronze_stream(session, zones)), SILVER_COLUMNS, collapse=True)
     return append_stream(rows, zones.silver, zones.checkpoint("silver"), "silver_dedupe")
 
 

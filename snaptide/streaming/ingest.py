@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -62,12 +63,28 @@ def append_stream_to_table(
     return _wait(query, timeout)
 
 
+def collapse_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop copies inside each Arrow batch of a task; no shuffle and no state.
+
+    Spark has no map-side step for a streaming deduplication, so this is one.
+    It may leave copies, and never drops the first of a value in its batch.
+    """
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.Table.from_arrays([batch.column(c) for c in columns], names=list(columns))
+            numbered = keys.append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
+            first = numbered.group_by(list(columns)).aggregate([("__row", "min")]).column("__row_min")
+            yield batch.take(first.combine_chunks())
+
+    return df.mapInArrow(collapse, df.schema)
+
+
 def dedupe_stream(
     df: DataFrame,
     columns: Sequence[str],
     watermark: tuple[str, str] | None = None,
-    split: Column | None = None,
-    ways: int = 64,
+    collapse: bool = False,
 ) -> DataFrame:
     """First row of each value of ``columns``.
 
@@ -76,13 +93,10 @@ def dedupe_stream(
     bounded: copies that arrive within the delay of each other are dropped.
 
     A stream shuffles every copy before it drops any. Where one row may have
-    very many copies, ``split`` tells the copies apart (``source_split()``):
-    they are dropped in up to ``ways`` groups first, and one row per group goes
-    on to the final step. Only ``columns`` are kept then.
+    very many copies, ``collapse`` drops most of them in the task that read
+    them, so they do not meet in one state partition. The columns must be flat.
     """
+    rows = collapse_copies(df, columns) if collapse else df
     if watermark is not None:
-        return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(columns))
-    if split is None:
-        return df.dropDuplicates(list(columns))
-    grouped = df.select(*columns, F.pmod(split, F.lit(ways)).alias("__way"))
-    return grouped.dropDuplicates().drop("__way").dropDuplicates()
+        return rows.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(columns))
+    return rows.dropDuplicates(list(columns))

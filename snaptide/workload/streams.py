@@ -11,7 +11,7 @@ from ..plans.gold import player_facts
 from ..schemas import PLAYERS, TABLE_COLUMNS, TEAM_SUMMARY
 from ..scratch import materialize, work_area
 from ..session import stateful_session
-from ..sources.files import read_table, source_split, stream_snapshots, stream_table
+from ..sources.files import read_table, stream_snapshots, stream_table
 from ..sources.nested import stream_nested_json
 from ..streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
 from ..streaming.progress import progress_table
@@ -69,8 +69,8 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = work_area(spark, "dedup")
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
-    rows = dedupe_stream(_stream(spark, sf_dir, "orders", stateful_session(spark)), columns, split=source_split())
-    append_stream(rows, f"{area}/orders", f"{area}/checkpoint", "dedup_orders")
+    rows = _stream(spark, sf_dir, "orders", stateful_session(spark)).select(*columns)
+    append_stream(dedupe_stream(rows, columns, collapse=True), f"{area}/orders", f"{area}/checkpoint", "dedup_orders")
     return read_table(spark, f"{area}/orders")
 
 

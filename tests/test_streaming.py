@@ -9,8 +9,8 @@ from snaptide.plans import zones as refinement
 from snaptide.schemas import STANDINGS_DATE_FORMAT, STANDINGS_RAW
 from snaptide.session import stateful_session
 from snaptide.sinks.publish import last_run, publish, read_history, read_runs
-from snaptide.sources.files import source_split, stream_snapshots, stream_table
-from snaptide.streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
+from snaptide.sources.files import stream_snapshots, stream_table
+from snaptide.streaming.ingest import append_stream, append_stream_to_table, collapse_copies, dedupe_stream
 from snaptide.streaming.progress import had_changes, progress_table
 from snaptide.streaming.upsert import compact, read_state, upsert_stream
 
@@ -56,15 +56,13 @@ def copies(spark, area, parts):
     return session, lambda: stream_table(session, f"{area}/in", spark.read.parquet(f"{area}/in").schema, max_files=1)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_deduplication_over_batches_and_runs(spark, area, split):
+@pytest.mark.parametrize("collapse", [False, True])
+def test_deduplication_over_batches_and_runs(spark, area, collapse):
     hot = [(1, "x")] * 50
     _, stream = copies(spark, area, [[*hot, (2, "y")], [*hot, (2, None), (2, None)]])
 
     def run():
-        df = stream()
-        rows_ = dedupe_stream(df, ["a", "b"], split=source_split() if split else None, ways=2)
-        append_stream(rows_, f"{area}/out", f"{area}/checkpoint", "dedupe", timeout=120)
+        append_stream(dedupe_stream(stream(), ["a", "b"], collapse=collapse), f"{area}/out", f"{area}/checkpoint", "dedupe", timeout=120)
 
     run()
     expected = sorted([(1, "x"), (2, None), (2, "y")], key=repr)
@@ -74,6 +72,13 @@ def test_deduplication_over_batches_and_runs(spark, area, split):
     assert rows(spark.read.parquet(f"{area}/out")) == sorted([*expected, (3, "z")], key=repr)
 
 
+def test_collapse_keeps_whole_rows_and_every_value(spark):
+    data = [(i % 3 or None, i, "x") for i in range(1000)]
+    df = spark.createDataFrame(data, "a int, id int, t string").coalesce(1)
+    got = collapse_copies(df, ["a", "t"])
+    assert rows(got) == sorted([(None, 0, "x"), (1, 1, "x"), (2, 2, "x")], key=repr)
+
+
 def test_deduplication_within_watermark(spark, area):
     df = spark.sql("SELECT explode(array(1, 1, 2)) AS a, TIMESTAMP '2023-03-12 10:00:00' AS at")
     df.write.parquet(f"{area}/in")
