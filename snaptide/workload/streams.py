@@ -11,6 +11,7 @@ from ..plans.gold import player_facts
 from ..schemas import PLAYERS, TABLE_COLUMNS, TEAM_SUMMARY
 from ..scratch import materialize, work_area
 from ..session import stateful_session
+from ..sinks.publish import append_files
 from ..sources.files import read_table, stream_snapshots, stream_table
 from ..sources.nested import stream_nested_json
 from ..streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
@@ -20,7 +21,7 @@ from .derived import STANDINGS_SQL, player_documents, team_summaries
 from .files import _database, write_raw_snapshots
 from .players import _FACTS_SQL
 from .registry import query, table
-from .snapshots import _LATEST_SQL, _NEWEST_ORDER, _TABLE
+from .snapshots import DELIVERY, _LATEST_SQL, _NEWEST_ORDER, _TABLE, _deliveries
 
 
 def _table_files(sf_dir: str, name: str) -> str:
@@ -56,6 +57,28 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{area}/orders")
 
 
+@query(
+    f"""SELECT 'run_0' AS query_name, count(*) AS input_rows FROM orders WHERE o_orderdate < TIMESTAMP '{DELIVERY}'
+UNION ALL SELECT 'run_1', count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '{DELIVERY}'
+UNION ALL SELECT 'run_2', 0
+UNION ALL SELECT 'table', count(*) FROM orders"""
+)
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each run of one stream takes: two deliveries, then nothing new; and the rows of the table."""
+    area = work_area(spark, "restart")
+    runs = []
+    for run, delivery in enumerate([*_deliveries(spark, sf_dir), None]):
+        if delivery is not None:
+            append_files(delivery, f"{area}/landing")
+        rows = stream_table(spark, f"{area}/landing", read_table(spark, f"{area}/landing").schema)
+        runs.append(append_stream(rows, f"{area}/orders", f"{area}/checkpoint", f"run_{run}"))
+    taken = progress_table(spark, *runs).groupBy("query_name").agg(F.sum("input_rows").alias("input_rows"))
+    table_rows = read_table(spark, f"{area}/orders").agg(
+        F.lit("table").alias("query_name"), F.count("*").alias("input_rows")
+    )
+    return taken.unionByName(table_rows)
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream appended to a catalog table."""

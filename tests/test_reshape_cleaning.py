@@ -20,7 +20,7 @@ def one(spark, column):
 def test_entity_key(spark):
     assert one(spark, entity_key(F.lit("AFC  Bourne\tmouth"))) == "afcbournemouth_123"
     assert one(spark, entity_key(F.lit(None).cast("string"))) is None
-    assert one(spark, constant_key("man_td", "_123")) == "man_td_123"
+    assert one(spark, constant_key("club", "_123")) == "club_123"
 
 
 def test_text_functions(spark):
