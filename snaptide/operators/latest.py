@@ -29,8 +29,7 @@ def latest(
         raise ValueError(f"ties must be 'keep' or 'break', not {ties!r}")
     if not tiebreak:
         raise ValueError("ties='break' needs tiebreak columns")
-    # Few rows are left to sort once the newest value of each key is known.
-    return first_rows(_keep_ties(df, keys, order), keys, [*order, *tiebreak])
+    return first_rows(df, keys, [*order, *tiebreak])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
