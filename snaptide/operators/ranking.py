@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.names import named
 from ..scratch import materialize
@@ -27,53 +27,72 @@ def rank_rows(
 ) -> DataFrame:
     """Exact ``RANK()`` without sending a whole partition to one task.
 
-    Rows that tie share a rank, so only the distinct sort values are ranked:
-    they are counted (map-side first) and written once. Up to ``task_rows`` of
-    them, one window does; beyond, they are range partitioned, each range is
-    ranked on its own and shifted by the rows of the ranges before it. The
-    ranks are then joined back on the sort values. ``df`` is read twice, so
-    hand in a table or a materialised result.
+    Rows that tie share a rank, so the distinct sort values are counted first
+    (map-side) and written. Up to ``task_rows`` of them are ranked in one
+    window and joined back on the sort values. With more values, rows are
+    range partitioned, ranked in their range and shifted by the rows of the
+    ranges before it; where a value has more than ``task_rows`` rows, the
+    counted values stand in for the rows, and the ranks are joined back.
+    ``df`` is read twice, so hand in a table or a materialised result.
     """
     group = [named(c) for c in partition_by]
     values = [*partition_by, *[column for column, _ in order]]
     sorting = _sort_columns(order)
     counted = materialize(df.groupBy(*map(named, values)).agg(F.count("*").alias("__rows")), "rank")
 
-    total = counted.count()
-    if total <= task_rows:
-        before = Window.partitionBy(*group).orderBy(*sorting).rowsBetween(Window.unboundedPreceding, -1)
-        ranks = counted.withColumn(name, _rows_before(before) + 1)
-    else:
-        ranges = -(-total // task_rows)
-        # Which value lands in which range must not change between reads.
-        ranged = materialize(
-            counted.repartitionByRange(ranges, *group, *sorting).withColumn(
-                "__range", F.spark_partition_id()
-            ),
-            "ranges",
-        )
-        earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-        shift = (
-            ranged.groupBy(*group, "__range")
-            .agg(F.sum("__rows").alias("__rows"))
-            .withColumn("__shift", _rows_before(earlier))
-            .drop("__rows")
+    size = counted.agg(F.count("*").alias("values"), F.sum("__rows").alias("rows"), F.max("__rows").alias("largest")).first()
+    if size["values"] > task_rows and size["largest"] <= task_rows:
+        single = df.withColumn("__rows", F.lit(1))
+        return _rank_in_ranges(
+            single, partition_by, sorting, name, size["rows"] // task_rows + 1, lambda w: F.rank().over(w) - 1
         )
-        inside = (
-            Window.partitionBy(*group, "__range")
-            .orderBy(*sorting)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        ranks = (
-            join_on_keys(ranged, shift, [*partition_by, "__range"], "inner")
-            .withColumn(name, F.col("__shift") + _rows_before(inside) + 1)
-            .drop("__shift", "__range")
+    if size["values"] > task_rows:
+        ranks = _rank_in_ranges(
+            counted, partition_by, sorting, name, size["values"] // task_rows + 1, _weight_before
         )
+    else:
+        ranks = counted.withColumn(name, _weight_before(Window.partitionBy(*group).orderBy(*sorting)) + 1)
     return join_on_keys(df, ranks.drop("__rows"), values, "inner")
 
 
-def _rows_before(window) -> Column:
-    return F.coalesce(F.sum("__rows").over(window), F.lit(0)).cast("bigint")
+def _rank_in_ranges(
+    weighted: DataFrame,
+    partition_by: Sequence[str],
+    sorting: Sequence[Column],
+    name: str,
+    ranges: int,
+    before: Callable[[WindowSpec], Column],
+) -> DataFrame:
+    """Ranks of rows that stand for ``__rows`` rows each.
+
+    ``before`` is the number of rows that sort before within a window.
+    """
+    group = [named(c) for c in partition_by]
+    # Which value lands in which range must not change between reads.
+    ranged = materialize(
+        weighted.repartitionByRange(ranges, *[c.asc() for c in group], *sorting).withColumn(
+            "__range", F.spark_partition_id()
+        ),
+        "ranges",
+    )
+    shift = (
+        ranged.groupBy(*group, "__range")
+        .agg(F.sum("__rows").alias("__rows"))
+        .withColumn("__shift", _weight_before(Window.partitionBy(*group).orderBy("__range")))
+        .drop("__rows")
+    )
+    inside = Window.partitionBy(*group, "__range").orderBy(*sorting)
+    return (
+        join_on_keys(ranged, shift, [*partition_by, "__range"], "inner")
+        .withColumn(name, (F.col("__shift") + before(inside) + 1).cast("bigint"))
+        .drop("__shift", "__range", "__rows")
+    )
+
+
+def _weight_before(window: WindowSpec) -> Column:
+    """Rows that the values before this one stand for; the values are distinct."""
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).cast("bigint")
 
 
 def top_k(df: DataFrame, order: Sequence[tuple[str, str]], k: int) -> DataFrame:

@@ -35,6 +35,18 @@ def test_rank_within_groups(spark, data, task_rows):
     assert rows(got) == brute(data, lambda r: -r[2], group=1)
 
 
+@pytest.mark.parametrize("partition_by", [(), ("league",)])
+def test_rank_of_many_values_with_small_ties(spark, partition_by):
+    rng = random.Random(8)
+    data = [(i, "xy"[i % 2], rng.randrange(90), 0) for i in range(240)]
+    df = spark.createDataFrame(data, "id int, league string, points int, wins int")
+    got = rank_rows(df, [("points", "desc")], partition_by=partition_by, task_rows=12)
+    assert "Join" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got.select("id", "league", "points", "wins", "ranking")) == brute(
+        data, lambda r: -r[2], group=1 if partition_by else None
+    )
+
+
 def test_null_ranks_last_when_descending(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 5), (4, None), (5, 1)], "id int, points int")
     got = rows(rank_rows(df, [("points", "desc")]))
