@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, ngram_join, sharding, toxicity
+from . import decontam, mixing, ngram_join, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,3 +84,9 @@ def op3_ngram_jaccard(spark, sf_dir):
     """Every document with its number of shingles and the smallest document it is linked with."""
     found = ngram_join.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query()
+def op7_substring_dedup(spark, sf_dir):
+    """Every document without the passages that a document with a smaller id has too."""
+    return repeats.digest(table(spark, sf_dir, "documents"))
