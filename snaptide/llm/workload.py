@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, ngram_join, repeats, sharding, toxicity
+from . import decontam, langid, mixing, ngram_join, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,3 +90,14 @@ def op3_ngram_jaccard(spark, sf_dir):
 def op7_substring_dedup(spark, sf_dir):
     """Every document without the passages that a document with a smaller id has too."""
     return repeats.digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_language_id(spark, sf_dir):
+    """Language of every document; learned where the remainder of the id is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, _remainder(5) != 0)
+    found = langid.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
