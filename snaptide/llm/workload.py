@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, ngram_join, repeats, sharding, toxicity
+from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,3 +101,10 @@ def op1_language_id(spark, sf_dir):
     return found.select(
         "doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous"
     )
+
+
+@query()
+def op5_embedding_dedup(spark, sf_dir):
+    """Every vector with its links and the smallest vector it is linked with."""
+    found = lattice.classes(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
