@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, toxicity
+from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, template, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,3 +108,9 @@ def op5_embedding_dedup(spark, sf_dir):
     """Every vector with its links and the smallest vector it is linked with."""
     found = lattice.classes(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query()
+def op8_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return template.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
