@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, template, toxicity
+from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, template, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +114,26 @@ def op5_embedding_dedup(spark, sf_dir):
 def op8_html_extraction(spark, sf_dir):
     """Main text of every page."""
     return template.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def token_edits():
+    """A script of edits that follows from each document: a line goes, a stretch is replaced, a line is put in, one is added."""
+    length = F.length("text")
+    own = F.substring("text", 1, 12)
+
+    def edit(start, stop, put):
+        return F.struct(start.cast("long").alias("start"), stop.cast("long").alias("stop"), put.alias("put"))
+
+    return F.array(
+        edit(F.lit(0), F.instr("text", "\n"), F.lit("")),
+        edit(F.floor(length / 2), F.floor(length / 2) + 24, own),
+        edit(F.floor(length / 3), F.floor(length / 3), F.concat(F.lit("\n"), "source", F.lit(" says: "), own)),
+        edit(length + 100, length + 100, F.concat(F.lit("\nSource: "), "source")),
+    )
+
+
+@query()
+def op2_token_counts(spark, sf_dir):
+    """Tokens of every document before and after its script of edits, and how much the edits made to encode again."""
+    found = tokencount.counted(table(spark, sf_dir, "documents"), token_edits(), tokencount.Vocabulary.read())
+    return found.withColumnRenamed("id", "doc_id")
