@@ -25,9 +25,9 @@ from ..scratch import materialize
 from .words import Words, mix, rolling, run_starts, slices
 
 WINDOW = 13
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 # Words whose windows meet in one bucket.
-BUCKET_WORDS = 3_000_000
+BUCKET_WORDS = 1_500_000
 MARK_BITS = 1 << 23
 
 _ROW = "bucket int, chunk long, kind int, data binary"
