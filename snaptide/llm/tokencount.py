@@ -29,7 +29,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Characters of a leaf, about.
-LEAF = 512
+LEAF = 256
 # A leaf that edits have made so many times longer is cut again.
 OVERLONG = 8
 
