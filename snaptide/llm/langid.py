@@ -126,8 +126,8 @@ def codewords(languages: int) -> np.ndarray:
     if languages < 2:
         return np.ones((languages, 1), np.int8)
     if languages <= EXHAUSTIVE:
-        columns = np.arange(1, 1 << (languages - 1))
-        return np.array([[1 if r == 0 else 2 * (c >> (r - 1) & 1) - 1 for c in columns] for r in range(languages)]) * -1
+        columns = np.arange((1 << (languages - 1)) - 1)
+        return np.array([[1 if r == 0 else 2 * (c >> (r - 1) & 1) - 1 for c in columns] for r in range(languages)])
     width = int(np.ceil(BITS_PER_DOUBLING * np.log2(languages)))
     best, far = None, -1
     for seed in range(200):
