@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM, Words, rolling, run_starts, slices
+from .words import ALNUM, Words, bounded, rolling, run_starts, slices
 
 WINDOW = 10
 SHINGLE = 3
@@ -51,7 +51,7 @@ def decontaminate(
     id, never occur. Repeated documents give repeated rows; an item id that stands for several texts stands for the
     windows of all of them. Other columns, of any name, are carried only if ``keep`` names them.
     """
-    state = docs.select(
+    state = bounded(docs).select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("body"),
         F.lit(0).cast("long").alias("n_words"),

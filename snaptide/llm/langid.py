@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM, LOWER, Text, slices
+from .words import ALNUM, LOWER, Text, bounded, slices
 
 BITS = 16
 SIZES = (2, 3)
@@ -83,7 +83,7 @@ def fit(
     Counts are combined per task before they are sent: a language with a third of all rows sends no more
     than any other. Without such documents the model knows no language.
     """
-    rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
+    rows = bounded(docs).where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     rows = rows if learn is None else rows.where(learn)
     rows = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("body"))
     sums = rows.mapInArrow(_count, "lang string, block int, counts array<long>")
@@ -162,7 +162,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     A null text, or one without a letter, is ``und`` with score 0, and so is every text when no language was
     learned. Repeated rows are predicted alike; other columns are not read.
     """
-    texts = docs.select(
+    texts = bounded(docs).select(
         F.col(id_column).alias("id"),
         F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
         F.col(text_column).alias("body"),

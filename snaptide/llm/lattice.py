@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from .components import components
-from .words import mix
+from .words import bounded, mix
 
 COSINE = 0.98
 TABLES = 9
@@ -102,7 +102,7 @@ def classes(
     columns are not read.
     """
     vector = F.col(vector_column)
-    rows = vectors.select(
+    rows = bounded(vectors).select(
         F.col(id_column).cast("long").alias("id"),
         F.col(label_column).cast("long").alias("label"),
         vector.cast("array<double>").alias("vector"),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, mix, slices
+from .words import Words, bounded, mix, slices
 
 TOPICS = 8
 # Bytes of a word that votes on the topic.
@@ -52,7 +52,7 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
     every text. Null and empty texts have no tokens and the first topic.
     """
     names = [c for c in docs.columns if c not in ("n_tokens", "topic")]
-    held = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    held = bounded(docs).select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
     text = f"c{names.index(text_column)}"
     out = held.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("topic"))
 

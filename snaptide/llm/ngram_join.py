@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from .components import components
-from .words import Words, mix, rolling, run_starts, slices
+from .words import Words, bounded, mix, rolling, run_starts, slices
 
 SHINGLE = 5
 # Linked: NUMERATOR * union <= DENOMINATOR * intersection.
@@ -138,7 +138,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     repeat an id are rows of one document: they get the smallest component of any of them. A null id is
     linked with nothing and stands for itself (a null component). Other columns are not read.
     """
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
+    texts = bounded(docs).select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     points = materialize(texts.mapInArrow(_points, _POINT), "points")
     # one node per set: a group of copies is reduced map-side to its smallest id
     filled = points.where("n > 0 and id is not null").groupBy("set_a", "set_b", "n")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
-from .words import Words, mix, rolling, run_starts, slices
+from .words import Words, bounded, mix, rolling, run_starts, slices
 
 WINDOW = 13
 CHUNK_WORDS = 1_000_000
@@ -87,7 +87,7 @@ def digest(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", tex
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.col(text_column)
-    return docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("body"))
+    return bounded(docs).select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("body"))
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from .words import bounded
 
 # A template subtree recurs on so many different pages, and on this share of those of its host.
 MIN_PAGES = 5
@@ -301,7 +302,7 @@ def extract(
     site of its own. Unclosed and stray tags end where their parent ends. Repeated pages give
     repeated rows; other columns are not read.
     """
-    rows = pages.select(
+    rows = bounded(pages).select(
         F.col(id_column).alias("id"),
         F.col(url_column).alias("url"),
         F.col(html_column).alias("html"),

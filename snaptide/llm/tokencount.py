@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Text, slices
+from .words import Text, bounded, slices
 
 # The pre-token pattern of the byte-level vocabularies: a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -188,7 +188,7 @@ def counted(
     positions outside the text mean its ends, a null ``put`` is empty and a null edit does nothing. A null text is empty. Repeated
     rows give repeated rows; other columns are not read.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("body"), edits.alias("edits"))
+    rows = bounded(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("body"), edits.alias("edits"))
     kind = f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, n_edited long, n_chars long, reencoded long"
 
     def run(batches):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM, Words, mix, rolling, run_starts, slices
+from .words import ALNUM, Words, bounded, mix, rolling, run_starts, slices
 
 BITS = 20
 STEMS = (5, 6, 7)
@@ -93,7 +93,7 @@ def fit(
     if learn is not None:
         known = known.where(learn.alias("learn") if id_column == "id" else learn)
     known = known.where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("body"))
+    texts = bounded(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("body"))
     drawn = None
     for value in (0, 1):
         part = known.where(F.col("y") == value).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", score_column
     The columns of ``docs`` pass through, whatever their names; a column called like the score is replaced.
     """
     names = [c for c in docs.columns if c != score_column]
-    held = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    held = bounded(docs).select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
     text = f"c{names.index(text_column)}"
     out = held.select("*", F.lit(0.0).alias("score"))
 

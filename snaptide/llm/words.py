@@ -13,9 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 
+# Bytes and rows that Spark hands to a Python worker at a time.
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 4096
+
 # Longer words are hashed one by one; shorter ones column by column.
 _SHORT = 48
 _FNV = np.uint64(0x100000001B3)
@@ -33,6 +38,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands texts to Python workers in batches of bounded size."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:
