@@ -7,26 +7,28 @@ upper corner of the box bound the overlap with every point inside.
 
 A tree of such points alone prunes little: the distance that a similarity of 0.75
 allows is as large as the distance of unrelated texts of equal length, so every leaf would
-meet every other. The points are therefore packed into boxes of texts that share a
+meet every other. The root therefore deals the points into cells of texts that share a
 signature (``ROWS`` minima of the shingle hashes under ``BANDS`` orders of their own). Two
-linked texts share none with probability below ``(1 - 0.75 ** ROWS) ** BANDS``, about 3e-9 at
+linked texts share no cell with probability below ``(1 - 0.75 ** ROWS) ** BANDS``, about 6e-8 at
 the very threshold and far less above it. Then
 
 1. texts with the same set become one point,
-2. each point is compared with the first point of the box it shares most signatures with;
-   the links found form groups, whose boxes are the inner nodes of the tree,
-3. each point is compared with the boxes of the other groups that it shares a signature with,
-   and, where the bound allows a link, with their points,
+2. each point is compared with the first point of the cell it shares most signatures with; the links
+   found form groups,
+3. in each cell that holds points of several groups, the points are packed into leaves by size and group,
+   each point descends to the leaves whose box allows a link, and meets the points of other groups there,
 
 and every pair that survives the bounds is verified on the whole sets. A group of
-thousands of near copies costs one comparison a text, not one a pair.
+thousands of near copies costs one comparison a text, not one a pair; a cell with many points is
+searched in blocks, so no task gets a whole large cell.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -36,12 +38,16 @@ from .words import Words, bounded, mix, rolling, run_starts, slices
 SHINGLE = 5
 # Linked: NUMERATOR * union <= DENOMINATOR * intersection.
 NUMERATOR, DENOMINATOR = 75, 100
-GROUPS = 64
-ROWS, BANDS = 4, 52
+GROUPS = 256
+ROWS, BANDS = 4, 44
+# Points of a leaf, of a block of a cell, and about as many rows for one task.
+LEAF, BLOCK, TASK_ROWS = 16, 512, 16_384
+# A coordinate at this limit bounds nothing.
+FULL = 255
 # Bits of the table that marks texts to verify; a false mark costs a row, never a result.
 MARK_BITS = 1 << 23
 
-_POINT = "id long, n long, set_a long, set_b long, bands array<long>, point array<smallint>"
+_POINT = "id long, n long, set_a long, set_b long, bands array<long>, point binary"
 
 
 def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,9 @@ def _points(batches):
             bands = mix(bands + np.arange(BANDS, dtype=np.uint64))
             at = np.repeat(np.arange(count), n[full]) * GROUPS + (values & np.uint64(GROUPS - 1)).astype(np.int64)
             point = np.bincount(at, minlength=count * GROUPS).reshape(count, GROUPS)
-        point = np.minimum(point, 32767).astype(np.int16)
+        point = np.minimum(point, FULL).astype(np.uint8)
+        points = np.full(part.num_rows, None, object)
+        points[full] = [p.tobytes() for p in point]
         place = np.zeros(part.num_rows + 1, np.int64)
         place[1:][full] = 1
         place = np.cumsum(place).astype(np.int32)
@@ -105,29 +113,22 @@ def _points(batches):
                 pa.array(signed[0]),
                 pa.array(signed[1]),
                 pa.ListArray.from_arrays(pa.array(place * BANDS, pa.int32()), pa.array(bands.view(np.int64).ravel())),
-                pa.ListArray.from_arrays(pa.array(place * GROUPS, pa.int32()), pa.array(point.ravel())),
+                pa.array(points, pa.binary()),
             ],
             ["id", "n", "set_a", "set_b", "bands", "point"],
         )
 
 
-def needed(n: Column, m: Column) -> Column:
-    """True overlap times ``NUMERATOR + DENOMINATOR`` that two sets of these sizes need, at least."""
-    return F.lit(NUMERATOR) * (n + m)
+def _bound(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Most shingles that points, or a point and a box, can share."""
+    both = np.minimum(left, right)
+    sums = both.sum(axis=-1, dtype=np.int64)
+    return np.where((both == FULL).any(axis=-1), np.int64(1) << 40, sums)
 
 
-def _bound(left: str, right: str) -> Column:
-    """Sum of the coordinate minima; a coordinate at its limit of 32767 bounds nothing, so it counts as the set size."""
-    both = F.zip_with(left, right, lambda a, b: F.least(a.cast("long"), b.cast("long")))
-    return F.aggregate(both, F.lit(0).cast("long"), lambda s, x: s + F.when(x >= 32767, F.lit(1 << 40)).otherwise(x))
-
-
-def _may_link(n: str, m: str, left: str, right: str) -> Column:
-    return (NUMERATOR + DENOMINATOR) * _bound(left, right) >= needed(F.col(n), F.col(m))
-
-
-def _sizes_allow(n: str, m: str) -> Column:
-    return (DENOMINATOR * F.least(n, m)) >= (NUMERATOR * F.greatest(n, m))
+def _allowed(bound: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes ``n`` and ``m`` that share ``bound`` shingles are linked."""
+    return (NUMERATOR + DENOMINATOR) * bound >= NUMERATOR * (n + m)
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -158,53 +159,74 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 def _links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     keyed = keyed.select("node", (F.col("key") + F.col("band")).alias("key"))
-    boxes = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    shared = materialize(keyed.join(boxes.select("key", "first"), "key"), "shared")
+    cells = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("size")).where("size > 1")
+    shared = materialize(keyed.join(cells, "key"), "shared")
 
-    # each point against the point that opens the box it shares most signatures with
+    # each point against the point that opens the cell it shares most signatures with
     ranked = shared.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("times"))
     best = ranked.groupBy("node").agg(F.max(F.struct("times", "first")).alias("best"))
     best = best.select(F.col("node").alias("a"), F.col("best.first").alias("b"))
     tried = materialize(_narrow(best, nodes), "tried")
     links = materialize(_verify(texts, nodes, tried), "links")
-    groups = components(links)
-
-    # then against the boxes of the other groups it shares a signature with
-    label = groups.select("node", F.col("root").alias("label"))
-    shared = shared.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    shared = materialize(shared, "labelled")
-    mixed = shared.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    mixed = materialize(shared.join(mixed.select("key"), "key", "left_semi"), "mixed")
-    other = mixed.select("key", F.col("label").alias("box")).distinct()
-    reach = mixed.join(other, "key").where("label <> box").select("node", "box").distinct()
-    reach = materialize(_meets(reach, nodes, _boxes(mixed, nodes)), "reach")
-    near = mixed.join(reach, "node").select("node", "box", "key")
-    inside = mixed.select("key", F.col("label").alias("box"), F.col("node").alias("b"))
-    pairs = near.join(inside, ["key", "box"]).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+
+    # then against the points of other groups, cell by cell
+    label = components(links).select("node", F.col("root").alias("label"))
+    labelled = shared.join(label, "node", "left").select("key", "size", "node", F.coalesce("label", "node").alias("label"))
+    labelled = materialize(labelled, "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    mixed = materialize(labelled.join(mixed.select("key"), "key", "left_semi"), "mixed")
+    parts = max(1, -(-mixed.count() // TASK_ROWS))
+    # a cell of several blocks is searched block by block
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")
+    dealt = mixed.select("key", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other")
+    task = F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)).cast("int")
+    dealt = dealt.join(nodes.select("node", "n", "point"), "node").withColumn("task", task)
+    pairs = dealt.groupBy("task").applyInPandas(_search, "a long, b long").distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = pairs.distinct().join(done, ["a", "b"], "left_anti")
-    more = _verify(texts, nodes, materialize(_narrow(pairs, nodes), "pairs"))
-    return materialize(links.unionByName(more), "links")
-
-
-def _boxes(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Upper corner and range of sizes of each group's points."""
-    members = mixed.select("node", F.col("label").alias("box")).distinct().join(nodes, "node")
-    each = members.select("box", "n", F.posexplode("point").alias("axis", "count"))
-    top = each.groupBy("box", "axis").agg(F.max("count").alias("count"), F.min("n").alias("low"), F.max("n").alias("high"))
-    # GROUPS rows per box
-    corner = F.transform(F.array_sort(F.collect_list(F.struct("axis", "count"))), lambda x: x["count"])
-    return top.groupBy("box").agg(corner.alias("corner"), F.min("low").alias("low"), F.max("high").alias("high"))
-
-
-def _meets(reach: DataFrame, nodes: DataFrame, boxes: DataFrame) -> DataFrame:
-    joined = reach.join(nodes.select("node", "n", "point"), "node").join(boxes, "box")
-    # the smallest size in the box asks for the least overlap
-    allowed = joined.where(
-        (F.lit(DENOMINATOR) * F.col("high") >= NUMERATOR * F.col("n"))
-        & (F.lit(DENOMINATOR) * F.col("n") >= NUMERATOR * F.col("low"))
-    )
-    return allowed.where(_may_link("n", "low", "point", "corner")).select("node", "box")
+    pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    return materialize(links.unionByName(_verify(texts, nodes, pairs)), "links")
+
+
+def _search(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of points of different groups whose bounds allow a link, in each cell or pair of its blocks."""
+    rows = rows.sort_values(["key", "low", "high", "own", "n", "label"], ignore_index=True)
+    key = rows[["key", "low", "high"]].to_numpy()
+    cuts = [*np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(rows)]
+    points = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
+    n, label, own = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["own"].to_numpy()
+    found = []
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        left = np.flatnonzero(own[low:high] == key[low][1]) + low
+        right = np.flatnonzero(own[low:high] == key[low][2]) + low
+        found += _descend(points, n, label, left, right)
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    node = rows["node"].to_numpy()
+    a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+
+def _descend(points, n, label, left, right):
+    """Each point of ``left`` against the leaves of ``right``, then against the points of the leaves that are left."""
+    starts = np.arange(0, len(right), LEAF)
+    if not len(left) or not len(starts):
+        return
+    corners = np.maximum.reduceat(points[right], starts, axis=0)
+    least = np.minimum.reduceat(n[right], starts)
+    most = np.maximum.reduceat(n[right], starts)
+    for leaf, start in enumerate(starts):
+        # a leaf holds points of about one size: the sizes, then the box, turn most away
+        near = left[(DENOMINATOR * most[leaf] >= NUMERATOR * n[left]) & (DENOMINATOR * n[left] >= NUMERATOR * least[leaf])]
+        near = near[_allowed(_bound(points[near], corners[leaf]), n[near], least[leaf])]
+        inside = right[start : start + LEAF]
+        i, j = np.repeat(near, len(inside)), np.tile(inside, len(near))
+        good = (i != j) & (label[i] != label[j])
+        good &= DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j])
+        i, j = i[good], j[good]
+        good = _allowed(_bound(points[i], points[j]), n[i], n[j])
+        if good.any():
+            yield i[good], j[good]
 
 
 def _narrow(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -212,7 +234,15 @@ def _narrow(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.where(_sizes_allow("na", "nb")).where(_may_link("na", "nb", "pa", "pb")).select("a", "b")
+    joined = joined.where(F.lit(DENOMINATOR) * F.least("na", "nb") >= F.lit(NUMERATOR) * F.greatest("na", "nb"))
+    return joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded_pairs, "a long, b long")
+
+
+def _bounded_pairs(batches):
+    for batch in batches:
+        pa_, pb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("pa", "pb"))
+        good = _allowed(_bound(pa_, pb), batch.column("na").to_numpy(), batch.column("nb").to_numpy())
+        yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
 def _verify(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
