@@ -35,8 +35,11 @@ def drop_blank_columns(df: DataFrame) -> DataFrame:
 def compact_row(df: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Move the non-NULL values of each row to the left and name the places.
 
-    Opt-in: a value missing mid-row moves all values after it.
+    Opt-in: a value missing mid-row moves all values after it. There is a place for every
+    column, so no value is lost; places beyond the values of a row are NULL.
     """
+    if len(names) < len(columns):
+        raise ValueError(f"{len(columns)} columns need as many places, not {len(names)}")
     values = F.filter(F.array(*[named(c).cast("string") for c in columns]), lambda v: v.isNotNull())
     others = [named(c) for c in df.columns if c not in columns]
     return df.select(*others, *[F.get(values, F.lit(i)).alias(name) for i, name in enumerate(names)])

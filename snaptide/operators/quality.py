@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import named
+from ..schemas import TABLE_COLUMNS
+
+# Columns of a league table that count something.
+COUNTERS = [c for c in TABLE_COLUMNS if c not in ("ranking", "team", "goal_difference")]
 
 REPORT = T.StructType(
     [
@@ -153,14 +157,8 @@ def standings_rules(teams: int) -> list[Rule]:
         formula("points", 3 * F.col("wins") + F.col("draws")),
         formula("goal_difference", F.col("goals_for") - F.col("goals_against")),
         leader_has_rank("points"),
-        *not_null(
-            "ranking", "team", "matches_played", "wins", "draws", "losses",
-            "goals_for", "goals_against", "goal_difference", "points",
-        ),
+        *not_null(*TABLE_COLUMNS),
         in_range("ranking", 1, teams),
-        no_duplicates(
-            ["ranking", "team", "matches_played", "wins", "draws", "losses",
-             "goals_for", "goals_against", "goal_difference", "points"]
-        ),
-        *not_negative("matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "points"),
+        no_duplicates(TABLE_COLUMNS),
+        *not_negative(*COUNTERS),
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -10,9 +10,6 @@ from ..functions.names import named
 from ..scratch import materialize
 from .matching import join_on_keys
 
-# Largest number of distinct sort values one task may order.
-TASK_ROWS = 1_000_000
-
 
 def _sort_columns(order: Sequence[tuple[str, str]]) -> list[Column]:
     return [named(name).desc() if way == "desc" else named(name).asc() for name, way in order]
@@ -23,58 +20,25 @@ def rank_rows(
     order: Sequence[tuple[str, str]],
     partition_by: Sequence[str] = (),
     name: str = "ranking",
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Exact ``RANK()`` without sending a whole partition to one task.
 
-    Rows that tie share a rank, so the distinct sort values are counted first
-    (map-side) and written. Up to ``task_rows`` of them are ranked in one
-    window and joined back on the sort values. With more values, rows are
-    range partitioned, ranked in their range and shifted by the rows of the
-    ranges before it; where a value has more than ``task_rows`` rows, the
-    counted values stand in for the rows, and the ranks are joined back.
+    Rows that tie share a rank, so the distinct sort values are counted first,
+    map-side. The counted values are dealt into sorted ranges, summed within their
+    range and shifted by the rows of the ranges before it; the ranks are joined back on
+    the sort values. A value that holds a third of all rows is one counted value.
     ``df`` is read twice, so hand in a table or a materialised result.
     """
     group = [named(c) for c in partition_by]
     values = [*partition_by, *[column for column, _ in order]]
     sorting = _sort_columns(order)
-    counted = materialize(df.groupBy(*map(named, values)).agg(F.count("*").alias("__rows")), "rank")
-
-    size = counted.agg(F.count("*").alias("values"), F.sum("__rows").alias("rows"), F.max("__rows").alias("largest")).first()
-    if size["values"] > task_rows and size["largest"] <= task_rows:
-        single = df.withColumn("__rows", F.lit(1))
-        return _rank_in_ranges(
-            single, partition_by, sorting, name, size["rows"] // task_rows + 1, lambda w: F.rank().over(w) - 1
-        )
-    if size["values"] > task_rows:
-        ranks = _rank_in_ranges(
-            counted, partition_by, sorting, name, size["values"] // task_rows + 1, _weight_before
-        )
-    else:
-        ranks = counted.withColumn(name, _weight_before(Window.partitionBy(*group).orderBy(*sorting)) + 1)
-    return join_on_keys(df, ranks.drop("__rows"), values, "inner")
-
-
-def _rank_in_ranges(
-    weighted: DataFrame,
-    partition_by: Sequence[str],
-    sorting: Sequence[Column],
-    name: str,
-    ranges: int,
-    before: Callable[[WindowSpec], Column],
-) -> DataFrame:
-    """Ranks of rows that stand for ``__rows`` rows each.
-
-    ``before`` is the number of rows that sort before within a window.
-    """
-    group = [named(c) for c in partition_by]
+    counted = df.groupBy(*map(named, values)).agg(F.count("*").alias("__rows"))
     # Which value lands in which range must not change between reads.
     ranged = materialize(
-        weighted.repartitionByRange(ranges, *[c.asc() for c in group], *sorting).withColumn(
-            "__range", F.spark_partition_id()
-        ),
+        counted.repartitionByRange(*[c.asc() for c in group], *sorting).withColumn("__range", F.spark_partition_id()),
         "ranges",
     )
+    # one row per range and group
     shift = (
         ranged.groupBy(*group, "__range")
         .agg(F.sum("__rows").alias("__rows"))
@@ -82,11 +46,12 @@ def _rank_in_ranges(
         .drop("__rows")
     )
     inside = Window.partitionBy(*group, "__range").orderBy(*sorting)
-    return (
+    ranks = (
         join_on_keys(ranged, shift, [*partition_by, "__range"], "inner")
-        .withColumn(name, (F.col("__shift") + before(inside) + 1).cast("bigint"))
+        .withColumn(name, (F.col("__shift") + _weight_before(inside) + 1).cast("bigint"))
         .drop("__shift", "__range", "__rows")
     )
+    return join_on_keys(df, ranks, values, "inner")
 
 
 def _weight_before(window: WindowSpec) -> Column:

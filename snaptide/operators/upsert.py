@@ -12,6 +12,9 @@ from .latest import first_rows
 FLAG = "update_flag"
 UPDATED = "U"
 INSERTED = "I"
+# Kept in a compacted change log: the runs that inserted a key and that changed it last.
+FIRST = "__first_run"
+CHANGED = "__changed_run"
 
 
 def _all(conditions: Sequence[Column]) -> Column:
@@ -76,15 +79,19 @@ def upsert(
     by default) from the source, also when the new value is NULL, and is
     flagged ``U``. An unmatched source row is inserted and flagged ``I``.
     Other target rows stay and have a NULL flag. With ``sequence_by`` an older
-    source row does not overwrite a newer target row.
+    source row does not overwrite a newer target row, and a row that wins always leaves its
+    sequence, listed or not.
 
     It is written as two legs, not as a full outer join: the update leg is a
-    left join and the insert leg an anti join. So a small batch is broadcast
-    (by size, Spark's own check) and the target is not shuffled; a large one
+    left join; the insert leg finds the keys of the batch that the target has by a semi join
+    and leaves them out. So a small batch is broadcast
+    (by size, Spark's own check) and the target is shuffled in neither leg; a large one
     is a sort-merge join whose left side adaptive execution may split.
     """
     payload = [c for c in target.columns if c not in keys and c != flag]
     updates = list(payload if update_columns is None else update_columns)
+    if sequence_by is not None and sequence_by not in updates:
+        updates.append(sequence_by)
     missing = [c for c in [*keys, *updates] if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks {missing}")
@@ -112,7 +119,9 @@ def upsert(
     update_leg = target.join(incoming, same_key, "left").select(
         *[updated(c) for c in columns], F.when(wins, F.lit(UPDATED)).alias(flag)
     )
-    known = target.select(*[named(k).alias(f"__key_{k}") for k in keys]).distinct()
+    asked = batch.select(*[named(k).alias(f"__key_{k}") for k in keys])
+    known = target.select(*map(named, keys)).join(asked, same_key, "left_semi").distinct()
+    known = known.select(*[named(k).alias(f"__key_{k}") for k in keys])
     types = {field.name: field.dataType for field in target.schema}
     insert_leg = batch.join(known, same_key, "left_anti").select(
         *[
@@ -131,25 +140,50 @@ def current_state(
     run: int | None = None,
     run_column: str = "run_id",
     flag: str = FLAG,
+    update_columns: Sequence[str] | None = None,
+    provenance: bool = False,
 ) -> DataFrame:
     """State after every run of a change log, one row per key.
 
     ``changes`` holds one row per key and run. Reading it is the same as
     upserting run after run: the greatest ``sequence_by`` wins, a later run
     wins among equals, and the flags describe ``run`` (the last one). Runs
-    after ``run`` are left out, which is the table as of that version. One
+    after ``run`` are left out, which is the table as of that version. With ``update_columns`` the
+    others keep the value a key was inserted with. One
     aggregation, combined map-side, replaces a rewrite of the target per run.
+
+    Rows of a compacted log bring ``FIRST`` and ``CHANGED``, which count in place of their run; with
+    ``provenance`` the result has these columns.
     """
     seen = changes if run is None else changes.where(F.col(run_column) <= run)
-    order = [run_column] if sequence_by is None else [sequence_by, run_column]
-    payload = [c for c in changes.columns if c not in keys]
-    state = seen.groupBy(*map(named, keys)).agg(
-        F.max_by(F.struct(*map(named, payload)), F.struct(*map(named, order))).alias("__row"),
-        F.min(run_column).alias("__first_run"),
-    )
-    columns = [named(c) if c in keys else F.col("__row").getField(c).alias(c) for c in changes.columns]
+    origin = F.col(run_column)
+    first = F.coalesce(F.col(FIRST), origin) if FIRST in changes.columns else origin
+    changed = F.coalesce(F.col(CHANGED), origin) if CHANGED in changes.columns else origin
+    hidden = (run_column, FIRST, CHANGED)
+    payload = [c for c in changes.columns if c not in keys and c not in hidden]
+    updates = payload if update_columns is None else [*update_columns, *([sequence_by] if sequence_by else [])]
+    seen = seen.select(*map(named, [*keys, *payload]), first.alias(FIRST), changed.alias(CHANGED))
+    order = [CHANGED] if sequence_by is None else [sequence_by, CHANGED]
+    newest = [c for c in payload if c in updates]
+    oldest = [c for c in payload if c not in updates]
+    aggregates = [
+        F.max_by(F.struct(CHANGED, *map(named, newest)), F.struct(*map(named, order))).alias("__new"),
+        F.min(FIRST).alias("__first"),
+    ]
+    if oldest:
+        aggregates.append(F.min_by(F.struct(*map(named, oldest)), F.struct(FIRST, CHANGED)).alias("__old"))
+    state = seen.groupBy(*map(named, keys)).agg(*aggregates)
+    last = F.col("__new").getField(CHANGED)
+
+    def taken(column: str) -> Column:
+        if column in keys:
+            return named(column)
+        return F.col("__new" if column in updates else "__old").getField(column).alias(column)
+
+    columns = [last.alias(run_column) if c == run_column else taken(c) for c in changes.columns if c not in (FIRST, CHANGED)]
+    if provenance:
+        columns += [F.col("__first").alias(FIRST), last.alias(CHANGED)]
     if run is None:
         return state.select(*columns)
-    last = F.col("__row").getField(run_column) == run
-    verdict = F.when(last & (F.col("__first_run") < run), F.lit(UPDATED)).when(last, F.lit(INSERTED))
+    verdict = F.when((last == run) & (F.col("__first") < run), F.lit(UPDATED)).when(last == run, F.lit(INSERTED))
     return state.select(*columns, verdict.alias(flag))

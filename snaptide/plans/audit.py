@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.reshape import explode_map, pivot_sum
-from ..schemas import AUDIT, AUDIT_METRICS
+from ..schemas import AUDIT, AUDIT_METRICS, HISTORY
 from ..sinks.catalog import ensure_table, insert_by_name
 
-AUDIT_KEYS = ["operation", "version", "timestamp", "userId", "userName"]
+AUDIT_KEYS = [name for name in HISTORY.names if name != "operationMetrics"]
 
 
 def audit_rows(
@@ -32,3 +32,8 @@ def append_audit(spark: SparkSession, history: DataFrame, table: str) -> DataFra
     known = spark.table(table).select("version").distinct()
     insert_by_name(audit_rows(history.join(known, "version", "left_anti")), table)
     return spark.table(table)
+
+
+def newest_first(audit: DataFrame) -> DataFrame:
+    """The audit table as a view, last version first; sorted for reading, not for a write."""
+    return audit.orderBy(F.desc("version"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.keys import KEY_SUFFIX, entity_key
 from ..operators.quality import Rule, no_rejects, run_suite
@@ -16,12 +17,14 @@ from ..schemas import (
     STANDINGS_RENAMES,
     STANDINGS_TOTALS,
 )
+from ..scratch import materialize
 from ..session import stateful_session
-from ..sinks.publish import overwrite_files
+from ..sinks.publish import append_files, next_run, publish, read_history, read_run
 from ..sources.files import REJECTED, read_table, stream_snapshots, stream_table
 from ..streaming.ingest import append_stream, dedupe_stream
+from ..streaming.progress import progress_table
 from ..streaming.upsert import read_state, upsert_stream
-from .gold import leaderboard, premier_table
+from .gold import latest_table, leaderboard
 
 
 @dataclass(frozen=True)
@@ -34,6 +37,10 @@ class Zones:
     key_suffix: str = KEY_SUFFIX
     max_files: int | None = None
     state_partitions: int | None = None
+    # (time column, delay) bounds the state of silver; without it every row is remembered
+    watermark: tuple[str, str] | None = None
+    # drop copies within an Arrow batch first: for input in which one row has very many copies
+    collapse: bool = False
 
     @property
     def bronze(self) -> str:
@@ -43,6 +50,10 @@ class Zones:
     def silver(self) -> str:
         return f"{self.root}/silver"
 
+    @property
+    def audit(self) -> str:
+        return f"{self.root}/audit"
+
     @property
     def current(self) -> str:
         return f"{self.root}/current"
@@ -67,22 +78,41 @@ def silver_columns(bronze: DataFrame) -> DataFrame:
 
 def to_bronze(spark: SparkSession, zones: Zones):
     """New snapshot files, typed and keyed, appended to bronze."""
-    raw = stream_snapshots(
-        spark, zones.landing, STANDINGS_RAW, zones.date_format, zones.max_files, keep_rejects=True
-    )
+    raw = _landing(spark, zones)
     return append_stream(
         bronze_columns(raw, zones.key_suffix), zones.bronze, zones.checkpoint("bronze"), "bronze_ingest"
     )
 
 
+def _landing(spark: SparkSession, zones: Zones) -> DataFrame:
+    return stream_snapshots(
+        spark, zones.landing, STANDINGS_RAW, zones.date_format, zones.max_files, keep_rejects=True
+    )
+
+
+def bronze_schema(spark: SparkSession, zones: Zones) -> StructType:
+    """Columns of bronze, which are known before there is any file."""
+    return bronze_columns(_landing(spark, zones), zones.key_suffix).schema
+
+
+def read_bronze(spark: SparkSession, zones: Zones) -> DataFrame:
+    return read_table(spark, zones.bronze, bronze_schema(spark, zones))
+
+
+def read_silver(spark: SparkSession, zones: Zones) -> DataFrame:
+    return read_table(spark, zones.silver, silver_columns(read_bronze(spark, zones)).schema)
+
+
 def _bronze_stream(spark: SparkSession, zones: Zones) -> DataFrame:
-    return stream_table(spark, zones.bronze, read_table(spark, zones.bronze).schema, zones.max_files)
+    return stream_table(spark, zones.bronze, bronze_schema(spark, zones), zones.max_files)
 
 
 def to_silver(spark: SparkSession, zones: Zones):
     """New bronze rows, conformed and deduplicated, appended to silver."""
     session = stateful_session(spark, zones.state_partitions)
-    rows = dedupe_stream(silver_columns(_bronze_stream(session, zones)), SILVER_COLUMNS, collapse=True)
+    rows = dedupe_stream(
+        silver_columns(_bronze_stream(session, zones)), SILVER_COLUMNS, zones.watermark, zones.collapse
+    )
     return append_stream(rows, zones.silver, zones.checkpoint("silver"), "silver_dedupe")
 
 
@@ -99,34 +129,74 @@ def to_current(spark: SparkSession, zones: Zones):
 
 
 def read_current(spark: SparkSession, zones: Zones) -> DataFrame:
-    return read_state(spark, zones.current, ["entity_id"], "snapshot_date")
+    schema = silver_columns(read_bronze(spark, zones)).schema
+    return read_state(spark, zones.current, ["entity_id"], "snapshot_date", schema=schema)
+
+
+def to_gold(spark: SparkSession, zones: Zones, ties: str = "break", run_id: int | None = None) -> dict[str, DataFrame]:
+    """The league table from silver, published as a run, and its views.
+
+    Nothing is sorted before it is written, since no reader gets that order; the views sort. A
+    reader sees the former run until the new one is complete.
+    """
+    path = zones.gold("league_table")
+    publish(latest_table(read_silver(spark, zones), ties), path, next_run(spark, path) if run_id is None else run_id)
+    table = read_run(spark, path)
+    return {
+        "league_table": table,
+        "most_wins": leaderboard(table, "wins"),
+        "most_goals": leaderboard(table, "goals_for"),
+    }
 
 
-def to_gold(spark: SparkSession, zones: Zones, ties: str = "break") -> dict[str, DataFrame]:
-    """Reports from silver. The latest state is written once and feeds the leaderboards."""
-    overwrite_files(premier_table(read_table(spark, zones.silver), ties), zones.gold("league_table"))
-    table = read_table(spark, zones.gold("league_table"))
-    reports = {"league_table": table}
-    for name, measure in (("most_wins", "wins"), ("most_goals", "goals_for")):
-        overwrite_files(leaderboard(table, measure), zones.gold(name))
-        reports[name] = read_table(spark, zones.gold(name))
-    return reports
+class QualityFailure(RuntimeError):
+    """A rule of the suite failed; ``report`` holds all of them."""
+
+    def __init__(self, report: DataFrame, failed: list):
+        super().__init__("; ".join(f"{r.check_name} {r.column_name}: {r.observed}, not {r.expected}" for r in failed))
+        self.report, self.failed = report, failed
 
 
 def refine(
-    spark: SparkSession, zones: Zones, rules: list[Rule], ties: str = "break"
+    spark: SparkSession, zones: Zones, rules: list[Rule], ties: str = "break", gate: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """One run through all zones: reports and quality report. Any failure stops the run.
 
     The quality report holds the rules on the league table and the number of
-    bronze lines that could not be parsed.
+    bronze lines that could not be parsed. With ``gate`` a failed rule raises ``QualityFailure``. Every step that took
+    rows in leaves its rows in the audit table (``read_audit``).
     """
-    to_bronze(spark, zones)
-    to_silver(spark, zones)
-    to_current(spark, zones)
+    steps = [to_bronze(spark, zones), to_silver(spark, zones), to_current(spark, zones)]
     reports = to_gold(spark, zones, ties)
-    unread = run_suite(read_table(spark, zones.bronze), [no_rejects(REJECTED)])
-    return reports, run_suite(reports["league_table"], rules).unionAll(unread)
+    log_run(spark, zones, steps)
+    unread = run_suite(read_bronze(spark, zones), [no_rejects(REJECTED)])
+    # a row per rule
+    report = materialize(run_suite(reports["league_table"], rules).unionAll(unread), "quality")
+    failed = failed_checks(report).collect()
+    if gate and failed:
+        raise QualityFailure(report, failed)
+    return reports, report
+
+
+def log_run(spark: SparkSession, zones: Zones, steps: list) -> None:
+    """Append a row per micro-batch of the streams to the audit files; the change log and gold have their own history."""
+    append_files(progress_table(spark, *steps).select("query_name", "batch_id", "executed_at", "input_rows"), zones.audit)
+
+
+def read_audit(spark: SparkSession, zones: Zones) -> DataFrame:
+    """Rows taken, written and rejected by each step of all runs: bronze, silver, current and gold."""
+    taken = read_table(spark, zones.audit).groupBy(F.col("query_name").alias("step")).agg(
+        F.sum("input_rows").alias("rows_in"), F.lit(None).cast("bigint").alias("rows_out"), F.lit(None).cast("bigint").alias("rejected")
+    )
+    for step, path in (("current", zones.current), ("gold", zones.gold("league_table"))):
+        metric = F.col("operationMetrics")
+        written = read_history(spark, path).agg(
+            F.lit(None).cast("bigint").alias("rows_in"),
+            F.sum(metric["numOutputRows"].cast("bigint")).alias("rows_out"),
+            F.sum(metric["numRejectedRows"].cast("bigint")).alias("rejected"),
+        )
+        taken = taken.unionByName(written.select(F.lit(step).alias("step"), "*"))
+    return taken
 
 
 def failed_checks(report: DataFrame) -> DataFrame:

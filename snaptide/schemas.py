@@ -177,7 +177,7 @@ TEAM_PAYLOAD = T.StructType(
 )
 
 # --- fixed values: run history and audit ------------------------------------
-AUDIT_METRICS = ["numFiles", "numOutputRows", "numOutputBytes"]
+AUDIT_METRICS = ["numFiles", "numOutputRows", "numOutputBytes", "numRejectedRows"]
 
 HISTORY = T.StructType(
     [

@@ -1,22 +1,38 @@
 """Tables published as versioned runs, with a history of what each run wrote.
 
-A table is a folder: ``data/run_id=N`` holds the files of run ``N`` and
-``history/run_id=N`` one row about it, written after the files. Readers go by
-the history, so a run that failed half-way is not seen, and writing a run
-again replaces it.
+A table is a folder. ``data/run_id=N/attempt=A`` holds the files of one attempt at
+run ``N``; a row in ``history``, added after the files, makes it the run. Readers go by the
+history alone: a run that failed half-way is not seen, wherever it lies, and
+a run that is written again replaces the former attempt at once, when its row is there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.latest import first_rows
 from ..schemas import HISTORY
 
 
-def run_path(path: str, run_id: int) -> str:
-    return f"{path}/data/run_id={run_id}"
+COMPACT = "COMPACT"
+
+# What the history holds beside its public columns: the folder of a run, and the stream and batch that wrote it.
+_STORED = T.StructType(
+    [
+        *HISTORY,
+        T.StructField("attempt", T.StringType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+
+
+def run_path(path: str, run_id: int, attempt: str) -> str:
+    return f"{path}/data/run_id={run_id}/attempt={attempt}"
 
 
 def written_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -47,12 +63,16 @@ def publish(
     user_id: str | None = None,
     user_name: str | None = None,
     metrics: Mapping[str, int] | None = None,
+    writer: str | None = None,
+    batch: int | None = None,
 ) -> None:
     """Write ``df`` as run ``run_id``, then log it with its metrics and more given ones."""
     spark = df.sparkSession
+    attempt = uuid.uuid4().hex
+    folder = run_path(path, run_id, attempt)
     more = [F.lit(part) for name, value in (metrics or {}).items() for part in (name, str(value))]
-    df.write.mode("overwrite").parquet(run_path(path, run_id))
-    written_metrics(spark, run_path(path, run_id), df.schema).select(
+    df.write.parquet(folder)
+    written_metrics(spark, folder, df.schema).select(
         F.lit(run_id).cast("bigint").alias("version"),
         F.current_timestamp().alias("timestamp"),
         F.lit(user_id).cast("string").alias("userId"),
@@ -61,31 +81,91 @@ def publish(
         (F.map_concat("operationMetrics", F.create_map(*more)) if more else F.col("operationMetrics")).alias(
             "operationMetrics"
         ),
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/history/run_id={run_id}")
+        F.lit(attempt).alias("attempt"),
+        F.lit(writer).cast("string").alias("writer"),
+        F.lit(batch).cast("bigint").alias("batch"),
+    ).coalesce(1).write.mode("append").parquet(f"{path}/history")
+
+
+def _logged(spark: SparkSession, path: str) -> DataFrame:
+    """The row of the last attempt at each run; a compaction stands beside the run it was made at."""
+    rows = spark.read.schema(_STORED).parquet(f"{path}/history")
+    compacted = (F.col("operation") == COMPACT).alias("compacted")
+    return first_rows(rows.select("*", compacted), ["version", "compacted"], ["timestamp", "attempt"])
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """One row per published run."""
-    return spark.read.schema(HISTORY).parquet(f"{path}/history").drop("run_id")
+    """One row per published run, and one per compaction."""
+    return _logged(spark, path).select(*HISTORY.names)
 
 
 def last_run(spark: SparkSession, path: str) -> int | None:
     return read_history(spark, path).agg(F.max("version")).first()[0]
 
 
+def run_of(spark: SparkSession, path: str, writer: str, batch: int) -> int:
+    """The run that ``batch`` of ``writer`` is: its own if it was logged before, else the next one.
+
+    So a batch that is delivered again replaces itself, and a stream with a new
+    checkpoint, whose batches count from zero again, replaces nothing.
+    """
+    try:
+        logged = _logged(spark, path).where(~F.col("compacted"))
+        own = F.max(F.when((F.col("writer") == writer) & (F.col("batch") == batch), F.col("version")))
+        known, last = logged.agg(own, F.max("version")).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return known if known is not None else 0 if last is None else last + 1
+
+
+def next_run(spark: SparkSession, path: str) -> int:
+    """The number after the last published run; 0 for a new table."""
+    return run_of(spark, path, "", -1)
+
+
+def _folder(spark: SparkSession, path: str, run_id: int) -> str:
+    row = _logged(spark, path).where((F.col("version") == run_id) & ~F.col("compacted")).select("attempt").first()
+    if row is None:
+        raise ValueError(f"run {run_id} is not published under {path}")
+    return run_path(path, run_id, row[0])
+
+
 def read_run(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
     """Rows of one run; the last published one by default."""
     run = last_run(spark, path) if run_id is None else run_id
     if run is None:
         raise ValueError(f"nothing published under {path}")
-    return spark.read.parquet(run_path(path, run))
+    return spark.read.parquet(_folder(spark, path, run))
+
 
+def read_runs(
+    spark: SparkSession, path: str, up_to: int | None = None, schema: T.StructType | None = None, compacted: bool = False
+) -> DataFrame:
+    """Rows of all published runs with their ``run_id``.
 
-def read_runs(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
-    """Rows of all published runs with their ``run_id``, columns merged by name."""
-    runs = spark.read.option("mergeSchema", True).parquet(f"{path}/data")
-    last = last_run(spark, path) if up_to is None else up_to
-    return runs.withColumn("run_id", F.col("run_id").cast("bigint")).where(F.col("run_id") <= last)
+    With ``compacted`` the last compaction up to ``up_to`` stands for the runs it holds.
+    Columns are merged by name, from the footers of all files, unless ``schema`` declares them.
+    The join to the history prunes the folders that are not read.
+    """
+    reader = spark.read.option("mergeSchema", schema is None)
+    if schema is not None:
+        fields = [f for f in schema if f.name not in ("run_id", "attempt")]
+        reader = reader.schema(T.StructType([*fields, T.StructField("run_id", T.LongType()), T.StructField("attempt", T.StringType())]))
+    runs = reader.parquet(f"{path}/data").withColumn("run_id", F.col("run_id").cast("bigint"))
+    logged = _logged(spark, path)
+    if up_to is not None:
+        logged = logged.where(F.col("version") <= up_to)
+    if compacted:
+        base = logged.agg(F.max(F.when(F.col("compacted"), F.col("version")))).first()[0]
+        if base is not None:
+            at_base = F.col("compacted") & (F.col("version") == base)
+            logged = logged.where(at_base | (~F.col("compacted") & (F.col("version") > base)))
+    else:
+        logged = logged.where(~F.col("compacted"))
+    wanted = logged.select(F.col("version").alias("run_id"), "attempt")
+    return runs.join(wanted, ["run_id", "attempt"], "left_semi").drop("attempt")
 
 
 def append_files(df: DataFrame, path: str) -> None:

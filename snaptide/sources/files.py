@@ -13,7 +13,7 @@ def _csv_options(date_format: str, header: bool) -> dict[str, str]:
     return {"header": str(header).lower(), "enforceSchema": "true", "dateFormat": date_format}
 
 
-def _with_rejects(schema: T.StructType, keep_rejects: bool) -> T.StructType:
+def with_rejects(schema: T.StructType, keep_rejects: bool) -> T.StructType:
     return T.StructType([*schema, T.StructField(REJECTED, T.StringType())]) if keep_rejects else schema
 
 
@@ -34,7 +34,7 @@ def read_snapshots(
     reader = spark.read.options(**_csv_options(date_format, header))
     if keep_rejects:
         reader = reader.option("columnNameOfCorruptRecord", REJECTED)
-    return reader.schema(_with_rejects(schema, keep_rejects)).csv(path)
+    return reader.schema(with_rejects(schema, keep_rejects)).csv(path)
 
 
 def stream_snapshots(
@@ -52,7 +52,7 @@ def stream_snapshots(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if keep_rejects:
         reader = reader.option("columnNameOfCorruptRecord", REJECTED)
-    return reader.schema(_with_rejects(schema, keep_rejects)).csv(path)
+    return reader.schema(with_rejects(schema, keep_rejects)).csv(path)
 
 
 def read_raw(spark: SparkSession, path: str, columns: int, header: bool = True) -> DataFrame:

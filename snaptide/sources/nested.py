@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import named
+from .files import REJECTED, with_rejects
+
+
+def _json_options(multi_line: bool, keep_rejects: bool) -> dict[str, str]:
+    options = {"multiLine": str(multi_line).lower()}
+    return options | {"columnNameOfCorruptRecord": REJECTED} if keep_rejects else options
 
 
 def read_nested_json(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, keep_rejects: bool = False
 ) -> DataFrame:
     """JSON with a declared nested schema.
 
     Collected files are indented arrays over many lines, which need
     ``multi_line``; such a file is one task. Files with one object per line
-    (``multi_line=False``) are split.
+    (``multi_line=False``) are split. With ``keep_rejects`` the text of a record that does not parse is
+    kept in ``_rejected``; without, it is a row of NULLs.
     """
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(with_rejects(schema, keep_rejects))
+    return reader.options(**_json_options(multi_line, keep_rejects)).json(path)
 
 
 def stream_nested_json(
@@ -25,13 +33,24 @@ def stream_nested_json(
     schema: T.StructType,
     multi_line: bool = True,
     max_files: int | None = 2,
+    keep_rejects: bool = False,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    reader = spark.readStream.schema(with_rejects(schema, keep_rejects))
+    reader = reader.options(**_json_options(multi_line, keep_rejects))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
 
 
+def payload_rejects(payloads: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """Payloads that ``explode_payload`` gets nothing from, with the ``reason``; an empty response is none of them."""
+    empty = F.col(column).isNull() | (F.trim(F.col(column)) == "")
+    lost = F.from_json(F.col(column), schema)["response"].isNull()
+    parsed = F.get_json_object(column, "$").isNotNull()
+    reason = F.when(empty, "no payload").when(~parsed, "unreadable").when(lost, "no response")
+    return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def explode_payload(payloads: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Players of raw payloads: profile columns beside the first statistics struct, ``"0"``.
 

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+# Micro-batches of one run whose progress Spark keeps; a run of more is refused by ``progress_table``.
+KEPT_PROGRESS = 1 << 20
+
+
 def run_to_end(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
     """Start a writer on all available input and wait for it; a failure is raised here."""
+    writer._spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", KEPT_PROGRESS)
     query = writer.trigger(availableNow=True).start()
     return _wait(query, timeout)
 

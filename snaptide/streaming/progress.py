@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .ingest import KEPT_PROGRESS
+
 PROGRESS = T.StructType(
     [
         T.StructField("query_id", T.StringType()),
@@ -19,8 +21,18 @@ PROGRESS = T.StructType(
 )
 
 
+def _progress(query: StreamingQuery) -> list:
+    """Every report of a run; fails where some are missing."""
+    reports = query.recentProgress
+    batches = [p["batchId"] for p in reports]
+    whole = len(reports) < KEPT_PROGRESS and all(b - a in (0, 1) for a, b in zip(batches, batches[1:], strict=False))
+    if not whole:
+        raise ValueError(f"progress of {query.name} is incomplete: {len(reports)} reports are left")
+    return reports
+
+
 def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    """One row per micro-batch that Spark remembers of each query."""
+    """One row per micro-batch of each query that ``run_to_end`` ran."""
     rows = [
         (
             str(p["id"]),
@@ -33,11 +45,11 @@ def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
             p["sink"]["description"],
         )
         for query in queries
-        for p in query.recentProgress
+        for p in _progress(query)
     ]
     return spark.createDataFrame(rows, PROGRESS)
 
 
 def had_changes(query: StreamingQuery) -> bool:
     """Whether the run took any row in; an idle run reports a batch of none."""
-    return any(p["numInputRows"] > 0 for p in query.recentProgress)
+    return any(p["numInputRows"] > 0 for p in _progress(query))

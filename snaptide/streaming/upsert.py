@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators.upsert import FLAG, current_state, reduce_batch, rejected_rows
-from ..sinks.publish import last_run, publish, read_runs
+from ..operators.upsert import CHANGED, FIRST, FLAG, current_state, reduce_batch, rejected_rows
+from ..scratch import persisted
+from ..sinks.publish import COMPACT, last_run, publish, read_runs, run_of
 from .ingest import run_to_end
 
 
@@ -25,15 +27,20 @@ def upsert_stream(
     """Write each micro-batch, reduced to one row per key, as a run of a change log.
 
     The cost of a batch follows the batch, not the table. A batch that is
-    delivered again after a failure replaces its own run. ``read_state`` merges
+    delivered again after a failure replaces its own run; a stream with another
+    checkpoint adds runs of its own. ``read_state`` merges
     the runs. Rows without a key are left out and counted in the history as
     ``numRejectedRows``.
     """
+    spark = df.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rejected = rejected_rows(batch, keys).count()
-        changes = reduce_batch(batch, keys, sequence_by, tiebreak)
-        publish(changes, path, batch_id, operation="MERGE", metrics={"numRejectedRows": rejected})
+        with persisted(batch):
+            rejected = rejected_rows(batch, keys).count()
+            writer = _query_id(spark, checkpoint)
+            run = run_of(spark, path, writer, batch_id)
+            changes = reduce_batch(batch, keys, sequence_by, tiebreak)
+            publish(changes, path, run, "MERGE", metrics={"numRejectedRows": rejected}, writer=writer, batch=batch_id)
 
     return run_to_end(
         df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write),
@@ -41,26 +48,48 @@ def upsert_stream(
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave to the stream of this checkpoint."""
+    return spark.read.json(f"{checkpoint}/metadata").select("id").first()[0]
+
+
 def read_state(
     spark: SparkSession,
     path: str,
     keys: Sequence[str],
     sequence_by: str | None = None,
     run: int | None = None,
+    schema: StructType | None = None,
+    update_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Merged state after run ``run`` (the last by default), with its update flags."""
+    """Merged state after run ``run`` (the last by default), with its update flags.
+
+    ``schema`` is that of the changes; with it no footer is read to find the columns.
+    With ``update_columns`` a matched row has taken those only, and the sequence.
+    """
     run = last_run(spark, path) if run is None else run
-    return current_state(read_runs(spark, path, run), keys, sequence_by, run)
+    if schema is not None:
+        inner = [f for f in schema if f.name not in (FIRST, CHANGED)]
+        schema = StructType([*inner, StructField(FIRST, LongType()), StructField(CHANGED, LongType())])
+    log = read_runs(spark, path, run, schema, compacted=True)
+    return current_state(log, keys, sequence_by, run, update_columns=update_columns)
 
 
 def compact(
-    spark: SparkSession, path: str, to_path: str, keys: Sequence[str], sequence_by: str | None = None
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    sequence_by: str | None = None,
+    update_columns: Sequence[str] | None = None,
 ) -> int:
-    """Write the merged state as the first run of a new change log and return its run id.
+    """Fold the log into a base at its last run, in place, and return that run.
 
-    The state is stored under the id of the last run it holds, so later runs
-    add to it and their flags come out as if nothing had been compacted.
+    The base keeps for each key the run that inserted it and the run that changed it last, so the flags of
+    this run and of later ones are the same as without it. A stream may go on writing; states as of
+    earlier runs are still read from the runs themselves.
     """
     run = last_run(spark, path)
-    publish(read_state(spark, path, keys, sequence_by, run).drop("run_id", FLAG), to_path, run, operation="COMPACT")
+    log = read_runs(spark, path, run, compacted=True)
+    base = current_state(log, keys, sequence_by, update_columns=update_columns, provenance=True)
+    publish(base.drop("run_id"), path, run, operation=COMPACT)
     return run

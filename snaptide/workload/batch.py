@@ -12,6 +12,16 @@ from ..sources import html
 from .registry import query, table
 
 
+# Character references that the pages hold, the ampersand last.
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&amp;": "&"}
+
+
+def _decoded_sql(text: str) -> str:
+    for reference, character in _REFERENCES.items():
+        text = f"replace({text}, '{reference}', '{character}')"
+    return text
+
+
 @query(
     "SELECT c_custkey, lower(regexp_replace(c_name, '\\s+', '', 'g')) || '_123' AS entity_id FROM customer", "entity_key"
 )
@@ -116,7 +126,7 @@ def explode_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, v[1] AS f1, v[2] AS f2 FROM (SELECT event_id, list_filter(
+    """SELECT event_id, v[1] AS f1, v[2] AS f2, v[3] AS f3 FROM (SELECT event_id, list_filter(
   [CASE WHEN event_type <> 'view' THEN event_type END, NULL, CAST(user_id AS VARCHAR)], lambda x: x IS NOT NULL) AS v
   FROM events)"""
 )
@@ -127,13 +137,13 @@ def row_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("b"),
         F.col("user_id").alias("c"),
     )
-    return cleaning.compact_row(events, ["a", "b", "c"], ["f1", "f2"])
+    return cleaning.compact_row(events, ["a", "b", "c"], ["f1", "f2", "f3"])
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents")
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def drop_blank_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.lit(" ").alias("gap"), "lang", F.lit(None).cast("int").alias("empty"), "source", "n_chars"
+        "doc_id", "text", F.lit(" ").alias("gap"), "lang", F.lit(None).cast("int").alias("empty"), "source", "n_chars"
     )
     return cleaning.drop_blank_columns(documents)
 
@@ -162,8 +172,8 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, CAST(cell_no AS INT) AS cell_no,
-  trim(regexp_replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS cell_text FROM (
+    f"""SELECT page_id, CAST(cell_no AS INT) AS cell_no,
+  {_decoded_sql("trim(regexp_replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))")} AS cell_text FROM (
   SELECT page_id, unnest(m) AS raw, generate_subscripts(m, 1) AS cell_no FROM (
     SELECT page_id, regexp_extract_all(html, '(?is)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS m FROM pages))"""
 )
@@ -172,20 +182,34 @@ def html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, 0 AS table_no, CAST(cell_no - 1 AS INT) AS row_no,
-  regexp_extract(raw, 'href="([^"]*)"', 1) AS link, trim(regexp_replace(raw, '<[^>]*>', '', 'g')) AS label FROM (
-  SELECT page_id, unnest(m) AS raw, generate_subscripts(m, 1) AS cell_no FROM (
-    SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS m FROM pages)) WHERE cell_no > 1"""
+    f"""SELECT page_id, 0 AS table_no, CAST(cell_no AS INT) AS row_no, {_decoded_sql("raw_link")} AS link,
+  {_decoded_sql("trim(regexp_replace(raw, '<[^>]*>', '', 'g'))")} AS label FROM (
+  SELECT page_id, raw, regexp_extract(raw, 'href="([^"]*)"', 1) AS raw_link, cell_no FROM (
+    SELECT page_id, unnest(m) AS raw, generate_subscripts(m, 1) AS cell_no FROM (
+      SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS m FROM pages)))"""
 )
 def html_table_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table rows as records. The navigation list of each page is first written as a table."""
     as_table = F.regexp_replace(
         "html", r'<li><a href="([^"]*)">(.*?)</a></li>', '<tr>\n<td>$1</td><td class="n"><b>$2</b></td></tr>'
     )
-    as_table = F.regexp_replace(as_table, r"<nav><ul>", '<table id="t" class="wide leaguetable">')
+    header = '<table id="t" class="wide leaguetable"><tr><th>link</th><th>label</th></tr>'
+    as_table = F.regexp_replace(as_table, r"<nav><ul>", header)
     as_table = F.regexp_replace(as_table, r"</ul></nav>", "</table>")
     pages = table(spark, sf_dir, "pages").select("page_id", as_table.alias("html"))
-    return html.table_records(html.html_table_rows(pages, ["page_id"]), ["link", "label"])
+    return html.table_records(html.html_table_rows(pages, ["page_id"]), ["link", "label"]).drop("more_cells")
+
+
+@query(
+    f"""SELECT page_id, 1 AS cell_no, {_decoded_sql("trim(regexp_replace(title, '\\s+', ' ', 'g'))")} AS cell_text FROM (
+  SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages
+  WHERE contains(html, '<title>'))"""
+)
+def html_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of pages with their character references decoded; a commented-out copy of each is not read."""
+    twice = F.concat(F.lit("<!-- <title>no</title> -->"), F.col("html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", twice.alias("html"))
+    return html.html_cells(pages, ["page_id"], tag="title")
 
 
 @query(

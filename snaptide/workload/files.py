@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import named
 from ..operators.quality import column_exists, row_count, run_suite, table_exists
-from ..plans.audit import append_audit
+from ..plans.audit import append_audit, newest_first
 from ..plans.cleaning import clean_snapshots
 from ..schemas import RAW_FILE_COLUMNS, STANDINGS_DATE_FORMAT, STANDINGS_RAW
-from ..scratch import work_area
+from ..scratch import persisted, work_area
 from ..sinks import catalog, publish as sink
 from ..sources.files import read_raw, read_snapshots, with_source_file
 from .derived import STANDINGS_SQL, standings_snapshots
@@ -116,6 +116,54 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT 'WRITE' AS operation, 2::BIGINT AS version, count(*) AS "numOutputRows" FROM customer
+UNION ALL SELECT 'WRITE', 1, count(*) FROM orders"""
+)
+def versions_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit table as a view by version."""
+    path = work_area(spark, "audited")
+    name = f"{_database(spark)}.audit_log"
+    for run, source in enumerate(("orders", "customer"), 1):
+        sink.publish(table(spark, sf_dir, source), path, run)
+    audit = append_audit(spark, sink.read_history(spark, path), name)
+    return newest_first(audit.select("operation", "version", "numOutputRows"))
+
+
+@query("SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey")
+def temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table under a name of this session, asked in SQL."""
+    name = f"customers_{uuid.uuid4().hex[:12]}"
+    catalog.register_view(table(spark, sf_dir, "customer"), name)
+    return spark.sql(f"SELECT c_nationkey, count(*) AS customers FROM {name} GROUP BY c_nationkey")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def catalog_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table saved, dropped by a reset, and made again from nothing."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    name = f"{_database(spark)}.suppliers"
+    catalog.save_table(suppliers.unionByName(suppliers), name)
+    catalog.reset(spark, [name], confirm=True)
+    if spark.catalog.tableExists(name):
+        raise RuntimeError(f"{name} is still there")
+    catalog.save_table(suppliers, name)
+    return spark.table(name)
+
+
+@query(
+    """SELECT l_returnflag AS value, count(*) AS rows FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT l_linestatus, count(*) FROM lineitem GROUP BY l_linestatus"""
+)
+def persisted_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two outputs written from one cached input."""
+    path = f"{work_area(spark, 'outputs')}/counts"
+    with persisted(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")) as lines:
+        for column in ("l_returnflag", "l_linestatus"):
+            sink.append_files(lines.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows")), path)
+    return spark.read.parquet(path)
+
+
 _RAW_SQL = f"""{STANDINGS_SQL} SELECT ranking AS "Pos", team AS "Team", matches_played AS "P", wh AS "W",
   dh AS "D", lh AS "L", gfh AS "GF", gah AS "GA", wa AS "W.1", da AS "D.1",
   la AS "L.1", gfa AS "GF.1", gaa AS "GA.1", goal_difference AS "GD", points AS "Pts",

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.reshape import flatten, with_constant
 from ..plans import gold
 from ..schemas import PLAYERS, PLAYERS_PAYLOAD, TEAM_COUNTERS, TEAM_PAYLOAD, TEAM_SIDES
 from ..scratch import work_area
-from ..sources.nested import explode_payload, normalise_payload, read_nested_json
+from ..sources.files import REJECTED
+from ..sources.nested import explode_payload, normalise_payload, payload_rejects, read_nested_json
 from .derived import player_documents, player_payloads, team_summaries
-from .registry import query
+from .registry import query, table
 
 _FACTS_SQL = """WITH counted AS (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS goals,
     count(*) FILTER (o_orderstatus = 'O') AS assists FROM orders GROUP BY o_custkey),
@@ -34,6 +35,38 @@ def payload_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.player_facts(players)
 
 
+def _cut(whole: Column) -> Column:
+    """JSON that ends too soon for customers in debt."""
+    return F.when(F.col("c_acctbal") < 0, F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(whole)
+
+
+@query(
+    """SELECT c_custkey AS id, CASE WHEN c_acctbal < -500 THEN 'no payload' ELSE 'unreadable' END AS reason FROM customer
+WHERE c_acctbal < 0"""
+)
+def payload_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of customers in debt cut short or left out, and listed instead of dropped."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal", "c_name")
+    player = F.struct(F.struct("id", F.col("c_name").alias("name")).alias("player"))
+    rows = customers.withColumn("whole", F.to_json(F.struct(F.array(player).alias("response"))))
+    payloads = rows.select("id", F.when(F.col("c_acctbal") >= -500, _cut(F.col("whole"))).alias("payload"))
+    return payload_rejects(payloads, "payload", PLAYERS_PAYLOAD).select("id", "reason")
+
+
+@query("SELECT count(*) FILTER (c_acctbal >= 0) AS read, count(*) FILTER (c_acctbal < 0) AS rejected FROM customer")
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of JSON of which some are cut short: read or kept as rejects, none lost."""
+    path = f"{work_area(spark, 'json')}/players"
+    whole = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    customers = table(spark, sf_dir, "customer").select("c_acctbal", whole.alias("whole"))
+    customers.select(_cut(F.col("whole")).alias("value")).write.text(path)
+    players = read_nested_json(spark, path, PLAYERS, multi_line=False, keep_rejects=True)
+    return players.select("id", REJECTED).agg(
+        F.count(F.when(F.col(REJECTED).isNull() & F.col("id").isNotNull(), 1)).alias("read"),
+        F.count(REJECTED).alias("rejected"),
+    )
+
+
 @query(
     f"""{_FACTS_SQL} SELECT id, name, birth_country, team AS "0_team_name", goals AS "0_goals_total" FROM (
   SELECT facts.*, (age - 17)::INT::VARCHAR AS birth_country FROM facts)"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import dedupe, quality
 from ..plans.gold import latest_table
+from ..schemas import TABLE_COLUMNS
 from ..scratch import materialize
 from .derived import STANDINGS_SQL
 from .registry import query, table
@@ -43,22 +44,33 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.duplicates(table(spark, sf_dir, "events"), ["user_id", "event_type"])
 
 
+def _each(check: str, condition: str, columns) -> str:
+    """SQL that counts the rows for which ``condition`` holds, column by column."""
+    return "\n".join(
+        f"UNION ALL SELECT '{check}', '{c}', 0, n, n = 0 FROM (SELECT count(*) FILTER ({condition.format(c=c)}) AS n FROM latest)"
+        for c in columns
+    )
+
+
 @query(
     f"""{_LATEST_SQL}
 SELECT 'row_count' AS check_name, NULL::VARCHAR AS column_name, 20::BIGINT AS expected, count(*) AS observed,
   count(*) = 20 AS passed FROM latest
 UNION ALL SELECT 'distinct', 'team', 20, count(DISTINCT team), count(DISTINCT team) = 20 FROM latest
-UNION ALL SELECT 'duplicates', NULL, 0, 0, true
-UNION ALL SELECT 'formula', c, 0, 0, true
-  FROM (VALUES ('matches_played'), ('points'), ('goal_difference')) f(c)
+UNION ALL SELECT 'duplicates', NULL, 0, n, n = 0 FROM (SELECT (SELECT count(*) FROM latest) - count(*) AS n
+  FROM (SELECT DISTINCT * FROM latest))
+UNION ALL SELECT 'formula', 'matches_played', 0, n, n = 0 FROM (
+  SELECT count(*) FILTER (matches_played <> wins + draws + losses) AS n FROM latest)
+UNION ALL SELECT 'formula', 'points', 0, n, n = 0 FROM (
+  SELECT count(*) FILTER (points <> 3 * wins + draws) AS n FROM latest)
+UNION ALL SELECT 'formula', 'goal_difference', 0, n, n = 0 FROM (
+  SELECT count(*) FILTER (goal_difference <> goals_for - goals_against) AS n FROM latest)
 UNION ALL SELECT 'leader', 'ranking', 1, r, r = 1 FROM (
   SELECT ranking::BIGINT AS r FROM latest ORDER BY points DESC, ranking LIMIT 1)
-UNION ALL SELECT 'null', c, 0, 0, true FROM (VALUES ('ranking'), ('team'), ('matches_played'), ('wins'), ('draws'),
-  ('losses'), ('goals_for'), ('goals_against'), ('goal_difference'), ('points')) n(c)
+{_each("null", "{c} IS NULL", TABLE_COLUMNS)}
 UNION ALL SELECT 'range', 'ranking', 0, count(*) FILTER (ranking < 1 OR ranking > 20),
   count(*) FILTER (ranking < 1 OR ranking > 20) = 0 FROM latest
-UNION ALL SELECT 'negative', c, 0, 0, true FROM (VALUES ('matches_played'), ('wins'), ('draws'), ('losses'),
-  ('goals_for'), ('goals_against'), ('points')) g(c)"""
+{_each("negative", "{c} < 0", quality.COUNTERS)}"""
 )
 def dq_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All league-table rules on the latest table, which has more than 20 teams here."""

@@ -11,8 +11,8 @@ from ..operators.upsert import upsert
 from ..plans import gold
 from ..plans.zones import bronze_columns, silver_columns
 from ..scratch import materialize, work_area
-from ..sinks.publish import publish
-from ..streaming.upsert import read_state
+from ..sinks.publish import publish, run_path
+from ..streaming.upsert import compact, read_state
 from .derived import STANDINGS_SQL, standings_snapshots, team_summaries
 from .registry import query, table
 
@@ -123,6 +123,69 @@ def asof_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, path, ["o_custkey"], "o_orderdate", run=0)
 
 
+_MERGED_SQL = f"""{_TWO_DELIVERIES_SQL}
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+  coalesce(a.o_totalprice, b.o_totalprice) AS o_totalprice, {_FLAG_SQL}
+FROM before b FULL JOIN after a ON a.o_custkey = b.o_custkey"""
+_MERGED = ["o_custkey", "o_orderkey", "o_totalprice", "update_flag"]
+
+
+def _newest(delivery: DataFrame) -> DataFrame:
+    return latest(delivery, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
+
+
+@query(_MERGED_SQL)
+def state_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of a log in which a run between two others wrote its rows but never ended."""
+    path = work_area(spark, "changes")
+    before, after = map(_newest, _deliveries(spark, sf_dir))
+    publish(before, path, 0)
+    after.withColumn("o_totalprice", -F.col("o_totalprice")).write.parquet(run_path(path, 1, "unfinished"))
+    publish(after, path, 2)
+    return read_state(spark, path, ["o_custkey"], "o_orderdate").select(*_MERGED)
+
+
+@query(_MERGED_SQL)
+def state_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state, with the same flags, from a log that was folded into a base."""
+    path = work_area(spark, "changes")
+    for run, delivery in enumerate(_deliveries(spark, sf_dir)):
+        publish(_newest(delivery), path, run)
+    compact(spark, path, ["o_custkey"], "o_orderdate")
+    schema = table(spark, sf_dir, "orders").select(*_ORDER_STATE).schema
+    return read_state(spark, path, ["o_custkey"], "o_orderdate", schema=schema).select(*_MERGED)
+
+
+# Three deliveries in the order they arrive: the last one is late.
+_IN_TURN = (("1995-01-01", "1997-01-01"), ("1997-01-01", "2100-01-01"), ("1900-01-01", "1995-01-01"))
+
+
+def _in_turn_sql() -> str:
+    parts = [
+        f"""SELECT {k} AS part, * FROM (SELECT *, row_number() OVER {_NEWEST_ORDER} AS n FROM orders
+  WHERE o_orderdate >= TIMESTAMP '{low}' AND o_orderdate < TIMESTAMP '{high}') WHERE n = 1"""
+        for k, (low, high) in enumerate(_IN_TURN)
+    ]
+    return f"""WITH p AS ({" UNION ALL ".join(parts)})
+SELECT o_custkey, arg_min(o_orderkey, part) AS o_orderkey, arg_min(o_orderstatus, part) AS o_orderstatus,
+  max(o_orderdate) AS o_orderdate, arg_max(o_totalprice, o_orderdate) AS o_totalprice FROM p GROUP BY o_custkey"""
+
+
+@query(_in_turn_sql())
+def upsert_partial_in_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries merged in turn: a newer row changes the price, a late one nothing, and all else stays as inserted."""
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_STATE)
+    day = F.col("o_orderdate")
+    state = orders.where(F.lit(False))
+    for low, high in _IN_TURN:
+        delivery = orders.where((day >= F.lit(low).cast("timestamp_ntz")) & (day < F.lit(high).cast("timestamp_ntz")))
+        state = upsert(
+            state, delivery, ["o_custkey"], ["o_totalprice"], sequence_by="o_orderdate", tiebreak=["o_orderkey"]
+        )
+        state = materialize(state.drop("update_flag"), "state")
+    return state
+
+
 @query(
     """WITH a AS (SELECT user_id, count(*) FILTER (event_type = 'signup') AS wins,
   count(*) FILTER (event_type = 'click') AS draws, count(*) FILTER (event_type = 'error') AS losses
@@ -207,19 +270,26 @@ SELECT user_id, DATE '2024-01-31' AS match_date,
   count(*) FILTER (event_type = 'error') AS loses_total, {extra} FROM r GROUP BY user_id"""
 
 
-@query(_SUMMARY_SQL.format(extra="true AS is_consistent"))
-def team_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+_CONSISTENT_SQL = """count(*) FILTER (home) + count(*) FILTER (NOT home) = count(*)
+  AND count(*) FILTER (event_type = 'signup') + count(*) FILTER (event_type = 'click')
+    + count(*) FILTER (event_type = 'error') = count(*) AS is_consistent"""
 
 
+@query(_SUMMARY_SQL.format(extra=_CONSISTENT_SQL))
+def team_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last season summary of each team, checked against its own counters."""
     return gold.team_summary(undot_columns(team_summaries(spark, sf_dir)), ["user_id"])
 
 
-@query(_SUMMARY_SQL.format(extra="'U' AS update_flag"))
+_FIRST_WIN_SQL = "CASE WHEN bool_or(day(ts) <= 10 AND event_type = 'signup') THEN 'U' ELSE 'I' END AS update_flag"
+
+
+@query(_SUMMARY_SQL.format(extra=_FIRST_WIN_SQL).replace("SELECT user_id, day(ts)", "SELECT user_id, ts, day(ts)"))
 def upsert_team_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last season summaries merged into the first ones."""
+    """The last season summaries merged into the first ones; a team without a win by then is new."""
     summaries = undot_columns(team_summaries(spark, sf_dir))
     day = F.col("match_date")
-    first = summaries.where(day == F.lit("2024-01-10").cast("date"))
+    first = summaries.where((day == F.lit("2024-01-10").cast("date")) & (F.col("wins_total") > 0))
     later = summaries.where(day > F.lit("2024-01-10").cast("date"))
     return upsert(first, later, ["user_id"], sequence_by="match_date")
 

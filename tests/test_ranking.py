@@ -21,17 +21,15 @@ def data():
     return [(i, "xy"[i % 2], 7 if i % 3 == 0 else rng.randrange(30), rng.randrange(4)) for i in range(240)]
 
 
-@pytest.mark.parametrize("task_rows", [1_000_000, 13, 1])
-def test_rank_without_groups(spark, data, task_rows):
+def test_rank_without_groups(spark, data):
     df = spark.createDataFrame(data, "id int, league string, points int, wins int")
-    got = rank_rows(df, [("points", "desc"), ("wins", "asc")], task_rows=task_rows)
+    got = rank_rows(df, [("points", "desc"), ("wins", "asc")])
     assert rows(got) == brute(data, lambda r: (-r[2], r[3]))
 
 
-@pytest.mark.parametrize("task_rows", [1_000_000, 9])
-def test_rank_within_groups(spark, data, task_rows):
+def test_rank_within_groups(spark, data):
     df = spark.createDataFrame(data, "id int, league string, points int, wins int")
-    got = rank_rows(df, [("points", "desc")], partition_by=["league"], task_rows=task_rows)
+    got = rank_rows(df, [("points", "desc")], partition_by=["league"])
     assert rows(got) == brute(data, lambda r: -r[2], group=1)
 
 
@@ -40,7 +38,7 @@ def test_rank_of_many_values_with_small_ties(spark, partition_by):
     rng = random.Random(8)
     data = [(i, "xy"[i % 2], rng.randrange(90), 0) for i in range(240)]
     df = spark.createDataFrame(data, "id int, league string, points int, wins int")
-    got = rank_rows(df, [("points", "desc")], partition_by=partition_by, task_rows=12)
+    got = rank_rows(df, [("points", "desc")], partition_by=partition_by)
     assert "Join" in got._jdf.queryExecution().executedPlan().toString()
     assert rows(got.select("id", "league", "points", "wins", "ranking")) == brute(
         data, lambda r: -r[2], group=1 if partition_by else None

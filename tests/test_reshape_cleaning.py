@@ -83,6 +83,8 @@ def test_blank_columns_of_an_empty_table(spark):
 
 def test_compact_row_moves_values_left(spark):
     df = spark.createDataFrame([(1, None, "b", "c"), (2, "a", None, None)], "id int, x string, y string, z string")
+    with pytest.raises(ValueError):
+        cleaning.compact_row(df, ["x", "y", "z"], ["f1", "f2"])
     got = cleaning.compact_row(df, ["x", "y", "z"], ["f1", "f2", "f3"])
     assert rows(got) == [(1, "b", "c", None), (2, "a", None, None)]
 

@@ -78,9 +78,18 @@ def test_publish_again_replaces_the_run(spark, area):
 def test_a_run_without_history_is_not_seen(spark, area):
     path = f"{area}/t"
     sink.publish(spark.range(5), path, 1)
-    spark.range(9).write.parquet(sink.run_path(path, 2))
+    spark.range(9).write.parquet(sink.run_path(path, 2, "unfinished"))
     assert sink.read_run(spark, path).count() == 5
     assert sink.read_runs(spark, path).count() == 5
+    # neither does it come to light when a later run is complete
+    sink.publish(spark.range(3), path, 3)
+    assert sink.read_runs(spark, path).count() == 8
+    # nor does an unfinished attempt at a complete run show
+    spark.range(9).write.parquet(sink.run_path(path, 3, "again"))
+    assert sink.read_run(spark, path).count() == 3
+    assert sink.read_runs(spark, path).count() == 8
+    with pytest.raises(ValueError):
+        sink.read_run(spark, path, 2)
 
 
 def test_empty_run(spark, area):

@@ -1,4 +1,5 @@
 import json
+import os
 
 import snapshots
 from conftest import rows
@@ -17,8 +18,8 @@ from snaptide.schemas import (
 )
 from snaptide.operators.reshape import flatten
 from snaptide.sources.files import read_snapshots, read_raw, with_source_file
-from snaptide.sources.html import html_cells, html_table_rows, table_records, unreadable_tables
-from snaptide.sources.nested import explode_payload, normalise_payload, read_nested_json
+from snaptide.sources.html import html_cells, html_table_rows, table_records, uneven_rows, unreadable_tables
+from snaptide.sources.nested import explode_payload, normalise_payload, payload_rejects, read_nested_json
 
 
 def test_duplicate_headers_bind_by_position_and_dates_parse(spark, area):
@@ -100,6 +101,9 @@ def test_payload_with_several_players_and_missing_statistics(spark):
         {"response": [{"player": profile, "statistics": [statistics, {}]}, {"player": other, "statistics": []}]}
     )
     df = spark.createDataFrame([(7, payload), (8, '{"response": []}'), (9, "no json")], "call int, body string")
+    missing = spark.createDataFrame([(10, None)], "call int, body string")
+    lost = payload_rejects(df.unionByName(missing), "body", PLAYERS_PAYLOAD)
+    assert rows(lost.select("call", "reason")) == [(10, "no payload"), (9, "unreadable")]
     got = explode_payload(df, "body", PLAYERS_PAYLOAD)
     assert got.columns[:3] == ["call", "id", "name"]
     assert rows(got.select("call", "id", "`0`.goals.total")) == [(7, 1, 28), (7, 2, None)]
@@ -126,8 +130,11 @@ def test_html_table(spark):
         (1, 0, 0, ["Pos", "Team"]), (1, 0, 1, ["1", "North End"]), (1, 0, 2, ["2", "South", "9"]),
     ]
     assert rows(table_records(found, ["Pos", "Team", "P"])) == [
-        (1, 0, 1, "1", "North End", None), (1, 0, 2, "2", "South", "9"),
+        (1, 0, 1, "1", "North End", None, []), (1, 0, 2, "2", "South", "9", []),
     ]
+    # no cell is lost
+    assert rows(table_records(found, ["Pos"])) == [(1, 0, 1, "1", ["North End"]), (1, 0, 2, "2", ["South", "9"])]
+    assert rows(uneven_rows(found, ["Pos", "Team"]).select("row_no")) == [(2,)]
     assert html_cells(pages, ["page_id"]).count() == 6
 
 
@@ -149,3 +156,22 @@ def test_a_page_of_megabytes_is_read_whole(spark):
     assert records.agg(F.max(F.col("pos").cast("int"))).first()[0] == lines - 1
     assert unreadable_tables(pages, ["page_id"]).count() == 0
     assert html_cells(pages, ["page_id"]).count() == 2 * lines + 1
+
+
+def test_comments_and_entities_of_a_page(spark):
+    page = """<!-- <table class='leaguetable'><tr><td>old</td></tr></table> --><table class='leaguetable'><tr><td>Team</td></tr>
+<tr><td>Brighton &amp; Hove</td></tr><tr><td>K&ouml;ln&nbsp;&#49;</td></tr></table><!-- <td>open"""
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    records = table_records(html_table_rows(pages, ["page_id"]), ["team"])
+    assert [r.team for r in records.orderBy("row_no").collect()] == ["Brighton & Hove", "K\u00f6ln 1"]
+    assert html_cells(pages, ["page_id"]).count() == 3
+    assert unreadable_tables(pages, ["page_id"]).count() == 0
+    assert html_table_rows(pages, ["page_id"], table_class="league.*").count() == 0
+
+
+def test_broken_json_is_kept(spark, area):
+    os.makedirs(f"{area}/json")
+    with open(f"{area}/json/players.json", "w") as file:
+        file.write('{"id": 1}\n{"id": \n')
+    df = read_nested_json(spark, f"{area}/json", PLAYERS, multi_line=False, keep_rejects=True)
+    assert rows(df.select("id", "_rejected")) == [(1, None), (None, '{"id": ')]

@@ -1,14 +1,16 @@
+import os
+
 import pytest
 import snapshots
 from conftest import rows
 from pyspark.sql import functions as F
 
-from snaptide.operators.quality import standings_rules
+from snaptide.operators.quality import row_count, standings_rules
 from snaptide.operators.upsert import upsert
 from snaptide.plans import zones as refinement
 from snaptide.schemas import STANDINGS_DATE_FORMAT, STANDINGS_RAW
 from snaptide.session import stateful_session
-from snaptide.sinks.publish import last_run, publish, read_history, read_runs
+from snaptide.sinks.publish import last_run, publish, read_history, read_runs, run_of
 from snaptide.sources.files import stream_snapshots, stream_table
 from snaptide.streaming.ingest import append_stream, append_stream_to_table, collapse_copies, dedupe_stream
 from snaptide.streaming.progress import had_changes, progress_table
@@ -132,7 +134,8 @@ def test_a_batch_delivered_again_changes_nothing(spark, area):
         changes(spark, area, batch)
         run_upsert(spark, area)
     before = rows(read_state(spark, f"{area}/log", ["k"], "day"))
-    publish(spark.createDataFrame([("a", 2, 11), ("b", 2, 20)], CHANGE), f"{area}/log", 1, "MERGE")
+    publish(spark.createDataFrame([("a", 2, 11), ("b", 2, 20)], CHANGE), f"{area}/log", 1, "MERGE", writer="w", batch=7)
+    assert run_of(spark, f"{area}/log", "w", 7) == 1 and run_of(spark, f"{area}/log", "w", 8) == 2
     assert rows(read_state(spark, f"{area}/log", ["k"], "day")) == before
     run_upsert(spark, area)
     assert rows(read_state(spark, f"{area}/log", ["k"], "day")) == before
@@ -142,13 +145,45 @@ def test_compaction_keeps_state_and_later_flags(spark, area):
     for batch in ([("a", 1, 10), ("b", 1, 20)], [("b", 2, 21)]):
         changes(spark, area, batch)
         run_upsert(spark, area)
-    run = compact(spark, f"{area}/log", f"{area}/compacted", ["k"], "day")
+    before = rows(read_state(spark, f"{area}/log", ["k"], "day"))
+    run = compact(spark, f"{area}/log", ["k"], "day")
+    assert rows(read_state(spark, f"{area}/log", ["k"], "day")) == before
+    assert rows(read_state(spark, f"{area}/log", ["k"], "day", schema=spark.createDataFrame([], CHANGE).schema)) == before
+    assert read_runs(spark, f"{area}/log", compacted=True).count() == 2
     later = spark.createDataFrame([("a", 3, 12), ("c", 3, 1)], CHANGE)
-    for path in ("log", "compacted"):
-        publish(later, f"{area}/{path}", run + 1, "MERGE")
-    full, short = (read_state(spark, f"{area}/{p}", ["k"], "day").drop("run_id") for p in ("log", "compacted"))
-    assert rows(full) == rows(short) == [("a", 3, 12, "U"), ("b", 2, 21, None), ("c", 3, 1, "I")]
-    assert read_runs(spark, f"{area}/compacted").count() == 4
+    publish(later, f"{area}/log", run + 1, "MERGE")
+    state = read_state(spark, f"{area}/log", ["k"], "day").drop("run_id")
+    assert rows(state) == [("a", 3, 12, "U"), ("b", 2, 21, None), ("c", 3, 1, "I")]
+    assert read_runs(spark, f"{area}/log", compacted=True).count() == 4
+    # the state as of a run before the base
+    assert rows(read_state(spark, f"{area}/log", ["k"], "day", run=0).select("k", "v")) == [("a", 10), ("b", 20)]
+
+
+def test_another_checkpoint_erases_nothing(spark, area):
+    changes(spark, area, [("a", 1, 10)])
+    run_upsert(spark, area)
+    spark.createDataFrame([("b", 1, 20)], CHANGE).write.parquet(f"{area}/other")
+    stream = stream_table(spark, f"{area}/other", spark.createDataFrame([], CHANGE).schema)
+    upsert_stream(stream, f"{area}/log", f"{area}/second", "other", ["k"], "day", timeout=120)
+    assert rows(read_state(spark, f"{area}/log", ["k"], "day").select("k", "v")) == [("a", 10), ("b", 20)]
+
+
+def test_progress_of_many_batches_is_whole(spark, area):
+    spark.range(1040).repartition(104).write.parquet(f"{area}/in")
+    stream = stream_table(spark, f"{area}/in", spark.range(1).schema, max_files=1)
+    done = append_stream(stream, f"{area}/out", f"{area}/checkpoint", "many", timeout=300)
+    taken = progress_table(spark, done)
+    assert taken.agg(F.sum("input_rows")).first()[0] == 1040
+    assert taken.where("input_rows > 0").count() == 104
+
+
+def test_an_empty_landing_folder_is_refined(spark, area):
+    os.makedirs(f"{area}/landing")
+    zones = refinement.Zones(f"{area}/landing", area, state_partitions=2)
+    reports, _ = refinement.refine(spark, zones, [row_count(0)])
+    assert reports["league_table"].count() == 0
+    with pytest.raises(refinement.QualityFailure, match="row_count"):
+        refinement.refine(spark, zones, [row_count(3)])
 
 
 def test_a_failing_batch_is_raised(spark, area):
@@ -172,6 +207,9 @@ def test_zones_from_files_to_reports(spark, area):
     got = rows(reports["league_table"].select("ranking", "team", "wins", "points"))
     assert got == [(1, "North End", 4, 13), (2, "AFC  South", 2, 7), (3, "Westham", 1, 4), (4, "Easton", 0, 0)]
     assert spark.read.parquet(zones.silver).count() == 7
+    audit = {r.step: r for r in refinement.read_audit(spark, zones).collect()}
+    assert audit["bronze_ingest"].rows_in == 11 and audit["silver_upsert"].rows_in == 11
+    assert audit["current"].rejected == 0 and audit["gold"].rows_out == 7
     current = refinement.read_current(spark, zones).select("team", "ranking", "update_flag")
     assert rows(current) == [("AFC  South", 2, "U"), ("Easton", 4, "U"), ("North End", 1, "U"), ("Westham", 3, "I")]
 
@@ -180,7 +218,7 @@ def test_ties_kept_show_both_snapshots_of_an_idle_team(spark, area):
     zones = refinement.Zones(f"{area}/landing", area, state_partitions=2)
     snapshots.write(zones.landing, "1.csv", snapshots.FIRST)
     snapshots.write(zones.landing, "2.csv", snapshots.SECOND)
-    reports, quality = refinement.refine(spark, zones, standings_rules(4), ties="keep")
+    reports, quality = refinement.refine(spark, zones, standings_rules(4), ties="keep", gate=False)
     table = reports["league_table"]
     assert rows(table.where("team = 'Easton'").select("ranking")) == [(3,), (4,)]
     assert table.count() == 5
@@ -191,6 +229,6 @@ def test_ties_kept_show_both_snapshots_of_an_idle_team(spark, area):
 def test_unreadable_lines_reach_the_quality_report(spark, area):
     zones = refinement.Zones(f"{area}/landing", area, state_partitions=2)
     snapshots.write(zones.landing, "1.csv", [*snapshots.FIRST, ["oops"], [*snapshots.FIRST[0][:-1], "2023/03/12"]])
-    _, quality = refinement.refine(spark, zones, standings_rules(3))
+    _, quality = refinement.refine(spark, zones, standings_rules(3), gate=False)
     failed = {(r.check_name, r.column_name): r.observed for r in refinement.failed_checks(quality).collect()}
     assert failed[("rejected", "_rejected")] == 2

@@ -99,8 +99,17 @@ def test_small_batch_does_not_shuffle_the_target(spark):
     source = spark.createDataFrame([("1", 2, 2)], SCHEMA)
     merged = upsert(target, source, ["k"], sequence_by="day")
     merged.collect()
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    plan = merged._jdf.queryExecution().executedPlan()
+    # the target is the range; its keys may only be exchanged once they have met the batch
+    assert plan.toString().split("Initial Plan")[0].count("BroadcastHashJoin") >= 3
+    assert "SortMergeJoin" not in plan.toString().split("Initial Plan")[0]
+
+
+def test_a_row_that_wins_leaves_its_sequence(spark):
+    state = frame(spark, ("a", 1, 10))
+    for day, value, held in ((5, 50, 50), (3, 30, 50), (6, 60, 60)):
+        state = upsert(state, frame(spark, ("a", day, value)), ["k"], ["v"], sequence_by="day").drop("update_flag")
+        assert state.first().v == held
 
 
 @pytest.mark.parametrize("sequence_by", ["day", None])

@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as driver  # noqa: E402
+from snaptide.workload import QUERIES  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -20,7 +21,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, connection, name):
     same, note = compare(spark, connection, name, SF_DIR)
     assert same, note
