@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lattice, mixing, ngram_join, repeats, sharding, template, tokencount, toxicity
+from . import decontam, langid, lattice, mixing, ngram_join, oracles, repeats, sharding, template, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +49,7 @@ def op4_toxicity(spark, sf_dir):
     )
 
 
-@query()
+@query(oracles.SHARDS.format(shards=SHARDS))
 def op6_sharding(spark, sf_dir):
     """Every document with its shard, by near-equal bytes."""
     rows = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
@@ -72,21 +72,21 @@ def op9_mixing(spark, sf_dir):
     return mixing.sample(rows, mixing.fit(rows, targets), targets=targets)
 
 
-@query()
+@query(oracles.DECONTAMINATION)
 def op10_decontamination(spark, sf_dir):
     """Words of every document that lie in a window of a benchmark item."""
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.digest(found)
 
 
-@query()
+@query(oracles.NGRAM_JACCARD)
 def op3_ngram_jaccard(spark, sf_dir):
     """Every document with its number of shingles and the smallest document it is linked with."""
     found = ngram_join.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
-@query()
+@query(oracles.SUBSTRINGS)
 def op7_substring_dedup(spark, sf_dir):
     """Every document without the passages that a document with a smaller id has too."""
     return repeats.digest(table(spark, sf_dir, "documents"))
@@ -103,7 +103,7 @@ def op1_language_id(spark, sf_dir):
     )
 
 
-@query()
+@query(oracles.EMBEDDINGS)
 def op5_embedding_dedup(spark, sf_dir):
     """Every vector with its links and the smallest vector it is linked with."""
     found = lattice.classes(table(spark, sf_dir, "embeddings"))
