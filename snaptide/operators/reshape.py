@@ -20,7 +20,10 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def undot_columns(df: DataFrame) -> DataFrame:
     """``played.home`` becomes ``played_home``, so that the name is not read as a field."""
-    return df.toDF(*[c.replace(".", "_") for c in df.columns])
+    names = [c.replace(".", "_") for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns would share a name: {sorted(n for n in set(names) if names.count(n) > 1)}")
+    return df.toDF(*names)
 
 
 def add_totals(df: DataFrame, totals: Mapping[str, tuple[str, str]]) -> DataFrame:

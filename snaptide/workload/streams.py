@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.quality import standings_rules
+from ..operators.quality import not_null, standings_rules
 from ..operators.reshape import undot_columns
-from ..plans import zones as refinement
+from ..plans import chains, zones as refinement
 from ..plans.gold import player_facts
 from ..schemas import PLAYERS, TABLE_COLUMNS, TEAM_SUMMARY
 from ..scratch import materialize, work_area
@@ -21,7 +21,7 @@ from .derived import STANDINGS_SQL, player_documents, standings_snapshots, team_
 from .files import _database, write_raw_snapshots
 from .players import _FACTS_SQL
 from .registry import query, table
-from .snapshots import DELIVERY, _LATEST_SQL, _NEWEST_ORDER, _TABLE, _deliveries
+from .snapshots import DELIVERY, _CONSISTENT_SQL, _LATEST_SQL, _NEWEST_ORDER, _SUMMARY_SQL, _TABLE, _deliveries
 
 
 def _table_files(sf_dir: str, name: str) -> str:
@@ -204,3 +204,28 @@ def zones_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     refinement.to_bronze(spark, zones)
     refinement.to_current(spark, zones)
     return refinement.read_current(spark, zones).select(*TABLE_COLUMNS)
+
+
+@query(_SUMMARY_SQL.format(extra=_CONSISTENT_SQL))
+def team_zones_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season summaries as CSV files through all zones; the published summary of each team."""
+    area = work_area(spark, "teams")
+    schema = T.StructType([T.StructField("user_id", T.LongType()), *TEAM_SUMMARY])
+    columns = [f"`{f.name}`" for f in schema]
+    team_summaries(spark, sf_dir).select(*columns).write.option("header", True).csv(f"{area}/landing")
+    chain = chains.team_chain(f"{area}/landing", area, schema, ["user_id"], rules=not_null("match_date", "played_total"))
+    return chains.run_chain(spark, chain)[0]["summary"]
+
+
+@query(
+    f"""{_FACTS_SQL} SELECT *, coalesce(goals, 0) + coalesce(assists, 0) AS contributions FROM facts
+  ORDER BY contributions DESC, id LIMIT 20"""
+)
+def player_zones_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player documents as JSON files, delivered twice, through all zones; the published leaders."""
+    area = work_area(spark, "players")
+    chain = chains.player_chain(f"{area}/landing", area, multi_line=False, rules=not_null("id", "name"))
+    for _ in range(2):
+        player_documents(spark, sf_dir).write.mode("append").json(f"{area}/landing")
+        reports, _ = chains.run_chain(spark, chain)
+    return reports["top_contributions"]
