@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from . import marks
 from .components import components
 from .words import Words, bounded, mix, rolling, run_starts, slices
 
@@ -44,8 +45,6 @@ ROWS, BANDS = 4, 44
 LEAF, BLOCK, TASK_ROWS = 16, 512, 16_384
 # A coordinate at this limit bounds nothing.
 FULL = 255
-# Bits of the table that marks texts to verify; a false mark costs a row, never a result.
-MARK_BITS = 1 << 23
 
 _POINT = "id long, n long, set_a long, set_b long, bands array<long>, point binary"
 
@@ -249,11 +248,9 @@ def _verify(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs whose whole sets are linked."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     ends = materialize(nodes.select("node", "rep").join(ends, "node", "left_semi"), "ends")
-    bit = F.pmod(F.xxhash64("id"), F.lit(MARK_BITS)).cast("int")
     # texts that are not marked are in no pair
-    sets = texts.where("id is not null").select(bit.alias("bit"), "body").mapInArrow(
-        _Marked(_marks(ends)), "node long, shingles binary"
-    )
+    marked = marks.where(texts.where("id is not null"), marks.bit("id"), marks.table(ends, marks.bit("rep")))
+    sets = marked.mapInArrow(_shingled, "id long, node long, shingles binary").drop("id")
     sets = sets.join(ends.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sets = materialize(sets, "shingles")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -261,37 +258,15 @@ def _verify(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(_linked, "a long, b long")
 
 
-def _marks(ends: DataFrame) -> np.ndarray:
-    """A bit for each representative, in a table of fixed size: 1 MB, whatever their number."""
-    # the functions count from 1
-    bit = F.pmod(F.xxhash64("rep"), F.lit(MARK_BITS)) + 1
-    found = (
-        ends.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(MARK_BITS // 8, np.uint8)
-    for bucket, bits in found:
-        low = (bucket - 1) * len(bits)
-        out[low : low + len(bits)] = np.frombuffer(bytes(bits), np.uint8)[: len(out) - low]
-    return out
-
-
-class _Marked:
-    def __init__(self, marks: np.ndarray):
-        self.marks = marks
-
-    def __call__(self, batches):
-        for part in slices(batches, "body"):
-            bit = part.column("bit").to_numpy()
-            chosen = (self.marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
-            part = part.filter(pa.array(chosen.astype(bool)))
-            values, bounds = _sets(part.column("body"))
-            full = np.flatnonzero(np.diff(bounds))
-            if len(full):
-                nodes = _signed(values, bounds[:-1][full], 0)
-                blobs = [values[bounds[r] : bounds[r + 1]].tobytes() for r in full]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(blobs, pa.binary())], ["node", "shingles"])
+def _shingled(batches):
+    for part in slices(batches, "body"):
+        values, bounds = _sets(part.column("body"))
+        full = np.flatnonzero(np.diff(bounds))
+        if len(full):
+            nodes = _signed(values, bounds[:-1][full], 0)
+            blobs = [values[bounds[r] : bounds[r + 1]].tobytes() for r in full]
+            columns = [part.column("id").take(pa.array(full)), pa.array(nodes), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "node", "shingles"])
 
 
 def _signed(values: np.ndarray, lows: np.ndarray, k: int) -> np.ndarray:
@@ -312,7 +287,17 @@ def _linked(batches):
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows of ``docs`` whose id is the smallest of its group; of rows that repeat an id one stays, rows without an id all stay."""
-    gone = classes(docs, id_column, text_column).where("component < id").select(F.col("id").alias(id_column)).distinct()
-    named = docs.where(F.col(id_column).isNotNull())
-    kept = named.join(gone, id_column, "left_anti").dropDuplicates([id_column])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
+    found = materialize(classes(docs, id_column, text_column), "classes").where("id is not null")
+    lost = found.where("component < id").select("id")
+    twice = found.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    asked = materialize(lost.unionByName(twice).distinct(), "asked")
+    # texts that are not marked stay where they are
+    known = marks.table(asked, marks.bit("id"))
+    place = marks.bit(F.col(id_column).cast("long"))
+    bounded(docs)
+    plain = marks.where(docs, place, known, False)
+    others = marks.where(docs, place, known)
+    gone = lost.distinct().select(F.col("id").alias(id_column))
+    named = others.where(F.col(id_column).isNotNull()).join(gone, id_column, "left_anti").dropDuplicates([id_column])
+    kept = plain.unionByName(named.select(*docs.columns))
+    return kept.unionByName(others.where(F.col(id_column).isNull()))

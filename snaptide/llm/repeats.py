@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from . import marks
 from .words import Words, bounded, mix, rolling, run_starts, slices
 
 WINDOW = 13
 CHUNK_WORDS = 1_000_000
 # Words whose windows meet in one bucket.
 BUCKET_WORDS = 1_500_000
-MARK_BITS = 1 << 23
 
 _ROW = "bucket int, chunk long, kind int, data binary"
 _KEY = ["id", "text_key"]
@@ -213,8 +213,8 @@ class _Anchors(_Chunks):
         first = np.zeros(len(hashes), bool)
         first[run] = True
         sent = ~settled | first
-        marks = places | np.where(np.repeat(known, many), _FLAG, np.uint32(0))
-        out = list(self._deal(hashes[sent], [(hashes[sent], _ANCHOR_BYTES), (marks[sent], 4)]))
+        sending = places | np.where(np.repeat(known, many), _FLAG, np.uint32(0))
+        out = list(self._deal(hashes[sent], [(hashes[sent], _ANCHOR_BYTES), (sending[sent], 4)]))
         return [*out, self._hit(places[settled])]
 
 
@@ -296,14 +296,14 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     probes = rows[rows["kind"] == _PROBE]
     if not len(probes):
         return rows
-    hashes, marks, chunk = _unpack(probes, [(_ANCHOR_BYTES, np.uint64), (4, np.uint32)])
+    hashes, places, chunk = _unpack(probes, [(_ANCHOR_BYTES, np.uint64), (4, np.uint32)])
     order = np.argsort(hashes, kind="stable")
-    hashes, marks, chunk = hashes[order], marks[order], chunk[order]
+    hashes, places, chunk = hashes[order], places[order], chunk[order]
     run = _runs(hashes)
     many = np.diff(np.append(run, len(hashes)))
-    block = np.logical_or.reduceat(marks & _FLAG > 0, run)
+    block = np.logical_or.reduceat(places & _FLAG > 0, run)
     hit = np.repeat((many > 1) & block, many)
-    return _back(rows, probes, chunk[hit], (marks & ~_FLAG)[hit])
+    return _back(rows, probes, chunk[hit], (places & ~_FLAG)[hit])
 
 
 def _smallest(rows: pd.DataFrame) -> pd.DataFrame:
@@ -335,29 +335,8 @@ def _expand(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _marked(texts: DataFrame, found: DataFrame, wanted: bool = True) -> DataFrame:
-    """Rows of ``texts`` that may be in ``found`` (or that are surely not), by a bit table of fixed size."""
-
-    def bit(frame: DataFrame):
-        return F.pmod(F.xxhash64(*(frame[c] for c in _KEY)), F.lit(MARK_BITS))
-
-    # the functions count from 1
-    marks = (
-        found.groupBy(F.bitmap_bucket_number(bit(found) + 1).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit(found) + 1)).alias("bits"))
-        .collect()
-    )
-    table = np.zeros(MARK_BITS // 8, np.uint8)
-    for bucket, bits in marks:
-        low = (bucket - 1) * len(bits)
-        table[low : low + len(bits)] = np.frombuffer(bytes(bits), np.uint8)[: len(table) - low]
-
-    def keep(batches):
-        for batch in batches:
-            at = batch.column("bit").to_numpy()
-            chosen = ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            yield batch.filter(pa.array(chosen == wanted)).drop_columns(["bit"])
-
-    return texts.withColumn("bit", bit(texts).cast("int")).mapInArrow(keep, texts.schema)
+    """Rows of ``texts`` that may be in ``found``, or those that are surely not."""
+    return marks.where(texts, marks.bit(*_KEY), marks.table(found, marks.bit(*_KEY)), wanted)
 
 
 class _Cut:

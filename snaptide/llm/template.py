@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from . import marks
 from .words import bounded
 
 # A template subtree recurs on so many different pages, and on this share of those of its host.
 MIN_PAGES = 5
 MIN_SHARE = 0.05
-MARK_BITS = 1 << 23
 BATCH_BYTES = 4 << 20
 
 # Fixed values of HTML: elements without an end tag, with raw text, and inside a line of text.
@@ -309,10 +309,10 @@ def extract(
         F.xxhash64(html_column, url_column).alias("page_key"),
     )
     known = templates(rows)
-    marks = _marks(known)
+    table = marks.table(known, F.pmod("key", F.lit(marks.BITS)))
     kind = f"id {rows.schema['id'].dataType.simpleString()}, url string, text string"
-    plain = rows.mapInArrow(_Plain(marks), kind)
-    asked = rows.mapInArrow(_Asked(marks), "page_key long, key long").distinct()
+    plain = rows.mapInArrow(_Plain(table), kind)
+    asked = rows.mapInArrow(_Asked(table), "page_key long, key long").distinct()
     told = asked.join(known, "key", "left_semi").groupBy("page_key").agg(F.collect_set("key").alias("template"))
     asked = materialize(asked.select("page_key").distinct().join(told, "page_key", "left"), "asked")
     held = rows.join(asked, "page_key").mapInArrow(_held, kind)
@@ -320,27 +320,12 @@ def extract(
     return done.select("id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-def _marks(known: DataFrame) -> np.ndarray:
-    # the functions count from 1
-    bit = F.pmod("key", F.lit(MARK_BITS)) + 1
-    found = (
-        known.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(MARK_BITS // 8, np.uint8)
-    for bucket, bits in found:
-        low = (bucket - 1) * len(bits)
-        out[low : low + len(bits)] = np.frombuffer(bytes(bits), np.uint8)[: len(out) - low]
-    return out
-
-
 class _Marked:
-    def __init__(self, marks: np.ndarray):
-        self.marks = marks
+    def __init__(self, table: np.ndarray):
+        self.table = table
 
     def may(self, keys: set[int]) -> list[int]:
-        return [k for k in keys if self.marks[(k % MARK_BITS) >> 3] >> (k % MARK_BITS & 7) & 1]
+        return [k for k in keys if self.table[k % marks.BITS >> 3] >> (k % marks.BITS & 7) & 1]
 
 
 class _Plain(_Marked):
@@ -360,7 +345,7 @@ class _Asked(_Marked):
     """Marked subtrees of each page that has any."""
 
     def __call__(self, batches):
-        if not self.marks.any():
+        if not self.table.any():
             return
         for batch in _small(batches):
             found = []
