@@ -43,6 +43,8 @@ GROUPS = 256
 ROWS, BANDS = 4, 44
 # Points of a leaf, of a block of a cell, and about as many rows for one task.
 LEAF, BLOCK, TASK_ROWS = 16, 512, 16_384
+# Pairs that a task holds before it drops repeated ones.
+HELD_PAIRS = 500_000
 # A coordinate at this limit bounds nothing.
 FULL = 255
 
@@ -164,12 +166,24 @@ def _links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     # each point against the point that opens the cell it shares most signatures with
     ranked = shared.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("times"))
     best = ranked.groupBy("node").agg(F.max(F.struct("times", "first")).alias("best"))
-    best = best.select(F.col("node").alias("a"), F.col("best.first").alias("b"))
+    # the first of a cell is its smallest node
+    best = best.select(F.col("best.first").alias("a"), F.col("node").alias("b"))
     tried = materialize(_narrow(best, nodes), "tried")
     links = materialize(_verify(texts, nodes, tried), "links")
 
-    # then against the points of other groups, cell by cell
-    label = components(links).select("node", F.col("root").alias("label"))
+    # then against the points of other groups, cell by cell: first the likeliest partner of each point, which
+    # joins most of what belongs together, then every partner that is left in another group
+    for likeliest in (True, False):
+        pairs = _meetings(shared, nodes, components(links), likeliest)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = materialize(links.unionByName(_verify(texts, nodes, pairs)), "links")
+        tried = materialize(tried.unionByName(pairs), "tried")
+    return links
+
+
+def _meetings(shared: DataFrame, nodes: DataFrame, groups: DataFrame, likeliest: bool) -> DataFrame:
+    """Pairs of points of different groups that share a cell and whose bounds allow a link."""
+    label = groups.select("node", F.col("root").alias("label"))
     labelled = shared.join(label, "node", "left").select("key", "size", "node", F.coalesce("label", "node").alias("label"))
     labelled = materialize(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
@@ -182,28 +196,39 @@ def _links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other")
     task = F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)).cast("int")
     dealt = dealt.join(nodes.select("node", "n", "point"), "node").withColumn("task", task)
-    pairs = dealt.groupBy("task").applyInPandas(_search, "a long, b long").distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    return materialize(links.unionByName(_verify(texts, nodes, pairs)), "links")
+    return dealt.groupBy("task").applyInPandas(lambda rows: _search(rows, likeliest), "a long, b long").distinct()
 
 
-def _search(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of points of different groups whose bounds allow a link, in each cell or pair of its blocks."""
-    rows = rows.sort_values(["key", "low", "high", "own", "n", "label"], ignore_index=True)
+def _search(rows: pd.DataFrame, likeliest: bool) -> pd.DataFrame:
+    """Pairs in each cell, or each pair of its blocks; with ``likeliest`` the one of each point that shares most by its bound."""
+    rows = rows.sort_values(["key", "low", "high", "own", "n", "label", "node"], ignore_index=True)
     key = rows[["key", "low", "high"]].to_numpy()
     cuts = [*np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(rows)]
     points = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
     n, label, own = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["own"].to_numpy()
-    found = []
+    node = rows["node"].to_numpy()
+    found = [pd.DataFrame({"a": [], "b": [], "share": []}).astype({"a": "int64", "b": "int64", "share": "float64"})]
+    held = 0
     for low, high in zip(cuts, cuts[1:], strict=False):
         left = np.flatnonzero(own[low:high] == key[low][1]) + low
         right = np.flatnonzero(own[low:high] == key[low][2]) + low
-        found += _descend(points, n, label, left, right)
-    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-    node = rows["node"].to_numpy()
-    a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+        for i, j, bound in _descend(points, n, label, left, right):
+            a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+            found.append(pd.DataFrame({"a": a, "b": b, "share": bound / (n[i] + n[j])}))
+            held += len(a)
+            if held > HELD_PAIRS:
+                # cells of one task repeat pairs
+                found = [_likeliest(pd.concat(found)) if likeliest else pd.concat(found).drop_duplicates(["a", "b"])]
+                held = 0
+    pairs = pd.concat(found).drop_duplicates(["a", "b"])
+    return (_likeliest(pairs) if likeliest else pairs)[["a", "b"]]
+
+
+def _likeliest(pairs: pd.DataFrame) -> pd.DataFrame:
+    """The first pair of each end, by the share of what both hold."""
+    ends = pd.concat([pairs.assign(end=pairs["a"]), pairs.assign(end=pairs["b"])])
+    ends = ends.sort_values(["end", "share", "a", "b"], ascending=[True, False, True, True])
+    return ends.drop_duplicates("end")[["a", "b", "share"]].drop_duplicates()
 
 
 def _descend(points, n, label, left, right):
@@ -223,9 +248,10 @@ def _descend(points, n, label, left, right):
         good = (i != j) & (label[i] != label[j])
         good &= DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j])
         i, j = i[good], j[good]
-        good = _allowed(_bound(points[i], points[j]), n[i], n[j])
+        bound = _bound(points[i], points[j])
+        good = _allowed(bound, n[i], n[j])
         if good.any():
-            yield i[good], j[good]
+            yield i[good], j[good], bound[good]
 
 
 def _narrow(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
