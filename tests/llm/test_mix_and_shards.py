@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from snaptide.llm import mixing, sharding, workload
 
-from .conftest import DOCS
-
 
 def shards(rows, count):
     """Shards by the middle byte of each record in the order of text hash and id."""
@@ -132,7 +130,7 @@ def test_pipeline_takes_odd_and_no_documents(spark, odd, none, tmp_path):
     for t in ("labels", "benchmark"):
         kind = {"labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}[t]
         spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{t}.parquet")
-    for docs in (odd, none, spark.createDataFrame([], DOCS)):
+    for docs in (odd, none):
         for name, stage in corpus_pipeline.STAGES:
             made = stage(spark, docs, str(tmp_path))
             if name != "sharding":
