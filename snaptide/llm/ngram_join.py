@@ -207,21 +207,25 @@ def _search(rows: pd.DataFrame, likeliest: bool) -> pd.DataFrame:
     points = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
     n, label, own = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["own"].to_numpy()
     node = rows["node"].to_numpy()
-    found = [pd.DataFrame({"a": [], "b": [], "share": []}).astype({"a": "int64", "b": "int64", "share": "float64"})]
-    held = 0
+    found, held = [], 0
     for low, high in zip(cuts, cuts[1:], strict=False):
         left = np.flatnonzero(own[low:high] == key[low][1]) + low
         right = np.flatnonzero(own[low:high] == key[low][2]) + low
         for i, j, bound in _descend(points, n, label, left, right):
-            a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-            found.append(pd.DataFrame({"a": a, "b": b, "share": bound / (n[i] + n[j])}))
-            held += len(a)
-            if held > HELD_PAIRS:
-                # cells of one task repeat pairs
-                found = [_likeliest(pd.concat(found)) if likeliest else pd.concat(found).drop_duplicates(["a", "b"])]
-                held = 0
-    pairs = pd.concat(found).drop_duplicates(["a", "b"])
-    return (_likeliest(pairs) if likeliest else pairs)[["a", "b"]]
+            found.append((np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), bound / (n[i] + n[j])))
+            held += len(i)
+        if held > HELD_PAIRS:
+            # cells of one task repeat pairs
+            kept, held = _distinct(found, likeliest), 0
+            found = [(kept["a"].to_numpy(), kept["b"].to_numpy(), kept["share"].to_numpy())]
+    return _distinct(found, likeliest)[["a", "b"]]
+
+
+def _distinct(found: list, likeliest: bool) -> pd.DataFrame:
+    columns = zip(*found, strict=True) if found else ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
+    pairs = pd.DataFrame(dict(zip(("a", "b", "share"), map(np.concatenate, columns), strict=True)))
+    pairs = pairs.drop_duplicates(["a", "b"])
+    return _likeliest(pairs) if likeliest else pairs
 
 
 def _likeliest(pairs: pd.DataFrame) -> pd.DataFrame:
