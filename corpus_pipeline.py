@@ -47,12 +47,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which sources, languages and topics have their target shares of tokens."""
+    """A sample in which sources, languages and topics have their target shares of tokens; scarce documents are in it repeatedly."""
     hidden, back = _hidden(docs)
     rows = mixing.measured(hidden)
     targets = mixing.production_targets()
     drawn = mixing.sample(rows, mixing.fit(rows, targets), targets=targets)
-    return drawn.where("selected").select(*back)
+    return mixing.repeated(drawn).select(*back)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Tokens are counted per cell of source, language and topic. The cell weights are
 raked to the target share of each marginal in turn until all hold, and documents are
-kept with a probability in proportion to the weight of their cell over its present share.
+drawn as often as the weight of their cell over its present share asks for: with a probability
+up to one time, and several times if the cell holds less than its part of the budget.
 
 Targets name the strata: a value without a target belongs to one common stratum, which keeps its
 present share. So the number of cells is bounded by the targets, not by the corpus, and
@@ -30,7 +31,7 @@ REST = "(rest)"
 SOURCE_TARGETS = {"src0": 0.24, **{f"src{i}": 0.04 for i in range(1, 20)}}
 LANG_TARGETS = {"en": 0.55, "de": 0.15, "es": 0.15, "fr": 0.15}
 TOPIC_TARGETS = {f"topic{i}": 1 / TOPICS for i in range(TOPICS)}
-# Share of all tokens that is kept.
+# Tokens of the sample, repeats included, as a share of all tokens.
 BUDGET = 0.6
 
 AXES = ("source", "lang", "topic")
@@ -38,7 +39,7 @@ AXES = ("source", "lang", "topic")
 
 @dataclass
 class Mix:
-    """Factor of each cell (target over present share) and the scale that turns it into a probability."""
+    """Factor of each cell (target over present share) and the scale that turns it into expected copies."""
 
     factors: dict[tuple[str, str, str], float]
     scale: float
@@ -88,8 +89,8 @@ def fit(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], budget: flo
         return Mix({}, 1.0)
     now /= now.sum()
     weight = rake(keys, now, list(targets.values()))
-    factor = weight / now
-    return Mix(dict(zip(keys, factor.tolist(), strict=True)), _scale(now, factor, budget))
+    total = float(weight.sum())
+    return Mix(dict(zip(keys, (weight / now).tolist(), strict=True)), budget / total if total else 1.0)
 
 
 def rake(keys: list, now: np.ndarray, targets: list, rounds: int = 1000, tolerance: float = 1e-10) -> np.ndarray:
@@ -117,28 +118,16 @@ def rake(keys: list, now: np.ndarray, targets: list, rounds: int = 1000, toleran
     return weight
 
 
-def _scale(now: np.ndarray, factor: np.ndarray, budget: float) -> float:
-    """The scale at which probabilities, at most 1, keep the budgeted share of the tokens."""
-    low, high = 0.0, 1.0
-    keep = lambda s: float((now * np.minimum(1.0, s * factor)).sum())
-    budget = min(budget, float(now[factor > 0].sum()))
-    while keep(high) < budget * (1 - 1e-12) and high < 1e12:
-        high *= 2
-    for _ in range(100):
-        mid = (low + high) / 2
-        low, high = (mid, high) if keep(mid) < budget else (low, mid)
-    return high
-
-
 def _stratum(column: Column, target: Mapping[str, float]) -> Column:
     return F.when(column.isin(*target), column).otherwise(F.lit(REST))
 
 
 def sample(rows: DataFrame, mixed: Mix, axes: tuple[str, ...] = AXES, targets=None, id_column: str = "doc_id") -> DataFrame:
-    """``rows`` with ``probability``, ``selected`` and ``weight``.
+    """``rows`` with ``probability``, ``selected``, ``weight`` and ``copies``.
 
-    Whether a document is selected follows from a hash of its id, so repeated rows share one
-    decision. ``weight`` makes up for probabilities that would have been over 1. A cell without tokens is kept whole.
+    ``copies`` is how often a row is in the sample, probability x weight on average: a cell that holds less than
+    its part of the budget is repeated, so the shares of the sample are the targets. It follows from a hash of the
+    id, so repeated rows share one decision. A cell without tokens is kept whole.
     """
     targets = targets or production_targets()
     table = rows.sparkSession.createDataFrame(
@@ -151,10 +140,21 @@ def sample(rows: DataFrame, mixed: Mix, axes: tuple[str, ...] = AXES, targets=No
     raw = F.coalesce(F.col("__factor") * mixed.scale, F.lit(1.0))
     draw = F.pmod(F.xxhash64(F.col(id_column), F.lit("mixing")), F.lit(1 << 52)) / float(1 << 52)
     chance = F.least(raw, F.lit(1.0))
+    copies = F.floor(raw) + (draw < raw - F.floor(raw)).cast("long")
     return joined.select(
-        *keep, chance.alias("probability"), (draw < chance).alias("selected"), F.greatest(raw, F.lit(1.0)).alias("weight")
+        *keep,
+        chance.alias("probability"),
+        (draw < chance).alias("selected"),
+        F.greatest(raw, F.lit(1.0)).alias("weight"),
+        copies.alias("copies"),
     )
 
 
+def repeated(drawn: DataFrame) -> DataFrame:
+    """The sample itself: each row of ``drawn`` as often as its ``copies`` say."""
+    keep = [F.col(f"`{c}`") for c in drawn.columns]
+    return drawn.where("copies > 0").select(*keep, F.explode(F.sequence(F.lit(1), "copies")).alias("__copy")).drop("__copy")
+
+
 def production_targets() -> dict[str, dict[str, float]]:
     return {"source": SOURCE_TARGETS, "lang": LANG_TARGETS, "topic": TOPIC_TARGETS}

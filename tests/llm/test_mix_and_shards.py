@@ -94,6 +94,28 @@ def test_mixed_shares_and_probabilities(spark):
     assert abs(kept / everything - 0.4) < 0.03
 
 
+def test_scarce_cells_reach_their_targets_in_the_sample(spark):
+    # "a" holds 5 % of the tokens and is to have half of a sample of 60 %
+    rows = [(i, "w " * 100, "en", "a" if i % 20 == 0 else "b") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 1.0}, "topic": {"topic0": 1.0}}
+    counted = mixing.measured(df)
+    drawn = mixing.sample(counted, mixing.fit(counted, targets, 0.6), targets=targets)
+    kept = {r["source"]: r["n"] for r in mixing.repeated(drawn).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert abs(kept["a"] / (kept["a"] + kept["b"]) - 0.5) < 0.02
+    assert abs((kept["a"] + kept["b"]) / 800_000 - 0.6) < 0.02
+    assert drawn.where("selected <> (copies > 0) or copies > 6 * 1.000001 and source = 'a'").isEmpty()
+
+
+def test_the_pipeline_mixes_to_the_targets(spark, tmp_path):
+    rows = [(i, f"w{i} " * 50, "en", "src0" if i % 20 == 0 else "src1") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    made = corpus_pipeline.mix_sources(spark, df, str(tmp_path))
+    assert made.columns == df.columns
+    # of the sources with targets only these two are here: 0.24 and 0.04
+    assert abs(made.where("source = 'src0'").count() / made.count() - 0.24 / 0.28) < 0.02
+
+
 def test_mixing_on_odd_rows(spark, odd, none):
     targets = mixing.production_targets()
     counted = mixing.measured(odd)
