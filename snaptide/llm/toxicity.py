@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from .words import ALNUM, Words, bounded, mix, rolling, run_starts, slices
 
 BITS = 20
@@ -86,8 +87,8 @@ def fit(
     """Learn ``label`` (0 or 1) from at most ``sample`` documents of each of its values.
 
     ``learn`` is a condition on the id of a label row. Of several labels of one document the
-    largest counts; null labels and ids are left out. Which documents are drawn follows from a hash of the
-    id. Without a document of either label the model is constant.
+    largest counts, of several texts the smallest; null labels and ids are left out. Which documents are drawn
+    follows from a hash of the id. Without a document of either label the model is constant.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
     if learn is not None:
@@ -99,8 +100,9 @@ def fit(
         part = known.where(F.col("y") == value).orderBy(F.xxhash64("id"), "id").limit(sample)
         drawn = part if drawn is None else drawn.unionByName(part)
     # at most 2 * sample rows of an id and a label
-    rows = texts.join(F.broadcast(drawn), "id").select("id", "y", "body")
-    packed = rows.mapInArrow(_pack, "id long, y int, places binary")
+    rows = texts.join(F.broadcast(drawn), "id").groupBy("id", "y").agg(F.min("body").alias("body"))
+    # written first, so that the one task of the training reads the sample and not the documents
+    packed = materialize(rows.mapInArrow(_pack, "id long, y int, places binary"), "sample")
     weights = packed.coalesce(1).mapInPandas(_train, "places binary, weights binary, bias double").first()
     if weights is None:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), -20.0)

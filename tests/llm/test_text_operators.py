@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,36 @@ def test_toxicity_query(spark, sf_dir, documents):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
 
 
+def test_a_repeated_id_is_one_example_and_the_scan_is_not_in_the_training_task(spark, monkeypatch):
+    rows = [(i, f"{'bad' if i % 2 else 'good'} text number {i}") for i in range(40)]
+    rows += [(7, f"zzz another text {k}") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows[:40], "doc_id long, text string")
+    some, other = toxicity.fit(docs, labels), toxicity.fit(once, labels)
+    assert some.bias == other.bias and np.array_equal(some.places, other.places) and np.array_equal(some.weights, other.weights)
+
+    def packed(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            stage = np.full(batch.num_rows, TaskContext.get().stageId(), np.int32)
+            places = pa.array([s.tobytes() for s in stage], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), places], ["id", "y", "places"])
+
+    def trained(frames):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        seen = [np.frombuffer(p, np.int32)[0] for frame in frames for p in frame["places"]]
+        found = np.array([len(seen), TaskContext.get().stageId() in seen], np.int32)
+        yield pd.DataFrame({"places": [found.tobytes()], "weights": [b""], "bias": [0.0]})
+
+    monkeypatch.setattr(toxicity, "_pack", packed)
+    monkeypatch.setattr(toxicity, "_train", trained)
+    assert toxicity.fit(docs, labels).places.tolist() == [40, 0]
+
+
 def test_toxicity_on_odd_rows(spark, odd, none):
     labels = [(1, 0), (2, None), (4, 1), (4, 0), (None, 1), (8, 1), (9, 0), (99, 1), (12, 7)]
     known = clashing(spark.createDataFrame(labels, "doc_id long, toxic int"))
