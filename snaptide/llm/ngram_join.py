@@ -186,13 +186,21 @@ def _meetings(shared: DataFrame, nodes: DataFrame, groups: DataFrame, likeliest:
     label = groups.select("node", F.col("root").alias("label"))
     labelled = shared.join(label, "node", "left").select("key", "size", "node", F.coalesce("label", "node").alias("label"))
     labelled = materialize(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    mixed = materialize(labelled.join(mixed.select("key"), "key", "left_semi"), "mixed")
-    parts = max(1, -(-mixed.count() // TASK_ROWS))
-    # a cell of several blocks is searched block by block
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")
-    dealt = mixed.select("key", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    counts = labelled.groupBy("key", "label", "size").agg(F.count("*").alias("many"))
+    mixed = counts.groupBy("key", "size").agg(F.max(F.struct("many", "label")).alias("most")).where("most.many < size")
+    mixed = materialize(labelled.drop("size").join(mixed, "key"), "mixed")
+    # a cell of several blocks is searched block by block; points of its largest group, which have blocks of their
+    # own after those of the others, meet only the others
+    large = F.col("size") > BLOCK
+    most = F.when(large, F.ceil(F.col("most.many") / F.lit(BLOCK))).otherwise(0).cast("int")
+    others = F.when(large, F.ceil((F.col("size") - F.col("most.many")) / F.lit(BLOCK))).otherwise(1).cast("int")
+    inner = large & (F.col("label") == F.col("most.label"))
+    place = F.xxhash64("node", F.lit("block"))
+    own = F.when(inner, others + F.pmod(place, F.greatest(most, F.lit(1)))).otherwise(F.pmod(place, others)).cast("int")
+    meets = F.when(inner, others).otherwise(others + most)
+    # a row travels once for each block it meets
+    parts = max(1, -(-(mixed.agg(F.sum(meets)).first()[0] or 0) // TASK_ROWS))
+    dealt = mixed.select("key", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), meets - 1)).alias("other"))
     dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other")
     task = F.pmod(F.xxhash64("key", "low", "high"), F.lit(parts)).cast("int")
     dealt = dealt.join(nodes.select("node", "n", "point"), "node").withColumn("task", task)

@@ -86,6 +86,38 @@ def test_ngram_join_on_odd_rows(spark, odd, none):
     assert ngram_join.classes(none).collect() == []
 
 
+def hot_cell(spark):
+    """One cell: 600 points of one group, three of another and one by itself; all but the last may be linked."""
+    sizes = {i: 100 if i < 603 else 10 for i in range(604)}
+    shared = spark.createDataFrame([(1, i, 0, 604) for i in sizes], "key long, node long, first long, size long")
+    point = np.full(ngram_join.GROUPS, 1, np.uint8).tobytes()
+    nodes = spark.createDataFrame([(i, n, bytearray(point)) for i, n in sizes.items()], "node long, n long, point binary")
+    groups = spark.createDataFrame([(i, 0 if i < 600 else 600) for i in range(603)], "node long, root long")
+    return shared, nodes, groups
+
+
+def test_points_of_a_hot_cell_meet_the_other_groups(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "TASK_ROWS", 64)
+    pairs = ngram_join._meetings(*hot_cell(spark), False)
+    assert sorted(map(tuple, pairs.collect())) == [(i, j) for i in range(600) for j in (600, 601, 602)]
+
+
+def test_rows_of_a_task_stay_bounded_in_a_hot_cell(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "TASK_ROWS", 64)
+
+    def counted(rows, likeliest):
+        import pandas as pd
+
+        return pd.DataFrame({"a": [len(rows)], "b": [int(rows["task"].iloc[0])]})
+
+    monkeypatch.setattr(ngram_join, "_search", counted)
+    held = [r["a"] for r in ngram_join._meetings(*hot_cell(spark), False).collect()]
+    # each of the large group once, each of the others once a block; every row once a block would be 604 * 38
+    assert 604 < sum(held) < 2 * 604 and max(held) < 320
+
+
 def test_keep_first_keeps_one_of_each_group(odd, none):
     kept = ngram_join.keep_first(odd)
     assert kept.columns == odd.columns
