@@ -172,10 +172,9 @@ def _compare(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = keyed.groupBy("point", "cell").agg(F.min("probe").alias("probe"))
     sizes = keyed.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialize(keyed.join(sizes, "cell"), "shared")
-    rows = shared.count()
-    parts = max(1, -(-rows // TASK_ROWS))
-    # a cell of several blocks is compared block by block
+    # a cell of several blocks is compared block by block, so a row travels once for each block
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    parts = max(1, -(-(shared.agg(F.sum(blocks)).first()[0] or 0) // TASK_ROWS))
     own = F.pmod(F.xxhash64("point", F.lit("block")), blocks).cast("int")
     cut = shared.select("point", "cell", "probe", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     cut = cut.select(

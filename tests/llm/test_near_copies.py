@@ -239,6 +239,25 @@ def test_embedding_copies_near_copies_and_odd_vectors(spark, monkeypatch):
     assert [tuple(r) for r in lattice.classes(alone).collect()] == [(None, 0, None, True)]
 
 
+def test_rows_of_a_task_stay_bounded_in_a_large_cell(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "BLOCK", 16)
+    monkeypatch.setattr(lattice, "TASK_ROWS", 64)
+    rng = np.random.RandomState(3)
+    base = rng.randn(64)
+    rows = [(i, 1, (base + 0.001 * rng.randn(64)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>")
+    compare = lattice._cell_links
+
+    def small(rows):
+        # TASK_ROWS and what chance deals on top; by the rows before the blocks are cut it would be some 1,600
+        assert len(rows) < 480, len(rows)
+        return compare(rows)
+
+    monkeypatch.setattr(lattice, "_cell_links", small)
+    got = lattice.classes(df).collect()
+    assert {(r["n_links"], r["component"]) for r in got} == {(399, 0)}
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.RandomState(0)
     y = rng.randn(200, 8) * 2
