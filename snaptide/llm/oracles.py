@@ -71,3 +71,45 @@ placed AS (SELECT *, sum(size) OVER (ORDER BY key, doc_id ROWS UNBOUNDED PRECEDI
 cut AS (SELECT *, ((2 * upto - size) * {shards}) // (2 * total) AS shard FROM placed)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
   row_number() OVER (PARTITION BY shard ORDER BY key, doc_id) - 1 AS slot, NULL::INT AS grown_shard FROM cut"""
+
+
+def _centroids(k: int = 8, rounds: int = 10, size: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Lloyd's rounds written out one after the other."""
+    steps = [
+        f"""points AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (SELECT vec_id, i, v[i] AS x FROM (SELECT vec_id, v, unnest(range(1, {size} + 1)) AS i FROM points))""",
+        f"""first AS (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1 AS c, v FROM points
+  QUALIFY row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) <= {k})""",
+        f"centre0 AS MATERIALIZED (SELECT c, i, v[i] AS y FROM (SELECT c, v, unnest(range(1, {size} + 1)) AS i FROM first))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (SELECT vec_id, c, d FROM (SELECT vec_id, c, sum((x - y) * (x - y))::BIGINT AS d
+    FROM parts JOIN centre{r} USING (i) GROUP BY vec_id, c) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""centre{r + 1} AS MATERIALIZED (SELECT c, i, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, y) AS y
+  FROM centre{r} LEFT JOIN (SELECT c, i, sum(x) AS s, count(*) AS n FROM parts JOIN near{r} USING (vec_id) GROUP BY c, i)
+  USING (c, i))""")
+    return f"""WITH {", ".join(steps)},
+named AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM centre{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, centroid_sha256 FROM near{rounds} JOIN named USING (c)"""
+
+
+CENTROIDS = _centroids()
+
+NEGATIVES = """WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+near AS (SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+hard AS (SELECT near.anchor_id, near.other AS positive_id, near.score AS positive_score, far.other AS negative_id,
+    far.score AS negative_score,
+    row_number() OVER (PARTITION BY near.anchor_id, near.other ORDER BY far.score DESC, far.other) AS rank
+  FROM near JOIN scored far ON far.anchor_id = near.anchor_id AND NOT far.same
+    AND 30 * near.score <= 100 * far.score AND 100 * far.score <= 90 * near.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 10"""

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lattice, mixing, ngram_join, oracles, repeats, sharding, template, tokencount, toxicity
+from . import (
+    centroids,
+    decontam,
+    langid,
+    lattice,
+    mixing,
+    negatives,
+    ngram_join,
+    oracles,
+    repeats,
+    secretscan,
+    sharding,
+    template,
+    tokencount,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +152,26 @@ def op2_token_counts(spark, sf_dir):
     """Tokens of every document before and after its script of edits, and how much the edits made to encode again."""
     found = tokencount.counted(table(spark, sf_dir, "documents"), token_edits(), tokencount.Vocabulary.read())
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query(oracles.CENTROIDS)
+def op11_centroid_clustering(spark, sf_dir):
+    """Every vector with its cluster, its distance from the centroid and what the clustering comes to."""
+    found, points = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    named = found.withColumnRenamed("id", "vec_id").join(F.broadcast(centroids.digests(spark, points)), "cluster")
+    return named.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query(oracles.NEGATIVES)
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives for the positives of every vector whose id is divisible by 100, among all vectors."""
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", relabelled.alias("label"), "embedding")
+    return negatives.mine(negatives.usable(rows), F.col("id") % 100 == 0)
+
+
+@query()
+def op13_secret_scan(spark, sf_dir):
+    """Secrets in every document: what the patterns find, and tokens that look drawn at random."""
+    docs = table(spark, sf_dir, "documents")
+    return secretscan.digest(secretscan.scan(docs, secretscan.fit(secretscan.samples(docs))))
