@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.asof import as_of_dates, as_of_join
 from ..operators.latest import as_of, latest
 from ..operators.ranking import top_k as first_rows
 from ..operators.reshape import undot_columns
@@ -73,6 +74,36 @@ def asof_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(orders, moment, ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
 
 
+@query(
+    """WITH days AS (SELECT DISTINCT last_day(o_orderdate) AS as_of FROM orders)
+SELECT o_custkey, as_of::TIMESTAMP AS as_of, n.o_orderdate, n.o_orderkey, n.o_totalprice FROM (
+  SELECT o_custkey, as_of, max({'o_orderdate': o_orderdate, 'o_orderkey': o_orderkey, 'o_totalprice': o_totalprice}) AS n
+  FROM orders JOIN days ON o_orderdate <= as_of GROUP BY o_custkey, as_of)"""
+)
+def asof_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest order of each customer as of the last day of every month, all months in one pass."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    # a row per month
+    days = [r[0] for r in orders.where("o_orderdate is not null").select(F.last_day("o_orderdate")).distinct().collect()]
+    return as_of_dates(orders, days, ["o_custkey"], "o_orderdate", ["o_orderkey"])
+
+
+@query(
+    """SELECT event_id, user_id, ts, seen.event_id AS view_id, seen.ts AS viewed_at, seen.value AS view_value FROM (
+  SELECT *, max(CASE WHEN event_type = 'view' THEN {'ts': ts, 'event_id': event_id, 'value': value} END)
+    OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS seen FROM events) WHERE event_type = 'purchase'"""
+)
+def asof_join_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase with the last view of its user that is not after it."""
+    events = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    views = events.where(kind == "view").select(
+        "user_id", F.col("ts").alias("viewed_at"), F.col("event_id").alias("view_id"), F.col("value").alias("view_value")
+    )
+    purchases = events.where(kind == "purchase").select("event_id", "user_id", "ts")
+    return as_of_join(purchases, views, ["user_id"], "ts", "viewed_at", ["view_id"])
+
+
 @query(
     f"""{_TWO_DELIVERIES_SQL}
 SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.o_orderdate, b.o_orderdate) AS o_orderdate,
