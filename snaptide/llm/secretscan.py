@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import bounded, slices
+from .words import Words, bounded, slices
 
 # --- fixed values: the patterns, the shortest value of each, and the order of kinds ---
 KINDS = ("assign", "access", "hex", "markov")
@@ -52,6 +51,7 @@ _EDGE = len(ALPHABET)
 _SYMBOLS = _EDGE + 1
 _CODE = np.full(128, _EDGE, np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(_EDGE)
+_BYTE_CODE = np.append(_CODE, np.full(128, _EDGE)).astype(np.int32)
 # capital, small letter, digit, sign, edge
 _CLASS = np.array([0] * 26 + [1] * 26 + [2] * 10 + [3] * 5 + [4])
 
@@ -74,18 +74,67 @@ def _values(text: str) -> list[str]:
     return found + [text[a:b] for kind, a, b in base_spans(text) if kind != "assign"]
 
 
-def _free(text: str, spans: list[tuple[str, int, int]], least: int):
-    """Tokens of at least ``least`` characters that no span touches."""
-    covered = _merged(spans)
-    at = 0
-    for match in TOKEN.finditer(text):
-        start, end = match.span()
-        if end - start < least:
-            continue
-        while at < len(covered) and covered[at][1] <= start:
-            at += 1
-        if at == len(covered) or covered[at][0] >= end:
-            yield start, end
+_HEX = np.zeros(256, bool)
+_HEX[[ord(c) for c in "0123456789abcdef"]] = True
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[ord(c) for c in ALPHABET]] = True
+_HINTS = (b"passw", b"secret", b"token", b"api_key", b"apikey")
+
+
+class Tokens(Words):
+    """The tokens of each row of a column, and in ``spans`` what the patterns find in the rows that have any."""
+
+    def __init__(self, column: pa.Array):
+        super().__init__(column, _INSIDE)
+        hexes = Words(column, _HEX)
+        long = hexes.ends - hexes.starts >= SHORTEST["hex"]
+        maybe = set(hexes.row_of_word()[long].tolist())
+        # what cannot match is told from bytes, so that the patterns read few texts
+        plain = self.data.tobytes()
+        low = plain.lower()
+        for word, held in ((b"AKIA", plain), *((hint, low) for hint in _HINTS)):
+            at = held.find(word)
+            while at >= 0:
+                row = int(np.searchsorted(self.bounds, at, "right")) - 1
+                maybe.add(row)
+                at = held.find(word, int(self.bounds[row + 1]))
+        self.spans = {}
+        self.texts = {}
+        # bytes of each row that a span covers, as ranges that do not meet
+        self.covered = []
+        for row in sorted(maybe):
+            text = self.row(row).decode()
+            spans = base_spans(text)
+            if spans:
+                self.spans[row], self.texts[row] = spans, text
+                first = int(self.bounds[row])
+                for start, end in _merged(spans):
+                    self.covered.append((first + len(text[:start].encode()), first + len(text[:end].encode())))
+
+    def row(self, row: int) -> bytes:
+        return self.data[self.bounds[row] : self.bounds[row + 1]].tobytes()
+
+    def free(self, least: int) -> np.ndarray:
+        """Tokens of at least ``least`` characters that no span touches."""
+        keep = self.ends - self.starts >= least
+        for start, end in self.covered:
+            first = np.searchsorted(self.ends, start, "right")
+            keep[first : np.searchsorted(self.starts, end)] = False
+        return np.flatnonzero(keep)
+
+    def triples(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of every triple of the chosen tokens in the table, and the token (by its rank) it belongs to."""
+        starts, ends = self.starts[chosen], self.ends[chosen]
+        # each token with two edges before it and one behind
+        sizes = ends - starts + 3
+        owner = np.repeat(np.arange(len(chosen)), sizes)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) - 2
+        inside = (at >= 0) & (at < (sizes - 3)[owner])
+        codes = np.full(len(owner), _EDGE, np.int32)
+        codes[inside] = _BYTE_CODE[self.data[(starts[owner] + at)[inside]]]
+        place = (codes[:-2] * _SYMBOLS + codes[1:-1]) * _SYMBOLS + codes[2:]
+        whole = at[2:] >= 0
+        return place[whole], owner[2:][whole]
 
 
 def _merged(spans):
@@ -98,28 +147,31 @@ def _merged(spans):
     return out
 
 
-def samples(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Labelled samples of a corpus: ``value``, ``random`` and how often it was met, ``n``; a value may have several rows.
+def learn(docs: DataFrame, text_column: str = "text") -> Markov:
+    """Models learned from all texts of a corpus, with the labels that the patterns give.
 
     Every value the patterns find is a random string, every other token of ``TAUGHT`` characters or more an identifier, and so
     is what ``names`` puts together from the different words of a stretch of text.
     """
-    rows = bounded(docs).select(F.col(text_column).alias("text"))
-    return rows.where("text is not null").mapInArrow(_samples, "value string, random boolean, n long")
+    rows = bounded(docs).select(F.col(text_column).alias("text")).where("text is not null")
+    return _model(rows.mapInArrow(_count_texts, _COUNTS))
 
 
-def _samples(batches):
+def _count_texts(batches):
+    table = np.zeros((2, _SYMBOLS**3))
     for batch in slices(batches, "text"):
-        found: Counter = Counter()
-        for text in batch.column("text").to_pylist():
-            found.update((v, True) for v in _values(text))
-            found.update((text[a:b], False) for a, b in _free(text, base_spans(text), TAUGHT))
-        found.update((v, False) for v in names([v for v, random in found if not random and v.isalpha()]))
-        values = [v for v, _ in found]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values, pa.string()), pa.array([r for _, r in found], pa.bool_()), pa.array(found.values(), pa.int64())],
-            ["value", "random", "n"],
-        )
+        tokens = Tokens(batch.column("text"))
+        table[1] += _table([v for text in tokens.texts.values() for v in _values(text)])
+        free = tokens.free(TAUGHT)
+        table[0] += np.bincount(tokens.triples(free)[0], minlength=_SYMBOLS**3)
+        _, first = np.unique(tokens.hashes()[free], return_index=True)
+        words = [tokens.bytes_of(i, i + 1).decode() for i in free[np.sort(first)]]
+        table[0] += _table(list(names([w for w in words if w.isalpha()])))
+    yield _nonzero(table)
+
+
+def _table(values: list[str]) -> np.ndarray:
+    return np.bincount(_triples(values)[0], minlength=_SYMBOLS**3)
 
 
 def names(words: list[str]):
@@ -181,10 +233,16 @@ def fit(labelled: DataFrame) -> Markov:
     Rows without a value or a label teach nothing; without any row no string is told from another.
     """
     rows = labelled.where("value is not null and random is not null and n > 0").select("value", "random", "n")
-    counted = rows.mapInArrow(_count, "random boolean, place int, n double").groupBy("random", "place")
+    return _model(rows.mapInArrow(_count, _COUNTS))
+
+
+_COUNTS = "random boolean, place int, n double"
+
+
+def _model(counts: DataFrame) -> Markov:
     # a row per triple of symbols at most
     table = np.zeros((2, _SYMBOLS**3))
-    for random, place, n in counted.agg(F.sum("n").alias("n")).collect():
+    for random, place, n in counts.groupBy("random", "place").agg(F.sum("n").alias("n")).collect():
         table[int(random), place] = n
     if not table.any():
         return Markov(np.zeros(_SYMBOLS**3))
@@ -223,8 +281,12 @@ def _count(batches):
         place, owner = _triples(values)
         both = np.bincount(label[owner] * _SYMBOLS**3 + place, weight[owner], minlength=2 * _SYMBOLS**3)
         table += both.reshape(2, -1)
+    yield _nonzero(table)
+
+
+def _nonzero(table: np.ndarray) -> pa.RecordBatch:
     label, place = np.nonzero(table)
-    yield pa.RecordBatch.from_arrays(
+    return pa.RecordBatch.from_arrays(
         [pa.array(label.astype(bool)), pa.array(place.astype(np.int32)), pa.array(table[label, place])], ["random", "place", "n"]
     )
 
@@ -235,18 +297,17 @@ class _Scan:
 
     def __call__(self, batches):
         for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            found = [[(*s, None) for s in base_spans(t)] for t in texts]
-            tokens = [
-                (i, a, b)
-                for i, t in enumerate(texts)
-                for a, b in _free(t, [s[:3] for s in found[i]], LONG)
-                if _LETTER.search(t, a, b)
-            ]
-            scores = self.model.scores([texts[i][a:b] for i, a, b in tokens])
-            for (i, a, b), score in zip(tokens, scores.tolist(), strict=True):
-                if score >= ODDS:
-                    found[i].append(("markov", a, b, score))
+            tokens = Tokens(batch.column("text"))
+            found = [[(*s, None) for s in tokens.spans.get(row, ())] for row in range(tokens.rows)]
+            long = tokens.free(LONG)
+            place, owner = tokens.triples(long)
+            scores = np.bincount(owner, self.model.ratio[place], minlength=len(long))
+            rows = np.searchsorted(tokens.first, long, "right") - 1
+            for i, row, score in zip(long.tolist(), rows.tolist(), scores.tolist(), strict=True):
+                value = tokens.bytes_of(i, i + 1).decode()
+                if score >= ODDS and _LETTER.search(value):
+                    start = len(tokens.data[tokens.bounds[row] : tokens.starts[i]].tobytes().decode())
+                    found[row].append(("markov", start, start + len(value), score))
             spans = [
                 [dict(zip(("kind", "start", "stop", "score"), s, strict=True)) for s in sorted(f, key=_place)] for f in found
             ]

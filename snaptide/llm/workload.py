@@ -174,4 +174,4 @@ def op12_hard_negatives(spark, sf_dir):
 def op13_secret_scan(spark, sf_dir):
     """Secrets in every document: what the patterns find, and tokens that look drawn at random."""
     docs = table(spark, sf_dir, "documents")
-    return secretscan.digest(secretscan.scan(docs, secretscan.fit(secretscan.samples(docs))))
+    return secretscan.digest(secretscan.scan(docs, secretscan.learn(docs)))

@@ -257,7 +257,7 @@ def test_random_text_equals_a_hand_reading():
 
 @pytest.fixture(scope="module")
 def model(documents):
-    return secretscan.fit(secretscan.samples(documents))
+    return secretscan.learn(documents)
 
 
 def random_strings(rng, count, alphabet):
@@ -320,6 +320,24 @@ def test_models_equal_plain_counts(spark):
     assert not secretscan.fit(frame.limit(0)).ratio.any()
 
 
+def test_a_corpus_teaches_what_its_plain_samples_teach(spark):
+    texts = HARD_TEXTS[:-1] + ["Some words and more_words, zwölf Wörter: über12 über12 token=aAbBcC99 x", None, "abcd" * 9]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows, words = [], []
+    for text in texts:
+        spans = plain_spans(text or "")
+        rows += [(m[2], 1, 1) for m in secretscan.ASSIGN.finditer(text or "") if len(m[2]) >= 6]
+        rows += [(text[a:b], 1, 1) for kind, a, b in spans if kind != "assign"]
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text or ""):
+            if m.end() - m.start() >= 4 and not any(a < m.end() and m.start() < b for _, a, b in spans):
+                rows.append((m[0], 0, 1))
+                words += [m[0]] if m[0].isalpha() and m[0] not in words else []
+    rows += [(name, 0, 1) for name in secretscan.names(words)]
+    assert len(words) > 9 and sum(r[1] for r in rows) > 9
+    frame = spark.createDataFrame([(v, bool(r), n) for v, r, n in rows], "value string, random boolean, n long")
+    assert secretscan.learn(clashing(docs)).ratio == pytest.approx(secretscan.fit(frame).ratio)
+
+
 def test_scan_adds_to_the_patterns_and_keeps_them(spark, model):
     key = "tZ8kQ0vX2mWn5Rb7LpYc3Hd9"
     texts = HARD_TEXTS + [f"the key {key} is here, {key}!", None, "1234567890123456 12345678901234567890"]
