@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.reshape import explode_map, pivot_sum
 from ..schemas import AUDIT, AUDIT_METRICS, HISTORY
 from ..sinks.catalog import ensure_table, insert_by_name
+from ..sinks.publish import read_history
+from ..sources.files import read_table
+from ..streaming.landing import read_quarantine
+from ..streaming.progress import read_progress
 
 AUDIT_KEYS = [name for name in HISTORY.names if name != "operationMetrics"]
 
@@ -37,3 +41,35 @@ def append_audit(spark: SparkSession, history: DataFrame, table: str) -> DataFra
 def newest_first(audit: DataFrame) -> DataFrame:
     """The audit table as a view, last version first; sorted for reading, not for a write."""
     return audit.orderBy(F.desc("version"))
+
+
+def audit_steps(
+    spark: SparkSession, progress: str, logs: Mapping[str, str], landings: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """``step``, ``rows_in``, ``rows_out`` and ``rejected`` over all runs of a chain.
+
+    ``landings`` are the bronze and the quarantine of a step, counted from their footers. Other streams are known by
+    their progress: a stateful one lets through the rows that changed its state. ``logs`` are published tables, which have
+    their own history.
+    """
+    steps = read_progress(spark, progress).where(~F.col("query_name").isin(*landings)).groupBy(
+        F.col("query_name").alias("step")
+    ).agg(F.sum("input_rows").alias("rows_in"), F.sum("updated_rows").alias("rows_out"), F.lit(None).cast("bigint").alias("rejected"))
+    for step, (bronze, quarantine) in landings.items():
+        good = read_table(spark, bronze, T.StructType([])).agg(F.count("*").alias("good"))
+        bad = read_quarantine(spark, quarantine).agg(F.count("*").alias("rejected"))
+        # a row each
+        steps = steps.unionByName(
+            good.join(F.broadcast(bad)).select(
+                F.lit(step).alias("step"), (F.col("good") + F.col("rejected")).alias("rows_in"), F.col("good").alias("rows_out"), "rejected"
+            )
+        )
+    for step, path in logs.items():
+        metric = F.col("operationMetrics")
+        written = read_history(spark, path).agg(
+            F.lit(None).cast("bigint").alias("rows_in"),
+            F.sum(metric["numOutputRows"].cast("bigint")).alias("rows_out"),
+            F.sum(metric["numRejectedRows"].cast("bigint")).alias("rejected"),
+        )
+        steps = steps.unionByName(written.select(F.lit(step).alias("step"), "*"))
+    return steps

@@ -74,8 +74,8 @@ def standings(
     return rank_rows(materialize(table, "standings"), order)
 
 
-def player_facts(players: DataFrame) -> DataFrame:
-    """Flat columns of the nested player documents that the reports use."""
+def player_facts(players: DataFrame, *more: str) -> DataFrame:
+    """Flat columns of the nested player documents that the reports use, and ``more`` columns."""
     return players.select(
         "id",
         "name",
@@ -84,6 +84,19 @@ def player_facts(players: DataFrame) -> DataFrame:
         F.col("`0`.games.position").alias("position"),
         F.col("`0`.goals.total").alias("goals"),
         F.col("`0`.goals.assists").alias("assists"),
+        *more,
+    )
+
+
+def player_totals(facts: DataFrame, at: str = "statistics_no") -> DataFrame:
+    """One row per player from facts with one row per statistics entry: goals and assists summed, team and position of the first.
+
+    A counter that is NULL in all entries stays NULL.
+    """
+    return facts.groupBy("id").agg(
+        *[F.min_by(c, at).alias(c) for c in ("name", "age", "team", "position")],
+        F.sum("goals").alias("goals"),
+        F.sum("assists").alias("assists"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,11 +20,14 @@ from ..schemas import (
 )
 from ..scratch import materialize
 from ..session import stateful_session
-from ..sinks.publish import append_files, next_run, publish, read_history, read_run
-from ..sources.files import REJECTED, read_table, stream_snapshots, stream_table
+from ..sinks.catalog import ensure_database, save_table
+from ..sinks.publish import next_run, publish, read_run
+from ..sources.files import REJECTED, read_table, stream_table
+from ..sources.headers import REASON, by_header, stream_lines
 from ..streaming.ingest import append_stream, dedupe_stream
-from ..streaming.progress import progress_table
+from ..streaming.landing import Landed, land, read_quarantine, with_batch
 from ..streaming.upsert import read_state, upsert_stream
+from .audit import audit_steps
 from .gold import latest_table, leaderboard
 
 
@@ -41,6 +45,8 @@ class Zones:
     watermark: tuple[str, str] | None = None
     # drop copies within an Arrow batch first: for input in which one row has very many copies
     collapse: bool = False
+    # managed tables of the reports are kept here, too
+    database: str | None = None
 
     @property
     def bronze(self) -> str:
@@ -51,8 +57,12 @@ class Zones:
         return f"{self.root}/silver"
 
     @property
-    def audit(self) -> str:
-        return f"{self.root}/audit"
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
+    @property
+    def progress(self) -> str:
+        return f"{self.root}/progress"
 
     @property
     def current(self) -> str:
@@ -76,23 +86,28 @@ def silver_columns(bronze: DataFrame) -> DataFrame:
     return bronze.transform(add_totals, STANDINGS_TOTALS).transform(select_columns, SILVER_COLUMNS)
 
 
-def to_bronze(spark: SparkSession, zones: Zones):
-    """New snapshot files, typed and keyed, appended to bronze."""
-    raw = _landing(spark, zones)
-    return append_stream(
-        bronze_columns(raw, zones.key_suffix), zones.bronze, zones.checkpoint("bronze"), "bronze_ingest"
-    )
+def landed(lines: DataFrame, zones: Zones) -> DataFrame:
+    """Lines of snapshot files as rows of bronze, matched by the header of each file; rejects keep their text and reason."""
+    return bronze_columns(by_header(lines, STANDINGS_RAW, zones.date_format), zones.key_suffix)
 
 
-def _landing(spark: SparkSession, zones: Zones) -> DataFrame:
-    return stream_snapshots(
-        spark, zones.landing, STANDINGS_RAW, zones.date_format, zones.max_files, keep_rejects=True
+def to_bronze(spark: SparkSession, zones: Zones) -> Landed:
+    """New snapshot files, typed and keyed, into bronze; what cannot be read goes to the quarantine."""
+    return land(
+        stream_lines(spark, zones.landing, zones.max_files),
+        lambda lines: landed(lines, zones),
+        zones.bronze,
+        zones.quarantine,
+        zones.checkpoint("bronze"),
+        "bronze_ingest",
+        log=zones.progress,
     )
 
 
 def bronze_schema(spark: SparkSession, zones: Zones) -> StructType:
     """Columns of bronze, which are known before there is any file."""
-    return bronze_columns(_landing(spark, zones), zones.key_suffix).schema
+    lines = spark.createDataFrame([], "value string, file string, start long")
+    return with_batch(landed(lines, zones).drop(REJECTED, REASON).schema)
 
 
 def read_bronze(spark: SparkSession, zones: Zones) -> DataFrame:
@@ -113,7 +128,7 @@ def to_silver(spark: SparkSession, zones: Zones):
     rows = dedupe_stream(
         silver_columns(_bronze_stream(session, zones)), SILVER_COLUMNS, zones.watermark, zones.collapse
     )
-    return append_stream(rows, zones.silver, zones.checkpoint("silver"), "silver_dedupe")
+    return append_stream(rows, zones.silver, zones.checkpoint("silver"), "silver_dedupe", log=zones.progress)
 
 
 def to_current(spark: SparkSession, zones: Zones):
@@ -125,6 +140,7 @@ def to_current(spark: SparkSession, zones: Zones):
         "silver_upsert",
         keys=["entity_id"],
         sequence_by="snapshot_date",
+        log=zones.progress,
     )
 
 
@@ -133,15 +149,25 @@ def read_current(spark: SparkSession, zones: Zones) -> DataFrame:
     return read_state(spark, zones.current, ["entity_id"], "snapshot_date", schema=schema)
 
 
-def to_gold(spark: SparkSession, zones: Zones, ties: str = "break", run_id: int | None = None) -> dict[str, DataFrame]:
-    """The league table from silver, published as a run, and its views.
+def gold_candidate(spark: SparkSession, zones: Zones, ties: str = "break") -> DataFrame:
+    """The league table from silver, written where no reader looks, to be judged before it is published."""
+    return materialize(latest_table(read_silver(spark, zones), ties), "candidate")
+
+
+def publish_gold(
+    spark: SparkSession, zones: Zones, table: DataFrame, run_id: int | None = None
+) -> dict[str, DataFrame]:
+    """Publish a league table as a run, and as a managed table if the zones have a database; its views.
 
     Nothing is sorted before it is written, since no reader gets that order; the views sort. A
     reader sees the former run until the new one is complete.
     """
     path = zones.gold("league_table")
-    publish(latest_table(read_silver(spark, zones), ties), path, next_run(spark, path) if run_id is None else run_id)
+    publish(table, path, next_run(spark, path) if run_id is None else run_id, writer=uuid.uuid4().hex)
     table = read_run(spark, path)
+    if zones.database is not None:
+        ensure_database(spark, zones.database)
+        save_table(table, f"{zones.database}.league_table")
     return {
         "league_table": table,
         "most_wins": leaderboard(table, "wins"),
@@ -149,54 +175,56 @@ def to_gold(spark: SparkSession, zones: Zones, ties: str = "break", run_id: int
     }
 
 
+def to_gold(spark: SparkSession, zones: Zones, ties: str = "break", run_id: int | None = None) -> dict[str, DataFrame]:
+    """The league table from silver, published as a run, and its views."""
+    return publish_gold(spark, zones, gold_candidate(spark, zones, ties), run_id)
+
+
 class QualityFailure(RuntimeError):
-    """A rule of the suite failed; ``report`` holds all of them."""
+    """A rule of the suite failed, and nothing was published; ``report`` holds all rules."""
 
     def __init__(self, report: DataFrame, failed: list):
         super().__init__("; ".join(f"{r.check_name} {r.column_name}: {r.observed}, not {r.expected}" for r in failed))
         self.report, self.failed = report, failed
 
 
-def refine(
-    spark: SparkSession, zones: Zones, rules: list[Rule], ties: str = "break", gate: bool = True
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One run through all zones: reports and quality report. Any failure stops the run.
-
-    The quality report holds the rules on the league table and the number of
-    bronze lines that could not be parsed. With ``gate`` a failed rule raises ``QualityFailure``. Every step that took
-    rows in leaves its rows in the audit table (``read_audit``).
-    """
-    steps = [to_bronze(spark, zones), to_silver(spark, zones), to_current(spark, zones)]
-    reports = to_gold(spark, zones, ties)
-    log_run(spark, zones, steps)
-    unread = run_suite(read_bronze(spark, zones), [no_rejects(REJECTED)])
+def judged(report: DataFrame, gate: bool) -> DataFrame:
+    """The quality report; with ``gate`` a failed rule raises ``QualityFailure``."""
     # a row per rule
-    report = materialize(run_suite(reports["league_table"], rules).unionAll(unread), "quality")
+    report = materialize(report, "quality")
     failed = failed_checks(report).collect()
     if gate and failed:
         raise QualityFailure(report, failed)
-    return reports, report
+    return report
+
+
+def rejects_report(spark: SparkSession, quarantine: str, run: Landed) -> DataFrame:
+    """The rule that this run has put nothing into the quarantine."""
+    return run_suite(read_quarantine(spark, quarantine, run.batches), [no_rejects(REJECTED)])
+
 
+def refine(
+    spark: SparkSession, zones: Zones, rules: list[Rule], ties: str = "break", gate: bool = True
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """One run through all zones: reports and quality report. Any failure stops the run.
 
-def log_run(spark: SparkSession, zones: Zones, steps: list) -> None:
-    """Append a row per micro-batch of the streams to the audit files; the change log and gold have their own history."""
-    append_files(progress_table(spark, *steps).select("query_name", "batch_id", "executed_at", "input_rows"), zones.audit)
+    Lines that cannot be read go to the quarantine and no further. The quality report holds the rules on the
+    new league table and the number of lines this run has put into the quarantine. It is made before anything is
+    published: with ``gate`` a failed rule raises ``QualityFailure`` and readers keep the former run. The good rows
+    of that run stay in silver, so the next run publishes them. Every step leaves its rows in the audit (``read_audit``).
+    """
+    bronze = to_bronze(spark, zones)
+    to_silver(spark, zones)
+    to_current(spark, zones)
+    candidate = gold_candidate(spark, zones, ties)
+    report = judged(run_suite(candidate, rules).unionAll(rejects_report(spark, zones.quarantine, bronze)), gate)
+    return publish_gold(spark, zones, candidate), report
 
 
 def read_audit(spark: SparkSession, zones: Zones) -> DataFrame:
     """Rows taken, written and rejected by each step of all runs: bronze, silver, current and gold."""
-    taken = read_table(spark, zones.audit).groupBy(F.col("query_name").alias("step")).agg(
-        F.sum("input_rows").alias("rows_in"), F.lit(None).cast("bigint").alias("rows_out"), F.lit(None).cast("bigint").alias("rejected")
-    )
-    for step, path in (("current", zones.current), ("gold", zones.gold("league_table"))):
-        metric = F.col("operationMetrics")
-        written = read_history(spark, path).agg(
-            F.lit(None).cast("bigint").alias("rows_in"),
-            F.sum(metric["numOutputRows"].cast("bigint")).alias("rows_out"),
-            F.sum(metric["numRejectedRows"].cast("bigint")).alias("rejected"),
-        )
-        taken = taken.unionByName(written.select(F.lit(step).alias("step"), "*"))
-    return taken
+    logs = {"current": zones.current, "gold": zones.gold("league_table")}
+    return audit_steps(spark, zones.progress, logs, {"bronze_ingest": (zones.bronze, zones.quarantine)})
 
 
 def failed_checks(report: DataFrame) -> DataFrame:

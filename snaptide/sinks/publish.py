@@ -66,7 +66,11 @@ def publish(
     writer: str | None = None,
     batch: int | None = None,
 ) -> None:
-    """Write ``df`` as run ``run_id``, then log it with its metrics and more given ones."""
+    """Write ``df`` as run ``run_id``, then log it with its metrics and more given ones.
+
+    Written again by the same ``writer`` (and ``batch``), or by none both times, it replaces the former attempt; the rows of
+    another writer stay beside it.
+    """
     spark = df.sparkSession
     attempt = uuid.uuid4().hex
     folder = run_path(path, run_id, attempt)
@@ -88,10 +92,14 @@ def publish(
 
 
 def _logged(spark: SparkSession, path: str) -> DataFrame:
-    """The row of the last attempt at each run; a compaction stands beside the run it was made at."""
+    """The row of the last attempt of each writer at each run; a compaction stands beside the run it was made at.
+
+    Two writers may have asked for the next number at once: both are in it, and neither replaces the other.
+    """
     rows = spark.read.schema(_STORED).parquet(f"{path}/history")
     compacted = (F.col("operation") == COMPACT).alias("compacted")
-    return first_rows(rows.select("*", compacted), ["version", "compacted"], ["timestamp", "attempt"])
+    same = ["version", "compacted", "writer", "batch"]
+    return first_rows(rows.select("*", compacted), same, ["timestamp", "attempt"])
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -126,14 +134,15 @@ def next_run(spark: SparkSession, path: str) -> int:
 
 
 def _folder(spark: SparkSession, path: str, run_id: int) -> str:
-    row = _logged(spark, path).where((F.col("version") == run_id) & ~F.col("compacted")).select("attempt").first()
+    attempts = _logged(spark, path).where((F.col("version") == run_id) & ~F.col("compacted"))
+    row = attempts.orderBy(F.desc("timestamp"), F.desc("attempt")).select("attempt").first()
     if row is None:
         raise ValueError(f"run {run_id} is not published under {path}")
     return run_path(path, run_id, row[0])
 
 
 def read_run(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
-    """Rows of one run; the last published one by default."""
+    """Rows of one run; the last published one by default, and of two writers of one number the later one's."""
     run = last_run(spark, path) if run_id is None else run_id
     if run is None:
         raise ValueError(f"nothing published under {path}")

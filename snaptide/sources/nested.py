@@ -51,19 +51,18 @@ def payload_rejects(payloads: DataFrame, column: str, schema: T.StructType) -> D
     return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def explode_payload(payloads: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Players of raw payloads: profile columns beside the first statistics struct, ``"0"``.
+def explode_payload(payloads: DataFrame, column: str, schema: T.StructType, number: str = "statistics_no") -> DataFrame:
+    """Players of raw payloads: profile columns beside one statistics struct, ``"0"``, and which one it is.
 
-    One row per element of ``response``. Profile and statistics are taken from
-    the same element, so nothing is matched by position.
+    One row per statistics entry of each element of ``response``: a player with two clubs has two. One without any has a
+    row without statistics. Profile and statistics are taken from the same element, so nothing is matched by position.
     """
     others = [named(c) for c in payloads.columns if c != column]
     items = payloads.select(
         *others, F.explode(F.from_json(F.col(column), schema)["response"]).alias("__item")
     )
-    return items.select(
-        *others, F.col("__item.player.*"), F.get(F.col("__item.statistics"), F.lit(0)).alias("0")
-    )
+    entries = items.select(*others, "__item", F.posexplode_outer("__item.statistics").alias(number, "__entry"))
+    return entries.select(*others, F.col("__item.player.*"), F.col("__entry").alias("0"), number)
 
 
 def normalise_payload(

@@ -8,16 +8,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from .progress import ProgressLog
 
-# Micro-batches of one run whose progress Spark keeps; a run of more is refused by ``progress_table``.
-KEPT_PROGRESS = 1 << 20
+def run_to_end(
+    writer: DataStreamWriter, timeout: int | None = None, log: str | None = None, table: str | None = None
+) -> StreamingQuery:
+    """Start a writer on all available input and wait for it; a failure is raised here.
+
+    With ``log`` every progress event is appended to that folder when it comes (``read_progress``). With
+    ``table`` the stream goes to a catalog table.
+    """
+    writer = writer.trigger(availableNow=True)
 
+    def start() -> StreamingQuery:
+        return writer.start() if table is None else writer.toTable(table)
 
-def run_to_end(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
-    """Start a writer on all available input and wait for it; a failure is raised here."""
-    writer._spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", KEPT_PROGRESS)
-    query = writer.trigger(availableNow=True).start()
-    return _wait(query, timeout)
+    if log is None:
+        return _wait(start(), timeout)
+    with ProgressLog(writer._spark, log) as events:
+        query = start()
+        try:
+            return _wait(query, timeout)
+        finally:
+            events.wait(query)
 
 
 def _wait(query: StreamingQuery, timeout: int | None) -> StreamingQuery:
@@ -36,6 +49,7 @@ def append_stream(
     name: str,
     timeout: int | None = None,
     partition_by: Sequence[str] = (),
+    log: str | None = None,
 ) -> StreamingQuery:
     """Append a stream to Parquet files.
 
@@ -50,22 +64,15 @@ def append_stream(
         .option("path", path)
         .partitionBy(*partition_by)
     )
-    return run_to_end(writer, timeout)
+    return run_to_end(writer, timeout, log)
 
 
 def append_stream_to_table(
-    df: DataFrame, table: str, checkpoint: str, name: str, timeout: int | None = None
+    df: DataFrame, table: str, checkpoint: str, name: str, timeout: int | None = None, log: str | None = None
 ) -> StreamingQuery:
     """Append a stream to a catalog table."""
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .toTable(table)
-    )
-    return _wait(query, timeout)
+    writer = df.writeStream.format("parquet").outputMode("append").queryName(name).option("checkpointLocation", checkpoint)
+    return run_to_end(writer, timeout, log, table)
 
 
 def collapse_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Progress of a streaming query as a table."""
+"""Progress of streaming queries as a table, written as it comes or read from the query."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import StreamingQuery
+import threading
+import uuid
 
-from .ingest import KEPT_PROGRESS
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from ..sources.files import table_there
 
 PROGRESS = T.StructType(
     [
@@ -17,22 +20,87 @@ PROGRESS = T.StructType(
         T.StructField("input_rows", T.LongType()),
         T.StructField("source", T.StringType()),
         T.StructField("sink", T.StringType()),
+        # rows that changed the state: of a deduplication, those it let through
+        T.StructField("updated_rows", T.LongType()),
     ]
 )
+# What Spark keeps of a query unless it is told otherwise.
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress event of a session's queries to ``path``, one row each, when it arrives.
+
+    So nothing of a run has to stay in the driver, and what was done before a driver is lost is on record.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        # a folder of its own: appends of two writers to one folder may undo each other
+        self.spark, self.path = spark, f"{path}/log-{uuid.uuid4().hex}"
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+        self.failure: Exception | None = None
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def _end_of(self, run_id) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        try:
+            p = event.progress
+            source = p.sources[0].description if p.sources else None
+            updated = sum(o.numRowsUpdated for o in p.stateOperators) if p.stateOperators else None
+            row = (str(p.id), str(p.runId), p.batchId, p.name, p.timestamp, p.numInputRows, source, p.sink.description, updated)
+            self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+        except Exception as error:  # an exception in a listener would go unseen: it is raised by ``wait``
+            self.failure = self.failure or error
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end_of(event.runId).set()
+
+    def wait(self, query: StreamingQuery, timeout: float = 300) -> None:
+        """Until all events of an ended query are written; raises what writing them raised."""
+        if not self._end_of(query.runId).wait(timeout):
+            raise TimeoutError(f"progress events of {query.name} did not end within {timeout} s")
+        if self.failure is not None:
+            raise RuntimeError(f"progress could not be written to {self.path}") from self.failure
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch that a ``ProgressLog`` has seen; empty if none was ever logged."""
+    logged = spark.createDataFrame([], PROGRESS)
+    if table_there(spark, path, PROGRESS):
+        logged = spark.read.schema(PROGRESS).option("recursiveFileLookup", True).parquet(path)
+    # an event that was delivered twice counts once
+    first = [F.first(c).alias(c) for c in PROGRESS.names if c not in ("run_id", "batch_id", "executed_at")]
+    return logged.groupBy("run_id", "batch_id", "executed_at").agg(*first).select(*PROGRESS.names)
 
 
 def _progress(query: StreamingQuery) -> list:
-    """Every report of a run; fails where some are missing."""
+    """Every report of a run; fails where Spark may have dropped the first ones."""
     reports = query.recentProgress
-    batches = [p["batchId"] for p in reports]
-    whole = len(reports) < KEPT_PROGRESS and all(b - a in (0, 1) for a, b in zip(batches, batches[1:], strict=False))
-    if not whole:
-        raise ValueError(f"progress of {query.name} is incomplete: {len(reports)} reports are left")
+    kept = int(SparkSession.active().conf.get(_KEPT, "100"))
+    # Spark drops the oldest one as soon as there are as many as it keeps
+    if len(reports) >= kept - 1:
+        raise ValueError(f"progress of {query.name} is incomplete: only the last {len(reports)} reports are left")
     return reports
 
 
 def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    """One row per micro-batch of each query that ``run_to_end`` ran."""
+    """One row per micro-batch of each query, as far as Spark keeps them; ``ProgressLog`` is for runs of more."""
     rows = [
         (
             str(p["id"]),
@@ -43,6 +111,7 @@ def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
             p["numInputRows"],
             p["sources"][0]["description"] if p["sources"] else None,
             p["sink"]["description"],
+            sum(o["numRowsUpdated"] for o in p["stateOperators"]) if p["stateOperators"] else None,
         )
         for query in queries
         for p in _progress(query)
@@ -52,4 +121,4 @@ def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
 
 def had_changes(query: StreamingQuery) -> bool:
     """Whether the run took any row in; an idle run reports a batch of none."""
-    return any(p["numInputRows"] > 0 for p in _progress(query))
+    return any(p["numInputRows"] > 0 for p in query.recentProgress) or any(p["numInputRows"] > 0 for p in _progress(query))

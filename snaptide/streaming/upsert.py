@@ -23,6 +23,7 @@ def upsert_stream(
     sequence_by: str | None = None,
     tiebreak: Sequence[str] = (),
     timeout: int | None = None,
+    log: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch, reduced to one row per key, as a run of a change log.
 
@@ -37,18 +38,17 @@ def upsert_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch):
             rejected = rejected_rows(batch, keys).count()
-            writer = _query_id(spark, checkpoint)
+            writer = query_id(spark, checkpoint)
             run = run_of(spark, path, writer, batch_id)
             changes = reduce_batch(batch, keys, sequence_by, tiebreak)
             publish(changes, path, run, "MERGE", metrics={"numRejectedRows": rejected}, writer=writer, batch=batch_id)
 
     return run_to_end(
-        df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write),
-        timeout,
+        df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write), timeout, log
     )
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave to the stream of this checkpoint."""
     return spark.read.json(f"{checkpoint}/metadata").select("id").first()[0]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import named
 from ..operators.quality import column_exists, row_count, run_suite, table_exists
@@ -14,6 +14,7 @@ from ..schemas import RAW_FILE_COLUMNS, STANDINGS_DATE_FORMAT, STANDINGS_RAW
 from ..scratch import persisted, work_area
 from ..sinks import catalog, publish as sink
 from ..sources.files import read_raw, read_snapshots, with_source_file
+from ..sources.headers import by_header, read_lines
 from .derived import STANDINGS_SQL, standings_snapshots
 from .registry import query, table
 
@@ -193,6 +194,34 @@ def csv_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, path, STANDINGS_RAW, STANDINGS_DATE_FORMAT)
 
 
+_TURNED = ("day", "o_custkey", "o_totalprice", "o_orderkey")
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate::DATE AS day, NULL::VARCHAR AS reason FROM orders
+  WHERE o_orderstatus <> 'P'
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'header: unknown price; missing o_totalprice' FROM orders WHERE o_orderstatus = 'P'"""
+)
+def csv_header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files of three headers: that of the schema, another order of it, and one with a name it does not have."""
+    day = F.date_format("o_orderdate", "dd.MM.yyyy").alias("day")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", day, "o_orderstatus")
+    schema = T.StructType(
+        [T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+         T.StructField("o_totalprice", T.DoubleType()), T.StructField("day", T.DateType())]
+    )
+    area = work_area(spark, "drift")
+
+    def deliver(status: str, columns: list) -> None:
+        rows = orders.where(F.col("o_orderstatus") == status).select(*columns)
+        rows.write.mode("append").option("header", True).csv(f"{area}/landing")
+
+    deliver("F", schema.names)
+    deliver("O", list(_TURNED))
+    deliver("P", ["o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"), "day"])
+    return by_header(read_lines(spark, f"{area}/landing"), schema, "dd.MM.yyyy").select(*schema.names, "reason")
+
+
 @query(_RAW_SQL)
 def snapshot_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files with blank separator columns cleaned, named by position and typed."""

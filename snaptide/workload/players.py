@@ -35,6 +35,30 @@ def payload_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.player_facts(players)
 
 
+@query(
+    """WITH entries AS (SELECT o_custkey, o_orderpriority < '3' AS urgent, count(*) FILTER (o_orderstatus = 'F') AS goals,
+    count(*) FILTER (o_orderstatus = 'O') AS assists FROM orders GROUP BY ALL)
+SELECT c_custkey AS id, c_name AS name, sum(goals)::BIGINT AS goals, sum(assists)::BIGINT AS assists,
+  count(o_custkey) AS entries FROM customer LEFT JOIN entries ON o_custkey = c_custkey GROUP BY c_custkey, c_name"""
+)
+def payload_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with a statistics entry for each of up to two clubs, all of them read and added up."""
+    urgent = (F.col("o_orderpriority") < "3").alias("urgent")
+    counted = table(spark, sf_dir, "orders").groupBy("o_custkey", urgent).agg(
+        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("total"), F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("assists")
+    )
+    # two entries at most
+    entry = F.struct(F.struct("total", "assists").alias("goals"))
+    clubs = counted.groupBy("o_custkey").agg(F.collect_list(entry).alias("statistics"))
+    players = table(spark, sf_dir, "customer").join(clubs, F.col("c_custkey") == F.col("o_custkey"), "left")
+    profile = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("player")
+    body = F.struct(F.array(F.struct(profile, "statistics")).alias("response"))
+    entries = explode_payload(players.select(F.to_json(body).alias("payload")), "payload", PLAYERS_PAYLOAD)
+    facts = gold.player_facts(entries, "statistics_no")
+    number = facts.groupBy("id").agg(F.count("statistics_no").alias("entries"))
+    return gold.player_totals(facts).select("id", "name", "goals", "assists").join(number, "id")
+
+
 def _cut(whole: Column) -> Column:
     """JSON that ends too soon for customers in debt."""
     return F.when(F.col("c_acctbal") < 0, F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(whole)

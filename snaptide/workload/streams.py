@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.quality import not_null, standings_rules
+from ..operators.quality import not_null, row_count, standings_rules
 from ..operators.reshape import undot_columns
 from ..plans import chains, zones as refinement
 from ..plans.gold import player_facts
-from ..schemas import PLAYERS, TABLE_COLUMNS, TEAM_SUMMARY
+from ..schemas import HISTORY, PLAYERS, STANDINGS_DATE_FORMAT, TABLE_COLUMNS, TEAM_SUMMARY
 from ..scratch import materialize, work_area
 from ..session import stateful_session
-from ..sinks.publish import append_files
-from ..sources.files import read_table, stream_snapshots, stream_table
+from ..sinks.publish import append_files, read_history, read_run
+from ..sources.files import read_table, stream_snapshots, stream_table, table_there
 from ..sources.nested import stream_nested_json
+from ..streaming.changes import changes_only
 from ..streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
-from ..streaming.progress import progress_table
+from ..streaming.landing import read_quarantine
+from ..streaming.newest import newest_stream, read_newest
+from ..streaming.progress import progress_table, read_progress
 from ..streaming.upsert import read_state, upsert_stream
-from .derived import STANDINGS_SQL, player_documents, standings_snapshots, team_summaries
+from .derived import SNAPSHOT_DAYS, STANDINGS_SQL, player_documents, standings_snapshots, team_summaries
 from .files import _database, write_raw_snapshots
 from .players import _FACTS_SQL
 from .registry import query, table
-from .snapshots import DELIVERY, _CONSISTENT_SQL, _LATEST_SQL, _NEWEST_ORDER, _SUMMARY_SQL, _TABLE, _deliveries
+from .snapshots import DELIVERY, _CONSISTENT_SQL, _LATEST_SQL, _NEWEST_ORDER, _SUMMARY_SQL, _TABLE, _deliveries, _silver
 
 
 def _table_files(sf_dir: str, name: str) -> str:
@@ -164,19 +167,78 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER {_NEWEST_ORDER} AS n FROM orders) WHERE n = 1"""
+)
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest order of each customer by streaming aggregation: the later delivery comes first, the stream is started for each."""
+    area = work_area(spark, "latest")
+    order = ["o_orderdate", "o_orderkey"]
+    for delivery in reversed(_deliveries(spark, sf_dir)):
+        rows = delivery.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+        append_files(rows, f"{area}/landing")
+        stream = stream_table(stateful_session(spark), f"{area}/landing", rows.schema)
+        newest_stream(stream, f"{area}/log", f"{area}/checkpoint", "latest_orders", ["o_custkey"], order)
+    return read_newest(spark, f"{area}/log", ["o_custkey"], order)
+
+
+@query(
+    f"""{STANDINGS_SQL}, shown AS (SELECT *, lag({{'a': matches_played, 'b': wins, 'c': draws, 'd': losses, 'e': goals_for,
+  'f': goals_against}}) OVER (PARTITION BY team ORDER BY snapshot_date) AS before FROM standings)
+SELECT team, snapshot_date, matches_played, wins, draws, losses, goals_for, goals_against FROM shown
+WHERE before IS NULL OR before <> {{'a': matches_played, 'b': wins, 'c': draws, 'd': losses, 'e': goals_for, 'f': goals_against}}"""
+)
+def stream_changes_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of the standings, a delivery for each date and each of them sent twice, without teams that had no event."""
+    area = work_area(spark, "changes")
+    columns = ["team", "snapshot_date", "matches_played", "wins", "draws", "losses", "goals_for", "goals_against"]
+    rows = materialize(_silver(spark, sf_dir).select(*columns), "silver")
+    for day in SNAPSHOT_DAYS.values():
+        for _ in range(2):
+            append_files(rows.where(F.col("snapshot_date") == F.lit(day).cast("date")), f"{area}/landing")
+        stream = stream_table(stateful_session(spark), f"{area}/landing", rows.schema)
+        changed = changes_only(stream, ["team"], "snapshot_date")
+        append_stream(changed, f"{area}/changed", f"{area}/checkpoint", "changed_teams")
+    return read_table(spark, f"{area}/changed")
+
+
+def _many_files(spark: SparkSession, sf_dir: str, area: str) -> DataFrame:
+    """Orders as a stream of over 100 micro-batches."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders.repartition(104).write.parquet(f"{area}/landing")
+    return stream_table(spark, f"{area}/landing", orders.schema, max_files=1)
+
+
+def _taken(progress: DataFrame, written: int) -> DataFrame:
+    over = (F.count(F.when(F.col("input_rows") > 0, 1)) > 100).alias("over_a_hundred")
+    return progress.agg(F.sum("input_rows").alias("taken"), over).withColumn("written", F.lit(written).cast("bigint"))
+
+
 @query("SELECT count(*) AS taken, count(*) AS written, true AS over_a_hundred FROM orders")
 def progress_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress of a run of over 100 micro-batches, whole: the rows it took are the rows of the table."""
+    """Progress of a run of over 100 micro-batches, whole: the rows it took are the rows of the files."""
     area = work_area(spark, "many")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    orders.repartition(104).write.parquet(f"{area}/landing")
-    stream = stream_table(spark, f"{area}/landing", orders.schema, max_files=1)
-    taken = progress_table(spark, append_stream(stream, f"{area}/orders", f"{area}/checkpoint", "many"))
-    total = taken.agg(
-        F.sum("input_rows").alias("taken"), (F.count(F.when(F.col("input_rows") > 0, 1)) > 100).alias("over_a_hundred")
-    )
-    written = read_table(spark, f"{area}/orders").count()
-    return total.withColumn("written", F.lit(written).cast("bigint"))
+    stream = _many_files(spark, sf_dir, area)
+    append_stream(stream, f"{area}/orders", f"{area}/checkpoint", "many", log=f"{area}/progress")
+    return _taken(read_progress(spark, f"{area}/progress"), read_table(spark, f"{area}/orders").count())
+
+
+@query(
+    """SELECT 'progress_many' AS query_name, count(*) AS taken, count(*) AS written, true AS over_a_hundred FROM orders
+UNION ALL SELECT 'progress_few', count(*), count(*), false FROM orders"""
+)
+def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress of two streams into catalog tables, one of them of over 100 micro-batches, from one log."""
+    area, db = work_area(spark, "listener"), _database(spark)
+    few = _stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    found = None
+    for name, stream in (("progress_many", _many_files(spark, sf_dir, area)), ("progress_few", few)):
+        append_stream_to_table(stream, f"{db}.{name}", f"{area}/{name}", name, log=f"{area}/progress")
+        own = read_progress(spark, f"{area}/progress").where(F.col("query_name") == name)
+        taken = _taken(own, spark.table(f"{db}.{name}").count()).withColumn("query_name", F.lit(name))
+        found = taken if found is None else found.unionByName(taken)
+    return found
 
 
 @query(f"{_LATEST_SQL} SELECT * FROM latest")
@@ -192,6 +254,36 @@ def zones_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports["league_table"]
 
 
+@query(
+    f"""{STANDINGS_SQL}, newest AS (SELECT *, row_number() OVER (PARTITION BY team ORDER BY snapshot_date DESC) AS n FROM standings)
+SELECT 'league table' AS part, team, wins FROM newest WHERE n = 1
+UNION ALL SELECT 'quarantine', team, NULL FROM standings WHERE snapshot_date = DATE '2024-01-10' AND wins % 2 = 1
+UNION ALL SELECT 'published by the refused run', NULL, 0"""
+)
+def zones_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery with unreadable lines is refused; the next one publishes, and those lines are in the quarantine."""
+    area = work_area(spark, "gate")
+    zones = refinement.Zones(f"{area}/landing", area)
+    raw = materialize(standings_snapshots(spark, sf_dir), "raw")
+    teams = raw.agg(F.count_distinct("Team")).first()[0]
+    first = F.col("match_date") == F.lit(SNAPSHOT_DAYS[10]).cast("date")
+    odd = (F.col("W") + F.col("`W.1`")) % 2 == 1
+    shown = []
+    for delivery, place in ((raw.where(first), F.when(odd, F.lit("x")).otherwise(F.col("Pos").cast("string"))), (raw.where(~first), F.col("Pos"))):
+        rows = delivery.withColumn("Pos", place)
+        rows = rows.withColumn("match_date", F.date_format("match_date", STANDINGS_DATE_FORMAT))
+        rows.write.mode("append").option("header", True).csv(zones.landing)
+        try:
+            refinement.refine(spark, zones, [row_count(teams)])
+        except refinement.QualityFailure:
+            shown.append(read_history(spark, zones.gold("league_table")).count() if table_there(spark, f"{zones.gold('league_table')}/history", HISTORY) else 0)
+    league = read_run(spark, zones.gold("league_table")).select(F.lit("league table").alias("part"), "team", "wins")
+    lines = read_quarantine(spark, zones.quarantine).select(F.split("_rejected", ",").alias("cells"))
+    kept = lines.select(F.lit("quarantine").alias("part"), F.col("cells")[1].alias("team"), F.lit(None).cast("bigint").alias("wins"))
+    refused = spark.createDataFrame([("published by the refused run", None, n) for n in shown], league.schema)
+    return league.unionByName(kept).unionByName(refused)
+
+
 @query(
     f"""{STANDINGS_SQL}, newest AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY snapshot_date DESC)
   AS n FROM standings) SELECT {_TABLE} FROM newest WHERE n = 1"""

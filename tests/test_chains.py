@@ -10,6 +10,8 @@ from snaptide.operators.reshape import undot_columns
 from snaptide.plans import chains
 from snaptide.plans.zones import QualityFailure
 from snaptide.schemas import TEAM_SUMMARY
+from snaptide.sinks.publish import read_run
+from snaptide.streaming.landing import read_quarantine
 
 SCHEMA = T.StructType([T.StructField("team", T.StringType()), *TEAM_SUMMARY])
 
@@ -37,9 +39,19 @@ def test_team_chain_from_files_to_the_published_summary(spark, area):
     reports, _ = chains.run_chain(spark, chain)
     assert rows(reports["summary"].select("team", "played_total")) == [("a", 3), ("b", 1)]
     assert spark.read.parquet(chain.path("silver")).count() == 4
-    deliver(area, "4", "oops")
+    # a run with a line that cannot be read publishes nothing; the next one publishes its good rows, too
+    deliver(area, "4", "oops", summary("b", "2023-05-01", (5, 0, 0), (0, 0, 0)))
     with pytest.raises(QualityFailure, match="rejected"):
         chains.run_chain(spark, chain)
+    assert rows(read_run(spark, chain.path("gold/summary")).select("team", "played_total")) == [("a", 3), ("b", 1)]
+    deliver(area, "5", summary("a", "2023-05-01", (6, 0, 0), (0, 0, 0)))
+    reports, _ = chains.run_chain(spark, chain)
+    assert rows(reports["summary"].select("team", "played_total")) == [("a", 6), ("b", 5)]
+    assert rows(read_quarantine(spark, chain.path("quarantine")).select("source_file", "_rejected", "reason")) == [("4.csv", "oops", "line")]
+    audit = {r.step: (r.rows_in, r.rows_out, r.rejected) for r in chains.chain_audit(spark, chain).collect()}
+    assert audit["teams_bronze"] == (8, 7, 1)
+    assert audit["teams_silver"] == (7, 6, None) and audit["teams_current"][0] == 6
+    assert audit["current"] == (None, 6, 0) and audit["summary"] == (None, 6, None)
 
 
 def test_player_chain_keeps_rejects_and_the_last_document(spark, area):
@@ -58,6 +70,17 @@ def test_player_chain_keeps_rejects_and_the_last_document(spark, area):
     assert [tuple(r) for r in checks.select("check_name", "observed").collect()] == [("rejected", 1)]
 
 
+def test_a_corrected_count_is_taken_and_a_copy_is_not_a_change(spark, area):
+    os.makedirs(f"{area}/landing")
+    chain = chains.player_chain(f"{area}/landing", area, multi_line=False)
+    for name, goals in (("1", 5), ("2", 7), ("3", 7), ("4", 5)):
+        with open(f"{area}/landing/{name}.json", "w") as file:
+            file.write(json.dumps({"id": 1, "name": "p", "age": 20, "0": {"goals": {"total": goals, "assists": 1}}}) + "\n")
+        reports, _ = chains.run_chain(spark, chain)
+    assert [r.contributions for r in reports["top_contributions"].collect()] == [6]
+    assert [r.goals for r in spark.read.parquet(chain.path("silver")).orderBy("collected").collect()] == [5, 7, 5]
+
+
 def test_names_that_would_be_the_same_are_refused(spark):
     with pytest.raises(ValueError):
         undot_columns(spark.range(1).selectExpr("id AS `a.b`", "id AS a_b"))

@@ -169,3 +169,16 @@ def test_state_as_of_a_run(spark, area):
     assert rows(current_state(log, ["k"], run=1).drop("run_id")) == [("a", 1, "I"), ("b", 1, "I")]
     assert rows(current_state(log, ["k"], run=2).drop("run_id")) == [("a", 1, None), ("b", 2, "U"), ("c", 2, "I")]
     assert rows(current_state(log, ["k"]).drop("run_id")) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_two_writers_of_one_number_both_stay(spark, area):
+    first, second = (spark.createDataFrame([(k, 1)], "k string, v int") for k in "ab")
+    number = sink.next_run(spark, area)
+    for writer, df in (("one", first), ("two", second)):
+        sink.publish(df, area, number, writer=writer)
+    assert rows(sink.read_runs(spark, area).select("k", "run_id")) == [("a", number), ("b", number)]
+    assert sink.read_history(spark, area).count() == 2 and sink.next_run(spark, area) == number + 1
+    # the same writer again replaces its own rows only, and the later writer of a number is read as the run
+    sink.publish(second.withColumn("v", F.lit(2)), area, number, writer="two")
+    assert rows(sink.read_runs(spark, area).select("k", "v")) == [("a", 1), ("b", 2)]
+    assert rows(sink.read_run(spark, area)) == [("b", 2)]

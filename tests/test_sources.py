@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snaptide.plans.cleaning import clean_snapshots
 from snaptide.plans.gold import player_facts
 from snaptide.plans.zones import bronze_columns, silver_columns
+from snaptide.plans.gold import player_facts, player_totals
 from snaptide.schemas import (
     PLAYERS,
     PLAYERS_PAYLOAD,
@@ -106,7 +107,8 @@ def test_payload_with_several_players_and_missing_statistics(spark):
     assert rows(lost.select("call", "reason")) == [(10, "no payload"), (9, "unreadable")]
     got = explode_payload(df, "body", PLAYERS_PAYLOAD)
     assert got.columns[:3] == ["call", "id", "name"]
-    assert rows(got.select("call", "id", "`0`.goals.total")) == [(7, 1, 28), (7, 2, None)]
+    # every statistics entry is a row, and a player without any has one
+    assert rows(got.select("call", "id", "`0`.goals.total", "statistics_no")) == [(7, 1, 28, 0), (7, 1, None, 1), (7, 2, None, None)]
 
 
 def test_team_payload(spark):
@@ -175,3 +177,12 @@ def test_broken_json_is_kept(spark, area):
         file.write('{"id": 1}\n{"id": \n')
     df = read_nested_json(spark, f"{area}/json", PLAYERS, multi_line=False, keep_rejects=True)
     assert rows(df.select("id", "_rejected")) == [(1, None), (None, '{"id": ')]
+
+
+def test_goals_at_two_clubs_are_added_up(spark):
+    profile, statistics = player(1, "A", 7)
+    _, second = player(1, "A", 9)
+    payload = json.dumps({"response": [{"player": profile, "statistics": [statistics, second]}]})
+    facts = player_facts(explode_payload(spark.createDataFrame([(payload,)], "body string"), "body", PLAYERS_PAYLOAD), "statistics_no")
+    assert rows(facts.select("goals", "statistics_no")) == [(7, 0), (9, 1)]
+    assert rows(player_totals(facts).select("id", "goals")) == [(1, 16)]

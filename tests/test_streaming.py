@@ -10,10 +10,11 @@ from snaptide.operators.upsert import upsert
 from snaptide.plans import zones as refinement
 from snaptide.schemas import STANDINGS_DATE_FORMAT, STANDINGS_RAW
 from snaptide.session import stateful_session
-from snaptide.sinks.publish import last_run, publish, read_history, read_runs, run_of
+from snaptide.sinks.publish import last_run, publish, read_history, read_run, read_runs, run_of
 from snaptide.sources.files import stream_snapshots, stream_table
 from snaptide.streaming.ingest import append_stream, append_stream_to_table, collapse_copies, dedupe_stream
-from snaptide.streaming.progress import had_changes, progress_table
+from snaptide.streaming.landing import read_quarantine
+from snaptide.streaming.progress import had_changes, progress_table, read_progress
 from snaptide.streaming.upsert import compact, read_state, upsert_stream
 
 CHANGE = "k string, day int, v int"
@@ -168,13 +169,34 @@ def test_another_checkpoint_erases_nothing(spark, area):
     assert rows(read_state(spark, f"{area}/log", ["k"], "day").select("k", "v")) == [("a", 10), ("b", 20)]
 
 
-def test_progress_of_many_batches_is_whole(spark, area):
+def test_progress_is_whole_for_both_sinks_and_never_shown_in_part(spark, area):
     spark.range(1040).repartition(104).write.parquet(f"{area}/in")
-    stream = stream_table(spark, f"{area}/in", spark.range(1).schema, max_files=1)
-    done = append_stream(stream, f"{area}/out", f"{area}/checkpoint", "many", timeout=300)
-    taken = progress_table(spark, done)
-    assert taken.agg(F.sum("input_rows")).first()[0] == 1040
-    assert taken.where("input_rows > 0").count() == 104
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS logged LOCATION '{area}/db'")
+    name = "logged.t_" + area.rstrip("/").split("-")[-1].replace("_", "")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+
+    def stream():
+        return stream_table(spark, f"{area}/in", spark.range(1).schema, max_files=1)
+
+    files = append_stream(stream(), f"{area}/out", f"{area}/first", "files", timeout=300, log=f"{area}/log")
+    tables = append_stream_to_table(stream(), name, f"{area}/second", "tables", timeout=300, log=f"{area}/log")
+    for done in (files, tables):
+        own = read_progress(spark, f"{area}/log").where(F.col("query_name") == done.name)
+        assert rows(own.where("input_rows > 0").select("batch_id", "input_rows").groupBy().agg(F.count("*"), F.sum("input_rows"))) == [(104, 1040)]
+        assert own.where("source IS NULL OR sink IS NULL").count() == 0
+        with pytest.raises(ValueError, match="incomplete"):
+            progress_table(spark, done)
+    assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == kept
+    assert read_progress(spark, f"{area}/nothing").count() == 0
+
+
+def test_a_failed_run_has_logged_what_it_did(spark, area):
+    for batch in ([("a", 1, 10)], [("a", 2, 11), ("a", 3, 12)]):
+        changes(spark, area, batch)
+    stream = stream_table(spark, f"{area}/in", spark.createDataFrame([], CHANGE).schema, max_files=1)
+    with pytest.raises(Exception, match="duplicate key"):
+        upsert_stream(stream, f"{area}/changes", f"{area}/checkpoint", "failing", ["k"], timeout=120, log=f"{area}/log")
+    assert rows(read_progress(spark, f"{area}/log").select("batch_id", "input_rows")) == [(0, 1)]
 
 
 def test_an_empty_landing_folder_is_refined(spark, area):
@@ -232,3 +254,38 @@ def test_unreadable_lines_reach_the_quality_report(spark, area):
     _, quality = refinement.refine(spark, zones, standings_rules(3), gate=False)
     failed = {(r.check_name, r.column_name): r.observed for r in refinement.failed_checks(quality).collect()}
     assert failed[("rejected", "_rejected")] == 2
+
+
+def test_a_refused_run_publishes_nothing_and_the_next_one_its_good_rows(spark, area):
+    zones = refinement.Zones(f"{area}/landing", area, state_partitions=2, database="gated_" + area[-6:].replace("-", "_"))
+    spark.sql(f"CREATE DATABASE {zones.database} LOCATION '{area}/db'")
+    snapshots.write(zones.landing, "1.csv", snapshots.FIRST)
+    refinement.refine(spark, zones, standings_rules(3))
+    before = rows(read_run(spark, zones.gold("league_table")))
+    bad = [*snapshots.SECOND[:2], ["x", *snapshots.SECOND[2][1:]], snapshots.SECOND[3]]
+    snapshots.write(zones.landing, "2.csv", bad)
+    with pytest.raises(refinement.QualityFailure, match="rejected _rejected: 1, not 0"):
+        refinement.refine(spark, zones, standings_rules(4))
+    assert rows(read_run(spark, zones.gold("league_table"))) == before == rows(spark.table(f"{zones.database}.league_table"))
+    assert [r[:3] for r in rows(read_quarantine(spark, zones.quarantine).select("source_file", "reason", "_rejected"))] == [
+        ("2.csv", "line", ",".join(map(str, bad[2])))
+    ]
+    snapshots.write(zones.landing, "3.csv", [snapshots.SECOND[2]])
+    reports, quality = refinement.refine(spark, zones, standings_rules(4))
+    assert refinement.failed_checks(quality).count() == 0
+    got = rows(reports["league_table"].select("ranking", "team", "wins"))
+    assert got == [(1, "North End", 4), (2, "AFC  South", 2), (3, "Westham", 1), (4, "Easton", 0)]
+    assert rows(spark.table(f"{zones.database}.league_table")) == rows(reports["league_table"])
+    audit = {r.step: r for r in refinement.read_audit(spark, zones).collect()}
+    assert (audit["bronze_ingest"].rows_in, audit["bronze_ingest"].rows_out, audit["bronze_ingest"].rejected) == (8, 7, 1)
+    assert audit["silver_dedupe"].rows_out == 7
+
+
+def test_a_file_with_swapped_columns_does_not_reach_the_table(spark, area):
+    zones = refinement.Zones(f"{area}/landing", area, state_partitions=2)
+    swapped = [[*r[:2], r[14], *r[3:14], r[2], r[15]] for r in snapshots.SECOND]
+    snapshots.write(zones.landing, "1.csv", snapshots.FIRST)
+    snapshots.write(zones.landing, "2.csv", swapped, "Pos,Team,Pts,W,D,L,GF,GA,W,D,L,GF,GA,GD,P,match_date")
+    reports, quality = refinement.refine(spark, zones, standings_rules(3), gate=False)
+    assert {(r.check_name, r.observed) for r in refinement.failed_checks(quality).collect()} == {("rejected", 4)}
+    assert rows(reports["league_table"].select("matches_played")) == [(4,), (4,), (4,)]
