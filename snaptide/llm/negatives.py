@@ -294,23 +294,32 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _cells(chunks: DataFrame, blocks: DataFrame, seek: _Seek) -> DataFrame:
-    """Run the cells: each chunk goes to every lane of its blocks."""
+def _cells(chunks: DataFrame, blocks: DataFrame, parts: int, seek: _Seek) -> DataFrame:
+    """Run the cells: each chunk goes to every lane of its blocks.
+
+    They are few rows and much work, so they are dealt to ``parts`` tasks and not merged by their bytes.
+    """
     places = blocks.select(F.col("chunk").alias("chunk"), F.col("lane").alias("lane")).distinct()
-    cells = places.join(chunks, "chunk").groupBy("chunk", "lane").cogroup(blocks.groupBy("chunk", "lane"))
+    asked = places.join(chunks, "chunk").repartition(parts, "chunk", "lane")
+    cells = asked.groupBy("chunk", "lane").cogroup(blocks.repartition(parts, "chunk", "lane").groupBy("chunk", "lane"))
     # a plain function of two frames: of an object Spark would count itself as an argument
     return materialize(cells.applyInPandas(lambda own, others: seek(own, others), _BEST), "best")
 
 
-def positives(anchors: DataFrame, blocks: DataFrame, k: int = POSITIVES) -> DataFrame:
+def _tasks(anchors: int, lanes: int) -> int:
+    return max(1, -(-anchors // CHUNK_ROWS) * lanes)
+
+
+def positives(anchors: DataFrame, blocks: DataFrame, lanes: int, k: int = POSITIVES) -> DataFrame:
     """The first ``k`` other rows of each anchor's label: ``anchor``, ``id``, ``score`` and ``rank``."""
-    chunks = _packed(anchors, anchors.count(), CHUNK_ROWS, "chunks").withColumnRenamed("number", "chunk")
+    count = anchors.count()
+    chunks = _packed(anchors, count, CHUNK_ROWS, "chunks").withColumnRenamed("number", "chunk")
     where = blocks.select("number", "width", F.explode("labels").alias("label"))
     asked = chunks.select("chunk", "width", F.explode("labels").alias("label"))
     # chunks and blocks that have a label in common
     pairs = asked.join(where, ["width", "label"]).select("chunk", "number").distinct()
     own = pairs.join(blocks, "number")
-    found = _cells(chunks, own, _Seek(True, k, 0, 0))
+    found = _cells(chunks, own, _tasks(count, lanes), _Seek(True, k, 0, 0))
     return materialize(_best(found, k).drop("window"), "positives")
 
 
@@ -341,7 +350,7 @@ def mine(
     lane = F.pmod(F.xxhash64("number"), F.lit(lanes)).cast("int")
     blocks = blocks.withColumn("lane", lane)
     anchors = vectors.where(is_anchor)
-    near = positives(anchors, blocks, positives_each)
+    near = positives(anchors, blocks, lanes, positives_each)
     opened = near.groupBy("anchor").agg(F.collect_set("score").alias("windows"))
     asked = anchors.join(opened, anchors["id"] == opened["anchor"]).drop("anchor")
     asked = materialize(asked, "asked")
@@ -350,7 +359,7 @@ def mine(
     every = chunks.select("chunk", "width")
     # every chunk meets the blocks of its length, lane by lane
     own = blocks.join(every, "width")
-    found = _cells(chunks, own, _Seek(False, negatives_each, lowest, highest))
+    found = _cells(chunks, own, _tasks(number, lanes), _Seek(False, negatives_each, lowest, highest))
     hard = _best(found, negatives_each)
     # positives of one score open one window
     pairs = near.select("anchor", F.col("id").alias("positive_id"), F.col("score").alias("window")).join(hard, ["anchor", "window"])
