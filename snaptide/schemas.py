@@ -176,6 +176,9 @@ TEAM_PAYLOAD = T.StructType(
     ]
 )
 
+# Both spellings occur in the data; the first is the one of the schema.
+SPELLINGS = {"fouls.committed": ["fouls.commited"], "penalty.commited": ["penalty.committed"]}
+
 # --- fixed values: run history and audit ------------------------------------
 AUDIT_METRICS = ["numFiles", "numOutputRows", "numOutputBytes", "numRejectedRows"]
 

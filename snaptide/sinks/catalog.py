@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ..functions.names import named
 from ..scratch import work_area
 
 
@@ -27,6 +29,23 @@ def save_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int | None = None) -> None:
+    """Replace a managed table by one in sorted buckets of its keys, one file each.
+
+    A join or an upsert on the keys then reads it in place: only the other side is shuffled, into as many partitions. There
+    must be at least as many buckets as shuffle partitions, which is how many there are by default. The
+    new table is complete before the old one goes, and ``df`` may read the old one.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fresh = f"{table}_{uuid.uuid4().hex[:8]}"
+    dealt = df.repartition(buckets, *[named(k) for k in keys])
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+
 def create_distinct_table(spark: SparkSession, table: str, source: str) -> None:
     """``table`` as the distinct rows of another table."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")

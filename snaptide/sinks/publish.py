@@ -55,6 +55,14 @@ def written_metrics(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     )
 
 
+def even_files(df: DataFrame) -> DataFrame:
+    """``df`` in partitions of near the advisory size, so that few small inputs become few files and large ones even files.
+
+    One shuffle of what is written; adaptive execution merges and splits its partitions.
+    """
+    return df.hint("rebalance")
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -75,7 +83,7 @@ def publish(
     attempt = uuid.uuid4().hex
     folder = run_path(path, run_id, attempt)
     more = [F.lit(part) for name, value in (metrics or {}).items() for part in (name, str(value))]
-    df.write.parquet(folder)
+    even_files(df).write.parquet(folder)
     written_metrics(spark, folder, df.schema).select(
         F.lit(run_id).cast("bigint").alias("version"),
         F.current_timestamp().alias("timestamp"),
@@ -179,7 +187,7 @@ def read_runs(
 
 def append_files(df: DataFrame, path: str) -> None:
     """Append files; columns may be added over time (see ``read_merged``)."""
-    df.write.mode("append").parquet(path)
+    even_files(df).write.mode("append").parquet(path)
 
 
 def overwrite_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..scratch import persisted
+from ..sinks.publish import even_files
 from ..sources.files import REJECTED, table_there
 from ..sources.headers import FILE, REASON
 from .ingest import run_to_end
@@ -48,9 +49,9 @@ def land(
     def store(rows: DataFrame, number: int) -> None:
         rejected = F.col(REJECTED).isNotNull()
         good = rows.where(~rejected).drop(REJECTED, REASON)
-        good.write.mode("overwrite").parquet(f"{bronze}/{BATCH}={number}")
+        even_files(good).write.mode("overwrite").parquet(f"{bronze}/{BATCH}={number}")
         bad = rows.where(rejected).select(FILE, REJECTED, REASON)
-        bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={number}")
+        even_files(bad).write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={number}")
 
     def write(batch: DataFrame, number: int) -> None:
         with persisted(conform(batch)) as rows:

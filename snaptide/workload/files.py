@@ -15,6 +15,7 @@ from ..scratch import persisted, work_area
 from ..sinks import catalog, publish as sink
 from ..sources.files import read_raw, read_snapshots, with_source_file
 from ..sources.headers import by_header, read_lines
+from ..sources.tables import table_cells, table_grid
 from .derived import STANDINGS_SQL, standings_snapshots
 from .registry import query, table
 
@@ -194,6 +195,33 @@ def csv_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, path, STANDINGS_RAW, STANDINGS_DATE_FORMAT)
 
 
+_NESTED_SQL = """WITH kinds AS (SELECT o_custkey, o_orderstatus AS status, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS k FROM orders GROUP BY o_custkey, o_orderstatus)
+SELECT c_custkey, 0 AS table_no, NULL::INT AS parent_no, 1 AS depth, 0 AS row_no, c_name || '|' || c_name AS cells
+  FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT o_custkey, 0, NULL, 1, (2 * k - 1)::INT, status || '|' || n FROM kinds
+UNION ALL SELECT o_custkey, 0, NULL, 1, (2 * k)::INT, status || '|keys & more' FROM kinds
+UNION ALL SELECT o_custkey, k::INT, 0, 2, 0, low || '|' || high FROM kinds"""
+
+
+@query(_NESTED_SQL)
+def html_nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per customer: a table of the orders by status with spanning cells, in them tables of the first and last order."""
+    kinds = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(
+        F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
+    )
+    row = F.format_string(
+        '<tr><td rowspan="2">%s<td><!-- <td> -->%d</tr><tr><td>keys <table class=in><tr><th>%d</th><th>%d</th></tr></table> &amp; more</tr>',
+        "o_orderstatus", "n", "low", "high",
+    )
+    rows = kinds.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderstatus", row.alias("row")))).alias("rows"))
+    customers = table(spark, sf_dir, "customer").join(rows, F.col("c_custkey") == F.col("o_custkey"))
+    body = F.array_join(F.transform("rows", lambda r: r["row"]), "\n")
+    html = F.concat(F.lit('<h1>x</h1><TABLE class="out"><tr><th colspan=2>'), "c_name", F.lit("</th></tr>"), body, F.lit("</TABLE>"))
+    grid = table_grid(table_cells(customers.select("c_custkey", html.alias("html")), ["c_custkey"]), ["c_custkey"])
+    return grid.withColumn("cells", F.array_join("cells", "|", "-"))
+
+
 _TURNED = ("day", "o_custkey", "o_totalprice", "o_orderkey")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.reshape import flatten, with_constant
 from ..plans import gold
 from ..schemas import PLAYERS, PLAYERS_PAYLOAD, TEAM_COUNTERS, TEAM_PAYLOAD, TEAM_SIDES
 from ..scratch import work_area
+from ..sources.drift import payload_drift, variant_players
 from ..sources.files import REJECTED
 from ..sources.nested import explode_payload, normalise_payload, payload_rejects, read_nested_json
 from .derived import player_documents, player_payloads, team_summaries
@@ -59,6 +60,55 @@ def payload_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.player_totals(facts).select("id", "name", "goals", "assists").join(number, "id")
 
 
+def _segment_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload per customer of one segment or another, as ``source``: ids, names, orders as goals and fouls."""
+    counted = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "customer").join(counted, F.col("c_custkey") == F.col("o_custkey"), "left")
+    n = F.coalesce("n", F.lit(0))
+    profile = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("player")
+    entry = F.struct(F.struct(n.alias("total")).alias("goals"), F.struct((n * 2).alias("committed")).alias("fouls"))
+    body = F.struct(F.array(F.struct(profile, F.array(entry).alias("statistics"))).alias("response"))
+    return rows.select(F.col("c_mktsegment").alias("source"), F.to_json(body).alias("payload"))
+
+
+def _drifted(payloads: DataFrame) -> DataFrame:
+    """One segment spells a field otherwise, one names its goals anew, one sends the name as a number."""
+    source = F.col("source")
+    text = F.when(source == "BUILDING", F.replace("payload", F.lit("committed"), F.lit("commited")))
+    text = text.when(source == "MACHINERY", F.replace("payload", F.lit('"total"'), F.lit('"scored by"')))
+    text = text.when(source == "FURNITURE", F.regexp_replace("payload", '"name":"[^"]*"', '"name":12'))
+    return payloads.withColumn("payload", text.otherwise(F.col("payload")))
+
+
+@query(
+    """SELECT * FROM (VALUES
+  ('BUILDING', 'response[].statistics[].fouls.commited', 'unknown', NULL, 'bigint'),
+  ('BUILDING', 'response[].statistics[].fouls.committed', 'vanished', 'bigint', NULL),
+  ('MACHINERY', 'response[].statistics[].goals.scored by', 'unknown', NULL, 'bigint'),
+  ('MACHINERY', 'response[].statistics[].goals.total', 'vanished', 'bigint', NULL),
+  ('FURNITURE', 'response[].player.name', 'retyped', 'string', 'bigint')) t(source, path, drift, declared, found)
+WHERE source IN (SELECT c_mktsegment FROM customer)""",
+    "payload_drift",
+)
+def payload_drift_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the payloads of each segment differ from the schema."""
+    declared = T.StructType.fromDDL(
+        "response array<struct<player: struct<id: bigint, name: string>, "
+        "statistics: array<struct<goals: struct<total: bigint>, fouls: struct<committed: bigint>>>>>"
+    )
+    return payload_drift(_drifted(_segment_payloads(spark, sf_dir)), "payload", declared, ["source"])
+
+
+@query(
+    """SELECT c_custkey AS id, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_name ELSE '12' END AS name, CASE WHEN c_mktsegment <> 'MACHINERY' THEN count(o_custkey) END AS goals,
+  2 * count(o_custkey) AS fouls FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name, c_mktsegment"""
+)
+def payload_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same payloads read: either spelling arrives, and a drifted field loses nothing but itself."""
+    players = variant_players(_drifted(_segment_payloads(spark, sf_dir)), "payload")
+    return players.select("id", "name", F.col("`0`.goals.total").alias("goals"), F.col("`0`.fouls.committed").alias("fouls"))
+
+
 def _cut(whole: Column) -> Column:
     """JSON that ends too soon for customers in debt."""
     return F.when(F.col("c_acctbal") < 0, F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(whole)

@@ -9,6 +9,10 @@ from ..plans.gold import latest_table
 from ..schemas import TABLE_COLUMNS
 from ..scratch import materialize
 from .derived import STANDINGS_SQL
+from ..operators.sketches import distinct_over, relative_error, sketches
+from ..scratch import work_area
+from ..sinks.publish import append_files
+from ..sources.files import read_table
 from .registry import query, table
 from .snapshots import _LATEST_SQL, _silver
 
@@ -88,3 +92,31 @@ def dq_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule in which NULL on one side is a violation."""
     expected = F.when(F.col("goals_for") > 0, F.col("goals_for") - F.col("goals_against"))
     return quality.run_suite(_silver(spark, sf_dir), [quality.formula("goal_difference", expected, null_safe=True)])
+
+
+@query(
+    """WITH days AS (SELECT DISTINCT last_day(o_orderdate) AS high FROM orders),
+  ranges AS (SELECT (high - n)::DATE AS low, high FROM days, (VALUES (6), (89), (364)) r(n))
+SELECT low, high, count(DISTINCT o_custkey) AS customers, true AS within_error FROM ranges
+  LEFT JOIN orders ON o_orderdate::DATE BETWEEN low AND high GROUP BY low, high"""
+)
+def distinct_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with an order in the week, quarter and year up to every end of a month, from sketches per day that two deliveries stored.
+
+    The exact numbers beside them are counted from the orders.
+    """
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_custkey")
+    path = work_area(spark, "sketches")
+    cut = F.lit("1998-07-01").cast("date")
+    for delivery in (orders.where(F.col("day") < cut), orders.where(F.col("day") >= cut)):
+        append_files(sketches(delivery, ["day"], "o_custkey"), path)
+    ends = orders.select(F.last_day("day").alias("high")).distinct()
+    spans = F.array(*[F.lit(n) for n in (6, 89, 364)])
+    ranges = ends.select("high", F.explode(spans).alias("n")).select(F.date_sub("high", F.col("n")).alias("low"), "high")
+    estimated = distinct_over(read_table(spark, path), ranges, "day")
+    days = ranges.withColumn("day", F.explode(F.sequence("low", "high")))
+    exact = days.join(orders.distinct(), "day").groupBy("low", "high").agg(F.count_distinct("o_custkey").alias("customers"))
+    customers = F.coalesce("customers", F.lit(0))
+    near = F.abs(F.col("distinct_count") - customers) <= relative_error() * customers
+    both = estimated.join(exact, ["low", "high"], "left")
+    return both.select("low", "high", customers.alias("customers"), near.alias("within_error"))

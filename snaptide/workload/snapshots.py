@@ -12,9 +12,11 @@ from ..operators.upsert import upsert
 from ..plans import gold
 from ..plans.zones import bronze_columns, silver_columns
 from ..scratch import materialize, work_area
+from ..sinks.catalog import save_bucketed
 from ..sinks.publish import publish, run_path
 from ..streaming.upsert import compact, read_state
 from .derived import STANDINGS_SQL, standings_snapshots, team_summaries
+from .files import _database
 from .registry import query, table
 
 # The orders before and from this day are two deliveries of one source.
@@ -117,6 +119,23 @@ def upsert_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(_state(before), after, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
 
 
+@query(
+    f"""{_TWO_DELIVERIES_SQL}
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.o_orderdate, b.o_orderdate) AS o_orderdate,
+  coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(a.o_totalprice, b.o_totalprice) AS o_totalprice,
+  coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus
+FROM before b FULL JOIN after a ON a.o_custkey = b.o_custkey"""
+)
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later delivery merged into a table in buckets of its key, which is then saved in buckets again."""
+    before, after = _deliveries(spark, sf_dir)
+    name = f"{_database(spark)}.newest_orders"
+    save_bucketed(_newest(before), name, ["o_custkey"])
+    merged = upsert(spark.table(name), after, ["o_custkey"], sequence_by="o_orderdate", tiebreak=["o_orderkey"])
+    save_bucketed(merged.drop("update_flag"), name, ["o_custkey"])
+    return spark.table(name)
+
+
 @query(
     f"""{_TWO_DELIVERIES_SQL}
 SELECT coalesce(b.o_custkey, a.o_custkey) AS o_custkey, coalesce(b.o_orderdate, a.o_orderdate) AS o_orderdate,
