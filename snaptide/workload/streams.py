@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.quality import not_null, row_count, standings_rules
 from ..operators.reshape import undot_columns
@@ -210,9 +210,8 @@ def _many_files(spark: SparkSession, sf_dir: str, area: str) -> DataFrame:
     return stream_table(spark, f"{area}/landing", orders.schema, max_files=1)
 
 
-def _taken(progress: DataFrame, written: int) -> DataFrame:
-    over = (F.count(F.when(F.col("input_rows") > 0, 1)) > 100).alias("over_a_hundred")
-    return progress.agg(F.sum("input_rows").alias("taken"), over).withColumn("written", F.lit(written).cast("bigint"))
+def _over() -> Column:
+    return (F.count(F.when(F.col("input_rows") > 0, 1)) > 100).alias("over_a_hundred")
 
 
 @query("SELECT count(*) AS taken, count(*) AS written, true AS over_a_hundred FROM orders")
@@ -221,7 +220,8 @@ def progress_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = work_area(spark, "many")
     stream = _many_files(spark, sf_dir, area)
     append_stream(stream, f"{area}/orders", f"{area}/checkpoint", "many", log=f"{area}/progress")
-    return _taken(read_progress(spark, f"{area}/progress"), read_table(spark, f"{area}/orders").count())
+    progress = read_progress(spark, f"{area}/progress").agg(F.sum("input_rows").alias("taken"), _over())
+    return progress.withColumn("written", F.lit(read_table(spark, f"{area}/orders").count()).cast("bigint"))
 
 
 @query(
@@ -232,13 +232,12 @@ def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress of two streams into catalog tables, one of them of over 100 micro-batches, from one log."""
     area, db = work_area(spark, "listener"), _database(spark)
     few = _stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    found = None
+    written = []
     for name, stream in (("progress_many", _many_files(spark, sf_dir, area)), ("progress_few", few)):
         append_stream_to_table(stream, f"{db}.{name}", f"{area}/{name}", name, log=f"{area}/progress")
-        own = read_progress(spark, f"{area}/progress").where(F.col("query_name") == name)
-        taken = _taken(own, spark.table(f"{db}.{name}").count()).withColumn("query_name", F.lit(name))
-        found = taken if found is None else found.unionByName(taken)
-    return found
+        written.append((name, spark.table(f"{db}.{name}").count()))
+    taken = read_progress(spark, f"{area}/progress").groupBy("query_name").agg(F.sum("input_rows").alias("taken"), _over())
+    return taken.join(spark.createDataFrame(written, "query_name string, written bigint"), "query_name")
 
 
 @query(f"{_LATEST_SQL} SELECT * FROM latest")
