@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import queue
 import threading
 import uuid
 
@@ -29,54 +30,72 @@ _KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends every progress event of a session's queries to ``path``, one row each, when it arrives.
+    """Appends every progress event of a session's queries to ``path``, one row each, as they arrive.
 
-    So nothing of a run has to stay in the driver, and what was done before a driver is lost is on record.
+    So nothing of a run has to stay in the driver, and what was done before a driver is lost is on record. A thread
+    writes, so no query waits for it; events that arrive during a write are written together by the next one.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         # a folder of its own: appends of two writers to one folder may undo each other
         self.spark, self.path = spark, f"{path}/log-{uuid.uuid4().hex}"
+        self._queue: queue.SimpleQueue = queue.SimpleQueue()
         self._ended: dict[str, threading.Event] = {}
         self._lock = threading.Lock()
-        self.failure: Exception | None = None
+        self._failure: Exception | None = None
 
     def __enter__(self) -> ProgressLog:
+        self._thread = threading.Thread(target=self._write_all, daemon=True)
+        self._thread.start()
         self.spark.streams.addListener(self)
         return self
 
     def __exit__(self, *_) -> None:
         self.spark.streams.removeListener(self)
+        self._queue.put(None)
+        self._thread.join()
 
-    def _end_of(self, run_id) -> threading.Event:
+    def _end_of(self, run_id: str) -> threading.Event:
         with self._lock:
-            return self._ended.setdefault(str(run_id), threading.Event())
+            return self._ended.setdefault(run_id, threading.Event())
+
+    def _write_all(self) -> None:
+        """Rows of the queue go to the log; a run id in it says that all rows of that run came before."""
+        items: list = []
+        while None not in items:
+            items = [self._queue.get()]
+            while not self._queue.empty():
+                items.append(self._queue.get())
+            rows = [i for i in items if isinstance(i, tuple)]
+            try:
+                if rows:
+                    self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+            except Exception as error:  # raised by ``wait``, since nothing sees this thread fail
+                self._failure = self._failure or error
+            for run_id in (i for i in items if isinstance(i, str)):
+                self._end_of(run_id).set()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        try:
-            p = event.progress
-            source = p.sources[0].description if p.sources else None
-            updated = sum(o.numRowsUpdated for o in p.stateOperators) if p.stateOperators else None
-            row = (str(p.id), str(p.runId), p.batchId, p.name, p.timestamp, p.numInputRows, source, p.sink.description, updated)
-            self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
-        except Exception as error:  # an exception in a listener would go unseen: it is raised by ``wait``
-            self.failure = self.failure or error
+        p = event.progress
+        source = p.sources[0].description if p.sources else None
+        updated = sum(o.numRowsUpdated for o in p.stateOperators) if p.stateOperators else None
+        self._queue.put((str(p.id), str(p.runId), p.batchId, p.name, p.timestamp, p.numInputRows, source, p.sink.description, updated))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._end_of(event.runId).set()
+        self._queue.put(str(event.runId))
 
     def wait(self, query: StreamingQuery, timeout: float = 300) -> None:
         """Until all events of an ended query are written; raises what writing them raised."""
-        if not self._end_of(query.runId).wait(timeout):
+        if not self._end_of(str(query.runId)).wait(timeout):
             raise TimeoutError(f"progress events of {query.name} did not end within {timeout} s")
-        if self.failure is not None:
-            raise RuntimeError(f"progress could not be written to {self.path}") from self.failure
+        if self._failure is not None:
+            raise RuntimeError(f"progress could not be written to {self.path}") from self._failure
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
