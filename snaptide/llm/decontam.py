@@ -8,8 +8,9 @@ shingle alone; its position in the window gives the only place where the window
 start, which is bounded by both ends of the document; and the window is then compared
 whole at that place.
 
-The benchmark is handled in blocks of bounded size, each of which passes over all
-documents; documents are never shuffled.
+The benchmark is handled in blocks of bounded size. Each block counts its shingles in one pass over
+the texts, whatever other blocks there are, and then probes in one; ``STEPS`` probes run in one stage,
+and more of them go on from what those before have written. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -22,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from .words import ALNUM, Words, bounded, rolling, run_starts, slices
 
 WINDOW = 10
 SHINGLE = 3
 # Bytes of benchmark text in a block.
 BLOCK_BYTES = 8 << 20
+# Blocks that are probed in one stage, each by a Python worker of its own.
+STEPS = 4
 
 _EMPTY = b""
 
@@ -51,7 +55,8 @@ def decontaminate(
     id, never occur. Repeated documents give repeated rows; an item id that stands for several texts stands for the
     windows of all of them. Other columns, of any name, are carried only if ``keep`` names them.
     """
-    state = bounded(docs).select(
+    texts = bounded(docs).select(F.col(text_column).alias("body"))
+    state = docs.select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("body"),
         F.lit(0).cast("long").alias("n_words"),
@@ -62,7 +67,9 @@ def decontaminate(
     schema = state.schema
     for number, items in _blocks(benchmark, item_column, item_text_column):
         index = _Index(items, window, shingle)
-        index.rank(_counts(state, index))
+        index.rank(_counts(texts, index))
+        if number and number % STEPS == 0:
+            state = materialize(state, "probed")
         state = state.mapInArrow(_Probe(index, number), schema)
     spans = F.from_json(F.expr("cast(hits as string)"), "array<array<int>>")
     return state.select(
@@ -162,7 +169,7 @@ class _Member:
         return near[good], at[good]
 
 
-def _counts(state: DataFrame, index: _Index) -> dict[int, np.ndarray]:
+def _counts(texts: DataFrame, index: _Index) -> dict[int, np.ndarray]:
     """Occurrences of the block's shingles in all documents; the answer has a row for each shingle of the block."""
     tokens = index.tokens
 
@@ -185,7 +192,7 @@ def _counts(state: DataFrame, index: _Index) -> dict[int, np.ndarray]:
                 ["size", "place", "n"],
             )
 
-    found = state.select("body").mapInArrow(count, "size int, place int, n long").groupBy("size", "place").agg(F.sum("n"))
+    found = texts.mapInArrow(count, "size int, place int, n long").groupBy("size", "place").agg(F.sum("n"))
     out = {size: np.zeros(len(keys), np.int64) for size, keys in tokens.items()}
     for size, place, n in found.collect() if tokens else []:
         out[size][place] = n

@@ -314,6 +314,24 @@ def test_site_templates_go_and_copies_stay(spark):
     assert all(got[300 + i] == "quoted\n\n" * (i < 12) + str(i) for i in range(36))
 
 
+def python_steps(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+
+
+def test_many_blocks_of_a_benchmark_probe_once_each(spark, documents, sf_dir, monkeypatch):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    want = sorted(map(tuple, decontam.digest(decontam.decontaminate(documents, bench)).collect()))
+    size = bench.selectExpr("sum(octet_length(text))").first()[0]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", -(-2 * size // 7))
+    counted, plain = [], decontam._counts
+    monkeypatch.setattr(decontam, "_counts", lambda texts, index: counted.append(python_steps(texts)) or plain(texts, index))
+    found = decontam.decontaminate(documents, bench)
+    # each block counts the texts themselves, and the last stage holds the probes since the last write
+    assert counted == [0] * 7
+    assert python_steps(found) == 7 - decontam.STEPS
+    assert sorted(map(tuple, decontam.digest(found).collect())) == want
+
+
 def extracted(spark, pages):
     df = spark.createDataFrame([(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(pages)], "page_id long, url string, html string")
     return [r["text"] for r in template.extract(df).orderBy("id").collect()]
