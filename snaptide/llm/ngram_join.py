@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -324,7 +324,11 @@ def _linked(batches):
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its group; of rows that repeat an id one stays, rows without an id all stay."""
+    """Rows of ``docs`` whose id is the smallest of its group; rows without an id all stay.
+
+    Of rows that repeat an id one stays: the one with the smallest text (a null text first), and of those that share it, too, the first by a
+    hash of all columns. Ids are whole numbers.
+    """
     found = materialize(classes(docs, id_column, text_column), "classes").where("id is not null")
     lost = found.where("component < id").select("id")
     twice = found.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
@@ -336,6 +340,11 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     plain = marks.where(docs, place, known, False)
     others = marks.where(docs, place, known)
     gone = lost.distinct().select(F.col("id").alias(id_column))
-    named = others.where(F.col(id_column).isNotNull()).join(gone, id_column, "left_anti").dropDuplicates([id_column])
-    kept = plain.unionByName(named.select(*docs.columns))
+    named = others.where(F.col(id_column).isNotNull()).join(gone, id_column, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # limited per id before the shuffle as well, so a hot id sends one row per task
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().count("map<")])
+    order = Window.partitionBy(F.col(id_column)).orderBy(F.col(text_column).asc_nulls_first(), whole)
+    place = F.row_number().over(order)
+    one = named.withColumn("row of its id", place).where(F.col("`row of its id`") == 1).drop("row of its id")
+    kept = plain.unionByName(one)
     return kept.unionByName(others.where(F.col(id_column).isNull()))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from . import (
     centroids,
     decontam,
@@ -82,8 +83,10 @@ def op6_sharding(spark, sf_dir):
 @query()
 def op9_mixing(spark, sf_dir):
     """Every document with its probability under the target mix and whether it is drawn."""
-    rows = mixing.measured(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).drop("text")
-    targets = mixing.production_targets()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    # the cells, the targets and the sample read what was measured once
+    rows = materialize(mixing.measured(docs).drop("text"), "measured")
+    targets = mixing.production_targets(rows)
     return mixing.sample(rows, mixing.fit(rows, targets), targets=targets)
 
 

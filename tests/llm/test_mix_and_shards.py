@@ -107,6 +107,48 @@ def test_scarce_cells_reach_their_targets_in_the_sample(spark):
     assert drawn.where("selected <> (copies > 0) or copies > 6 * 1.000001 and source = 'a'").isEmpty()
 
 
+def test_columns_named_like_those_inside(spark):
+    rows = [(i, "word " * 20, "en", f"src{i % 3}", "x", 2.0, 3, "y", True) for i in range(300)]
+    names = "doc_id long, text string, lang string, source string, k0 string, factor double, copies int, c1 string, selected boolean"
+    df = spark.createDataFrame(rows, names).withColumn("weight", F.lit(9)).withColumn("__factor", F.lit("z"))
+    counted = mixing.measured(df)
+    targets = mixing.production_targets(counted)
+    drawn = mixing.sample(counted, mixing.fit(counted, targets), targets=targets)
+    assert drawn.columns == [c for c in counted.columns if c not in ("copies", "selected", "weight")] + ["probability", "selected", "weight", "copies"]
+    plain = mixing.measured(df.select("doc_id", "text", "lang", "source"))
+    want = mixing.sample(plain, mixing.fit(plain, targets), targets=targets)
+    keep = ["doc_id", "probability", "selected", "weight", "copies"]
+    assert sorted(map(tuple, drawn.select(*keep).collect())) == sorted(map(tuple, want.select(*keep).collect()))
+    assert {r["k0"] for r in drawn.collect()} == {"x"}
+
+
+def test_a_limit_on_repeats_is_kept_and_what_it_leaves_open_is_shown(spark):
+    rows = [(i, "w " * 100, "en", "a" if i < 2 else "b") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 1.0}, "topic": {"topic0": 1.0}}
+    counted = mixing.measured(df)
+    mixed = mixing.fit(counted, targets)
+    free, bound = (mixing.sample(counted, mixed, targets=targets, epochs=e) for e in (None, 4))
+    assert free.agg(F.max("copies")).first()[0] >= 299 and bound.agg(F.max("copies")).first()[0] == 4
+    open_ = {(r["axis"], r["value"]): (r["target"], r["share"]) for r in mixing.reached(bound, targets).collect()}
+    assert open_["source", "a"][0] == 0.5 and open_["source", "a"][1] < 0.02 and open_["lang", "en"] == (1.0, 1.0)
+    met = {r["value"]: r["share"] for r in mixing.reached(free, targets).collect()}
+    assert abs(met["a"] - 0.5) < 0.05
+
+
+def test_topics_are_learned_from_the_words(spark):
+    rng = np.random.RandomState(11)
+    fields = [[f"{name}{i}word" for i in range(40)] for name in ("medicine", "football", "geology")]
+    rows = [(i, " ".join(rng.choice(fields[i % 3], 60)), "en", "a") for i in range(300)] + [(300, "a b c", "en", "a"), (301, None, "en", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    topics = mixing.learn_topics(df, topics=3)
+    assert len(topics) == 3 and topics == mixing.learn_topics(df.repartition(7), topics=3)
+    found = {r["doc_id"]: r["topic"] for r in mixing.measured(df, topics).collect()}
+    groups = [{found[i] for i in range(k, 300, 3)} for k in range(3)]
+    assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
+    assert found[300] == found[301] == "topic0"
+
+
 def test_the_pipeline_mixes_to_the_targets(spark, tmp_path):
     rows = [(i, f"w{i} " * 50, "en", "src0" if i % 20 == 0 else "src1") for i in range(6000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")

@@ -127,6 +127,14 @@ def test_keep_first_keeps_one_of_each_group(odd, none):
     assert ngram_join.keep_first(none).count() == 0
 
 
+def test_keep_first_does_not_depend_on_the_partitions(spark):
+    texts = ["b text of its own", "a text of its own", "a text of its own", None, "c"]
+    rows = [(1, t, "en", f"src{i}", i) for i, t in enumerate(texts)] + [(2, t, "en", "x", i) for i, t in enumerate(["z y", "y z"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [sorted(map(tuple, ngram_join.keep_first(df.repartition(n, "n_chars")).collect())) for n in (1, 4, 9)]
+    assert got[0] == got[1] == got[2] and [r[1] for r in got[0]] == [None, "y z"]
+
+
 def removed(rows, window=13):
     """Kept words of each row, by all windows of all documents."""
     first = {}
