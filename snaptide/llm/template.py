@@ -24,7 +24,7 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -380,12 +380,21 @@ def extract(
     # subtrees that may be a template, of the pages that have any
     asked = parsed.select("page_key", "keys").mapInArrow(may, "page_key long, key long").distinct()
     told = asked.join(known, "key", "left_semi").groupBy("page_key").agg(F.collect_set("key").alias("template"))
-    joined = parsed.join(told, "page_key", "left")
+    told = materialize(told, "told")
+    # blocks of pages without a template stay where they are
+    with_any = marks.table(told, marks.bit("page_key"))
     blocks = F.arrays_zip("texts", "keys")
-    kept = F.filter(blocks, lambda b: ~F.arrays_overlap(b["keys"], F.col("template")))
-    texts = F.when(F.col("template").isNull(), F.col("texts")).otherwise(F.transform(kept, lambda b: b["texts"]))
-    text = F.array_join(texts, "\n\n").alias("text")
-    return joined.select("id", "url", text, F.length(text).cast("long").alias("n_chars"))
+    kept = F.filter(blocks, lambda b: ~F.arrays_overlap(b["keys"], F.coalesce("template", F.array().cast("array<long>"))))
+    if not with_any.any():
+        return _texts(parsed, F.col("texts"))
+    plain = marks.where(parsed, marks.bit("page_key"), with_any, False)
+    others = marks.where(parsed, marks.bit("page_key"), with_any).join(told, "page_key", "left")
+    return _texts(plain, F.col("texts")).unionByName(_texts(others, F.transform(kept, lambda b: b["texts"])))
+
+
+def _texts(parsed: DataFrame, blocks: Column) -> DataFrame:
+    text = F.array_join(blocks, "\n\n").alias("text")
+    return parsed.select("id", "url", text, F.length(text).cast("long").alias("n_chars"))
 
 
 class _Marked:
