@@ -8,8 +8,11 @@ over all documents, and consecutive repeated windows are the maximal exact repea
 
 Hashes travel as packed columns, one row per chunk of documents and bucket of hashes, with the
 place of a word counted through its chunk; the answers return to the chunk.
-A passage that a third of all documents hold is reduced within each chunk first: its copies there are settled on
-the spot and one of them stands for the chunk.
+A passage that a third of all documents hold is reduced within each chunk first: equal windows send one of them, which
+stands for the chunk, and its answer is given to the others where they are. So a bucket gets a hash once from each chunk.
+
+Anchors meet by five bytes of a hash; windows are the same if two hashes of 64 bits each agree, made from
+two different hashes of every word, so that no words are lost to a false match at any size of a corpus.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ BUCKET_WORDS = 1_500_000
 
 _ROW = "bucket int, chunk long, kind int, data binary"
 _KEY = ["id", "text_key"]
-_PROBE, _HIT, _TABLE = 0, 1, 2
+_PROBE, _HIT, _TABLE, _SAME = 0, 1, 2, 3
+# Seed of the second hash of words and windows.
+_SECOND = 0x5EED
 _FLAG = np.uint32(1 << 31)
 # Bytes of a probe's hash that travel; a false meeting is found out when the hit is extended.
 _ANCHOR_BYTES = 5
@@ -137,7 +142,7 @@ class _Chunks:
         chunk = (context.partitionId() << 24) | self.number
         ids, keys, firsts = map(np.concatenate, (self.ids, self.keys, self.firsts))
         empty = np.zeros(0, np.uint32)
-        hashes = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
+        hashes = np.concatenate(self.hashes) if self.hashes else np.zeros((0, 2), np.uint64)
         places = np.concatenate(self.places) if self.places else empty
         rows = np.concatenate(self.rows) if self.rows else empty
         out = self._settle(hashes, places, rows, ids)
@@ -166,10 +171,21 @@ class _Chunks:
             own = order[cuts[b] : cuts[b + 1]]
             yield int(b), _PROBE, b"".join(_planes(np.ascontiguousarray(v[own]), w) for v, w in columns)
 
+    def _same(self, first, places):
+        """Windows that have the answer of the ``first`` of them, which was sent."""
+        pairs = np.concatenate([first.astype(np.uint32), places.astype(np.uint32)])
+        return (-1 - self.number % self.buckets, _SAME, pairs.tobytes())
+
     def _hit(self, places):
         return (-1 - self.number % self.buckets, _HIT, places.astype(np.uint32).tobytes())
 
 
+def _twice(words: Words, hashes: np.ndarray, window: int) -> np.ndarray:
+    """Two hashes of every run of ``window`` words, a row each, from two hashes of the words."""
+    other = words.hashes(_SECOND)
+    return np.stack([rolling(hashes, window, window), rolling(other, window, _SECOND)], axis=1)
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """First index of each run of equal keys."""
     if not len(keys[0]):
@@ -195,27 +211,27 @@ class _Anchors(_Chunks):
         yield values & np.uint64((1 << 8 * _ANCHOR_BYTES) - 1), places, words.row_of_word()[places]
 
     def _settle(self, hashes, places, rows, ids):
+        if not len(rows):
+            return []
         order = np.argsort(hashes, kind="stable")
         hashes, places, rows = hashes[order], places[order], rows[order]
         firsts = np.concatenate([np.asarray(f) for f in self.firsts])
         block = (places.astype(np.int64) - firsts[rows]) % self.block == 0
         # one window of each document
         low = _runs(hashes, rows)
-        if not len(low):
-            return []
         block = np.logical_or.reduceat(block, low)
         hashes, places = hashes[low], places[low]
         run = _runs(hashes)
         many = np.diff(np.append(run, len(hashes)))
         known = np.logical_or.reduceat(block, run)
         settled = np.repeat((many > 1) & known, many)
-        # a settled run sends its first window as a block; a run without a block sends all
-        first = np.zeros(len(hashes), bool)
-        first[run] = True
-        sent = ~settled | first
-        sending = places | np.where(np.repeat(known, many), _FLAG, np.uint32(0))
-        out = list(self._deal(hashes[sent], [(hashes[sent], _ANCHOR_BYTES), (sending[sent], 4)]))
-        return [*out, self._hit(places[settled])]
+        # a run sends its first window, as a block if one of them is; without a block its others wait for the answer
+        sending = places[run] | np.where(known, _FLAG, np.uint32(0))
+        out = list(self._deal(hashes[run], [(hashes[run], _ANCHOR_BYTES), (sending, 4)]))
+        waiting = np.repeat(~known, many)
+        waiting[run] = False
+        first = np.repeat(places[run], many)
+        return [*out, self._hit(places[settled]), self._same(first[waiting], places[waiting])]
 
 
 class _Windows(_Chunks):
@@ -229,7 +245,7 @@ class _Windows(_Chunks):
         if len(hashes) < self.window:
             return
         anchors = rolling(hashes, self.block, self.block)
-        values = rolling(hashes, self.window, self.window)
+        values = _twice(words, hashes, self.window)
         inside = run_starts(words.first, self.window, len(hashes))
         near = np.zeros(len(hashes) + 1, np.int64)
         for row, blob in enumerate(part.column("places")):
@@ -243,22 +259,21 @@ class _Windows(_Chunks):
         yield values[places], places, words.row_of_word()[places]
 
     def _settle(self, hashes, places, rows, ids):
-        owner = ids[rows].astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-        order = np.lexsort((owner, hashes))
-        hashes, places, owner = hashes[order], places[order], owner[order]
-        run = _runs(hashes)
-        if not len(run):
+        if not len(rows):
             return []
+        owner = ids[rows].astype(np.int64)
+        order = np.lexsort((owner, hashes[:, 1], hashes[:, 0]))
+        hashes, places, owner = hashes[order], places[order], owner[order]
+        run = _runs(hashes[:, 0], hashes[:, 1])
         many = np.diff(np.append(run, len(hashes)))
         late = owner > np.repeat(owner[run], many)
-        # the window of the smallest id stands for the chunk; its equals in that document follow from it
-        out = list(self._deal(hashes[run], [(hashes[run], 8), (places[run], 4), (owner[run], 8)]))
-        # equal windows under one id lie in several rows
+        # the window of the smallest id stands for the chunk; equal windows under that id have its answer
+        one, two = (np.ascontiguousarray(hashes[run, k]) for k in (0, 1))
+        out = list(self._deal(one, [(one, 8), (two, 8), (places[run], 4), (owner[run], 8)]))
         twins = ~late
         twins[run] = False
-        extra = np.flatnonzero(twins)
-        out += self._deal(hashes[extra], [(hashes[extra], 8), (places[extra], 4), (owner[extra], 8)])
-        return [*out, self._hit(places[late])]
+        first = np.repeat(places[run], many)
+        return [*out, self._hit(places[late]), self._same(first[twins], places[twins])]
 
 
 def _back(rows: pd.DataFrame, probes: pd.DataFrame, chunk: np.ndarray, places: np.ndarray) -> pd.DataFrame:
@@ -311,10 +326,10 @@ def _smallest(rows: pd.DataFrame) -> pd.DataFrame:
     probes = rows[rows["kind"] == _PROBE]
     if not len(probes):
         return rows
-    hashes, places, owner, chunk = _unpack(probes, [(8, np.uint64), (4, np.uint32), (8, np.int64)])
-    order = np.lexsort((owner, hashes))
-    hashes, places, owner, chunk = hashes[order], places[order], owner[order], chunk[order]
-    run = _runs(hashes)
+    hashes, second, places, owner, chunk = _unpack(probes, [(8, np.uint64), (8, np.uint64), (4, np.uint32), (8, np.int64)])
+    order = np.lexsort((owner, second, hashes))
+    hashes, second, places, owner, chunk = (c[order] for c in (hashes, second, places, owner, chunk))
+    run = _runs(hashes, second)
     many = np.diff(np.append(run, len(hashes)))
     late = owner > np.repeat(owner[run], many)
     return _back(rows, probes, chunk[late], places[late])
@@ -326,6 +341,10 @@ def _expand(rows: pd.DataFrame) -> pd.DataFrame:
     ids, keys, firsts = table.reshape(3, -1)
     hits = [np.frombuffer(d, np.uint32) for d in rows.loc[rows["kind"] == _HIT, "data"]]
     places = np.unique(np.concatenate(hits)).astype(np.int64) if hits else np.zeros(0, np.int64)
+    for data in rows.loc[rows["kind"] == _SAME, "data"]:
+        first, others = np.frombuffer(data, np.uint32).reshape(2, -1)
+        # none of the others stands for more of them
+        places = np.union1d(places, others[np.isin(first, places)].astype(np.int64))
     row = np.searchsorted(firsts, places, "right") - 1
     run = _runs(row)
     cuts = [*run, len(places)]
@@ -356,11 +375,13 @@ class _Cut:
                 if starts[row].is_valid and len(words) >= self.window:
                     if spread is None:
                         spread = Words(bodies)
-                        values = rolling(spread.hashes(), self.window, self.window)
+                        values = _twice(spread, spread.hashes(), self.window)
                     low = spread.first[row]
                     own = values[low : low + len(words) - self.window + 1]
                     at = np.frombuffer(starts[row].as_buffer(), np.uint32).astype(np.int64)
-                    hit = np.flatnonzero(np.isin(own, own[at]))
+                    # equal windows of one document share a number
+                    number = np.unique(own, axis=0, return_inverse=True)[1].reshape(-1)
+                    hit = np.flatnonzero(np.isin(number, number[at]))
                     change = np.zeros(len(words) + 1, np.int64)
                     change[hit] += 1
                     change[hit + self.window] -= 1

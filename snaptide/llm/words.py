@@ -106,10 +106,10 @@ class Words(Text):
         self.first = np.searchsorted(self.starts, self.bounds)
         self.counts = np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word; it depends on the word alone."""
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word; it depends on the word and the seed alone."""
         lengths = self.ends - self.starts
-        value = np.full(len(lengths), _SEED, np.uint64)
+        value = np.full(len(lengths), _SEED ^ mix(np.array([seed], np.uint64))[0], np.uint64)
         live = np.flatnonzero(lengths <= _SHORT)
         at = 0
         while len(live):
@@ -117,7 +117,7 @@ class Words(Text):
             at += 1
             live = live[lengths[live] > at]
         for i in np.flatnonzero(lengths > _SHORT):
-            value[i] = xxhash.xxh64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes())
+            value[i] = xxhash.xxh64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes(), seed)
         return mix(value + lengths.astype(np.uint64))
 
     def row_of_word(self) -> np.ndarray:

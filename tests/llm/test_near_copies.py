@@ -172,6 +172,40 @@ def test_repeats_on_odd_rows(odd, none, monkeypatch, buckets):
     assert repeats.digest(none).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_copies_send_one_window_a_chunk(spark, parts):
+    text = " ".join(f"word{i}" for i in range(200))
+
+    def frame(copies):
+        # the passage begins at one place of each, so most of its windows are a block of none of them
+        rows = [(i // 2 if i % 7 == 0 else i, f"a b c {text}") for i in range(copies)]
+        return spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartitionByRange(parts, "doc_id")
+
+    def sent(copies):
+        texts = repeats._keyed(frame(copies), "doc_id", "text")
+        steps = texts.mapInArrow(repeats._Anchors(7, 1), repeats._ROW)
+        near = texts.selectExpr("*", "cast(unhex('00000000') AS binary) AS places").mapInArrow(repeats._Windows(13, 7, 1), repeats._ROW)
+        return [s.where(f"kind = {repeats._PROBE}").agg(F.sum(F.length("data"))).first()[0] for s in (steps, near)]
+
+    small, large = sent(60), sent(600)
+    assert all(b <= 1.1 * a for a, b in zip(small, large, strict=True))
+    df = frame(60)
+    got = {(r["doc_id"], r["n_removed"]) for r in repeats.digest(df).collect()}
+    first = df.agg(F.min("doc_id")).first()[0]
+    assert got == {(r["doc_id"], 0 if r["doc_id"] == first else 203) for r in df.collect()}
+
+
+def test_windows_need_both_hashes(spark, monkeypatch):
+    import pyarrow as pa
+
+    words = repeats.Words(pa.array(["a b c d", "a b c d", "a b c e"]))
+    both = repeats._twice(words, words.hashes(), 4)
+    assert (both[0] == both[4]).all() and (both[0] != both[8]).all() and both[0, 0] != both[0, 1]
+    order = np.zeros(3, np.uint64)
+    # runs of one hash are cut where the other differs
+    assert repeats._runs(order, both[[0, 4, 8], 1]).tolist() == [0, 2]
+
+
 def test_repeats_at_every_offset_and_just_too_short(spark):
     passage = [f"p{i}" for i in range(13)]
     rows = [(0, " ".join([*(f"a{i}" for i in range(5)), *passage, "end"]))]
