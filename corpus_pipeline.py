@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptide.llm import decontam, mixing, ngram_join, sharding, toxicity
-from snaptide.scratch import work_area
+from snaptide.scratch import materialize, work_area
 
 SHARDS = 24
 COLUMNS = ("doc_id", "text", "lang", "source")
@@ -33,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked texts; of rows with one id, one stays."""
+    """The document with the smallest id of each group of linked texts; of rows with one id, the one with the smallest text."""
     return ngram_join.keep_first(docs)
 
 
@@ -49,8 +49,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample in which sources, languages and topics have their target shares of tokens; scarce documents are in it repeatedly."""
     hidden, back = _hidden(docs)
-    rows = mixing.measured(hidden)
-    targets = mixing.production_targets()
+    rows = materialize(mixing.measured(hidden), "measured")
+    targets = mixing.production_targets(rows)
     drawn = mixing.sample(rows, mixing.fit(rows, targets), targets=targets)
     return mixing.repeated(drawn).select(*back)
 
