@@ -327,3 +327,30 @@ def test_recall_at_the_threshold(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     linked = lattice.classes(df).where(F.col("n_links") == 1).count()
     assert linked == 800
+
+
+@pytest.mark.parametrize("size", [2, 3, 4, 5, 7, 8, 12, 16, 32, 64, 128])
+def test_pairs_at_the_threshold_meet_at_any_length(size):
+    rng = np.random.RandomState(size)
+    x = rng.randn(20_000, size)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.randn(20_000, size)
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    y = 0.9801 * x + np.sqrt(1 - 0.9801**2) * aside
+    one = np.ones(len(x), np.int64)
+    a, b = (lattice.cells(v, one).reshape(len(x), lattice.TABLES, -1) for v in (x, y))
+    met = (a[:, :, :, None] == b[:, :, None, :]).any(axis=(1, 2, 3))
+    assert (~met).mean() < 1e-4
+
+
+def test_short_vectors_and_labels_of_text(spark):
+    rng = np.random.RandomState(4)
+    rows = [(i, rng.randn(3).tolist(), "ab"[i % 2]) for i in range(400)] + [(400, [1.0, 0.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = {r["id"]: r["n_links"] for r in lattice.classes(df).collect()}
+    units = np.float32([v for _, v, _ in rows]).astype(float)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    near = units @ units.T >= lattice.COSINE
+    want = {i: sum(1 for j in range(400) if j != i and near[i, j] and rows[i][2] == rows[j][2]) for i in range(400)}
+    assert got == {**want, 400: 0} and sum(want.values()) > 100
