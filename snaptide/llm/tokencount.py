@@ -6,9 +6,10 @@ leaves by descending over character sums, re-encodes the stretch between the las
 before it and the first border after it that the edit cannot have moved, and updates the sums on the
 way up. The rest of the document is not encoded again.
 
-A border stands before a space between two ASCII letters. The pre-token pattern of the byte-level
-vocabularies ends a pre-token there whatever else the text holds, and looks at no other character to
-do so; so a border stays one unless the edit touches one of the three characters.
+A border stands behind a letter of any script, before a space with a letter behind it or before a mark of punctuation (but
+no apostrophe). The pre-token pattern of the byte-level vocabularies ends a pre-token there whatever else the
+text holds, and looks at no other character to do so; so a border stays one unless the edit touches one of the three
+characters. Text without spaces, as of Chinese or Japanese, has borders at its punctuation.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Text, bounded, slices
+from .words import bounded, slices
 
 # The pre-token pattern of the byte-level vocabularies: a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,8 +35,13 @@ LEAF = 256
 # A leaf that edits have made so many times longer is cut again.
 OVERLONG = 8
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+# Letters and marks that all versions of the character tables agree on: fixed values.
+_LETTER = (
+    r"[\p{L}&&[A-Za-z\u00C0-\u024F\u0386-\u0523\u0531-\u0587\u05D0-\u05EA\u0620-\u064A\u0905-\u0939"
+    r"\u0E01-\u0E30\u10D0-\u10F6\u1E00-\u1EF9\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3]]"
+)
+_MARK = r"[!-&(-/:-@\[-`{-~\u060C\u061F\u0964\u2013\u2014\u2026\u3001\u3002\u300C\u300D\uFF01\uFF0C\uFF1A\uFF1B\uFF1F]"
+BORDER = regex.compile(rf"(?V1)(?<={_LETTER})(?: (?={_LETTER})|{_MARK})")
 
 
 class Vocabulary:
@@ -60,19 +67,14 @@ class Vocabulary:
         return self._built[key]
 
 
-def borders(text: bytes) -> np.ndarray:
-    """Offsets of the spaces that stand between two ASCII letters."""
-    data = np.frombuffer(text, np.uint8)
-    return np.flatnonzero((data[1:-1] == 0x20) & _LETTER[data[:-2]] & _LETTER[data[2:]]) + 1 if len(data) > 2 else np.zeros(0, int)
-
-
-def leaves_of(text: bytes, at: np.ndarray, leaf: int = LEAF) -> list[bytes]:
-    """``text`` cut at the first border in every ``leaf`` bytes; empty text has one empty leaf."""
-    if len(at):
-        part = at // leaf
-        at = at[np.append(True, part[1:] != part[:-1])]
-    cuts = [0, *at.tolist(), len(text)]
-    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+def leaves_of(text: str, leaf: int = LEAF) -> list[str]:
+    """``text`` cut at the first border of every ``leaf`` characters; empty text has one empty leaf."""
+    out, low, at = [], 0, 1
+    while found := BORDER.search(text, at):
+        cut = found.start()
+        out.append(text[low:cut])
+        low, at = cut, (cut // leaf + 1) * leaf
+    return [*out, text[low:]]
 
 
 class TokenTree:
@@ -81,8 +83,7 @@ class TokenTree:
     def __init__(self, text: str, count, leaf: int = LEAF):
         self._count, self._leaf = count, leaf
         self.encoded = 0
-        data = text.encode("utf-8")
-        self._build([x.decode("utf-8") for x in leaves_of(data, borders(data), leaf)])
+        self._build(leaves_of(text, leaf))
         self.encoded = 0
 
     def _build(self, texts: list[str], tokens: list[int] | None = None):
@@ -141,13 +142,12 @@ class TokenTree:
         self._replace(low, high, new)
 
     def _replace(self, low: int, high: int, text: str) -> None:
-        data = text.encode("utf-8")
-        parts = [x.decode("utf-8") for x in leaves_of(data, borders(data), self._leaf)]
+        parts = leaves_of(text, self._leaf)
         slots = high - low + 1
         if len(parts) > slots:
             parts[slots - 1 :] = ["".join(parts[slots - 1 :])]
         parts += [""] * (slots - len(parts))
-        if len(parts[-1]) > OVERLONG * self._leaf and len(borders(parts[-1].encode("utf-8"))):
+        if len(parts[-1]) > OVERLONG * self._leaf and BORDER.search(parts[-1], 1):
             self._rebuild(low, high, text)
             return
         for i, part in enumerate(parts, low):
@@ -166,8 +166,7 @@ class TokenTree:
 
     def _rebuild(self, low: int, high: int, text: str) -> None:
         """Cut the new text into leaves of their own; the counts of the others are kept."""
-        data = text.encode("utf-8")
-        parts = [x.decode("utf-8") for x in leaves_of(data, borders(data), self._leaf)]
+        parts = leaves_of(text, self._leaf)
         known = self._tokens[self._base : self._base + len(self.texts)].tolist()
         self._build(
             [*self.texts[:low], *parts, *self.texts[high + 1 :]],

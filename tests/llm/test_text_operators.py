@@ -251,6 +251,7 @@ def test_any_edits_keep_the_count(vocabulary, leaf):
     encode = vocabulary.encoding().encode_ordinary
     rng = random.Random(leaf)
     pieces = ["the cat's", " ", "  ", "\n\n", "'re", "é", " 12", "!?", "\t", "x", " a b c", "日本", "", " don't stop now " * 9]
+    pieces += ["слово и дело", "。", "「漢字」", "λόγος, ", "한국어 말", "हिन्दी", "\u0301", "²", "ª", "a" * 90, "-", "’s", "\u00a0", "مرحبا، "]
     for _ in range(40):
         text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60)))
         tree = tokencount.TokenTree(text, lambda t: len(encode(t)) if t else 0, leaf)
@@ -264,6 +265,18 @@ def test_any_edits_keep_the_count(vocabulary, leaf):
             assert tree.tokens == len(encode(text))
 
 
+@pytest.mark.parametrize("unit", ["слово и дело без конца, ", "これは長い文章です。漢字かな交じり、", "λόγος και έργο ", "한국어 말과 글은 ", "ordinary words here "])
+def test_an_edit_encodes_little_in_any_script(vocabulary, unit):
+    encode = vocabulary.encoding().encode_ordinary
+    text = unit * (20_000 // len(unit))
+    tree = tokencount.TokenTree(text, lambda t: len(encode(t)) if t else 0)
+    for at in (5, 7_777, 12_345, 19_000):
+        tree.edit(at, at + 3, unit[:7])
+        text = applied(text, [(at, at + 3, unit[:7])])
+    assert tree.text == text and tree.tokens == len(encode(text))
+    assert tree.encoded < 8_000
+
+
 def test_token_counts_on_odd_rows(odd, none, vocabulary):
     script = F.expr("array(named_struct('start', 0, 'stop', cast(null as int), 'put', cast(null as string)), null)")
     got = tokencount.counted(odd, script, vocabulary).collect()
