@@ -9,7 +9,9 @@ classifiers may be wrong.
 
 The classifiers are learned from n-gram counts per language, summed over all documents
 that may be learned from. The counts have ``2 ** BITS`` places per language, so the
-model does not grow with the corpus.
+model does not grow with the corpus. They stay in Spark: the odds are made block by block of their places, and the
+driver gets a total per language, the odds of each bit and how they separate the languages. So a column with
+thousands of values is learned in bounded memory.
 """
 
 from __future__ import annotations
@@ -17,19 +19,24 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from .words import ALNUM, LOWER, Text, bounded, slices
 
 BITS = 16
 SIZES = (2, 3)
-# Places of a count vector that travel in one row.
-BLOCK = 1 << 12
+# Places of a count vector that travel in one row and are fitted together, and languages counted at a time.
+BLOCK = 1 << 9
+AT_ONCE = 32
 # Languages up to which every division into two sets is a bit; beyond, so many bits per doubling.
 EXHAUSTIVE = 5
 BITS_PER_DOUBLING = 12
+# Random codes of which the one with the nearest rows farthest apart is taken.
+TRIES = 200
 # Ratio of losses from which the second best counts as near.
 AMBIGUOUS = 0.9
 # How fast the score falls with the distance to the next best language.
@@ -88,34 +95,95 @@ def fit(
     rows = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("body"))
     sums = rows.mapInArrow(_count, "lang string, block int, counts array<long>")
     cells = sums.select("lang", "block", F.posexplode("counts").alias("place", "n")).where("n > 0")
-    cells = cells.groupBy("lang", "block", "place").agg(F.sum("n").alias("n"))
-    # languages x places cells at most
-    found = cells.groupBy("lang", "block").agg(F.collect_list(F.struct("place", "n")).alias("cells")).collect()
-    languages = sorted({r["lang"] for r in found})
-    counts = np.zeros((len(languages), 1 << BITS))
-    for r in found:
-        for place, n in r["cells"]:
-            counts[languages.index(r["lang"]), r["block"] * BLOCK + place] = n
-    return _model(languages, counts)
+    cells = materialize(cells.groupBy("lang", "block", "place").agg(F.sum("n").alias("n")), "grams")
+    # a row per language
+    totals = {r["lang"]: r["n"] for r in cells.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
+    if not languages:
+        return Model([], codewords(0), np.zeros((0, 1 << BITS), np.float32), np.ones(0))
+    code = codewords(len(languages))
+    block = _Block(languages, np.array([totals[name] for name in languages], float), code)
+    odds = np.zeros((code.shape[1], 1 << BITS), np.float32)
+    means = np.zeros((len(languages), code.shape[1]))
+    blocks = range((1 << BITS) // BLOCK)
+    # a plain function of a frame: of an object Spark would count itself as an argument
+    fitted = cells.groupBy("block").applyInPandas(lambda rows: block(rows), "block int, odds binary, means binary")
+    # one block is in the driver at a time; one without any n-gram is as smoothing leaves it
+    rest = block.fitted(np.zeros((len(languages), BLOCK)))
+    made = dict.fromkeys(blocks)
+    for row in materialize(fitted, "fitted").orderBy("block").toLocalIterator():
+        part = np.frombuffer(row["odds"], np.float32).reshape(-1, BLOCK)
+        odds[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = part
+        means += np.frombuffer(row["means"]).reshape(means.shape)
+        made.pop(row["block"])
+    for left in made:
+        odds[:, left * BLOCK : (left + 1) * BLOCK] = rest[0]
+        means += rest[1]
+    # distance of the nearest learned languages on the two sides of each bit
+    trust = np.ones(code.shape[1])
+    for b in range(code.shape[1]):
+        on, off = code[:, b] > 0, code[:, b] < 0
+        if on.any() and off.any():
+            trust[b] = max(means[on, b].min() - means[off, b].max(), 1e-3)
+    return Model(languages, code, odds, trust / trust.sum())
+
+
+class _Block:
+    """Odds of every bit at a block of places, and the mean odds of every language there."""
+
+    def __init__(self, languages: list[str], totals: np.ndarray, code: np.ndarray):
+        self.number = {name: i for i, name in enumerate(languages)}
+        # every language counts alike, however many documents it has
+        self.sums, self.code = totals + 0.5 * (1 << BITS), code
+
+    def fitted(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        share = (counts + 0.5) / self.sums[:, None]
+        odds = np.zeros((self.code.shape[1], counts.shape[1]), np.float32)
+        for b in range(len(odds)):
+            on, off = self.code[:, b] > 0, self.code[:, b] < 0
+            if on.any() and off.any():
+                odds[b] = np.log(share[on].mean(axis=0) / share[off].mean(axis=0))
+        return odds, share @ odds.T.astype(float)
+
+    def __call__(self, rows: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros((len(self.sums), BLOCK))
+        counts[rows["lang"].map(self.number), rows["place"]] = rows["n"]
+        odds, means = self.fitted(counts)
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "odds": [odds.tobytes()], "means": [means.tobytes()]})
 
 
 def _count(batches):
+    """Counts of each language, added up over the task for as many languages at a time as it may hold."""
     totals: dict[str, np.ndarray] = {}
     for part in slices(batches, "body"):
         langs = part.column("lang").to_pylist()
         names, code = np.unique(np.array(langs, object).astype(str), return_inverse=True)
-        for bounds, at, place in _grams(part.column("body")):
-            row = np.repeat(np.arange(part.num_rows), np.diff(bounds))[at]
-            both = np.bincount(code[row] * (1 << BITS) + place, minlength=len(names) << BITS).reshape(len(names), -1)
-            for name, own in zip(names.tolist(), both, strict=True):
-                totals[name] = totals.get(name, 0) + own
+        grams = list(_grams(part.column("body")))
+        for low in range(0, len(names), AT_ONCE):
+            own = names[low : low + AT_ONCE]
+            both = np.zeros((len(own), 1 << BITS), np.int64)
+            for bounds, at, place in grams:
+                row = code[np.repeat(np.arange(part.num_rows), np.diff(bounds))[at]] - low
+                here = (row >= 0) & (row < len(own)) if len(names) > AT_ONCE else slice(None)
+                cells = row[here] * (1 << BITS) + place[here]
+                both += np.bincount(cells, minlength=len(own) << BITS).reshape(len(own), -1)
+            if len(totals.keys() | set(own.tolist())) > AT_ONCE:
+                yield from _sent(totals)
+                totals = {}
+            for name, counts in zip(own.tolist(), both, strict=True):
+                totals[name] = totals.get(name, 0) + counts
+    yield from _sent(totals)
+
+
+def _sent(totals: dict[str, np.ndarray]):
     for name, own in totals.items():
         blocks = own.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([name] * len(blocks), pa.string()),
-                pa.array(np.arange(len(blocks)), pa.int32()),
-                pa.array(list(blocks.astype(np.int64)), pa.list_(pa.int64())),
+                pa.array([name] * len(some), pa.string()),
+                pa.array(some, pa.int32()),
+                pa.array(list(blocks[some]), pa.list_(pa.int64())),
             ],
             ["lang", "block", "counts"],
         )
@@ -130,32 +198,16 @@ def codewords(languages: int) -> np.ndarray:
         return np.array([[1 if r == 0 else 2 * (c >> (r - 1) & 1) - 1 for c in columns] for r in range(languages)])
     width = int(np.ceil(BITS_PER_DOUBLING * np.log2(languages)))
     best, far = None, -1
-    for seed in range(200):
+    for seed in range(TRIES):
         code = np.random.RandomState(seed).choice([-1, 1], (languages, width))
         code = code[:, np.abs(code.sum(axis=0)) < languages]
-        apart = (code[:, None, :] != code[None]).sum(axis=2) + width * np.eye(languages, dtype=int)
+        # bits in which two rows differ, from their product
+        apart = (code.shape[1] - code.astype(np.float32) @ code.T.astype(np.float32)) / 2 + width * np.eye(languages, dtype=np.float32)
         if apart.min() > far:
             best, far = code, apart.min()
     return best
 
 
-def _model(languages: list[str], counts: np.ndarray) -> Model:
-    code = codewords(len(languages))
-    bits = code.shape[1] if len(languages) else 0
-    # every language counts alike, however many documents it has
-    share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True) if len(languages) else counts
-    odds = np.zeros((bits, 1 << BITS), np.float32)
-    trust = np.ones(bits)
-    for b in range(bits):
-        on, off = code[:, b] > 0, code[:, b] < 0
-        if on.any() and off.any():
-            odds[b] = np.log(share[on].mean(axis=0) / share[off].mean(axis=0))
-            # distance of the nearest learned languages on the two sides
-            mean = share @ odds[b].astype(float)
-            trust[b] = max(mean[on].min() - mean[off].max(), 1e-3)
-    return Model(languages, code, odds, trust / trust.sum() if bits else trust)
-
-
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id``, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` of every row, from the whole text alone.
 
@@ -205,7 +257,9 @@ def decode(model: Model, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     rows = len(margin)
     if not model.languages:
         return np.full(rows, UNKNOWN), np.zeros(rows), np.zeros(rows, bool)
-    loss = np.log1p(np.exp(-margin[:, None, :] * model.code[None])) @ model.trust
+    # the loss of a bit is log(1 + exp(-margin)) where it is set, and that plus the margin where it is not
+    weighted = margin * model.trust
+    loss = (np.logaddexp(0, -margin) @ model.trust)[:, None] + weighted @ (model.code < 0).T
     order = np.sort(loss, axis=1)
     near = order[:, 0] > AMBIGUOUS * order[:, 1] if loss.shape[1] > 1 else np.zeros(rows, bool)
     weight = np.exp(-SHARPNESS * (loss - order[:, :1]))

@@ -225,6 +225,70 @@ def vocabulary():
         pytest.skip("no vocabulary here")
 
 
+def plain_model(rows):
+    """Odds of every bit at every place and the weights of the bits, from counts held as dictionaries."""
+    counts = {}
+    for lang, text in rows:
+        folded = bytes(langid._FOLD[np.frombuffer(text.encode(), np.uint8)].astype(np.uint8))
+        for n in langid.SIZES:
+            for k in range(len(folded) - n + 1):
+                if b"  " in folded[k : k + n]:
+                    continue
+                value = n << 8 * n | int.from_bytes(folded[k : k + n], "big")
+                place = (value * 0x9E3779B97F4A7C15 % 2**64) >> (64 - langid.BITS)
+                counts.setdefault(lang, {})[place] = counts.get(lang, {}).get(place, 0) + 1
+    languages = sorted(counts)
+    code = langid.codewords(len(languages))
+    size = 1 << langid.BITS
+    sums = [sum(counts[lang].values()) + 0.5 * size for lang in languages]
+
+    def share(i, place):
+        return (counts[languages[i]].get(place, 0) + 0.5) / sums[i]
+
+    places = sorted({p for c in counts.values() for p in c})
+
+    def odds(b, place):
+        sides = [[share(i, place) for i in range(len(languages)) if code[i, b] == side] for side in (1, -1)]
+        return np.log(np.mean(sides[0]) / np.mean(sides[1]))
+
+    return languages, code, places, odds
+
+
+def test_odds_equal_plain_counts(spark):
+    rows = [("en", "the cat and the dog"), ("en", "a  dog, 12 cats"), ("de", "der Hund und die Katze"), ("fr", "le chien été"), ("de", "x")]
+    df = spark.createDataFrame([*rows, (None, "no language"), ("es", None)], "lang string, text string").repartition(3)
+    model = langid.fit(clashing(df))
+    languages, code, places, odds = plain_model(rows)
+    assert model.languages == languages and (model.code == code).all()
+    for b in range(code.shape[1]):
+        assert model.odds[b, places].tolist() == pytest.approx([odds(b, p) for p in places], rel=1e-5, abs=1e-6)
+    away = next(p for p in range(1 << langid.BITS) if p not in places)
+    assert model.odds[0, away] == pytest.approx(odds(0, away), rel=1e-5)
+    assert model.trust.sum() == pytest.approx(1) and (model.trust > 0).all()
+
+
+def test_decoding_equals_the_loss_written_out():
+    rng = np.random.RandomState(3)
+    model = langid.Model([f"l{i}" for i in range(9)], langid.codewords(9), np.zeros((0, 1)), rng.dirichlet(np.ones(langid.codewords(9).shape[1])))
+    margin = rng.randn(50, len(model.trust)) * 3
+    loss = np.log1p(np.exp(-margin[:, None, :] * model.code[None])) @ model.trust
+    names, _, near = langid.decode(model, margin)
+    assert names.tolist() == [f"l{i}" for i in loss.argmin(axis=1)]
+    order = np.sort(loss, axis=1)
+    assert (near == (order[:, 0] > langid.AMBIGUOUS * order[:, 1])).all()
+
+
+def test_two_thousand_languages_are_learned_in_bounded_memory(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4000)]
+    rows = [(i, f"v{i % 2000:04}", " ".join(words[2 * (i % 2000) : 2 * (i % 2000) + 2] * 10)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(df, F.col("doc_id") < 2000)
+    assert len(model.languages) == 2000 and model.odds.nbytes < 64 << 20
+    got = langid.predict(df.where("doc_id >= 2000"), model).collect()
+    assert np.mean([r["lang_pred"] == f"v{r['id'] - 2000:04}" for r in got]) > 0.95
+
+
 def applied(text, script):
     text = text or ""
     for edit in script or ():
