@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from snaptide.llm import mixing, sharding, workload
 
+from .test_near_copies import jaccard_groups
+from .test_text_operators import contaminated
+
 
 def shards(rows, count):
     """Shards by the middle byte of each record in the order of text hash and id."""
@@ -177,6 +180,83 @@ def test_mixing_query(spark, sf_dir, documents):
     assert {r["doc_id"]: r["n_tokens"] for r in got.collect()} == words
 
 
+def plain_mix(rows, targets, budget=mixing.BUDGET, rounds=3000):
+    """Expected copies of every row: the cells' tokens raked to the targets one axis after the other."""
+    axes = list(targets)
+    cells = collections.Counter()
+    for row in rows:
+        cells[tuple(row[a] if row[a] in targets[a] else "(rest)" for a in axes)] += row["n_tokens"]
+    whole = sum(cells.values())
+    now = {c: n / whole for c, n in cells.items() if n}
+    weight = dict(now)
+    wanted = []
+    for k, axis in enumerate(axes):
+        there = {c[k] for c in now}
+        rest = sum(n for c, n in now.items() if c[k] == "(rest)")
+        named = {v: targets[axis][v] for v in there if v != "(rest)"}
+        wanted.append({**{v: t / sum(named.values()) * (1 - rest) for v, t in named.items()}, "(rest)": rest})
+    for _ in range(rounds):
+        for k in range(len(axes)):
+            have = collections.Counter()
+            for c, w in weight.items():
+                have[c[k]] += w
+            weight = {c: w * wanted[k][c[k]] / have[c[k]] if have[c[k]] else 0.0 for c, w in weight.items()}
+    scale = budget / sum(weight.values())
+    factor = {c: weight[c] / now[c] * scale for c in now}
+    return [factor.get(tuple(row[a] if row[a] in targets[a] else "(rest)" for a in axes), 1.0) for row in rows]
+
+
+def test_mixing_equals_plain_raking(spark, documents):
+    counted = mixing.measured(documents).drop("text")
+    targets = mixing.production_targets(counted)
+    drawn = mixing.sample(counted, mixing.fit(counted, targets), targets=targets)
+    rows = [r.asDict() for r in drawn.collect()]
+    for row, copies in zip(rows, plain_mix(rows, targets), strict=True):
+        assert row["probability"] * row["weight"] == pytest.approx(copies, rel=1e-6)
+        assert row["selected"] == (row["copies"] > 0) and abs(row["copies"] - copies) < 1
+
+
+def test_tempered_targets(spark):
+    rows = spark.createDataFrame([("a", 900), ("b", 100), ("other", 5)], "topic string, n_tokens long")
+    got = mixing.tempered(rows, "topic", ["a", "b", "c"], 0.5)
+    assert got == pytest.approx({"a": 0.75, "b": 0.25, "c": 0.0})
+    assert mixing.tempered(rows.limit(0), "topic", ["a", "b"]) == {"a": 0.5, "b": 0.5}
+
+
+def test_pipeline_equals_brute_force(spark, sf_dir, documents):
+    """Every stage against a plain version of it, on what the stage before has kept; the scores are the classifier's own."""
+    docs = documents
+    made = {}
+    for name, stage in corpus_pipeline.STAGES:
+        made[name] = stage(spark, docs, sf_dir).cache()
+        rows = [r.asDict() for r in docs.collect()]
+        if name == "toxicity":
+            scores = {r["doc_id"]: r["score"] for r in workload.op4_toxicity(spark, sf_dir).collect()}
+            want = [r["doc_id"] for r in rows if scores[r["doc_id"]] < 0.7]
+        elif name == "ngram_jaccard":
+            groups = jaccard_groups([(r["doc_id"], r["text"]) for r in rows])
+            want = [i for i, (_, first) in groups.items() if first == i]
+        elif name == "decontamination":
+            items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+            hit = {r[0]: r[-1] for r in contaminated([(r["doc_id"], r["text"]) for r in rows], items)}
+            want = [r["doc_id"] for r in rows if not hit[r["doc_id"]]]
+        elif name == "mixing":
+            measured = mixing.measured(docs).drop("text")
+            measured_rows = [r.asDict() for r in measured.collect()]
+            copies = dict(zip((r["doc_id"] for r in measured_rows), plain_mix(measured_rows, mixing.production_targets(measured)), strict=True))
+            have = collections.Counter(r["doc_id"] for r in made[name].collect())
+            assert all(abs(have[i] - c) < 1 for i, c in copies.items()) and set(have) <= set(copies)
+            want = list(have.elements())
+        else:
+            got = made[name].select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+            assert sorted(map(tuple, got), key=repr) == shards([(r["doc_id"], r["text"]) for r in rows], corpus_pipeline.SHARDS)
+            break
+        assert sorted(r["doc_id"] for r in made[name].collect()) == sorted(want), name
+        texts = {r["doc_id"]: r for r in rows}
+        assert all(r.asDict() == texts[r["doc_id"]] for r in made[name].collect())
+        docs = made[name]
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     docs, counts = documents, [documents.count()]
     for name, stage in corpus_pipeline.STAGES:

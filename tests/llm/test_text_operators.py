@@ -1,6 +1,7 @@
 """Language, toxicity, tokens, decontamination and page text against brute force, held-out labels and odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -225,6 +226,56 @@ def vocabulary():
         pytest.skip("no vocabulary here")
 
 
+def plain_ftrl(examples, alpha=1.0, beta=1.0, l1=6.0, l2=0.5, epochs=3):
+    """The update rule coordinate by coordinate; coordinate -1 is the intercept, which has no penalty of the first kind."""
+    z, n = {}, {}
+
+    def weight(i):
+        bound = 0.0 if i == -1 else l1
+        if abs(z.get(i, 0.0)) <= bound:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * bound) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for y, at in examples:
+            used = [*at, -1]
+            w = {i: weight(i) for i in used}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in used:
+                rate = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - rate * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_training_equals_the_rule_written_out():
+    rng = np.random.RandomState(8)
+    # a feature of each label, and others that say nothing
+    examples = [(int(y), np.unique(np.append(rng.randint(4, 60, 6), 1 + y)).astype(np.int32)) for y in rng.randint(0, 2, 200)]
+    places, weights, bias = toxicity.ftrl(examples, epochs=3, bits=6)
+    want = plain_ftrl([(y, at.tolist()) for y, at in examples])
+    assert bias == pytest.approx(want.pop(-1))
+    assert dict(zip(places.tolist(), weights.tolist(), strict=True)) == pytest.approx(want)
+    # the penalty leaves the two that tell
+    assert want[1] < 0 < want[2] and len(want) < 30
+
+
+def test_scores_equal_the_features_written_out(spark):
+    text = "You are Bad bad, really badder 12 people über"
+    words = ["you", "are", "bad", "bad", "really", "badder", "people", "über"]
+    whole = [toxicity._place(toxicity.Words(pa.array([w]), toxicity.LETTERS, lower=True).hashes())[0] for w in words]
+    found = [(r, p) for rows, places in toxicity.features(pa.array([text])) for r, p in zip(rows.tolist(), places.tolist(), strict=True)]
+    # 8 words, 7 pairs, 6 skip pairs, and stems of 5, 6 and 7 bytes of longer words
+    stems = sum(len(w.encode()) > k for w in words for k in toxicity.STEMS)
+    assert [p for _, p in found[:8]] == whole and len(found) == 8 + 7 + 6 + stems
+    model = toxicity.Model(np.array(sorted(set(whole)), np.int32), np.ones(len(set(whole)), np.float32), -2.0)
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    present = len(set(whole)) + len({p for _, p in found[8:]} & set(whole))
+    assert got[1] == pytest.approx(1 / (1 + math.exp(2 - present))) and got[2] == got[3] == pytest.approx(1 / (1 + math.exp(2)))
+
+
 def plain_model(rows):
     """Odds of every bit at every place and the weights of the bits, from counts held as dictionaries."""
     counts = {}
