@@ -7,9 +7,13 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
+# What a regular expression takes for whitespace.
+_BLANKS = " \t\n\x0b\f\r"
+
+
 def blank_to_null(column: Column) -> Column:
     """NULL for text that is empty or only whitespace."""
-    return F.when(column.cast("string").rlike(r"\S"), column)
+    return F.when(F.btrim(column.cast("string"), F.lit(_BLANKS)) != "", column)
 
 
 def collapse_separators(line: Column, separator: str = ",") -> Column:

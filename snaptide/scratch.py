@@ -6,12 +6,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_made: ContextVar[list[str] | None] = ContextVar("work areas to remove", default=None)
+
 
 def work_area(spark: SparkSession, label: str = "work") -> str:
     """A new, unused folder every executor can reach.
@@ -22,10 +25,33 @@ def work_area(spark: SparkSession, label: str = "work") -> str:
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
-        return f"{shared.rstrip('/')}/snaptide-{label}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"snaptide-{label}-")
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        area = f"{shared.rstrip('/')}/snaptide-{label}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        area = tempfile.mkdtemp(prefix=f"snaptide-{label}-")
+    else:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    if (made := _made.get()) is not None:
+        made.append(area)
+    return area
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the work areas that were made inside once the block ends; the folders it will remove are its value.
+
+    Results are read lazily from written intermediates, so they must be written or collected inside. Nested blocks remove
+    their own. What other threads make meanwhile is left alone.
+    """
+    areas: list[str] = []
+    token = _made.set(areas)
+    try:
+        yield areas
+    finally:
+        _made.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for area in areas:
+            path = hadoop(area)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

@@ -164,25 +164,26 @@ def read_runs(
 
     With ``compacted`` the last compaction up to ``up_to`` stands for the runs it holds.
     Columns are merged by name, from the footers of all files, unless ``schema`` declares them.
-    The join to the history prunes the folders that are not read.
+    Only the folders of those runs are listed, however many there have been: the driver gets their numbers.
     """
-    reader = spark.read.option("mergeSchema", schema is None)
+    reader = spark.read.option("mergeSchema", schema is None).option("basePath", f"{path}/data")
     if schema is not None:
         fields = [f for f in schema if f.name not in ("run_id", "attempt")]
         reader = reader.schema(T.StructType([*fields, T.StructField("run_id", T.LongType()), T.StructField("attempt", T.StringType())]))
-    runs = reader.parquet(f"{path}/data").withColumn("run_id", F.col("run_id").cast("bigint"))
     logged = _logged(spark, path)
     if up_to is not None:
         logged = logged.where(F.col("version") <= up_to)
-    if compacted:
-        base = logged.agg(F.max(F.when(F.col("compacted"), F.col("version")))).first()[0]
-        if base is not None:
-            at_base = F.col("compacted") & (F.col("version") == base)
-            logged = logged.where(at_base | (~F.col("compacted") & (F.col("version") > base)))
-    else:
-        logged = logged.where(~F.col("compacted"))
-    wanted = logged.select(F.col("version").alias("run_id"), "attempt")
-    return runs.join(wanted, ["run_id", "attempt"], "left_semi").drop("attempt")
+    # a row per run
+    rows = logged.select("version", "attempt", "compacted").collect()
+    base = max((r["version"] for r in rows if r["compacted"]), default=None) if compacted else None
+    wanted = [
+        run_path(path, r["version"], r["attempt"])
+        for r in rows
+        if (r["version"] == base if r["compacted"] else base is None or r["version"] > base) and (compacted or not r["compacted"])
+    ]
+    if not wanted:
+        raise ValueError(f"nothing published under {path}")
+    return reader.parquet(*wanted).withColumn("run_id", F.col("run_id").cast("bigint")).drop("attempt")
 
 
 def append_files(df: DataFrame, path: str) -> None:
