@@ -136,6 +136,22 @@ def run_of(spark: SparkSession, path: str, writer: str, batch: int) -> int:
     return known if known is not None else 0 if last is None else last + 1
 
 
+class Runs:
+    """Numbers for the batches of one start of a stream: the history is read for the first of them only.
+
+    Only that one can have been delivered before. Numbers that another writer takes meanwhile do no harm, since a run
+    is known by its writer and batch as well.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, writer: str):
+        self.spark, self.path, self.writer = spark, path, writer
+        self.last: int | None = None
+
+    def of(self, batch: int) -> int:
+        self.last = run_of(self.spark, self.path, self.writer, batch) if self.last is None else self.last + 1
+        return self.last
+
+
 def next_run(spark: SparkSession, path: str) -> int:
     """The number after the last published run; 0 for a new table."""
     return run_of(spark, path, "", -1)

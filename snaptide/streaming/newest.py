@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import named
 from ..operators.latest import first_rows
-from ..sinks.publish import publish, read_runs, run_of
+from ..sinks.publish import Runs, publish, read_runs
 from .ingest import run_to_end
 from .upsert import query_id
 
@@ -55,10 +55,13 @@ def newest_stream(
     A batch that is delivered again after a failure replaces its own run.
     """
     spark = df.sparkSession
+    # known once Spark has given the stream its id
+    started: list[Runs] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = query_id(spark, checkpoint)
-        publish(batch, path, run_of(spark, path, writer, batch_id), "UPDATE", writer=writer, batch=batch_id)
+        if not started:
+            started.append(Runs(spark, path, query_id(spark, checkpoint)))
+        publish(batch, path, started[0].of(batch_id), "UPDATE", writer=started[0].writer, batch=batch_id)
 
     writer = newest(df, keys, order, at, period, delay).writeStream.outputMode("update").queryName(name)
     return run_to_end(writer.option("checkpointLocation", checkpoint).foreachBatch(write), timeout, log)

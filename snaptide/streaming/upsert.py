@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.upsert import CHANGED, FIRST, FLAG, current_state, reduce_batch, rejected_rows
 from ..scratch import persisted
-from ..sinks.publish import COMPACT, last_run, publish, read_runs, run_of
+from ..sinks.publish import COMPACT, Runs, last_run, publish, read_runs
 from .ingest import run_to_end
 
 
@@ -34,14 +34,18 @@ def upsert_stream(
     ``numRejectedRows``.
     """
     spark = df.sparkSession
+    # known once Spark has given the stream its id
+    started: list[Runs] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not started:
+            started.append(Runs(spark, path, query_id(spark, checkpoint)))
         with persisted(batch):
             rejected = rejected_rows(batch, keys).count()
-            writer = query_id(spark, checkpoint)
-            run = run_of(spark, path, writer, batch_id)
+            run = started[0].of(batch_id)
             changes = reduce_batch(batch, keys, sequence_by, tiebreak)
-            publish(changes, path, run, "MERGE", metrics={"numRejectedRows": rejected}, writer=writer, batch=batch_id)
+            metrics = {"numRejectedRows": rejected}
+            publish(changes, path, run, "MERGE", metrics=metrics, writer=started[0].writer, batch=batch_id)
 
     return run_to_end(
         df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write), timeout, log

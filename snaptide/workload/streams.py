@@ -12,11 +12,12 @@ from ..schemas import HISTORY, PLAYERS, STANDINGS_DATE_FORMAT, TABLE_COLUMNS, TE
 from ..scratch import materialize, work_area
 from ..session import stateful_session
 from ..sinks.publish import append_files, read_history, read_run
-from ..sources.files import read_table, stream_snapshots, stream_table, table_there
+from ..sources.files import read_table, stream_table, table_there
+from ..sources.headers import by_header, stream_lines
 from ..sources.nested import stream_nested_json
 from ..streaming.changes import changes_only
 from ..streaming.ingest import append_stream, append_stream_to_table, dedupe_stream
-from ..streaming.landing import read_quarantine
+from ..streaming.landing import land, read_quarantine
 from ..streaming.newest import newest_stream, read_newest
 from ..streaming.progress import progress_table, read_progress
 from ..streaming.upsert import read_state, upsert_stream
@@ -119,8 +120,14 @@ def stream_rate_limited_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [f"`{f.name}`" for f in TEAM_SUMMARY]
     summaries = materialize(team_summaries(spark, sf_dir).select(*columns), "summaries")
     max_files = _deliver(summaries, f"{area}/landing", "csv")
-    raw = stream_snapshots(spark, f"{area}/landing", TEAM_SUMMARY, "yyyy-MM-dd", max_files=max_files)
-    append_stream(undot_columns(raw), f"{area}/bronze", f"{area}/checkpoint", "team_ingest")
+    land(
+        stream_lines(spark, f"{area}/landing", max_files),
+        lambda lines: undot_columns(by_header(lines, TEAM_SUMMARY, "yyyy-MM-dd")),
+        f"{area}/bronze",
+        f"{area}/quarantine",
+        f"{area}/checkpoint",
+        "team_ingest",
+    )
     bronze = read_table(spark, f"{area}/bronze")
     return bronze.groupBy("match_date").agg(
         F.count("*").alias("teams"), F.sum("played_total").alias("played_total")

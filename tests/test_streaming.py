@@ -142,6 +142,21 @@ def test_a_batch_delivered_again_changes_nothing(spark, area):
     assert rows(read_state(spark, f"{area}/log", ["k"], "day")) == before
 
 
+def test_the_history_is_read_once_a_start(spark, area, monkeypatch):
+    from snaptide.sinks import publish as sink
+
+    for day in range(5):
+        changes(spark, area, [("a", day, day), (f"b{day}", day, day)])
+    asked, plain = [], sink.run_of
+    monkeypatch.setattr(sink, "run_of", lambda *args: asked.append(args[-1]) or plain(*args))
+    run_upsert(spark, area)
+    changes(spark, area, [("a", 9, 9)])
+    run_upsert(spark, area)
+    assert asked == [0, 5]
+    assert rows(read_history(spark, f"{area}/log").select("version")) == [(n,) for n in range(6)]
+    assert rows(read_state(spark, f"{area}/log", ["k"], "day").where("k = 'a'").select("day", "run_id")) == [(9, 5)]
+
+
 def test_compaction_keeps_state_and_later_flags(spark, area):
     for batch in ([("a", 1, 10), ("b", 1, 20)], [("b", 2, 21)]):
         changes(spark, area, batch)
