@@ -212,6 +212,19 @@ def moved(points: DataFrame, search: Search) -> list[list[int]]:
     ]
 
 
+def centred(points: DataFrame, k: int, rounds: int, seed: int) -> list[list[int]]:
+    """Centroids of ``points`` (``id`` and ``x``, whole numbers held as doubles) after the rounds; see ``cluster``."""
+    rank = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256)
+    first = points.orderBy(rank.asc_nulls_last(), "x").limit(k).select("x").collect()
+    centres = [[int(v) for v in row[0]] for row in first]
+    for _ in range(rounds if centres else 0):
+        after = moved(points, Search(centres))
+        if after == centres:
+            break
+        centres = after
+    return centres
+
+
 def cluster(
     vectors: DataFrame,
     k: int = 8,
@@ -235,18 +248,12 @@ def cluster(
     listed = listed.where(F.size("x") == components)
     kind = f"id {listed.schema['id'].dataType.simpleString()}"
     points = materialize(listed.mapInArrow(_Quantise(scale), f"{kind}, x array<double>"), "vectors")
-    rank = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256)
-    first = points.orderBy(rank.asc_nulls_last(), "x").limit(k).select("x").collect()
+    centres = centred(points, k, rounds, seed)
     spark = vectors.sparkSession
-    if not first:
+    if not centres:
         empty = f"{kind}, cluster int, distance long, cluster_inertia long, inertia long"
         return spark.createDataFrame([], empty), []
-    search = Search([[int(v) for v in row[0]] for row in first])
-    for _ in range(rounds):
-        after = moved(points, search)
-        if after == search.points:
-            break
-        search = Search(after)
+    search = Search(centres)
     found = materialize(points.mapInArrow(_Assign(search), f"{kind}, cluster int, distance long"), "assigned")
     # a row per cluster
     sums = found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from . import centroids
 from .words import Words, bounded, mix, slices
 
@@ -32,6 +33,7 @@ LONG_WORD = 8
 DIMS = 64
 SCALE = 1024
 ROUNDS = 6
+SEED = 3
 REST = "(rest)"
 
 SOURCE_TARGETS = {"src0": 0.24, **{f"src{i}": 0.04 for i in range(1, 20)}}
@@ -80,12 +82,16 @@ def learn_topics(docs: DataFrame, text_column: str = "text", topics: int = TOPIC
             _, x = _vectors(part.column("body"))
             full = np.flatnonzero(x.any(axis=1))
             offsets = pa.array(np.arange(len(full) + 1, dtype=np.int32) * DIMS)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(x[full].astype(np.float32).ravel()))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(_steps(x[full]).ravel()))
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(full)), lists], ["id", "x"])
 
-    vectors = rows.mapInArrow(run, "id long, x array<float>")
-    found = centroids.cluster(vectors, topics, rounds, DIMS, SCALE, id_column="id", vector_column="x")
-    return found[1]
+    points = materialize(rows.mapInArrow(run, "id long, x array<double>"), "vectors")
+    return centroids.centred(points, topics, rounds, SEED)
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Components in whole steps, which are the same wherever they are computed."""
+    return np.floor(x.astype(np.float32).astype(np.float64) * SCALE)
 
 
 def measured(docs: DataFrame, topics: list[list[int]] | None = None, text_column: str = "text") -> DataFrame:
@@ -108,7 +114,7 @@ def measured(docs: DataFrame, topics: list[list[int]] | None = None, text_column
             topic = np.zeros(words.rows, np.int64)
             full = x.any(axis=1)
             if search is not None and full.any():
-                topic[full] = search.nearest(np.floor(x[full].astype(np.float32).astype(np.float64) * SCALE).astype(np.int64))[0]
+                topic[full] = search.nearest(_steps(x[full]).astype(np.int64))[0]
             part = part.append_column("n_tokens", pa.array(words.counts.astype(np.int64)))
             yield part.append_column("topic", pa.array([f"topic{t}" for t in topic], pa.string()))
 

@@ -138,7 +138,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     Words are runs of characters other than space and 0x09 to 0x0D, with A-Z as a-z. A text of fewer than
     five words has its whole sequence as its one shingle. Null and blank texts have none and are linked with nothing. Rows that
     repeat an id are rows of one document: they get the smallest component of any of them. A null id is
-    linked with nothing and stands for itself (a null component). Other columns are not read.
+    linked with nothing and stands for itself (a null component). Ids are whole numbers. Other columns are not read.
     """
     texts = bounded(docs).select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     points = materialize(texts.mapInArrow(_points, _POINT), "points")

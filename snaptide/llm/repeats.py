@@ -48,7 +48,7 @@ def removals(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", t
 
     A window is repeated if its words also occur in a document with a smaller id. ``starts``
     are little-endian 32-bit word numbers. Texts under a null id, null texts and texts of fewer words repeat nothing and are not
-    repeated; documents that share an id do not count for each other.
+    repeated; documents that share an id do not count for each other. Ids are whole numbers.
     """
     if window < 1:
         raise ValueError("a window has a word at least")

@@ -47,7 +47,7 @@ def assign(df: DataFrame, shards: int, id_column: str = "doc_id", text_column: s
 
     Shards differ in bytes by no more than the records on their borders. ``slot`` counts
     the records of a shard from 0 without gaps. Repeated rows are records of their own; a null
-    id comes first among equal texts; other columns of ``df`` are not read.
+    id comes first among equal texts; ids are whole numbers; other columns of ``df`` are not read.
     """
     if shards < 1:
         raise ValueError("at least one shard")

@@ -87,7 +87,7 @@ def fit(
     """Learn ``label`` (0 or 1) from at most ``sample`` documents of each of its values.
 
     ``learn`` is a condition on the id of a label row. Of several labels of one document the
-    largest counts, of several texts the smallest; null labels and ids are left out. Which documents are drawn
+    largest counts, of several texts the smallest; null labels and ids are left out. Ids are whole numbers. Which documents are drawn
     follows from a hash of the id. Without a document of either label the model is constant.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))

@@ -15,10 +15,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Bytes and rows that Spark hands to a Python worker at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4096
 
 # Longer words are hashed one by one; shorter ones column by column.
