@@ -39,6 +39,8 @@ BLOCK_ROWS = 4096
 CHUNK_ROWS = 2048
 LANE_BLOCKS = 48
 LANES = 16
+# Tasks that the cells are dealt to, at most; beyond, a task runs several cells, one after the other.
+MOST_TASKS = 20_000
 
 _LONGEST = (1 << 63) - 1
 _PACK = "labels array<string>, size int, width int, kind string, ids binary, codes binary, x binary, windows binary"
@@ -307,7 +309,7 @@ def _cells(chunks: DataFrame, blocks: DataFrame, parts: int, seek: _Seek) -> Dat
 
 
 def _tasks(anchors: int, lanes: int) -> int:
-    return max(1, -(-anchors // CHUNK_ROWS) * lanes)
+    return max(1, min(MOST_TASKS, -(-anchors // CHUNK_ROWS) * lanes))
 
 
 def positives(anchors: DataFrame, blocks: DataFrame, lanes: int, k: int = POSITIVES) -> DataFrame:
