@@ -39,7 +39,7 @@ def _merged(
             F.lit(kind).alias("kind"),
             *[c.alias(t) for c, t in zip(tie, ties, strict=True)],
             # spreads rows of one key and moment, and decides between rows that tie in all else
-            F.xxhash64(*map(named, df.columns)).alias("salt"),
+            F.xxhash64(*[named(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]).alias("salt"),
             *[column.alias(name) for name, column in mine.items()],
         )
 
@@ -62,7 +62,8 @@ def deal(merged: DataFrame, order: Sequence[str], ranges: int | None = None) ->
 def _carry(dealt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """What the earlier ranges of its first key hand on to a range: ``range``, ``first`` (that key) and ``carried``."""
     key = F.struct(*keys)
-    last = F.max(F.when(F.col("kind") == 0, F.struct(*keys, *order, "given")))
+    place = F.when(F.col("kind") == 0, F.struct(*keys, *order))
+    last = F.max_by(F.struct(*keys, "given"), place)
     # a row per range
     edges = dealt.groupBy("range").agg(F.min(key).alias("first"), last.alias("last"))
     givers = edges.where("last is not null").select(
@@ -87,7 +88,7 @@ def as_of_join(
 
     Of rows of ``right`` at one moment the greatest by ``tiebreak`` counts. A row of ``left`` without a match has
     NULLs, or goes with ``how="inner"``. A NULL key or moment matches nothing. Columns of ``right`` other than the keys
-    must not be named as one of ``left``. Rows with equal keys, moments and all other columns stay in one range.
+    must not be named as one of ``left``. Rows with equal keys, moments and all other columns (maps apart) stay in one range.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

@@ -41,6 +41,13 @@ def test_one_row_is_carried_over_many_ranges(spark):
     assert {r["value"] for r in got.collect()} == {"first"} and got.count() == 299
 
 
+def test_columns_of_any_type_are_carried(spark):
+    left = spark.range(100).selectExpr("1 AS k", "cast(id AS int) AS at", "map('x', id) AS m")
+    right = spark.createDataFrame([(1, 0, {"a": 1}, [2], (3,))], "k int, since int, tags map<string, int>, list array<int>, s struct<v: int>")
+    got = asof.as_of_join(left, right, ["k"], "at", "since", ranges=9).collect()
+    assert len(got) == 100 and all((r["tags"], r["list"], r["s"]["v"], r["m"]["x"]) == ({"a": 1}, [2], 3, r["at"]) for r in got)
+
+
 def test_empty_sides(spark):
     assert rows(joined(spark, [("a", 1, 1)], [], 4)) == [("a", 1, 1, None, None, None)]
     assert joined(spark, [], [("a", 1, 1, "v")], 4).count() == 0
