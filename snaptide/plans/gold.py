@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.measures import league_points, total_contributions
+from ..operators.asof import as_of_dates
 from ..operators.latest import latest
 from ..operators.ranking import ordered, rank_rows, top_k
 from ..schemas import SILVER_COLUMNS, TABLE_COLUMNS, TEAM_COUNTERS
@@ -34,6 +35,13 @@ def latest_table(
     ).select(*columns)
 
 
+def tables_as_of(silver: DataFrame, dates: Sequence, columns: Sequence[str] = TABLE_COLUMNS) -> DataFrame:
+    """The league table as of each of ``dates`` (``as_of``): the last row of every team up to then, all dates in one pass."""
+    kept = silver.select(*dict.fromkeys([*columns, "snapshot_date", "entity_id"]))
+    found = as_of_dates(kept, dates, ["team"], "snapshot_date", ["matches_played", "entity_id"])
+    return found.select("as_of", *columns)
+
+
 def premier_table(silver: DataFrame, ties: str = "keep") -> DataFrame:
     """League table in the order of its ranking."""
     return ordered(latest_table(silver, ties), [("ranking", "asc"), ("team", "asc")])

@@ -278,6 +278,19 @@ def premier_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.premier_table(materialize(_silver(spark, sf_dir), "silver"))
 
 
+_LEAGUE_DAYS = ["2024-01-05", "2024-01-10", "2024-01-15", "2024-01-25", "2024-01-31", "2024-02-10"]
+
+
+@query(
+    f"""{STANDINGS_SQL}, days AS (SELECT unnest({_LEAGUE_DAYS})::DATE AS as_of)
+SELECT as_of, {_TABLE} FROM (SELECT *, row_number() OVER (PARTITION BY team, as_of ORDER BY snapshot_date DESC) AS n
+  FROM standings JOIN days ON snapshot_date <= as_of) WHERE n = 1"""
+)
+def league_tables_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The league table as of a list of dates, before, on, between and after the snapshots."""
+    return gold.tables_as_of(_silver(spark, sf_dir), _LEAGUE_DAYS)
+
+
 @query(f"{_LATEST_SQL} SELECT * FROM latest")
 def premier_table_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per team."""
