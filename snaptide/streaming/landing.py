@@ -58,11 +58,12 @@ def land(
             store(rows, number)
         batches.append(number)
 
-    if not table_there(spark, quarantine, QUARANTINE):
+    writer = df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
+    query = run_to_end(writer, timeout, log)
+    if not batches and not table_there(spark, quarantine, QUARANTINE):
         # both tables can be read before there is any file
         store(conform(spark.createDataFrame([], df.schema)), -1)
-    writer = df.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return Landed(run_to_end(writer, timeout, log), batches)
+    return Landed(query, batches)
 
 
 def with_batch(schema: T.StructType) -> T.StructType:
