@@ -44,17 +44,26 @@ def newest_first(audit: DataFrame) -> DataFrame:
 
 
 def audit_steps(
-    spark: SparkSession, progress: str, logs: Mapping[str, str], landings: Mapping[str, tuple[str, str]]
+    spark: SparkSession,
+    progress: str,
+    logs: Mapping[str, str],
+    landings: Mapping[str, tuple[str, str]],
+    written: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``step``, ``rows_in``, ``rows_out`` and ``rejected`` over all runs of a chain.
 
     ``landings`` are the bronze and the quarantine of a step, counted from their footers. Other streams are known by
-    their progress: a stateful one lets through the rows that changed its state. ``logs`` are published tables, which have
-    their own history.
+    their progress: a deduplication lets through the rows that changed its state. What others let through is counted from the
+    footers of the table they have ``written``. ``logs`` are published tables, which have their own history.
     """
     steps = read_progress(spark, progress).where(~F.col("query_name").isin(*landings)).groupBy(
         F.col("query_name").alias("step")
     ).agg(F.sum("input_rows").alias("rows_in"), F.sum("updated_rows").alias("rows_out"), F.lit(None).cast("bigint").alias("rejected"))
+    for step, path in (written or {}).items():
+        # a row
+        let_through = read_table(spark, path, T.StructType([])).agg(F.count("*").alias("let_through"))
+        rows_out = F.when(F.col("step") == step, F.col("let_through")).otherwise(F.col("rows_out"))
+        steps = steps.join(F.broadcast(let_through)).withColumn("rows_out", rows_out).drop("let_through")
     for step, (bronze, quarantine) in landings.items():
         good = read_table(spark, bronze, T.StructType([])).agg(F.count("*").alias("good"))
         bad = read_quarantine(spark, quarantine).agg(F.count("*").alias("rejected"))

@@ -173,4 +173,5 @@ def chain_audit(spark: SparkSession, chain: Chain) -> DataFrame:
     """Rows taken, written and rejected by each step of all runs: bronze, silver, current and every report."""
     logs = {"current": chain.path("current"), **{name: chain.path(f"gold/{name}") for name in chain.reports}}
     landings = {f"{chain.name}_bronze": (chain.path("bronze"), chain.path("quarantine"))}
-    return audit_steps(spark, chain.path("progress"), logs, landings)
+    written = {f"{chain.name}_silver": chain.path("silver")} if chain.changes else {}
+    return audit_steps(spark, chain.path("progress"), logs, landings, written)

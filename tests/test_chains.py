@@ -81,6 +81,18 @@ def test_a_corrected_count_is_taken_and_a_copy_is_not_a_change(spark, area):
     assert [r.goals for r in spark.read.parquet(chain.path("silver")).orderBy("collected").collect()] == [5, 7, 5]
 
 
+def test_the_audit_counts_what_changed_and_not_what_came(spark, area):
+    os.makedirs(f"{area}/landing")
+    chain = chains.player_chain(f"{area}/landing", area, multi_line=False)
+    for name, goals in (("1", 5), ("2", 5), ("3", 6)):
+        with open(f"{area}/landing/{name}.json", "w") as file:
+            for i in range(3):
+                file.write(json.dumps({"id": i, "name": "p", "age": 20, "0": {"goals": {"total": goals + (i > 0), "assists": 1}}}) + "\n")
+        chains.run_chain(spark, chain)
+    audit = {r.step: (r.rows_in, r.rows_out) for r in chains.chain_audit(spark, chain).collect()}
+    assert audit["players_silver"] == (9, 6)
+
+
 def test_names_that_would_be_the_same_are_refused(spark):
     with pytest.raises(ValueError):
         undot_columns(spark.range(1).selectExpr("id AS `a.b`", "id AS a_b"))

@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
 
 from snaptide.session import stateful_session
 from snaptide.sources.files import stream_table
-from snaptide.streaming.changes import changes_only, read_last
+from snaptide.streaming.changes import STATE, changes_only, read_last
 from snaptide.streaming.ingest import append_stream
 
 ROW = "k string, day date, v int, note string"
@@ -19,10 +20,10 @@ def deliver(spark, area, part, schema=ROW):
     spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{area}/in")
 
 
-def run(spark, area, keys=("k",), by="day", ignored=()):
+def run(spark, area, keys=("k",), by="day", ignored=(), **how):
     session = stateful_session(spark, 3)
     stream = stream_table(session, f"{area}/in", spark.read.parquet(f"{area}/in").schema, max_files=1)
-    append_stream(changes_only(stream, keys, by, ignored), f"{area}/out", f"{area}/checkpoint", "changes", timeout=180)
+    append_stream(changes_only(stream, keys, by, ignored, **how), f"{area}/out", f"{area}/checkpoint", "changes", timeout=180)
     return rows(spark.read.parquet(f"{area}/out"))
 
 
@@ -58,3 +59,33 @@ def test_any_sequence_that_sorts(spark, area, kind):
         df.coalesce(1).write.mode("append").parquet(f"{area}/in")
         got = run(spark, area, ["k"], "at")
     assert [r[2] for r in got] == [0, 1, 2]
+
+
+def states(spark, area):
+    return spark.read.format("statestore").option("stateVarName", STATE).load(f"{area}/checkpoint").count()
+
+
+def test_state_is_read_and_written_by_bucket_and_not_by_entity(spark, area):
+    schema = "k bigint, l string, at int, v int"
+    big, chance = 2**60 + 1, random.Random(3)
+    keys = [(k, part) for k in (None, 0, big, big + 1) for part in (None, "", "a", '"', "null")] + [(k, "x") for k in range(1, 200)]
+    known, want = {}, []
+    for _ in range(2):
+        part = [(k, text, chance.randrange(6), chance.randrange(2)) for k, text in keys for _ in range(3)]
+        # one row of an entity for each moment
+        part = list({row[:3]: row for row in part}.values())
+        deliver(spark, area, part, schema)
+        for row in sorted(part, key=lambda row: row[2]):
+            at, v = known.get(row[:2], (-1, None))
+            if row[2] >= at:
+                known[row[:2]] = row[2:]
+                want += [row] if v != row[3] else []
+        assert run(spark, area, ["k", "l"], "at", buckets=4) == sorted(want, key=repr)
+    assert states(spark, area) == 4
+    last = read_last(spark, f"{area}/checkpoint", ["k", "l"]).select("k", "l", "at")
+    assert rows(last) == sorted(((*key, at) for key, (at, _) in known.items()), key=repr)
+
+
+def test_keys_that_are_equal_in_a_grouping_are_one_entity(spark, area):
+    deliver(spark, area, [(0.0, day(1), 1), (-0.0, day(2), 1), (None, day(1), 1), (1.5, day(1), 1)], "k double, day date, v int")
+    assert len(run(spark, area)) == 3
