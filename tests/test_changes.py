@@ -6,7 +6,7 @@ from conftest import rows
 
 from snaptide.session import stateful_session
 from snaptide.sources.files import stream_table
-from snaptide.streaming.changes import STATE, changes_only, read_last
+from snaptide.streaming.changes import BUCKETS, STATE, changes_only, read_last
 from snaptide.streaming.ingest import append_stream
 
 ROW = "k string, day date, v int, note string"
@@ -86,6 +86,13 @@ def test_state_is_read_and_written_by_bucket_and_not_by_entity(spark, area):
     assert rows(last) == sorted(((*key, at) for key, (at, _) in known.items()), key=repr)
 
 
+def test_many_entities_take_a_bounded_number_of_states(spark, area):
+    deliver(spark, area, [(n, day(d), n % 7, None) for n in range(3000) for d in (1, 2)], "k int, day date, v int, note string")
+    assert len(run(spark, area)) == 3000
+    assert states(spark, area) <= BUCKETS < 3000
+    assert read_last(spark, f"{area}/checkpoint", ["k"]).distinct().count() == 3000
+
+
 def test_keys_that_are_equal_in_a_grouping_are_one_entity(spark, area):
     deliver(spark, area, [(0.0, day(1), 1), (-0.0, day(2), 1), (None, day(1), 1), (1.5, day(1), 1)], "k double, day date, v int")
     assert len(run(spark, area)) == 3
