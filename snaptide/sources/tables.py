@@ -2,7 +2,10 @@
 
 A page is cut into tags and stretches of text. The running number of open tables is the depth of each of them;
 among the tokens of one depth the last row or cell that was opened owns what follows, whatever deeper tables lie between. That is
-a few windows over one shuffle of the tokens by page, so a page of any size is sorted and not held; pages without a table are not cut at all.
+a few windows over one shuffle of the pages, so the tokens of a page of any size are sorted and not held; pages without a table are not cut at all.
+
+Pages become many times larger as tokens, and cells as a grid, which a plan cannot know. So the pages, and the cells, are written once and
+weighed, and dealt into as many parts as their weight asks for: more input makes more tasks, not larger ones.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.names import named
 from ..functions.text import decoded, without_comments
+from ..scratch import materialize
 
 # --- fixed values of HTML: what is not shown, what breaks a line of text, the largest spans ---
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
@@ -21,21 +25,39 @@ _BREAKS = r"(?i)^</?(?:br|p|div|li|ul|ol|h[1-6]|hr|dd|dt|dl|blockquote|pre)\b"
 _MOST_COLUMNS, _MOST_ROWS = 1000, 65534
 # --- end of fixed values ---
 
+# About the bytes that a task sorts at a time: those of the text, and what a token, a cell or a slot takes beside it.
+_PART, _EACH = 48 * 1024 * 1024, 160
+
 _TOKENS = r"""(?is)<(?:/?(?:table|tr|td|th)\b)(?:[^>"']|"[^"]*"|'[^']*')*>|<[/!?a-z][^>]*>|[^<]+|<"""
 _NAME = r"(?i)^</?(table|tr|td|th)\b"
 
 
+def _dealt(df: DataFrame, keys: Sequence[str], weight: Column, label: str) -> DataFrame:
+    """``df``, written once, in parts by ``keys`` of about equal weight."""
+    rows = materialize(df, label)
+    total = rows.agg(F.sum(weight.cast("double"))).first()[0] or 0
+    return rows.repartition(int(total // _PART) + 1, *map(named, keys))
+
+
 def _tokens(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """Tags and stretches of text of each page that has a table tag, with the ``depth`` of tables they lie in."""
+    """Tags and stretches of text of each page that has a table tag, with the ``depth`` of tables they lie in.
+
+    Every token of a page is in one part, in the order of ``at``; ``table_no`` numbers the tables in the order they open.
+    """
     shown = F.regexp_replace(without_comments(named(html)), _HIDDEN, " ")
-    some = pages.where(F.lower(named(html)).rlike(r"</?table[\s>/]"))
+    some = pages.where(F.lower(named(html)).rlike(r"</?table[\s>/]")).select(*map(named, dict.fromkeys([*keys, html])))
+    # a tag, and the text behind it
+    tags = F.length(named(html)) - F.length(F.replace(named(html), F.lit("<"), F.lit("")))
+    some = _dealt(some, keys, F.length(named(html)) + 2 * _EACH * tags, "pages")
     cut = some.select(*map(named, keys), F.posexplode(F.regexp_extract_all(shown, F.lit(_TOKENS), 0)).alias("at", "token"))
     tag = cut.withColumn("tag", F.lower(F.regexp_extract("token", _NAME, 1))).withColumn("ends", F.startswith("token", F.lit("</")))
     table = F.col("tag") == "table"
     step = F.when(table, F.when(F.col("ends"), -1).otherwise(1)).otherwise(0)
     upto = Window.partitionBy(*map(named, keys)).orderBy("at")
     open_ = tag.withColumn("open", F.sum(step).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    return open_.withColumn("depth", F.col("open") + F.when(table & F.col("ends"), 1).otherwise(0))
+    deep = open_.withColumn("depth", F.col("open") + F.when(table & F.col("ends"), 1).otherwise(0))
+    opened = F.when(table & ~F.col("ends") & (F.col("depth") > 0), 1).otherwise(0)
+    return deep.withColumn("table_no", F.sum(opened).over(upto.rowsBetween(Window.unboundedPreceding, 0)) - 1)
 
 
 def broken_tables(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
@@ -67,48 +89,45 @@ def table_cells(pages: DataFrame, keys: Sequence[str], html: str = "html", table
     tokens = _tokens(pages, keys, html).where("depth > 0")
     level = Window.partitionBy(*by_page, "depth").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     opens = (F.col("tag") == "table") & ~F.col("ends")
-    mark = F.when(F.col("tag") != "", F.struct("at", "tag", "ends"))
-    tokens = tokens.withColumn("table_at", F.last(F.when(opens, F.col("at")), ignorenulls=True).over(level))
-    tokens = tokens.withColumn("last", F.last(mark, ignorenulls=True).over(level))
-    of_table = Window.partitionBy(*by_page, "table_at").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    row = F.sum(F.when((F.col("tag") == "tr") & ~F.col("ends"), 1).otherwise(0)).over(of_table)
-    tokens = tokens.withColumn("row_no", F.greatest(row - 1, F.lit(0)))
+    rows_open = F.sum(F.when((F.col("tag") == "tr") & ~F.col("ends"), 1).otherwise(0)).over(level)
+    tokens = tokens.withColumn("rows_open", rows_open)
+    # what a token lies in: the last table that was opened at its depth, and the last tag there
+    of = F.last(F.when(opens, F.struct("at", "table_no", "rows_open")), ignorenulls=True).over(level)
+    mark = F.last(F.when(F.col("tag") != "", F.struct("at", "tag", "ends")), ignorenulls=True).over(level)
+    tokens = tokens.withColumns({"of": of, "last": mark})
     inside = F.col("last.tag").isin("td", "th") & ~F.col("last.ends")
     begins = F.col("tag").isin("td", "th") & ~F.col("ends")
     piece = F.when(F.col("tag") != "", "").when(F.col("token").rlike(_BREAKS), " ").when(F.col("token").rlike(r"(?i)^<[/!?a-z]"), "")
-    pieces = F.collect_list(F.struct("at", piece.otherwise(F.col("token")).alias("piece")))
+    pieces = F.collect_list(F.when(inside, F.struct("at", piece.otherwise(F.col("token")).alias("piece"))))
+    wanted = F.lit(True)
+    if table_class is not None:
+        name = re.escape(table_class)
+        wanted = F.col("token").rlike(rf"""(?i)\sclass\s*=\s*(?:{name}[\s>/]|["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])""")
+    # a row for each cell, and one without ``cell_at`` for each table
     cells = (
-        tokens.where(inside & F.col("table_at").isNotNull())
-        .groupBy(*by_page, "depth", "table_at", F.col("last.at").alias("cell_at"))
+        tokens.where((inside | opens) & F.col("of").isNotNull())
+        .groupBy(*by_page, "depth", F.col("of.at").alias("table_at"), F.col("of.table_no").alias("table_no"), F.when(inside, F.col("last.at")).alias("cell_at"))
         .agg(
             F.max(F.when(begins, F.col("token"))).alias("token"),
-            F.min("row_no").alias("row_no"),
+            F.min(F.greatest(F.col("rows_open") - F.col("of.rows_open") - 1, F.lit(0))).alias("row_no"),
             F.array_join(F.transform(F.array_sort(pieces), lambda p: p["piece"]), "").alias("raw"),
+            F.bool_or(opens & wanted).alias("wanted"),
         )
     )
-    in_row = Window.partitionBy(*by_page, "table_at", "row_no").orderBy("cell_at")
-    cells = cells.withColumn("cell_no", F.row_number().over(in_row) - 1)
+    cell = F.col("cell_at").isNotNull()
+    in_row = Window.partitionBy(*by_page, "table_at", "row_no").orderBy("cell_at").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("cell_no", (F.count("cell_at").over(in_row) - 1).cast("int"))
     # the tables of a page
-    tables = tokens.where(opens).groupBy(*by_page).agg(F.array_sort(F.collect_list(F.struct("at", "depth", "token"))).alias("tables"))
-    renamed = tables.withColumnsRenamed({k: f"__{k}" for k in keys})
-    same = [named(k).eqNullSafe(named(f"__{k}")) for k in keys]
-    cells = cells.join(renamed, same)
+    tables = F.collect_list(F.when(~cell, F.struct(F.col("table_at").alias("at"), "depth", "table_no", "wanted")))
+    cells = cells.withColumn("tables", tables.over(Window.partitionBy(*by_page))).where(cell)
     above = F.filter("tables", lambda t: (t["depth"] == F.col("depth") - 1) & (t["at"] < F.col("table_at")))
-    number = F.transform("tables", lambda t: t["at"])
-
-    def place(at: Column) -> Column:
-        return (F.array_position(number, at) - 1).cast("int")
-
-    own = F.element_at(F.filter("tables", lambda t: t["at"] == F.col("table_at")), 1)["token"]
     if table_class is not None:
-        name = re.escape(table_class)
-        wanted = rf"""(?i)\sclass\s*=\s*(?:{name}[\s>/]|["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])"""
-        cells = cells.where(own.rlike(wanted))
+        cells = cells.where(F.exists("tables", lambda t: (t["at"] == F.col("table_at")) & t["wanted"]))
     text = F.trim(F.regexp_replace("raw", r"\s+", " "))
     return cells.select(
         *by_page,
-        place(F.col("table_at")).alias("table_no"),
-        place(F.array_max(above)["at"]).alias("parent_no"),
+        F.col("table_no").cast("int").alias("table_no"),
+        F.array_max(above)["table_no"].cast("int").alias("parent_no"),
         F.col("depth").cast("int").alias("depth"),
         F.col("row_no").cast("int").alias("row_no"),
         "cell_no",
@@ -165,7 +184,10 @@ def table_grid(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     table = [*map(named, keys), F.col("table_no"), F.col("parent_no"), F.col("depth")]
     cell = F.struct("row_no", "cell_no", "columns", "rows", "text")
-    whole = cells.groupBy(*table).agg(F.array_sort(F.collect_list(cell)).alias("__cells"), F.max("row_no").alias("__last"))
+    # spans of rows end with the table, so the length of long ones says little
+    slots = F.col("columns") * F.least("rows", F.lit(64))
+    dealt = _dealt(cells, [*keys, "table_no"], slots * (F.length("text") + _EACH), "cells")
+    whole = dealt.groupBy(*table).agg(F.array_sort(F.collect_list(cell)).alias("__cells"), F.max("row_no").alias("__last"))
     # without spans a cell's column is its number
     spans = F.exists("__cells", lambda c: (c["rows"] > 1) | (c["columns"] > 1))
     as_is = F.transform("__cells", lambda c: _slot(c, c["cell_no"]))

@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from snaptide.sources import tables
 from snaptide.sources.tables import broken_tables, table_cells, table_grid
 
 
@@ -107,6 +108,26 @@ def test_a_page_is_shuffled_once(spark):
     assert len(before_join) <= 2, plan
 
 
+def test_more_pages_make_more_tasks_and_not_larger_ones(spark, monkeypatch):
+    """Also where the session asks for one shuffle partition."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "1")
+
+    def parts(copies):
+        df = pages(session, *[f"{NESTED}<table><table><tr><td rowspan=2>{i}</table>" for i in range(copies)])
+        cells = table_cells(df, ["page_id"])
+        shown = table_grid(cells, ["page_id"])
+        return rows(shown), [f.select(F.spark_partition_id()).distinct().count() for f in (cells, shown)]
+
+    monkeypatch.setattr(tables, "_PART", 20_000)
+    few, some = parts(10), parts(60)
+    # by hash, so a part may be empty
+    assert all(2 * a <= b >= 4 for a, b in zip(few[1], some[1], strict=True)), (few[1], some[1])
+    monkeypatch.undo()
+    assert parts(60) == (some[0], [1, 1])
+    assert (59, 5, 4, 2, 0, ["59"]) in some[0]
+
+
 def test_null_keys_and_strange_names(spark):
     df = spark.createDataFrame([(None, "<table><tr><td>a</td></tr></table>")], "`a.b` int, `the page` string")
     cells = table_cells(df, ["a.b"], "the page")
